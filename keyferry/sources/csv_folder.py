@@ -5,7 +5,9 @@ sub-folder ``name/`` (or ``name.csv/``) holding ``*.csv`` part files, which is
 what Spark itself writes. Listing goes through Spark's file index (any file
 system), reading only file names. Each table is read with a header and,
 unless a schema is declared, inferred types. A table that cannot be read is
-reported and skipped; an empty folder gives no tables.
+reported and skipped; an empty folder gives no tables. A zero-byte file has
+no header and no columns; Spark's file scan does not list it, so it is not a
+table.
 """
 
 from __future__ import annotations
