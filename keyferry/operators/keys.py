@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
+
 _WIN = "__kf_win"
 _BATCH = "__kf_batch"
 
@@ -93,3 +95,29 @@ def upsert(
         .agg(F.max(win).alias(_WIN))
         .select(*[_q(c) if c in key else F.col(f"{_WIN}.`{c}`").alias(c) for c in cols])
     )
+
+
+def surviving_rows(
+    existing: DataFrame,
+    incoming_keys: DataFrame,
+    key: Sequence[str],
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    small: bool | None = None,
+) -> DataFrame:
+    """Existing rows whose key is not re-sent by ``incoming_keys`` (unique keys).
+
+    ``small`` is the caller's proof that the incoming keys fit a broadcast
+    (for example a bounded count of the raw batch, taken before any dedupe
+    shuffle); when None it is checked here with a bounded count.
+
+    When the incoming key set is proven small it is broadcast and the existing
+    table is filtered where it lies: no shuffle, its file splits (and so its
+    hot buckets) spread over all tasks. Otherwise both sides are shuffled on
+    the whole key, which is unique on both sides, so no task gets a hot key.
+    """
+    keys = incoming_keys.select(*[_q(k) for k in key])
+    if small is None:
+        small = fits_broadcast(keys, max_broadcast_rows)
+    if small:
+        keys = F.broadcast(keys)
+    return existing.join(keys, list(key), "left_anti")

@@ -25,7 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.operators.keys import dedupe, upsert
+from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
+from keyferry.operators.keys import dedupe, surviving_rows
 from keyferry.operators.layout import bucket_aligned
 from keyferry.session import fresh_path, unique_name
 
@@ -111,7 +112,10 @@ class KeyedStore:
         """
         if self.exists(table):
             return False
-        self._write_version(df.limit(0), table, partition_key, clustering_keys, buckets, replace=False)
+        self._write_version(
+            bucket_aligned(df.limit(0), buckets, partition_key), table, partition_key, clustering_keys, buckets,
+            replace=False,
+        )
         return True
 
     # -- S3 / U3 ------------------------------------------------------------------
@@ -139,12 +143,18 @@ class KeyedStore:
         confirm_truncate: bool = True,
         unique: bool = False,
         observation: Observation | None = None,
+        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     ) -> WriteResult:
         """Write ``df`` with the store's key semantics.
 
         ``unique=True`` states that keys of ``df`` are already unique (for
         example the source primary key is part of the target key), which
-        saves the dedupe shuffle of a first write.
+        saves the dedupe shuffle.
+
+        Only the incoming rows are shuffled (into the table's buckets). On an
+        upsert the existing rows that survive are filtered in place and
+        written back without a shuffle: every existing file holds one bucket,
+        so each task writes its rows to that same bucket.
         """
         mode = mode.lower()
         if mode not in MODES:
@@ -167,10 +177,11 @@ class KeyedStore:
             clustering_keys = layout["clustering_keys"]
             buckets = layout["buckets"] or buckets
             key = tuple(partition_key) + tuple(clustering_keys)
+        fresh = df if unique else dedupe(df, key, order_by)
+        out = bucket_aligned(fresh, buckets, partition_key)
         if present and mode == "append":
-            out = upsert(self.read(table), df, key, order_by)
-        else:
-            out = df if unique else dedupe(df, key, order_by)
+            small = fits_broadcast(df.select(*[F.col(f"`{k}`") for k in key]), max_broadcast_rows)
+            out = surviving_rows(self.read(table), fresh, key, small=small).unionByName(out)
         obs = observation or Observation(unique_name("kf_write"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)
@@ -189,8 +200,7 @@ class KeyedStore:
         staging = unique_name(f"{table}__staging")
         sort_cols = list(partition_key) + list(clustering_keys)
         (
-            bucket_aligned(df, buckets, partition_key)
-            .write.format("parquet")
+            df.write.format("parquet")
             .bucketBy(buckets, *partition_key)
             .sortBy(*sort_cols)
             .option("path", location)

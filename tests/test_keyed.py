@@ -130,3 +130,53 @@ def test_write_keeps_each_key_in_one_bucket(spark, store):
         .groupBy("l_orderkey").agg(F.count_distinct("b").alias("n"))
     )
     assert per_key.filter("n > 1").count() == 0
+
+
+def test_store_upsert_matches_aggregate_form(spark, store):
+    """The store's anti-join upsert equals the single-aggregate definition."""
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    b2 = orders.filter("o_orderstatus = 'O'").withColumn("o_orderpriority", F.lit("X")).unionByName(
+        orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    )
+    key = ["o_custkey", "o_orderdate", "o_orderkey"]
+    for bound in (10**6, 10):  # broadcast and shuffled anti join
+        name = f"u{bound}"
+        store.write(orders, name, ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
+        store.write(b2, name, ["o_custkey"], ["o_orderdate", "o_orderkey"], max_broadcast_rows=bound)
+        assert _rows(store.read(name)) == _rows(upsert(orders, b2, key))
+
+
+def test_upsert_does_not_shuffle_existing_rows(spark, store):
+    from keyferry.operators.keys import surviving_rows
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    store.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
+    incoming = orders.filter("o_orderstatus = 'P'")
+    plan = plan_text(surviving_rows(store.read("o"), incoming, ["o_custkey", "o_orderdate", "o_orderkey"], small=True))
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    # The only exchange is the broadcast of the incoming keys.
+    assert "Exchange hashpartitioning" not in plan.replace("\n", " ") and "BroadcastExchange" in plan
+
+
+def test_hot_key_write_is_split(spark, store, workdir):
+    """One partition key holding a third of the rows does not pin one task."""
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    hot = li.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey")))
+    # Several input files, as any large input has: AQE splits by map ranges.
+    hot.withColumn("l_linenumber", F.monotonically_increasing_id()).repartition(8).write.parquet(workdir + "/hot")
+    hot = spark.read.parquet(workdir + "/hot")
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.01"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        store.write(hot, "h", ["l_orderkey"], ["l_linenumber"], buckets=4, unique=True)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    files = (
+        store.read("h").filter("l_orderkey = 7").select(F.input_file_name().alias("f")).distinct().count()
+    )
+    assert files > 1  # the hot bucket was written by several tasks
+    assert store.read("h").count() == li.count()
