@@ -52,18 +52,29 @@ def orphans(
     parent: DataFrame,
     pk: Sequence[str],
     relation: str,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Child rows whose foreign key has no parent row.
 
-    The child is first reduced to (key, rows) with a map-side-combined
+    Parent keys proven small (bounded count): broadcast anti join, applied
+    where the child lies, before anything is shuffled; only orphans move.
+    Otherwise the child is first reduced to (key, rows) by a map-side-combined
     aggregate, so a key held by a third of the child costs one row per map
-    task; only distinct keys meet the parent in the anti join.
+    task, and those distinct keys meet the parent in a shuffled join on a
+    key that is unique on both sides. (A left outer join with a NULL test is
+    used there because Catalyst would move an anti join below the aggregate.)
     """
-    keys = child.groupBy(*[F.col(c).alias(p) for c, p in zip(fk, pk)]).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    keys = keys.filter(reduce(lambda a, b: a & b, [F.col(p).isNotNull() for p in pk]))
-    missing = keys.join(parent.select(*pk), list(pk), "left_anti")
+    not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk])
+    keys_of_child = child.filter(not_null).select(*[F.col(c).alias(p) for c, p in zip(fk, pk)])
+    parent_keys = parent.select(*pk)
+    if fits_broadcast(parent_keys, max_broadcast_rows):
+        missing = keys_of_child.join(F.broadcast(parent_keys), list(pk), "left_anti").groupBy(*pk).agg(
+            F.count(F.lit(1)).alias("_rows")
+        )
+    else:
+        grouped = keys_of_child.groupBy(*pk).agg(F.count(F.lit(1)).alias("_rows"))
+        marked = parent_keys.distinct().withColumn("_parent", F.lit(True))
+        missing = grouped.join(marked, list(pk), "left").filter(F.col("_parent").isNull())
     return missing.agg(
         F.lit(relation).alias("relation"),
         F.count(F.lit(1)).alias("orphan_keys"),

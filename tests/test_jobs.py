@@ -93,8 +93,12 @@ def test_lookup_join_broadcast_only_when_small(spark):
 def test_orphans(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (9,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,), (3,)], "pk int")
-    r = orphans(child, ["fk"], parent, ["pk"], "c->p").first()
-    assert (r.orphan_keys, r.orphan_rows) == (1, 3)
+    for bound in (100, 1):  # broadcast anti join, and the pre-aggregated shuffled form
+        r = orphans(child, ["fk"], parent, ["pk"], "c->p", max_broadcast_rows=bound).first()
+        assert (r.orphan_keys, r.orphan_rows) == (1, 3)
+    big = plan_text(orphans(child, ["fk"], parent, ["pk"], "c->p", max_broadcast_rows=1), "simple")
+    # The child is aggregated before it meets the parent.
+    assert big.index("LeftOuter") < big.rindex("partial_count")
 
 
 def test_generator_consistency(spark):
