@@ -27,6 +27,7 @@ from keyferry.sinks.csv import export_tables, load_folder, table_sink, write_csv
 from keyferry.sinks.keyed import KeyedStore
 from keyferry.sources.csv_folder import folder_row_counts, read_csv
 from keyferry.spec import PlanSettings, RunOptions, TableMapping
+from keyferry.streaming.folder_feed import feed_keyed_table
 from keyferry.synth import generate as gen
 
 TABLES = [
@@ -132,6 +133,31 @@ def keyed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_KEYED_OVERWRITE = SQL_SECOND_BATCH
 
 
+def folder_feed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming form of the folder load: orders arrive as CSV in two rounds
+    (all orders, then the second batch) and each round is fed through the
+    checkpointed file stream into the keyed table."""
+    orders = table(spark, sf_dir, "orders")
+    folder = fresh_path(spark, "feed")
+    st = _store(spark)
+    name = unique_name("orders_feed")
+    m = TableMapping.of("incoming", name, ORDERS_PK, ORDERS_CK)
+    for i, batch in enumerate((orders, _second_batch(orders))):
+        write_csv(batch, f"{folder}/in/round{i}")
+        q = feed_keyed_table(
+            spark, f"{folder}/in/*", orders.schema, st, m, buckets=CHECK_BUCKETS, checkpoint=f"{folder}/checkpoint"
+        )
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"feed round {i} failed: {q.exception()}")
+    return st.read(name)
+
+
+SQL_FOLDER_FEED_UPSERT = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM ({SQL_KEYED_UPSERT_TWO_BATCHES}) AS t"""
+
+
 # -- S3 / K4 K5 K6 R6 -----------------------------------------------------------
 def keyed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = _store(spark)
@@ -463,6 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_upsert": keyed_upsert,
     "keyed_upsert_two_batches": keyed_upsert_two_batches,
     "keyed_overwrite": keyed_overwrite,
+    "folder_feed_upsert": folder_feed_upsert,
     "keyed_scan": keyed_scan,
     "keyed_table_layout": keyed_table_layout,
     "conform_reference": conform_reference,
@@ -492,6 +519,7 @@ ORACLE_SQL: dict[str, str] = {
     "keyed_upsert": SQL_KEYED_UPSERT,
     "keyed_upsert_two_batches": SQL_KEYED_UPSERT_TWO_BATCHES,
     "keyed_overwrite": SQL_KEYED_OVERWRITE,
+    "folder_feed_upsert": SQL_FOLDER_FEED_UPSERT,
     "keyed_scan": SQL_KEYED_SCAN,
     "keyed_table_layout": SQL_KEYED_TABLE_LAYOUT,
     "conform_reference": SQL_CONFORM_REFERENCE,

@@ -16,7 +16,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +31,22 @@ def _norm(folder: str) -> str:
     return folder.rstrip("/")
 
 
+def _table_part(folder: str) -> tuple[Column, Column]:
+    """(first path component under ``folder``, whether a file lies below it)
+    as expressions of a file path; empty for files deeper than one level."""
+    leaf = re.escape(_norm(folder).split("/")[-1])
+    pattern = f"/{leaf}/([^/]+)(/[^/]+)?$"
+    path = F.col("path")
+    return F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2) != F.lit("")
+
+
 def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Table name -> CSV file paths, from file names only (no content read)."""
+    """Table name -> path globs that read it.
+
+    The file listing stays in Spark (file names only, no content); only the
+    distinct table names come back to the driver, however many files a
+    table has.
+    """
     try:
         files = (
             spark.read.format("binaryFile")
@@ -41,20 +55,18 @@ def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
             .load(folder)
             .select("path")
         )
-        paths = [r["path"] for r in files.collect()]
+        part, nested = _table_part(folder)
+        kinds = files.select(part.alias("part"), nested.alias("nested")).filter(F.col("part") != "").distinct()
+        found = [(r["part"], r["nested"]) for r in kinds.collect()]
     except Exception as e:  # noqa: BLE001 - empty or missing folder
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
             return {}
         raise
     base = _norm(folder)
     out: dict[str, list[str]] = {}
-    for p in sorted(paths):
-        tail = p.split(base.split(":", 1)[-1].rstrip("/"), 1)[-1].lstrip("/")
-        parts = tail.split("/")
-        if len(parts) > 2:
-            continue  # deeper than one sub-folder: not a table of this folder
-        name = parts[0][:-4] if parts[0].endswith(".csv") else parts[0]
-        out.setdefault(name, []).append(p)
+    for part, nested in sorted(found):
+        name = part[:-4] if part.endswith(".csv") else part
+        out.setdefault(name, []).append(f"{base}/{part}/*.csv" if nested else f"{base}/{part}")
     return out
 
 
@@ -102,19 +114,22 @@ def folder_row_counts(spark: SparkSession, folder: str, options: Mapping[str, st
     record's other fields are dropped unparsed); the header line of each file
     is skipped. The table of a row is the path component after the folder,
     taken from the file-metadata column inside Spark. Tables with no rows
-    (header-only or empty files) are reported with 0.
+    (header-only files) are reported with 0.
     """
     tables = list_tables(spark, folder)
     if not tables:
         return spark.createDataFrame([], "table string, rows bigint")
-    paths = sorted(p for ps in tables.values() for p in ps)
-    leaf = re.escape(_norm(folder).split("/")[-1])
-    df = read_csv(spark, paths, schema="_c0 string", options=options)
-    owner = F.regexp_replace(
-        F.regexp_extract(F.col("_metadata.file_path"), f"/{leaf}/([^/]+)", 1), r"\.csv$", ""
+    globs = sorted(g for gs in tables.values() for g in gs)
+    df = read_csv(spark, globs, schema="_c0 string", options=options)
+    part, _ = _table_part(folder)
+    owner = F.regexp_replace(part, r"\.csv$", "")
+    counted = (
+        df.select(F.col("_metadata.file_path").alias("path"))
+        .select(owner.alias("table"))
+        .groupBy("table")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    counted = df.select(owner.alias("table")).groupBy("table").agg(F.count(F.lit(1)).alias("rows"))
-    # One row per table name: bounded by the number of files listed.
+    # One row per table name (not per file): a small, bounded side.
     names = spark.createDataFrame([(n,) for n in sorted(tables)], "table string")
     return (
         counted.join(F.broadcast(names), "table", "right")
