@@ -210,11 +210,11 @@ def key_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SQL_KEY_NULL_COUNTS = """SELECT 'orders' AS "table", 'o_custkey' AS "column", count_if(o_custkey IS NULL) AS null_cells, count(*) AS rows FROM orders
-UNION ALL SELECT 'orders', 'o_orderdate', count_if(o_orderdate IS NULL), count(*) FROM orders
-UNION ALL SELECT 'orders', 'o_orderkey', count_if(o_orderkey IS NULL), count(*) FROM orders
-UNION ALL SELECT 'events', 'user_id', count_if(user_id IS NULL), count(*) FROM events
-UNION ALL SELECT 'events', 'ts', count_if(ts IS NULL), count(*) FROM events"""
+SQL_KEY_NULL_COUNTS = """SELECT 'orders' AS "table", 'o_custkey' AS "column", CAST(count_if(o_custkey IS NULL) AS BIGINT) AS null_cells, count(*) AS rows FROM orders
+UNION ALL SELECT 'orders', 'o_orderdate', CAST(count_if(o_orderdate IS NULL) AS BIGINT), count(*) FROM orders
+UNION ALL SELECT 'orders', 'o_orderkey', CAST(count_if(o_orderkey IS NULL) AS BIGINT), count(*) FROM orders
+UNION ALL SELECT 'events', 'user_id', CAST(count_if(user_id IS NULL) AS BIGINT), count(*) FROM events
+UNION ALL SELECT 'events', 'ts', CAST(count_if(ts IS NULL) AS BIGINT), count(*) FROM events"""
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,6 +313,7 @@ REPORT_MAPPINGS = [
     {"source_table": "orders_without_customer", "target_table": "orphans", "partition_key": "o_custkey"},
     {"source_table": "no_such_table", "target_table": "missing", "partition_key": "id"},
     {"source_table": "supplier", "target_table": "no_key"},
+    {"source_table": "embeddings", "target_table": "vectors", "partition_key": "vec_id", "source_key": "vec_id"},
 ]
 
 
@@ -332,7 +333,8 @@ UNION ALL SELECT 'lineitem', 'ok', (SELECT count(*) FROM lineitem),
   (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)), NULL
 UNION ALL SELECT 'orders_without_customer', 'skipped_empty', 0, NULL, NULL
 UNION ALL SELECT 'no_such_table', 'failed', NULL, NULL, 'AnalysisException'
-UNION ALL SELECT 'supplier', 'failed', NULL, NULL, 'MappingError'"""
+UNION ALL SELECT 'supplier', 'failed', NULL, NULL, 'MappingError'
+UNION ALL SELECT 'embeddings', 'failed', NULL, NULL, 'UnsupportedTypeError'"""
 
 
 def reconcile_check(spark: SparkSession, sf_dir: str) -> DataFrame:

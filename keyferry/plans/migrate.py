@@ -2,19 +2,21 @@
 
 Per table:
 
-1. define the source scan (lazy);
+1. define the source scan (lazy) and the conform projection (schema only:
+   an unsupported type fails before anything is read);
 2. one profiling job over the key columns only: row count and NULL key cells
    (A1, V1) -- skipped when the caller already knows the row count;
 3. skip an empty source (F1); refuse NULL key cells, which a keyed store
    rejects (V1);
-4. conform column types (P1);
-5. write with keyed semantics (U1/U2, K2) as a new bucketed version; the
+4. plan partitions from the row count (R1) and the bucket count;
+5. write the conformed rows (P1) with keyed semantics (U1/U2, K2) as a new bucketed version; the
    number of rows written is observed during the write itself;
 6. optionally reconcile source and target (A3);
 7. one report row: status, counts, plan, timings (A2).
 
-So a source is scanned twice (key columns, then the write), not four times,
-and nothing is cached.
+So a source is scanned twice (key columns, then the write), not four times.
+With ``enable_cache`` (R5) the profile job fills a cache the write then
+reads: one scan of the source, at the price of holding it.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import types as T
 from keyferry.operators.audit import reconcile as reconcile_frames
 from keyferry.operators.conform import conform
 from keyferry.operators.keys import profile_keys
+from keyferry.operators.layout import keep, release
 from keyferry.plans.partition_plan import bucket_count, plan_partitions
 from keyferry.sinks.keyed import KeyedStore
 from keyferry.spec import MappingError, PlanSettings, RunOptions, TableMapping
@@ -94,13 +97,26 @@ def migrate_table(
     options: RunOptions | None = None,
     known_rows: int | None = None,
 ) -> TableReport:
+    """M1. ``store`` is a ``KeyedStore`` or any store with the same write
+    interface (``sinks.connector.ConnectorStore``)."""
     settings = settings or PlanSettings()
     options = options or RunOptions()
     rep = TableReport(mapping.source, store.qualified(mapping.target))
     t0 = time.perf_counter()
     df = reader(mapping.source)
     mapping.validate(df.columns)
+    # With caching on, the profile job fills the cache and the write reads
+    # it, so the source (e.g. a database) is scanned once instead of twice.
+    df = keep(df, settings.enable_cache)
+    try:
+        return _migrate(rep, t0, df, mapping, store, settings, options, known_rows)
+    finally:
+        release(df, settings.enable_cache)
 
+
+def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> TableReport:
+    # Schema-only: an unsupported column type fails here, before any scan.
+    conformed = conform(df, options.profile)
     if known_rows is None:
         prof = profile_keys(df, mapping.key).first()
         rows = int(prof["rows"])
@@ -123,7 +139,6 @@ def migrate_table(
         rows, settings, mapping.buckets or (plan.partitions if plan.action == "repartition" else None)
     )
 
-    conformed = conform(df, options.profile)
     t1 = time.perf_counter()
     result = store.write(
         conformed,
@@ -135,6 +150,7 @@ def migrate_table(
         order_by=mapping.order_by,
         confirm_truncate=options.confirm_truncate,
         unique=mapping.key_is_unique_by_source(),
+        plan=plan,
     )
     rep.write_s = time.perf_counter() - t1
     rep.rows_written = result.rows_written

@@ -12,11 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from keyferry.operators.keys import dedupe
 from keyferry.operators.layout import apply_plan
 from keyferry.plans.partition_plan import PartitionPlan
-from keyferry.sinks.keyed import MODES, TruncateNotConfirmedError
+from keyferry.session import unique_name
+from keyferry.sinks.keyed import MODES, TruncateNotConfirmedError, WriteResult
 
 
 
@@ -58,3 +61,58 @@ def write_table(
         opts["confirm.truncate"] = "true"
     out = apply_plan(df, plan, partition_key) if plan else df
     out.write.format(fmt).mode(mode).options(**opts).save()
+
+
+class ConnectorStore:
+    """Keyed tables behind an external connector, with the same write
+    interface as ``KeyedStore`` so the migration jobs can target either.
+
+    The store resolves equal keys itself (the later write wins); rows of one
+    batch are deduplicated first (U1) so that which row wins is decided here,
+    repeatably, and not by the order of concurrent writes. The layout is the
+    size-driven partition plan (R1), by partition key, so rows of one key
+    leave from one task and the connector can group them into batches.
+    """
+
+    def __init__(self, spark: SparkSession, fmt: str, keyspace: str, tuning: Mapping[str, object] | None = None):
+        self.spark = spark
+        self.fmt = fmt
+        self.keyspace = keyspace
+        self.tuning = dict(tuning or {})
+
+    def create_keyspace(self, properties: Mapping[str, str] | None = None) -> None:
+        """Keyspaces of an external store are made with its own tools."""
+
+    def qualified(self, table: str) -> str:
+        return f"{self.keyspace}.{table}"
+
+    def exists(self, table: str) -> bool:
+        try:
+            self.read(table).schema  # noqa: B018 - resolving the relation is the test
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+    def read(self, table: str) -> DataFrame:
+        return read_table(self.spark, self.fmt, self.keyspace, table)
+
+    def write(
+        self,
+        df: DataFrame,
+        table: str,
+        partition_key: Sequence[str],
+        clustering_keys: Sequence[str] = (),
+        mode: str = "append",
+        buckets: int = 1,
+        order_by: Sequence[str] = (),
+        confirm_truncate: bool = True,
+        unique: bool = False,
+        observation: Observation | None = None,
+        plan: PartitionPlan | None = None,
+    ) -> WriteResult:
+        key = tuple(partition_key) + tuple(clustering_keys)
+        out = df if unique else dedupe(df, key, order_by)
+        obs = observation or Observation(unique_name("kf_connector"))
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+        write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning)
+        return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), None)

@@ -144,9 +144,14 @@ class KeyedStore:
         unique: bool = False,
         observation: Observation | None = None,
         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+        plan: object = None,
     ) -> WriteResult:
         """Write ``df`` with the store's key semantics.
 
+        ``plan`` (the size-driven partition plan) is accepted for interface
+        parity with external stores and not used: the layout here is set by
+        the bucket count.
+
         ``unique=True`` states that keys of ``df`` are already unique (for
         example the source primary key is part of the target key), which
         saves the dedupe shuffle.

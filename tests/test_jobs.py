@@ -141,3 +141,39 @@ def test_jdbc_and_connector_options():
                                                    "numPartitions": "4"}
     c = connector_options("ks", "t", {"output.batch.size.rows": 1000, "output.concurrent.writes": None})
     assert c == {"keyspace": "ks", "table": "t", "output.batch.size.rows": "1000"}
+
+
+def test_migrate_through_connector_store(spark):
+    """The job drives any store with the keyed write interface; Spark's
+    built-in ``noop`` sink stands in for an external connector."""
+    from keyferry.sinks.connector import ConnectorStore
+
+    st = ConnectorStore(spark, "noop", "ks", tuning={"output.batch.size.rows": 1000})
+    m = TableMapping.of("lineitem", "li", "l_orderkey", "l_linenumber")
+    settings = PlanSettings(repartition_threshold=1000, rows_per_partition=2000)
+    rep = migrate_table(spark, _reader(spark), m, st, settings, RunOptions())
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    assert rep.status == "ok" and rep.rows_written == li.select("l_orderkey", "l_linenumber").distinct().count()
+    assert rep.plan_action == "repartition" and rep.plan_partitions == li.count() // 2000
+
+
+def test_migrate_with_cache_scans_once(spark, store):
+    m = TableMapping.of("orders", "o", "o_custkey", ["o_orderdate", "o_orderkey"], source_key="o_orderkey")
+    rep = migrate_table(spark, _reader(spark), m, store, PlanSettings(enable_cache=True))
+    assert rep.status == "ok" and rep.rows_written == rep.rows_read
+    assert not spark.sparkContext._jsc.getPersistentRDDs()  # released after the write
+
+
+def test_nested_types_fail_before_reading(spark, store):
+    from keyferry.functions.typemap import UnsupportedTypeError
+
+    reports = migrate_all(spark, _reader(spark), [{"source": "embeddings", "target": "v", "partition_key": "vec_id"}],
+                          store)
+    assert reports[0].status == "failed" and reports[0].error_class == "UnsupportedTypeError"
+    assert reports[0].rows_read is None
+    rep = migrate_table(spark, _reader(spark), TableMapping.of("embeddings", "v", "vec_id"), store,
+                        options=RunOptions(profile="exact"))
+    assert rep.status == "ok"
+    assert dict(store.read("v").dtypes)["embedding"] == "array<double>"
+    with pytest.raises(UnsupportedTypeError):
+        migrate_table(spark, _reader(spark), TableMapping.of("embeddings", "v2", "vec_id"), store)
