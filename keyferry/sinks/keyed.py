@@ -122,12 +122,22 @@ class KeyedStore:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))
 
-    def lookup(self, table: str, **equal) -> DataFrame:
-        """Point or prefix read: equality on key columns, pruned to one bucket
-        when the whole partition key is given."""
+    def lookup(self, table: str, ranges: Mapping[str, tuple[object, object]] | None = None, **equal) -> DataFrame:
+        """Point, prefix or range read.
+
+        ``equal`` gives key columns by value; with the whole partition key
+        given, the scan is pruned to one bucket. ``ranges`` adds closed
+        ranges ``(low, high)`` on clustering columns (either end may be None).
+        All conditions are pushed to the parquet scan.
+        """
         df = self.read(table)
         for c, v in equal.items():
             df = df.filter(F.col(f"`{c}`") == F.lit(v))
+        for c, (lo, hi) in (ranges or {}).items():
+            if lo is not None:
+                df = df.filter(F.col(f"`{c}`") >= F.lit(lo))
+            if hi is not None:
+                df = df.filter(F.col(f"`{c}`") <= F.lit(hi))
         return df
 
     # -- K2 -----------------------------------------------------------------------

@@ -180,3 +180,20 @@ def test_hot_key_write_is_split(spark, store, workdir):
     )
     assert files > 1  # the hot bucket was written by several tasks
     assert store.read("h").count() == li.count()
+
+
+def test_range_read_on_clustering_key(spark, store):
+    import datetime as dt
+
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    store.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
+    lo, hi = dt.datetime(1994, 1, 1), dt.datetime(1996, 12, 31)
+    got = store.lookup("o", ranges={"o_orderdate": (lo, hi)}, o_custkey=42)
+    want = orders.filter((F.col("o_custkey") == 42) & F.col("o_orderdate").between(lo, hi))
+    assert _rows(got) == _rows(want)
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        text = plan_text(store.lookup("o", ranges={"o_orderdate": (lo, hi)}, o_custkey=42))
+        assert "SelectedBucketsCount: 1 out of 4" in text and "GreaterThanOrEqual(o_orderdate" in text
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
