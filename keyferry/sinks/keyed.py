@@ -118,6 +118,27 @@ class KeyedStore:
         )
         return True
 
+    # -- versions -----------------------------------------------------------------
+    def versions(self, table: str) -> list[str]:
+        """Version folders written for ``table`` (file names only are listed,
+        in Spark; the distinct folder names come back)."""
+        files = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(f"{self.root}/{table}")
+            .select(F.regexp_extract("path", r"^(.*/v-[0-9a-f]+)/[^/]+$", 1).alias("v"))
+            .filter(F.col("v") != "")
+            .distinct()
+        )
+        return sorted(r["v"] for r in files.collect())
+
+    def rollback(self, table: str, location: str) -> None:
+        """Point ``table`` back at an earlier version folder."""
+        q = _ident(self.qualified(table))
+        self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{location}'")
+        self.spark.sql(f"REFRESH TABLE {q}")
+
     # -- S3 / U3 ------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))

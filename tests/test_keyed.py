@@ -197,3 +197,15 @@ def test_range_read_on_clustering_key(spark, store):
         assert "SelectedBucketsCount: 1 out of 4" in text and "GreaterThanOrEqual(o_orderdate" in text
     finally:
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+
+
+def test_versions_and_rollback(spark, store):
+    a = spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA)
+    b = spark.createDataFrame([(1, 1, "b", 1.0)], SCHEMA)
+    first = store.write(a, "t", ["k"], ["c"], buckets=2).location
+    store.write(b, "t", ["k"], ["c"])
+    assert _rows(store.read("t")) == [(1, 1, "b", 1.0)]
+    vs = store.versions("t")
+    assert len(vs) == 2 and any(first.endswith(v.split(":", 1)[-1]) for v in vs)
+    store.rollback("t", first)
+    assert _rows(store.read("t")) == [(1, 1, "a", 1.0)]
