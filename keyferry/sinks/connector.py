@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyferry.operators.keys import dedupe
-from keyferry.operators.layout import apply_plan
+from keyferry.operators.layout import apply_plan, cluster_order
 from keyferry.plans.partition_plan import PartitionPlan
 from keyferry.session import unique_name
 from keyferry.sinks.keyed import MODES, TruncateNotConfirmedError, WriteResult
@@ -60,6 +60,10 @@ def write_table(
             raise TruncateNotConfirmedError(f"overwrite of {keyspace}.{table} truncates it")
         opts["confirm.truncate"] = "true"
     out = apply_plan(df, plan, partition_key) if plan else df
+    if plan is not None and plan.action == "repartition" and plan.by_key and partition_key:
+        # Rows of one partition key leave a task together, in key order,
+        # so the connector can group them into per-partition batches.
+        out = cluster_order(out, partition_key, ())
     out.write.format(fmt).mode(mode).options(**opts).save()
 
 

@@ -14,7 +14,12 @@ safe: upserts are idempotent.
 
 Save modes follow the keyed-store connector: ``append`` upserts (the default),
 ``overwrite`` replaces the whole table and needs ``confirm_truncate``,
-``ignore`` leaves an existing table alone, ``error`` refuses one.
+``ignore`` leaves an existing table alone, ``error`` refuses one. An existing
+table keeps its definition (schema, keys, buckets); incoming rows are cast to
+it.
+
+One writer per table at a time: two concurrent writes each produce a version,
+and the later ``SET LOCATION`` wins.
 """
 
 from __future__ import annotations
@@ -44,6 +49,26 @@ class TruncateNotConfirmedError(RuntimeError):
     pass
 
 
+class SchemaMismatchError(ValueError):
+    pass
+
+
+def align_to(df: DataFrame, schema) -> DataFrame:
+    """``df`` with exactly the columns (names, order, types) of ``schema``.
+
+    New versions of a table must carry the catalog's schema. Values are cast
+    (under ANSI rules a value that does not fit raises); missing or extra
+    columns are refused.
+    """
+    have = {c.lower(): c for c in df.columns}
+    want = [f.name.lower() for f in schema.fields]
+    missing = sorted(set(want) - set(have))
+    extra = sorted(set(have) - set(want))
+    if missing or extra:
+        raise SchemaMismatchError(f"columns missing {missing}, not in table {extra}")
+    return df.select(*[F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 @dataclass(frozen=True)
 class WriteResult:
     table: str
@@ -213,6 +238,7 @@ class KeyedStore:
             clustering_keys = layout["clustering_keys"]
             buckets = layout["buckets"] or buckets
             key = tuple(partition_key) + tuple(clustering_keys)
+            df = align_to(df, self.read(table).schema)
         fresh = df if unique else dedupe(df, key, order_by)
         out = bucket_aligned(fresh, buckets, partition_key)
         if present and mode == "append":

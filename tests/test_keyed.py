@@ -209,3 +209,16 @@ def test_versions_and_rollback(spark, store):
     assert len(vs) == 2 and any(first.endswith(v.split(":", 1)[-1]) for v in vs)
     store.rollback("t", first)
     assert _rows(store.read("t")) == [(1, 1, "a", 1.0)]
+
+
+def test_existing_table_schema_is_kept(spark, store):
+    from keyferry.sinks.keyed import SchemaMismatchError
+
+    store.write(spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA), "t", ["k"], ["c"], buckets=2)
+    # Wider incoming types and another column order: cast to the table's schema.
+    wide = spark.createDataFrame([(2.0, "b", 1, 2)], "w double, v string, c bigint, k bigint")
+    store.write(wide, "t", ["k"], ["c"])
+    assert store.read("t").schema.simpleString() == "struct<k:int,c:int,v:string,w:double>"
+    assert _rows(store.read("t")) == [(1, 1, "a", 1.0), (2, 1, "b", 2.0)]
+    with pytest.raises(SchemaMismatchError):
+        store.write(spark.createDataFrame([(3, 1, "c")], "k int, c int, v string"), "t", ["k"], ["c"])
