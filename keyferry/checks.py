@@ -319,7 +319,7 @@ REPORT_MAPPINGS = [
 
 def migrate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = KeyedStore(spark, unique_name("kf_report"), fresh_path(spark, "report"))
-    reports = migrate_all(spark, _reader(spark, sf_dir), REPORT_MAPPINGS, st, PlanSettings(), RunOptions())
+    reports = migrate_all(spark, _reader(spark, sf_dir), REPORT_MAPPINGS, st, PlanSettings(), RunOptions(), parallelism=4)
     return report_frame(spark, reports).select(
         "source", "status", "rows_read", "rows_written", "error_class"
     )

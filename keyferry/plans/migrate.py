@@ -22,6 +22,7 @@ reads: one scan of the source, at the price of holding it.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
@@ -173,35 +174,44 @@ def migrate_all(
     store: KeyedStore,
     settings: PlanSettings | None = None,
     options: RunOptions | None = None,
+    parallelism: int = 1,
 ) -> list[TableReport]:
-    """M2: every mapping in order; one table's failure never stops the rest."""
+    """M2: every mapping; one table's failure never stops the rest.
+
+    ``parallelism`` > 1 submits that many tables at once as concurrent Spark
+    jobs (a thread each), so many small tables keep the cluster busy instead
+    of running one after another. Reports keep the mapping order.
+    """
     if not mappings:
         raise MappingError("no table mappings given")
+    if parallelism < 1:
+        raise MappingError("parallelism must be >= 1")
     store.create_keyspace()
-    out: list[TableReport] = []
-    for m in mappings:
+
+    def one(m: TableMapping | dict) -> TableReport:
         try:
             mapping = m if isinstance(m, TableMapping) else TableMapping.from_dict(m)
         except (MappingError, KeyError, TypeError) as e:
             src = (m.get("source_table") or m.get("source") or "?") if isinstance(m, dict) else "?"
             tgt = (m.get("target_table") or m.get("target") or "?") if isinstance(m, dict) else "?"
-            out.append(TableReport(src, tgt, "failed", error_class=type(e).__name__, error=str(e)))
-            continue
+            return TableReport(src, tgt, "failed", error_class=type(e).__name__, error=str(e))
         t0 = time.perf_counter()
         try:
-            out.append(migrate_table(spark, reader, mapping, store, settings, options))
+            return migrate_table(spark, reader, mapping, store, settings, options)
         except Exception as e:  # noqa: BLE001 - reported per table, run goes on
-            out.append(
-                TableReport(
-                    mapping.source,
-                    store.qualified(mapping.target),
-                    "failed",
-                    error_class=type(e).__name__,
-                    error=str(e).splitlines()[0][:500] if str(e) else "",
-                    total_s=time.perf_counter() - t0,
-                )
+            return TableReport(
+                mapping.source,
+                store.qualified(mapping.target),
+                "failed",
+                error_class=type(e).__name__,
+                error=str(e).splitlines()[0][:500] if str(e) else "",
+                total_s=time.perf_counter() - t0,
             )
-    return out
+
+    if parallelism == 1:
+        return [one(m) for m in mappings]
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="keyferry-migrate") as pool:
+        return list(pool.map(one, mappings))
 
 
 def report_frame(spark: SparkSession, reports: Sequence[TableReport]) -> DataFrame:

@@ -177,3 +177,16 @@ def test_nested_types_fail_before_reading(spark, store):
     assert dict(store.read("v").dtypes)["embedding"] == "array<double>"
     with pytest.raises(UnsupportedTypeError):
         migrate_table(spark, _reader(spark), TableMapping.of("embeddings", "v2", "vec_id"), store)
+
+
+def test_migrate_all_in_parallel_keeps_order_and_results(spark, store):
+    mappings = [
+        {"source_table": t, "target_table": f"p_{t}", "partition_key": k}
+        for t, k in [("nation", "n_nationkey"), ("region", "r_regionkey"), ("supplier", "s_suppkey"),
+                     ("missing", "id"), ("part", "p_partkey")]
+    ]
+    seq = migrate_all(spark, _reader(spark), mappings, store)
+    par = migrate_all(spark, _reader(spark), [dict(m, target_table=m["target_table"] + "_x") for m in mappings],
+                      store, parallelism=3)
+    assert [(r.source, r.status, r.rows_written) for r in seq] == [(r.source, r.status, r.rows_written) for r in par]
+    assert [r.status for r in par] == ["ok", "ok", "ok", "failed", "ok"]
