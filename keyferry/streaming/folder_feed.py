@@ -42,11 +42,16 @@ def feed_keyed_table(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the feed. ``available_now`` processes what is there and stops
     (a scheduled job); otherwise it runs every ``processing_time``."""
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+        # Not persisted: besides the write, the batch is read only by the
+        # bounded size check (at most n + 1 key rows per task), and a first
+        # batch may be a whole initial load. ``max_files_per_trigger`` caps
+        # batch size when that matters.
         store.write(
             conform(batch, profile),
             mapping.target,
@@ -58,7 +63,7 @@ def feed_keyed_table(
         )
 
     w = (
-        folder_stream(spark, folder, schema)
+        folder_stream(spark, folder, schema, max_files_per_trigger)
         .writeStream.foreachBatch(upsert_batch)
         .option("checkpointLocation", checkpoint or fresh_path(spark, f"feed-{mapping.target}"))
     )
