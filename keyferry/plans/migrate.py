@@ -21,6 +21,7 @@ reads: one scan of the source, at the price of holding it.
 
 from __future__ import annotations
 
+import logging
 import time
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Sequence
@@ -38,6 +39,9 @@ from keyferry.sinks.keyed import KeyedStore
 from keyferry.spec import MappingError, PlanSettings, RunOptions, TableMapping
 
 
+log = logging.getLogger("keyferry.migrate")
+
+
 class NullKeyError(ValueError):
     pass
 
@@ -126,7 +130,9 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
         rows, nulls = known_rows, {}
     rep.rows_read = rows
     rep.read_s = time.perf_counter() - t0
+    log.info("%s -> %s: %d source rows (%.2fs)", rep.source, rep.target, rows, rep.read_s)
     if rows == 0:
+        log.warning("%s is empty, skipped", rep.source)
         rep.status = "skipped_empty"
         rep.total_s = time.perf_counter() - t0
         return rep
@@ -164,6 +170,11 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
             rep.status = "mismatch"
     rep.total_s = time.perf_counter() - t0
     rep.rows_per_s = rows / rep.total_s if rep.total_s else None
+    log.info(
+        "%s -> %s: %s, %s rows written, plan %s(%s), %d buckets, write %.2fs, total %.2fs, %.0f rows/s",
+        rep.source, rep.target, rep.status, rep.rows_written, rep.plan_action, rep.plan_partitions, rep.buckets,
+        rep.write_s, rep.total_s, rep.rows_per_s or 0,
+    )
     return rep
 
 
@@ -199,6 +210,8 @@ def migrate_all(
         try:
             return migrate_table(spark, reader, mapping, store, settings, options)
         except Exception as e:  # noqa: BLE001 - reported per table, run goes on
+            log.error("%s -> %s failed: %s: %s", mapping.source, mapping.target, type(e).__name__,
+                      str(e).splitlines()[0] if str(e) else "")
             return TableReport(
                 mapping.source,
                 store.qualified(mapping.target),
