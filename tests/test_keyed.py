@@ -222,3 +222,21 @@ def test_existing_table_schema_is_kept(spark, store):
     assert _rows(store.read("t")) == [(1, 1, "a", 1.0), (2, 1, "b", 2.0)]
     with pytest.raises(SchemaMismatchError):
         store.write(spark.createDataFrame([(3, 1, "c")], "k int, c int, v string"), "t", ["k"], ["c"])
+
+
+def test_files_are_in_clustering_order(spark, store):
+    """Inside every bucket file rows follow (partition key, clustering keys)."""
+    from pyspark.sql import Window
+
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    store.write(li, "l", ["l_orderkey"], ["l_linenumber"], buckets=3)
+    files = [r.f for r in store.read("l").select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len(files) >= 3
+    for f in files:
+        df = spark.read.parquet(f).coalesce(1).withColumn("pos", F.monotonically_increasing_id())
+        prev = df.select(
+            "l_orderkey", "l_linenumber",
+            F.lag(F.struct("l_orderkey", "l_linenumber")).over(Window.orderBy("pos")).alias("p"),
+        )
+        bad = prev.filter(F.struct("l_orderkey", "l_linenumber") < F.col("p"))
+        assert bad.count() == 0, f
