@@ -41,7 +41,11 @@ def reconcile(
     map-side), then joined with the target on the full key. The target holds
     one row per key, so the join has no hot key.
     """
-    cols = [c for c in source.columns]
+    target_types = {f.name: f.dataType for f in target.schema.fields}
+    if set(target_types) == set(source.columns):
+        # Compare values, not encodings: read the source as the table's types.
+        source = source.select(*[F.col(f"`{c}`").cast(target_types[c]).alias(c) for c in source.columns])
+    cols = list(source.columns)
     rest = [c for c in cols if c not in key]
     order_rest = list(order_by) + [c for c in rest if c not in order_by]
     src = source.groupBy(*[F.col(f"`{k}`") for k in key]).agg(

@@ -190,3 +190,10 @@ def test_migrate_all_in_parallel_keeps_order_and_results(spark, store):
                       store, parallelism=3)
     assert [(r.source, r.status, r.rows_written) for r in seq] == [(r.source, r.status, r.rows_written) for r in par]
     assert [r.status for r in par] == ["ok", "ok", "ok", "failed", "ok"]
+
+
+def test_reconcile_compares_values_across_types(spark):
+    src = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int")
+    tgt = spark.createDataFrame([(1, 5), (2, 7)], "k bigint, v bigint")
+    r = reconcile(src, tgt, ["k"]).first()
+    assert (r.missing_keys, r.extra_keys, r.changed_rows) == (0, 0, 1)
