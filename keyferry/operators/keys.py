@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
@@ -34,14 +35,42 @@ def _winner_struct(columns: Sequence[str], key: Sequence[str], order_by: Sequenc
     return F.struct(*[_q(c) for c in list(order_by) + rest])
 
 
-def profile_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+# Fixed widths (bytes) used to estimate the stored size of a row.
+_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4,
+    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
+}
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated in-memory size of a row: text and binary by their length,
+    fixed-width types by their width, nested values by their JSON length."""
+    parts = []
+    for f in df.schema.fields:
+        c = _q(f.name)
+        width = next((w for t, w in _WIDTH.items() if isinstance(f.dataType, t)), None)
+        if width is not None:
+            parts.append(F.lit(width))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.coalesce(F.octet_length(c.cast("string")), F.lit(0)))
+    return sum(parts[1:], parts[0]).cast("bigint") if parts else F.lit(0).cast("bigint")
+
+
+def profile_keys(df: DataFrame, key: Sequence[str], with_bytes: bool = False) -> DataFrame:
     """One row: total rows and the number of NULL cells per key column.
 
     Reads only the key columns (column pruning reaches the scan) and runs as a
-    single map-side-combined aggregate.
+    single map-side-combined aggregate. ``with_bytes`` adds ``bytes``, the
+    estimated total size of the rows, which reads every column.
     """
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.count_if(_q(k).isNull()).alias(f"null_{k}") for k in key]
+    if with_bytes:
+        return df.agg(*aggs, F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("bigint").alias("bytes"))
     return df.select(*[_q(k) for k in key]).agg(*aggs)
 
 

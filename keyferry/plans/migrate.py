@@ -122,10 +122,13 @@ def migrate_table(
 def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> TableReport:
     # Schema-only: an unsupported column type fails here, before any scan.
     conformed = conform(df, options.profile)
+    data_bytes = None
     if known_rows is None:
-        prof = profile_keys(df, mapping.key).first()
+        by_bytes = bool(settings.target_bucket_bytes)
+        prof = profile_keys(df, mapping.key, with_bytes=by_bytes).first()
         rows = int(prof["rows"])
         nulls = {k: int(prof[f"null_{k}"]) for k in mapping.key}
+        data_bytes = int(prof["bytes"]) if by_bytes else None
     else:
         rows, nulls = known_rows, {}
     rep.rows_read = rows
@@ -142,9 +145,10 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
 
     plan = plan_partitions(rows, _num_partitions(df), settings, has_key=True)
     rep.plan_action, rep.plan_partitions = plan.action, plan.partitions
-    rep.buckets = bucket_count(
-        rows, settings, mapping.buckets or (plan.partitions if plan.action == "repartition" else None)
-    )
+    requested = mapping.buckets
+    if requested is None and not settings.target_bucket_bytes and plan.action == "repartition":
+        requested = plan.partitions
+    rep.buckets = bucket_count(rows, settings, requested, data_bytes)
 
     t1 = time.perf_counter()
     result = store.write(

@@ -74,10 +74,14 @@ def plan_columns(rows: Column, current: Column, settings: PlanSettings) -> tuple
     return action, n
 
 
-def bucket_count(rows: int, settings: PlanSettings, requested: int | None = None) -> int:
+def bucket_count(rows: int, settings: PlanSettings, requested: int | None = None, data_bytes: int | None = None) -> int:
     """Bucket count for a new keyed table: requested, else one per
-    ``rows_per_partition`` rows, kept within ``[1, max_buckets]``."""
+    ``target_bucket_bytes`` of data when that is set and measured, else one
+    per ``rows_per_partition`` rows; kept within ``[1, max_buckets]``."""
     if requested:
         return requested
-    n = -(-rows // settings.rows_per_partition) if rows > 0 else 1
+    if settings.target_bucket_bytes and data_bytes is not None:
+        n = -(-data_bytes // settings.target_bucket_bytes) if data_bytes > 0 else 1
+    else:
+        n = -(-rows // settings.rows_per_partition) if rows > 0 else 1
     return max(1, min(settings.max_buckets, n))

@@ -115,6 +115,10 @@ class PlanSettings:
     Fixed values (defaults of the reference's plan): repartition from 100,000
     rows, 50,000 rows per partition, small tables coalesced when they have
     more than 10 partitions, to at most 10 partitions of 10,000 rows.
+
+    ``target_bucket_bytes`` sizes keyed tables by data volume instead of row
+    count (wide rows get more buckets); the profile job then reads every
+    column to measure it.
     """
 
     enable_repartition: bool = True
@@ -124,6 +128,7 @@ class PlanSettings:
     small_max_partitions: int = 10
     small_rows_per_partition: int = 10_000
     max_buckets: int = 16_384
+    target_bucket_bytes: int | None = None
     enable_cache: bool = False
 
     def __post_init__(self) -> None:
@@ -133,6 +138,8 @@ class PlanSettings:
             raise MappingError("small_rows_per_partition must be > 0")
         if self.small_max_partitions < 1 or self.max_buckets < 1:
             raise MappingError("partition bounds must be >= 1")
+        if self.target_bucket_bytes is not None and self.target_bucket_bytes <= 0:
+            raise MappingError("target_bucket_bytes must be > 0")
         if self.target_partitions is not None and self.target_partitions < 0:
             raise MappingError("target_partitions must be >= 0")
 

@@ -197,3 +197,19 @@ def test_reconcile_compares_values_across_types(spark):
     tgt = spark.createDataFrame([(1, 5), (2, 7)], "k bigint, v bigint")
     r = reconcile(src, tgt, ["k"]).first()
     assert (r.missing_keys, r.extra_keys, r.changed_rows) == (0, 0, 1)
+
+
+def test_bucket_count_by_bytes(spark, store):
+    from keyferry.operators.keys import profile_keys
+    from keyferry.plans.partition_plan import bucket_count
+
+    narrow = spark.range(2000).select(F.col("id").alias("k"))
+    wide = narrow.select("k", F.repeat(F.lit("x"), 1000).alias("payload"))
+    b_narrow = profile_keys(narrow, ["k"], with_bytes=True).first()["bytes"]
+    b_wide = profile_keys(wide, ["k"], with_bytes=True).first()["bytes"]
+    assert b_narrow == 2000 * 8 and b_wide == 2000 * (8 + 1000)
+    s = PlanSettings(target_bucket_bytes=500_000)
+    assert bucket_count(2000, s, data_bytes=b_narrow) == 1
+    assert bucket_count(2000, s, data_bytes=b_wide) == 5  # same rows, wider rows: more buckets
+    rep = migrate_table(spark, lambda _: wide, TableMapping.of("w", "w", "k"), store, s)
+    assert rep.buckets == 5 and store.describe("w")["buckets"] == 5
