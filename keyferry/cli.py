@@ -1,6 +1,8 @@
 """Command line: the three programs of a migration toolkit.
 
     python -m keyferry migrate --mappings m.json --source parquet:/data --keyspace ks --root /shared/ks
+    python -m keyferry migrate --config target.yaml --source-config source.yaml --source jdbc \\
+        --keyspace ks --root /shared/ks
     python -m keyferry migrate --mappings m.json --source jdbc --url jdbc:... --user u --password-file p \\
         --keyspace ks --root /shared/ks
     python -m keyferry load-folder --folder /landing --database staging --location-root /shared/staging
@@ -25,6 +27,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyferry import config
 from keyferry.plans.migrate import migrate_all
 from keyferry.sinks.csv import load_folder, table_sink, write_csv
 from keyferry.sinks.keyed import KeyedStore
@@ -40,7 +43,7 @@ def _reader(spark: SparkSession, args: argparse.Namespace, mappings: list[dict])
     if args.source == "table":
         return spark.table
     if args.source == "jdbc":
-        password = None
+        password = getattr(args, "password_value", None)
         if args.password_file:
             with open(args.password_file) as f:
                 password = f.read().strip()
@@ -60,11 +63,27 @@ def _reader(spark: SparkSession, args: argparse.Namespace, mappings: list[dict])
 
 
 def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
-    with open(args.mappings) as f:
-        mappings = json.load(f)
-    settings = PlanSettings.from_dict(json.loads(args.plan) if args.plan else None)
-    options = RunOptions(mode=args.mode, profile=args.profile, reconcile=args.reconcile,
-                         confirm_truncate=not args.no_truncate)
+    if args.config:
+        mappings, settings, options = config.run_settings(config.load_file(args.config))
+    else:
+        if not args.mappings:
+            raise SystemExit("give --mappings or --config")
+        with open(args.mappings) as f:
+            mappings = json.load(f)
+        settings, options = PlanSettings(), RunOptions()
+    if args.plan:
+        settings = PlanSettings.from_dict({**settings.__dict__, **json.loads(args.plan)})
+    options.mode = args.mode or options.mode
+    options.profile = args.profile
+    options.reconcile = args.reconcile
+    options.confirm_truncate = options.confirm_truncate and not args.no_truncate
+    if args.source_config:
+        src_cfg = config.load_file(args.source_config)
+        mappings = config.attach_source_keys(mappings, config.source_keys(src_cfg))
+        if args.source == "jdbc" and not args.url:
+            conn = config.jdbc_connection(src_cfg)
+            args.url, args.user, args.driver = conn.url, conn.user, conn.driver
+            args.password_value = conn.password
     store = KeyedStore(spark, args.keyspace, args.root)
     reports = migrate_all(spark, _reader(spark, args, mappings), mappings, store, settings, options,
                           parallelism=args.parallelism)
@@ -110,7 +129,9 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     m = sub.add_parser("migrate", help="relational/parquet tables -> keyed tables")
-    m.add_argument("--mappings", required=True)
+    m.add_argument("--mappings", help="JSON list of table mappings")
+    m.add_argument("--config", help="YAML/JSON with table_mappings, optimization, write_options")
+    m.add_argument("--source-config", help="YAML/JSON with the JDBC source (jdbc_url, tables with primary keys)")
     m.add_argument("--source", required=True, help="parquet:<dir> | table | jdbc")
     m.add_argument("--url")
     m.add_argument("--user")
@@ -118,7 +139,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--driver")
     m.add_argument("--keyspace", required=True)
     m.add_argument("--root", help="folder of the keyed tables (shared storage)")
-    m.add_argument("--mode", default="append", choices=["append", "overwrite", "ignore", "error"])
+    m.add_argument("--mode", choices=["append", "overwrite", "ignore", "error"], help="default: config or append")
     m.add_argument("--profile", default="reference", choices=["reference", "exact"])
     m.add_argument("--plan", help="JSON of PlanSettings fields")
     m.add_argument("--parallelism", type=int, default=1)

@@ -38,3 +38,67 @@ def test_generate_and_load_cli(spark, workdir, capsys):
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert {r["table"]: r["rows"] for r in out}["customers"] == 20
     assert spark.table("cli_load.orders").count() == 30
+
+
+def test_migrate_cli_with_config_files(spark, workdir, capsys, tmp_path):
+    """Mappings, plan and write options from a YAML config; primary keys from
+    a source config become source keys (no dedupe shuffle for them)."""
+    (tmp_path / "target.yaml").write_text(
+        "table_mappings:\n"
+        "  - source_table: dbo.orders\n"
+        "    target_table: orders\n"
+        "    partition_key: o_custkey\n"
+        "    clustering_keys:\n"
+        "      - o_orderdate\n"
+        "      - o_orderkey\n"
+        "  - source_table: region\n"
+        "    target_table: region\n"
+        "    partition_key: r_regionkey\n"
+        "optimization:\n"
+        "  enable_repartition: true\n"
+        "  enable_cache: true\n"
+        "  repartition_threshold: 1000\n"
+        "  target_partitions: null\n"
+        "  rows_per_partition: 500\n"
+        "write_options:\n"
+        "  mode: append\n"
+        "  confirm.truncate: true\n"
+    )
+    (tmp_path / "source.yaml").write_text(
+        "db:\n"
+        "  host: h\n"
+        "  port: 1\n"
+        "  database: d\n"
+        "  jdbc_url: 'jdbc:x://{host}:{port};databaseName={database};encrypt={encrypt}'\n"
+        "  connection:\n"
+        "    encrypt: false\n"
+        "tables:\n"
+        "  - name: orders\n"
+        "    schema: dbo\n"
+        "    primary_key: o_orderkey\n"
+    )
+    from keyferry import config
+
+    src = config.load_file(str(tmp_path / "source.yaml"))
+    assert config.jdbc_connection(src).url == "jdbc:x://h:1;databaseName=d;encrypt=false"
+    maps, plan, opts = config.run_settings(config.load_file(str(tmp_path / "target.yaml")))
+    assert plan.enable_cache and plan.rows_per_partition == 500 and opts.mode == "append"
+    assert config.attach_source_keys(maps, config.source_keys(src))[0]["source_key"] == ["o_orderkey"]
+
+    # The parquet reader is given the table part of "dbo.orders".
+    import keyferry.cli as cli
+
+    orig = cli._reader
+    cli._reader = lambda spark_, args, mappings: (
+        lambda name: spark_.read.parquet(f"{SF001}/{name.split('.')[-1]}.parquet")
+    )
+    try:
+        code = main(["migrate", "--config", str(tmp_path / "target.yaml"), "--source-config",
+                     str(tmp_path / "source.yaml"), "--source", "parquet:unused", "--keyspace", "cfg_ks",
+                     "--root", workdir], spark)
+    finally:
+        cli._reader = orig
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert code == 0 and [r["status"] for r in lines] == ["ok", "ok"]
+    orders = spark.read.parquet(f"{SF001}/orders.parquet").count()
+    assert lines[0]["rows_written"] == orders and lines[0]["plan_action"] == "repartition"
