@@ -72,3 +72,21 @@ def test_partitioned_read_with_given_bounds_runs_no_query(captured):
     conn = jdbc.JdbcConnection("jdbc:x://h")
     jdbc.read_table(_Spark, conn, "orders", partition_column="id", lower_bound=1, upper_bound=5)
     assert len(captured) == 1 and captured[0]["numPartitions"] == "8"  # default parallelism
+
+
+def test_predicate_partitions_go_to_spark_jdbc():
+    seen = {}
+
+    class _Read:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            seen.update(url=url, table=table, predicates=predicates, properties=properties)
+            return "frame"
+
+    class _S:
+        read = _Read()
+
+    conn = jdbc.JdbcConnection("jdbc:x://h", "u", "p", "drv")
+    preds = ["id < 100", "id >= 100 AND id < 5000", "id >= 5000"]
+    assert jdbc.read_table(_S, conn, "orders", predicates=preds, fetchsize=1000) == "frame"
+    assert seen == {"url": "jdbc:x://h", "table": "dbo.orders", "predicates": preds,
+                    "properties": {"user": "u", "password": "p", "driver": "drv", "fetchsize": "1000"}}
