@@ -145,18 +145,27 @@ class KeyedStore:
 
     # -- versions -----------------------------------------------------------------
     def versions(self, table: str) -> list[str]:
-        """Version folders written for ``table`` (file names only are listed,
-        in Spark; the distinct folder names come back)."""
+        """Version folders of ``table`` that still hold data, oldest first.
+
+        A version holds data while it has bucket files (names carry the
+        bucket id, ``..._00003.c000...parquet``). File names and times are
+        listed in Spark (no content read); one row per version comes back.
+        """
         files = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet")
             .load(f"{self.root}/{table}")
-            .select(F.regexp_extract("path", r"^(.*/v-[0-9a-f]+)/[^/]+$", 1).alias("v"))
+            .filter(F.col("path").rlike(r"_[0-9]{5}\.c[0-9]+[^/]*\.parquet$"))
+            .select(
+                F.regexp_extract("path", r"^(.*/v-[0-9a-f]+)/[^/]+$", 1).alias("v"),
+                "modificationTime",
+            )
             .filter(F.col("v") != "")
-            .distinct()
+            .groupBy("v")
+            .agg(F.max("modificationTime").alias("t"))
         )
-        return sorted(r["v"] for r in files.collect())
+        return [r["v"] for r in files.orderBy("t", "v").collect()]
 
     def rollback(self, table: str, location: str) -> None:
         """Point ``table`` back at an earlier version folder."""
@@ -164,6 +173,20 @@ class KeyedStore:
         self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{location}'")
         self.spark.sql(f"REFRESH TABLE {q}")
 
+    def vacuum(self, table: str, keep: int = 1) -> list[str]:
+        """Empty all but the newest ``keep`` versions (the current one always
+        stays). Files are removed by Spark's own overwrite of each old folder
+        with an empty frame. Returns the emptied folders."""
+        if keep < 1:
+            raise ValueError("keep must be >= 1")
+        current = self.describe(table)["location"].rstrip("/")
+        old = [v for v in self.versions(table) if v.rstrip("/") != current]
+        drop = old[: max(0, len(old) - (keep - 1))]
+        empty = self.spark.createDataFrame([], "x int")
+        for v in drop:
+            empty.coalesce(1).write.mode("overwrite").parquet(v)
+        return drop
+
     # -- S3 / U3 ------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))

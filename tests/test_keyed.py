@@ -209,6 +209,11 @@ def test_versions_and_rollback(spark, store):
     assert len(vs) == 2 and any(first.endswith(v.split(":", 1)[-1]) for v in vs)
     store.rollback("t", first)
     assert _rows(store.read("t")) == [(1, 1, "a", 1.0)]
+    store.write(spark.createDataFrame([(2, 1, "c", 1.0)], SCHEMA), "t", ["k"], ["c"])
+    assert len(store.versions("t")) == 3
+    emptied = store.vacuum("t", keep=1)
+    assert len(emptied) == 2 and len(store.versions("t")) == 1
+    assert _rows(store.read("t")) == [(1, 1, "a", 1.0), (2, 1, "c", 1.0)]
 
 
 def test_existing_table_schema_is_kept(spark, store):
