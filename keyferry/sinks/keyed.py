@@ -188,8 +188,17 @@ class KeyedStore:
         return drop
 
     # -- S3 / U3 ------------------------------------------------------------------
-    def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.qualified(table))
+    def read(self, table: str, bucketed: bool = True) -> DataFrame:
+        """The table. ``bucketed=False`` reads the same files as a plain
+        parquet folder: no bucket layout is promised, so the scan is split by
+        file size and a hot bucket is spread over many tasks (partial
+        aggregation then combines it map-side) instead of one task per bucket.
+        """
+        if bucketed:
+            return self.spark.table(self.qualified(table))
+        return self.spark.read.schema(self.spark.table(self.qualified(table)).schema).parquet(
+            self.describe(table)["location"]
+        )
 
     def lookup(self, table: str, ranges: Mapping[str, tuple[object, object]] | None = None, **equal) -> DataFrame:
         """Point, prefix or range read.

@@ -245,3 +245,12 @@ def test_files_are_in_clustering_order(spark, store):
         )
         bad = prev.filter(F.struct("l_orderkey", "l_linenumber") < F.col("p"))
         assert bad.count() == 0, f
+
+
+def test_unbucketed_read_spreads_a_bucket(spark, store):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    store.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=2, unique=True)
+    plain = store.read("o", bucketed=False)
+    assert _rows(plain) == _rows(store.read("o"))
+    text = plan_text(plain.groupBy("o_custkey").count(), "simple")
+    assert "Bucketed: true" not in text and "partial_count" in text and "Exchange hashpartitioning" in text
