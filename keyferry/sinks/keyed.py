@@ -244,10 +244,12 @@ class KeyedStore:
         example the source primary key is part of the target key), which
         saves the dedupe shuffle.
 
-        Only the incoming rows are shuffled (into the table's buckets). On an
-        upsert the existing rows that survive are filtered in place and
-        written back without a shuffle: every existing file holds one bucket,
-        so each task writes its rows to that same bucket.
+        On an upsert with a small batch (bounded count), only the incoming
+        rows are shuffled: existing rows are filtered in place by a broadcast
+        anti join and written back without a shuffle (every existing file holds
+        one bucket, so each task writes to that same bucket). A large batch
+        takes a shuffled anti join on the whole key and a rebalance back into
+        the buckets.
         """
         mode = mode.lower()
         if mode not in MODES:
@@ -275,7 +277,13 @@ class KeyedStore:
         out = bucket_aligned(fresh, buckets, partition_key)
         if present and mode == "append":
             small = fits_broadcast(df.select(*[F.col(f"`{k}`") for k in key]), max_broadcast_rows)
-            out = surviving_rows(self.read(table), fresh, key, small=small).unionByName(out)
+            kept = surviving_rows(self.read(table), fresh, key, small=small)
+            if not small:
+                # The shuffled anti join leaves rows spread by the whole key:
+                # put them back into their buckets, or every task would write
+                # a file into every bucket.
+                kept = bucket_aligned(kept, buckets, partition_key)
+            out = kept.unionByName(out)
         obs = observation or Observation(unique_name("kf_write"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)

@@ -254,3 +254,26 @@ def test_unbucketed_read_spreads_a_bucket(spark, store):
     assert _rows(plain) == _rows(store.read("o"))
     text = plan_text(plain.groupBy("o_custkey").count(), "simple")
     assert "Bucketed: true" not in text and "partial_count" in text and "Exchange hashpartitioning" in text
+
+
+def test_upsert_keeps_files_per_bucket_bounded(spark, store):
+    """Neither upsert path lets every task write into every bucket."""
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    from keyferry import checks
+
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for bound in (10**6, 10):  # broadcast and shuffled anti join
+            name = f"f{bound}"
+            store.write(orders, name, ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
+            store.write(checks._second_batch(orders), name, ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                        max_broadcast_rows=bound)
+            files = store.read(name).select(F.input_file_name().alias("f")).distinct().count()
+            assert files <= 4 * 3, (bound, files)  # 16 tasks x 4 buckets if scattered
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -66,8 +66,10 @@ def main() -> None:
         )
     )
     no_bc = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    shapes["upsert into an existing table, large batch (U2): shuffled anti join on the unique key"] = (
-        lambda: surviving_rows(st.read("o"), incoming, okey, small=False), no_bc
+    shapes["upsert into an existing table, large batch (U2): shuffled anti join on the unique key, "
+           "then back into the buckets"] = (
+        lambda: bucket_aligned(surviving_rows(st.read("o"), incoming, okey, small=False), 8, ["o_custkey"]),
+        no_bc,
     )
     prices = part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
     shapes["price look-up (J1), size-checked broadcast"] = line_amount(
