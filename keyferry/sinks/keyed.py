@@ -187,6 +187,19 @@ class KeyedStore:
             empty.coalesce(1).write.mode("overwrite").parquet(v)
         return drop
 
+    def compact(self, table: str) -> str:
+        """Rewrite ``table`` as one file per bucket (a new version).
+
+        Small-batch upserts add up to one file per bucket each; this folds
+        them back with one bucket-aligned shuffle (AQE still splits a hot
+        bucket). Returns the new version's folder.
+        """
+        layout = self.describe(table)
+        df = bucket_aligned(self.read(table, bucketed=False), layout["buckets"], layout["partition_key"])
+        return self._write_version(
+            df, table, layout["partition_key"], layout["clustering_keys"], layout["buckets"], replace=True
+        )
+
     # -- S3 / U3 ------------------------------------------------------------------
     def read(self, table: str, bucketed: bool = True) -> DataFrame:
         """The table. ``bucketed=False`` reads the same files as a plain

@@ -277,3 +277,15 @@ def test_upsert_keeps_files_per_bucket_bounded(spark, store):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_compact_folds_upsert_files(spark, store):
+    a = spark.createDataFrame([(k, 1, "a", 1.0) for k in range(40)], SCHEMA)
+    store.write(a, "t", ["k"], ["c"], buckets=2)
+    for i in range(3):
+        store.write(spark.createDataFrame([(i, 1, f"v{i}", 2.0), (100 + i, 1, "n", 0.0)], SCHEMA), "t", ["k"], ["c"])
+    before = _rows(store.read("t"))
+    n_files = lambda: store.read("t").select(F.input_file_name()).distinct().count()
+    assert n_files() > 2
+    store.compact("t")
+    assert n_files() == 2 and _rows(store.read("t")) == before
