@@ -89,8 +89,13 @@ class TableReport:
 
 
 def _num_partitions(df: DataFrame) -> int:
-    # Asked before any shuffle: planning only, no job is run.
-    return df.rdd.getNumPartitions()
+    """Partitions of the source scan. Asked before any shuffle: planning
+    only, no job is run. Unknown (0) where the RDD view is unavailable
+    (Spark Connect); the coalesce rule then does not fire."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return 0
 
 
 def migrate_table(

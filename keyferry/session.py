@@ -15,17 +15,21 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    found = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    found = sc.getCheckpointDir() if sc is not None else None
     if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None
-        )
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and sc is not None:
+            found = sc.getConf().get("spark.checkpoint.dir", None)
         if not found:
             # Test sessions only: nothing configured, so take a private folder.
             found = tempfile.mkdtemp(prefix="keyferry-ckpt-")
-        sc.setCheckpointDir(found)
-        found = sc.getCheckpointDir() or found
+        if sc is not None:
+            sc.setCheckpointDir(found)
+            found = sc.getCheckpointDir() or found
     return found.rstrip("/")
 
 
