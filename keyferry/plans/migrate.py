@@ -88,6 +88,38 @@ class TableReport:
     rows_per_s: float | None = None
 
 
+# Rows per shuffle partition above which a dedupe shuffle risks heavy spill.
+MAX_ROWS_PER_SHUFFLE_PARTITION = 20_000_000
+
+
+def _check_shuffle_width(spark: SparkSession, rows: int, mapping: TableMapping) -> None:
+    """Warn when the session's shuffle width is too small for this table.
+
+    The dedupe shuffle takes its partition count from the session (adaptive
+    execution merges small partitions but does not split large, even ones),
+    so the count must be sized to the data; the job does not change session
+    settings itself, as tables may run in parallel on one session.
+    """
+    if mapping.key_is_unique_by_source():
+        return  # no dedupe shuffle; the write's rebalance is split by AQE
+    conf = spark.conf
+    width = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get(
+        "spark.sql.shuffle.partitions", "200"
+    )
+    try:
+        width = int(width)
+    except ValueError:  # e.g. "auto" on some platforms
+        return
+    if width > 0 and rows / width > MAX_ROWS_PER_SHUFFLE_PARTITION:
+        need = -(-rows // MAX_ROWS_PER_SHUFFLE_PARTITION)
+        log.warning(
+            "%s: %d rows over %d shuffle partitions; set "
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum to at least %d "
+            "(adaptive execution merges the small ones)",
+            mapping.source, rows, width, need,
+        )
+
+
 def _num_partitions(df: DataFrame) -> int:
     """Partitions of the source scan. Asked before any shuffle: planning
     only, no job is run. Unknown (0) where the RDD view is unavailable
@@ -148,6 +180,7 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     if bad:
         raise NullKeyError(f"{mapping.source}: NULL key cells {bad}")
 
+    _check_shuffle_width(df.sparkSession, rows, mapping)
     plan = plan_partitions(rows, _num_partitions(df), settings, has_key=True)
     rep.plan_action, rep.plan_partitions = plan.action, plan.partitions
     requested = mapping.buckets

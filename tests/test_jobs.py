@@ -213,3 +213,23 @@ def test_bucket_count_by_bytes(spark, store):
     assert bucket_count(2000, s, data_bytes=b_wide) == 5  # same rows, wider rows: more buckets
     rep = migrate_table(spark, lambda _: wide, TableMapping.of("w", "w", "k"), store, s)
     assert rep.buckets == 5 and store.describe("w")["buckets"] == 5
+
+
+def test_narrow_shuffle_warning(spark, caplog):
+    import logging
+
+    from keyferry.plans import migrate as mg
+
+    m = TableMapping.of("s", "t", "k")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        with caplog.at_level(logging.WARNING, logger="keyferry.migrate"):
+            mg._check_shuffle_width(spark, 100_000_000, m)
+        assert "initialPartitionNum to at least 5" in caplog.text
+        caplog.clear()
+        with caplog.at_level(logging.WARNING, logger="keyferry.migrate"):
+            mg._check_shuffle_width(spark, 1_000, m)
+        assert caplog.text == ""
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
