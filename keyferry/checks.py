@@ -131,6 +131,46 @@ def keyed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_KEYED_OVERWRITE = SQL_SECOND_BATCH
+SQL_KEYED_COMPACT = SQL_KEYED_UPSERT_TWO_BATCHES
+
+
+def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch written twice (as after a retried run) leaves the
+    table of one write."""
+    st = _store(spark)
+    name = unique_name("lineitem")
+    li = table(spark, sf_dir, "lineitem")
+    st.write(li, name, LINEITEM_PK, LINEITEM_CK, buckets=CHECK_BUCKETS)
+    st.write(li, name, LINEITEM_PK, LINEITEM_CK)
+    return st.read(name)
+
+
+SQL_UPSERT_IDEMPOTENT = SQL_KEYED_UPSERT
+
+
+def keyed_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert a second batch, then point the table back at its first version."""
+    st = _store(spark)
+    name = unique_name("orders")
+    orders = table(spark, sf_dir, "orders")
+    first = st.write(orders, name, ORDERS_PK, ORDERS_CK, buckets=CHECK_BUCKETS, unique=True).location
+    st.write(_second_batch(orders), name, ORDERS_PK, ORDERS_CK)
+    st.rollback(name, first)
+    return st.read(name)
+
+
+SQL_KEYED_ROLLBACK = "SELECT * FROM orders"
+
+
+def keyed_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two upserts, then compaction to one file per bucket: same rows."""
+    st = _store(spark)
+    name = unique_name("orders")
+    orders = table(spark, sf_dir, "orders")
+    st.write(orders, name, ORDERS_PK, ORDERS_CK, buckets=CHECK_BUCKETS, unique=True)
+    st.write(_second_batch(orders), name, ORDERS_PK, ORDERS_CK)
+    st.compact(name)
+    return st.read(name)
 
 
 def folder_feed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +343,21 @@ def migrate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_MIGRATE_TABLE = "SELECT * FROM customer"
 
 
+def migrate_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 in the exact profile with reconciliation: timestamps stay instants
+    (read back here as UTC wall clock), duplicates resolved by U1."""
+    st = _store(spark)
+    name = unique_name("lineitem")
+    m = TableMapping.of("lineitem", name, LINEITEM_PK, LINEITEM_CK, buckets=CHECK_BUCKETS)
+    rep = migrate_table_job(spark, _reader(spark, sf_dir), m, st, PlanSettings(),
+                            RunOptions(profile="exact", reconcile=True))
+    assert rep.status == "ok" and rep.missing_keys == 0 and rep.changed_rows == 0, rep
+    return as_utc_wall_clock(st.read(name))
+
+
+SQL_MIGRATE_EXACT = SQL_KEYED_UPSERT
+
+
 REPORT_MAPPINGS = [
     {"source_table": "customer", "target_table": "customers", "partition_key": "c_custkey", "source_key": "c_custkey"},
     {"source_table": "part", "target_table": "parts", "partition_key": ["p_partkey"]},
@@ -492,6 +547,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_upsert_two_batches": keyed_upsert_two_batches,
     "keyed_overwrite": keyed_overwrite,
     "folder_feed_upsert": folder_feed_upsert,
+    "upsert_idempotent": upsert_idempotent,
+    "keyed_rollback": keyed_rollback,
+    "keyed_compact": keyed_compact,
     "keyed_scan": keyed_scan,
     "keyed_table_layout": keyed_table_layout,
     "conform_reference": conform_reference,
@@ -503,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balanced_partitions": balanced_partitions,
     "row_count_audit": row_count_audit,
     "migrate_table": migrate_table,
+    "migrate_exact": migrate_exact,
     "migrate_report": migrate_report,
     "reconcile": reconcile_check,
     "line_amount": line_amount,
@@ -522,6 +581,9 @@ ORACLE_SQL: dict[str, str] = {
     "keyed_upsert_two_batches": SQL_KEYED_UPSERT_TWO_BATCHES,
     "keyed_overwrite": SQL_KEYED_OVERWRITE,
     "folder_feed_upsert": SQL_FOLDER_FEED_UPSERT,
+    "upsert_idempotent": SQL_UPSERT_IDEMPOTENT,
+    "keyed_rollback": SQL_KEYED_ROLLBACK,
+    "keyed_compact": SQL_KEYED_COMPACT,
     "keyed_scan": SQL_KEYED_SCAN,
     "keyed_table_layout": SQL_KEYED_TABLE_LAYOUT,
     "conform_reference": SQL_CONFORM_REFERENCE,
@@ -533,6 +595,7 @@ ORACLE_SQL: dict[str, str] = {
     "balanced_partitions": SQL_BALANCED_PARTITIONS,
     "row_count_audit": SQL_ROW_COUNT_AUDIT,
     "migrate_table": SQL_MIGRATE_TABLE,
+    "migrate_exact": SQL_MIGRATE_EXACT,
     "migrate_report": SQL_MIGRATE_REPORT,
     "reconcile": SQL_RECONCILE,
     "line_amount": SQL_LINE_AMOUNT,
