@@ -128,25 +128,26 @@ def upsert(
 
 def surviving_rows(
     existing: DataFrame,
-    incoming_keys: DataFrame,
+    incoming: DataFrame,
     key: Sequence[str],
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     small: bool | None = None,
 ) -> DataFrame:
-    """Existing rows whose key is not re-sent by ``incoming_keys`` (unique keys).
+    """Existing rows whose key is not re-sent by ``incoming``.
 
-    ``small`` is the caller's proof that the incoming keys fit a broadcast
-    (for example a bounded count of the raw batch, taken before any dedupe
-    shuffle); when None it is checked here with a bounded count.
+    ``small`` is the caller's proof that the incoming rows fit a broadcast (a
+    bounded count of the raw batch); when None it is checked here.
 
-    When the incoming key set is proven small it is broadcast and the existing
-    table is filtered where it lies: no shuffle, its file splits (and so its
-    hot buckets) spread over all tasks. Otherwise both sides are shuffled on
-    the whole key, which is unique on both sides, so no task gets a hot key.
+    Small: the incoming keys, duplicates and all (an anti join only asks
+    whether a key exists), are broadcast and the existing table is filtered
+    where it lies: no shuffle, its file splits (and so its hot buckets)
+    spread over all tasks. Otherwise the distinct incoming keys (combined
+    map-side, so a much-repeated key is one row per task) and the existing
+    rows are shuffled on the whole key, unique on both sides: no hot task.
     """
-    keys = incoming_keys.select(*[_q(k) for k in key])
+    keys = incoming.select(*[_q(k) for k in key])
     if small is None:
         small = fits_broadcast(keys, max_broadcast_rows)
     if small:
-        keys = F.broadcast(keys)
-    return existing.join(keys, list(key), "left_anti")
+        return existing.join(F.broadcast(keys), list(key), "left_anti")
+    return existing.join(keys.distinct(), list(key), "left_anti")

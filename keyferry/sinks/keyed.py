@@ -290,7 +290,7 @@ class KeyedStore:
         out = bucket_aligned(fresh, buckets, partition_key)
         if present and mode == "append":
             small = fits_broadcast(df.select(*[F.col(f"`{k}`") for k in key]), max_broadcast_rows)
-            kept = surviving_rows(self.read(table), fresh, key, small=small)
+            kept = surviving_rows(self.read(table), df, key, small=small)
             if not small:
                 # The shuffled anti join leaves rows spread by the whole key:
                 # put them back into their buckets, or every task would write
