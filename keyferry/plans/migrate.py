@@ -57,6 +57,7 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("plan_partitions", T.LongType(), True),
         T.StructField("buckets", T.LongType(), True),
         T.StructField("missing_keys", T.LongType(), True),
+        T.StructField("extra_keys", T.LongType(), True),
         T.StructField("changed_rows", T.LongType(), True),
         T.StructField("error_class", T.StringType(), True),
         T.StructField("error", T.StringType(), True),
@@ -79,6 +80,7 @@ class TableReport:
     plan_partitions: int | None = None
     buckets: int | None = None
     missing_keys: int | None = None
+    extra_keys: int | None = None
     changed_rows: int | None = None
     error_class: str | None = None
     error: str | None = None
@@ -208,7 +210,11 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     if options.reconcile and not result.skipped:
         r = reconcile_frames(conformed, store.read(mapping.target), mapping.key, mapping.order_by).first()
         rep.missing_keys, rep.changed_rows = int(r["missing_keys"]), int(r["changed_rows"])
-        if options.mode == "overwrite" and (rep.missing_keys or rep.changed_rows):
+        rep.extra_keys = int(r["extra_keys"])
+        # Every source key must be there with its winning values; other keys
+        # are expected only when appending into a table that had rows before.
+        extra_ok = options.mode == "append" and not result.created
+        if rep.missing_keys or rep.changed_rows or (rep.extra_keys and not extra_ok):
             rep.status = "mismatch"
     rep.total_s = time.perf_counter() - t0
     rep.rows_per_s = rows / rep.total_s if rep.total_s else None

@@ -119,4 +119,5 @@ class ConnectorStore:
         obs = observation or Observation(unique_name("kf_connector"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning)
-        return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), None)
+        # Whether the external table already held rows is not known here.
+        return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), None, created=False)

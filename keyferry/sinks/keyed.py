@@ -76,6 +76,7 @@ class WriteResult:
     rows_written: int | None
     location: str | None
     skipped: bool = False
+    created: bool = False
 
 
 def _ident(name: str) -> str:
@@ -300,7 +301,7 @@ class KeyedStore:
         obs = observation or Observation(unique_name("kf_write"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)
-        return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), location)
+        return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), location, created=not present)
 
     def _write_version(
         self,

@@ -233,3 +233,17 @@ def test_narrow_shuffle_warning(spark, caplog):
         assert caplog.text == ""
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_reconcile_status_by_mode(spark, store):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    m = TableMapping.of("lineitem", "rs", "l_orderkey", "l_linenumber")
+    first = migrate_table(spark, lambda _: li, m, store, options=RunOptions(reconcile=True))
+    assert first.status == "ok" and first.extra_keys == 0
+    # Appending a part of the table into it: other keys are expected.
+    part = li.filter("l_returnflag = 'R'")
+    again = migrate_table(spark, lambda _: part, m, store, options=RunOptions(reconcile=True))
+    assert again.status == "ok" and again.extra_keys > 0 and again.missing_keys == 0
+    # Overwrite with the part: the old keys must be gone, so nothing extra.
+    over = migrate_table(spark, lambda _: part, m, store, options=RunOptions(mode="overwrite", reconcile=True))
+    assert over.status == "ok" and over.extra_keys == 0
