@@ -93,11 +93,15 @@ class KeyedStore:
 
     # -- K5 / K6 -----------------------------------------------------------------
     def create_keyspace(self, properties: Mapping[str, str] | None = None) -> None:
+        """Create the keyspace (a database located at the store's root) unless
+        it exists. Its tables are external, with their own version folders."""
         props = ""
         if properties:
             kv = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
             props = f" WITH DBPROPERTIES ({kv})"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(self.keyspace)}{props}")
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {_ident(self.keyspace)} LOCATION '{self.root}'{props}"
+        )
 
     def qualified(self, table: str) -> str:
         return f"{self.keyspace}.{table}"
