@@ -79,3 +79,17 @@ def test_write_csv_column_order(spark, workdir):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     write_csv(df, workdir + "/t", columns=["y", "x"])
     assert read_csv(spark, workdir + "/t").columns == ["y", "x"]
+
+
+def test_header_only_csv_is_skipped_by_migration(spark, workdir, store):
+    from keyferry.plans.migrate import migrate_all
+
+    _write(workdir, "empty_orders.csv", "order_id,customer_id\n")
+    _write(workdir, "orders.csv", "order_id,customer_id\n1,10\n2,10\n")
+    scan = scan_folder(spark, workdir)
+    mappings = [{"source": n, "target": n, "partition_key": "customer_id", "clustering_keys": "order_id"}
+                for n in ("empty_orders", "orders")]
+    reports = migrate_all(spark, scan.tables.__getitem__, mappings, store)
+    assert [(r.source, r.status, r.rows_read) for r in reports] == [("empty_orders", "skipped_empty", 0),
+                                                                   ("orders", "ok", 2)]
+    assert not store.exists("empty_orders") and store.read("orders").count() == 2
