@@ -85,6 +85,22 @@ def null_key_counts(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
     )
 
 
+def require_keys(df: DataFrame, key: Sequence[str], what: str = "key") -> DataFrame:
+    """``df`` unchanged, but a row with a NULL key cell fails the job.
+
+    A keyed store refuses NULL keys, and an anti join never matches them, so
+    an upsert would keep adding such rows. The check is a per-row filter in
+    the same job (no extra scan); a failed write leaves the table as it was.
+    """
+    if not key:
+        return df
+    any_null = F.lit(False)
+    for k in key:
+        any_null = any_null | _q(k).isNull()
+    msg = f"NULL {what} cell in ({', '.join(key)}): a keyed table refuses it"
+    return df.filter(F.when(any_null, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of copies."""
     return (

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.operators.keys import dedupe
+from keyferry.operators.keys import dedupe, require_keys
 from keyferry.operators.layout import apply_plan, cluster_order
 from keyferry.plans.partition_plan import PartitionPlan
 from keyferry.session import unique_name
@@ -115,6 +115,7 @@ class ConnectorStore:
         plan: PartitionPlan | None = None,
     ) -> WriteResult:
         key = tuple(partition_key) + tuple(clustering_keys)
+        df = require_keys(df, key)
         out = df if unique else dedupe(df, key, order_by)
         obs = observation or Observation(unique_name("kf_connector"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
-from keyferry.operators.keys import dedupe, surviving_rows
+from keyferry.operators.keys import dedupe, require_keys, surviving_rows
 from keyferry.operators.layout import bucket_aligned
 from keyferry.session import fresh_path, unique_name
 
@@ -291,6 +291,7 @@ class KeyedStore:
             buckets = layout["buckets"] or buckets
             key = tuple(partition_key) + tuple(clustering_keys)
             df = align_to(df, self.read(table).schema)
+        df = require_keys(df, key)
         fresh = df if unique else dedupe(df, key, order_by)
         out = bucket_aligned(fresh, buckets, partition_key)
         if present and mode == "append":

@@ -123,8 +123,12 @@ def folder_row_counts(spark: SparkSession, folder: str, options: Mapping[str, st
     df = read_csv(spark, globs, schema="_c0 string", options=options)
     part, _ = _table_part(folder)
     owner = F.regexp_replace(part, r"\.csv$", "")
+    # The metadata path is URL-encoded; decode it to compare with the folder
+    # name ("+" is kept: it is not encoded there, but the decoder would read
+    # it as a space).
+    decoded = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     counted = (
-        df.select(F.col("_metadata.file_path").alias("path"))
+        df.select(decoded.alias("path"))
         .select(owner.alias("table"))
         .groupBy("table")
         .agg(F.count(F.lit(1)).alias("rows"))

@@ -93,3 +93,11 @@ def test_header_only_csv_is_skipped_by_migration(spark, workdir, store):
     assert [(r.source, r.status, r.rows_read) for r in reports] == [("empty_orders", "skipped_empty", 0),
                                                                    ("orders", "ok", 2)]
     assert not store.exists("empty_orders") and store.read("orders").count() == 2
+
+
+def test_folder_counts_with_spaces_and_plus_in_names(spark, workdir):
+    folder = workdir + "/kf t+x"
+    _write(folder, "x y.csv", "a\n1\n")
+    _write(folder + "/my tab+1", "p.csv", "a\n1\n2\n")
+    counts = {r["table"]: r["rows"] for r in folder_row_counts(spark, folder).collect()}
+    assert counts == {"x y": 1, "my tab+1": 2}

@@ -289,3 +289,15 @@ def test_compact_folds_upsert_files(spark, store):
     assert n_files() > 2
     store.compact("t")
     assert n_files() == 2 and _rows(store.read("t")) == before
+
+
+def test_null_keys_refused_by_the_store(spark, store):
+    good = spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA)
+    bad = spark.createDataFrame([(None, 1, "x", 1.0), (2, 1, "b", 1.0)], SCHEMA)
+    store.write(good, "t", ["k"], ["c"], buckets=2)
+    with pytest.raises(Exception, match="NULL key cell"):
+        store.write(bad, "t", ["k"], ["c"])
+    with pytest.raises(Exception, match="NULL key cell"):
+        store.write(bad, "fresh", ["k"], ["c"], unique=True)
+    assert _rows(store.read("t")) == [(1, 1, "a", 1.0)]  # unchanged
+    assert not store.exists("fresh")
