@@ -13,7 +13,8 @@ Options are explicit arguments; mappings are a JSON list of objects with
 ``clustering_keys``, ``source_key``, ``order_by``, ``buckets`` and, for JDBC
 sources, ``split_column`` / ``num_partitions`` (a partitioned read). The
 session comes from ``spark-submit`` (``getOrCreate``). ``migrate`` prints one
-JSON line per table and exits 1 when any table failed.
+JSON line per table and exits 1 when any table failed; ``load-folder`` exits
+1 when a table was unreadable.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ def _reader(spark: SparkSession, args: argparse.Namespace, mappings: list[dict])
             with open(args.password_file) as f:
                 password = f.read().strip()
         conn = jdbc.JdbcConnection(args.url, args.user, password, args.driver)
-        splits = {m["source_table"]: m for m in mappings if m.get("split_column")}
+        splits = {m.get("source_table") or m.get("source"): m for m in mappings if m.get("split_column")}
 
         def read(name: str) -> DataFrame:
             schema, table = jdbc.split_table_name(name)
@@ -94,7 +95,11 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.url:
-        conn = jdbc.JdbcConnection(args.url, args.user, None, args.driver)
+        password = None
+        if args.password_file:
+            with open(args.password_file) as f:
+                password = f.read().strip()
+        conn = jdbc.JdbcConnection(args.url, args.user, password, args.driver)
 
         def sink(name: str, df: DataFrame, mode: str) -> None:
             from keyferry.sinks.jdbc import write_table
@@ -103,9 +108,10 @@ def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
         sink = table_sink(args.database, args.location_root)
-    for r in load_folder(spark, args.folder, sink, mode=args.mode):
+    results = load_folder(spark, args.folder, sink, mode=args.mode)
+    for r in results:
         print(json.dumps(r.__dict__))
-    return 0
+    return 1 if any(r.status != "ok" for r in results) else 0
 
 
 def cmd_generate(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -152,6 +158,7 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--location-root")
     f.add_argument("--url")
     f.add_argument("--user")
+    f.add_argument("--password-file")
     f.add_argument("--driver")
     f.add_argument("--schema", default=jdbc.DEFAULT_SCHEMA)
     f.add_argument("--mode", default="overwrite")

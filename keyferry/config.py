@@ -34,13 +34,19 @@ def load_file(path: str) -> dict:
         return json.load(f)
 
 
+def _flag(v: object) -> bool:
+    if isinstance(v, str):
+        return v.strip().lower() not in ("false", "no", "off", "0", "")
+    return bool(v)
+
+
 def run_settings(cfg: Mapping) -> tuple[list[dict], PlanSettings, RunOptions]:
     mappings = [dict(m) for m in (cfg.get("table_mappings") or cfg.get("mappings") or [])]
     plan = PlanSettings.from_dict(cfg.get("optimization"))
     wo = dict(cfg.get("write_options") or {})
     options = RunOptions(
         mode=str(wo.pop("mode", "append")),
-        confirm_truncate=bool(wo.pop("confirm.truncate", True)),
+        confirm_truncate=_flag(wo.pop("confirm.truncate", True)),
         extra=wo,
     )
     return mappings, plan, options

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,8 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     Each branch is a column-free count, so a parquet scan reads no column data.
     """
+    if not tables:
+        return SparkSession.active().createDataFrame([], "table string, rows bigint")
     parts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), F.col("rows"))
         for name, df in tables.items()
@@ -21,8 +23,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _hash_rest(cols: Sequence[str]) -> F.Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in cols]) if cols else F.lit(0).cast("bigint")
+def _row_hash(cols: Sequence[F.Column]) -> F.Column:
+    """Hash of values and of which of them are NULL (the hash alone skips
+    NULLs, so (NULL, 5) and (5, NULL) would collide)."""
+    if not cols:
+        return F.lit(0).cast("bigint")
+    nulls = F.concat_ws("", *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    return F.xxhash64(nulls, *cols)
 
 
 def reconcile(
@@ -55,12 +62,12 @@ def reconcile(
     src = src.select(
         *[F.col(f"`{k}`") for k in key],
         F.col("_n"),
-        F.xxhash64(*[F.col(f"_w.`{c}`") for c in rest]).alias("_hs") if rest else F.lit(0).cast("bigint").alias("_hs"),
+        _row_hash([F.col(f"_w.`{c}`") for c in rest]).alias("_hs"),
     )
     tgt = target.select(
         *[F.col(f"`{k}`") for k in key],
         F.lit(1).alias("_t"),
-        _hash_rest(rest).alias("_ht"),
+        _row_hash([F.col(f"`{c}`") for c in rest]).alias("_ht"),
     )
     j = src.join(tgt, list(key), "full_outer")
     in_src = F.col("_n").isNotNull()

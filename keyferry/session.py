@@ -25,7 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
         if not found and sc is not None:
             found = sc.getConf().get("spark.checkpoint.dir", None)
         if not found:
-            # Test sessions only: nothing configured, so take a private folder.
+            master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+            if not master.startswith("local"):
+                raise RuntimeError(
+                    "spark.checkpoint.dir is not set: name a folder every executor can reach "
+                    "(it holds table versions, exports and stream checkpoints)"
+                )
+            # Local (test) sessions only: nothing configured, so take a private folder.
             found = tempfile.mkdtemp(prefix="keyferry-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(found)

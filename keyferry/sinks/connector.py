@@ -117,6 +117,10 @@ class ConnectorStore:
         key = tuple(partition_key) + tuple(clustering_keys)
         df = require_keys(df, key)
         out = df if unique else dedupe(df, key, order_by)
+        if mode.lower() == "ignore":
+            # The connector may skip the write (table exists): nothing to observe.
+            write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning)
+            return WriteResult(self.qualified(table), mode, None, None)
         obs = observation or Observation(unique_name("kf_connector"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning)

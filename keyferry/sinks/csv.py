@@ -51,17 +51,19 @@ def load_folder(
 
     Unreadable files are reported and skipped; the first failing *write* stops
     the run (raised with what was done so far). Rows are counted while being
-    written, not by a separate scan.
+    written, not by a separate scan. In ``ignore`` mode a sink may skip the
+    write altogether, so rows are not counted there (reported as None).
     """
     scan = scan_folder(spark, folder, schemas)
     done = [LoadResult(n, None, "unreadable", err) for n, err in sorted(scan.failures.items())]
+    count = mode.lower() != "ignore"
     for name, df in sorted(scan.tables.items()):
-        obs = Observation(unique_name("kf_load"))
+        obs = Observation(unique_name("kf_load")) if count else None
         try:
-            sink(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), mode)
+            sink(name, df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df, mode)
         except Exception as e:  # noqa: BLE001
             raise FolderLoadError(done, LoadResult(name, None, "failed", f"{type(e).__name__}: {e}")) from e
-        done.append(LoadResult(name, int(obs.get.get("rows", 0)), "ok"))
+        done.append(LoadResult(name, int(obs.get.get("rows", 0)) if count else None, "ok"))
     return done
 
 

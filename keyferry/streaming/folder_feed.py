@@ -11,24 +11,29 @@ leaves the same table: the sink is effectively exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from keyferry.operators.conform import conform
-from keyferry.session import fresh_path
+from keyferry.operators.keys import dedupe
 from keyferry.sinks.keyed import KeyedStore
 from keyferry.spec import TableMapping
 
 
+FILE_TIME = "__kf_file_time"
+
+
 def folder_stream(
     spark: SparkSession, folder: str, schema: T.StructType | str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """A streaming frame over the CSV files of ``folder`` (declared schema:
-    streaming sources cannot infer one)."""
+    streaming sources cannot infer one), with each row's file modification
+    time in ``FILE_TIME``."""
     r = spark.readStream.schema(schema).option("header", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.csv(folder)
+    return r.csv(folder).select("*", F.col("_metadata.file_modification_time").alias(FILE_TIME))
 
 
 def feed_keyed_table(
@@ -45,27 +50,35 @@ def feed_keyed_table(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the feed. ``available_now`` processes what is there and stops
-    (a scheduled job); otherwise it runs every ``processing_time``."""
+    (a scheduled job); otherwise it runs every ``processing_time``.
+
+    The checkpoint defaults to a fixed folder under the store root, so
+    scheduled runs continue where the last one stopped. Within a micro-batch
+    a row from a later file wins over the same key from an earlier file
+    (then ``mapping.order_by``, then the other columns decide).
+    """
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         # Not persisted: besides the write, the batch is read only by the
         # bounded size check (at most n + 1 key rows per task), and a first
         # batch may be a whole initial load. ``max_files_per_trigger`` caps
         # batch size when that matters.
+        latest = dedupe(batch, mapping.key, (FILE_TIME,) + tuple(mapping.order_by)).drop(FILE_TIME)
         store.write(
-            conform(batch, profile),
+            conform(latest, profile),
             mapping.target,
             mapping.partition_key,
             mapping.clustering_keys,
             mode="append",
             buckets=mapping.buckets or buckets,
             order_by=mapping.order_by,
+            unique=True,
         )
 
     w = (
         folder_stream(spark, folder, schema, max_files_per_trigger)
         .writeStream.foreachBatch(upsert_batch)
-        .option("checkpointLocation", checkpoint or fresh_path(spark, f"feed-{mapping.target}"))
+        .option("checkpointLocation", checkpoint or f"{store.root}/_checkpoints/{mapping.target}")
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()

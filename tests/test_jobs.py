@@ -247,3 +247,40 @@ def test_reconcile_status_by_mode(spark, store):
     # Overwrite with the part: the old keys must be gone, so nothing extra.
     over = migrate_table(spark, lambda _: part, m, store, options=RunOptions(mode="overwrite", reconcile=True))
     assert over.status == "ok" and over.extra_keys == 0
+
+
+def test_review_fixes(spark, workdir):
+    from keyferry import config
+    from keyferry.session import shared_dir
+    from keyferry.sinks.csv import export_tables, load_folder, table_sink
+
+    # Reconcile sees values moved between NULL positions.
+    src = spark.createDataFrame([(1, None, 5)], "k int, a int, b int")
+    tgt = spark.createDataFrame([(1, 5, None)], "k int, a int, b int")
+    assert reconcile(src, tgt, ["k"]).first().changed_rows == 1
+    # Empty inventory.
+    assert row_counts({}).count() == 0
+    # Quoted flags.
+    _, _, opts = config.run_settings({"write_options": {"confirm.truncate": "false"}})
+    assert opts.confirm_truncate is False
+    # Ignore mode on existing tables: the sink skips, the load does not wait.
+    export_tables({"region": spark.read.parquet(f"{SF001}/region.parquet")}, workdir + "/f")
+    spark.sql("CREATE DATABASE IF NOT EXISTS fix_db")
+    load_folder(spark, workdir + "/f", table_sink("fix_db", workdir + "/t"), mode="overwrite")
+    again = load_folder(spark, workdir + "/f", table_sink("fix_db", workdir + "/t"), mode="ignore")
+    assert [(r.table, r.rows, r.status) for r in again] == [("region", None, "ok")]
+
+    # No shared folder on a cluster: refuse rather than use the driver's /tmp.
+    class _Conf:
+        def get(self, k, d=None):
+            return {"spark.master": "yarn"}.get(k, d)
+
+    class _NoContext:
+        conf = _Conf()
+
+        @property
+        def sparkContext(self):  # noqa: N802
+            raise RuntimeError("no context")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_NoContext())

@@ -39,3 +39,26 @@ def test_feed_two_rounds_equals_upsert(spark, store, workdir):
 
     want = upsert(conform(first, "exact"), conform(second, "exact"), key)
     assert _rows(store.read("orders_feed")) == _rows(want)
+
+
+def test_later_file_wins_and_runs_resume(spark, store, workdir):
+    import os
+    import time
+
+    folder = workdir + "/landing"
+    local = folder.split(":", 1)[1] if folder.startswith("file:") else folder
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "a.csv"), "w") as f:
+        f.write("k,v\n1,z\n2,keep\n")
+    time.sleep(1.2)
+    with open(os.path.join(local, "b.csv"), "w") as f:
+        f.write("k,v\n1,a\n")  # later file, lower in the total order: still wins
+    m = TableMapping.of("landing", "feed2", "k")
+    q = feed_keyed_table(spark, folder, "k int, v string", store, m, buckets=2)  # default checkpoint
+    q.awaitTermination(120)
+    assert _rows(store.read("feed2")) == [(1, "a"), (2, "keep")]
+    # A second scheduled run with the default checkpoint takes no file again.
+    q = feed_keyed_table(spark, folder, "k int, v string", store, m, buckets=2)
+    q.awaitTermination(120)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 0
+    assert _rows(store.read("feed2")) == [(1, "a"), (2, "keep")]
