@@ -26,6 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from keyferry.operators.keys import dedupe  # noqa: E402
 from keyferry.operators.layout import bucket_aligned, by_key  # noqa: E402
 from keyferry.session import fresh_path  # noqa: E402
 
@@ -54,6 +55,23 @@ def write_stage_tasks(log_dir: str, job_group: str) -> list[dict]:
     return tasks[stages[-1]] if stages else []
 
 
+def stage_tasks(log_dir: str, job_group: str) -> dict[int, list[dict]]:
+    """All task-end events of the jobs tagged ``job_group``, by stage."""
+    wanted, tasks = set(), {}
+    for path in sorted(glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)):
+        if os.path.isdir(path) or os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                if ev.get("Event") == "SparkListenerJobStart":
+                    if (ev.get("Properties") or {}).get("spark.jobGroup.id") == job_group:
+                        wanted.update(ev.get("Stage IDs", []))
+                elif ev.get("Event") == "SparkListenerTaskEnd":
+                    tasks.setdefault(ev["Stage ID"], []).append(ev)
+    return {s: t for s, t in tasks.items() if s in wanted}
+
+
 def summary(task_events: list[dict]) -> dict:
     rows = [t["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"] for t in task_events]
     ms = [t["Task Info"]["Finish Time"] - t["Task Info"]["Launch Time"] for t in task_events]
@@ -100,8 +118,29 @@ def main() -> None:
             df.write.format("parquet").bucketBy(BUCKETS, "l_orderkey").sortBy("l_orderkey", "l_linenumber")
             .option("path", f"{root}/t{i}").saveAsTable(f"skew_probe_t{i}")
         )
+    # Dedupe with a third of the rows copies of one full key: the partial
+    # aggregate must combine them before the shuffle.
+    dup = (
+        li.withColumn("l_orderkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey")))
+        .withColumn("l_linenumber", F.when(F.col("l_orderkey") == 7, F.lit(1)).otherwise(F.col("l_linenumber")))
+    )
+    spark.sparkContext.setJobGroup("probe-prep", "input")
+    dup.repartition(16).write.parquet(f"{root}/dup")
+    dup = spark.read.parquet(f"{root}/dup")
+    spark.sparkContext.setJobGroup("probe-dedupe", "dedupe")
+    dedupe(dup, ["l_orderkey", "l_linenumber"]).write.format("noop").mode("overwrite").save()
     spark.stop()  # flushes the event log
+
     out = {name: summary(write_stage_tasks(log_dir, f"probe-{i}")) for i, name in enumerate(variants)}
+    stages = stage_tasks(log_dir, "probe-dedupe")
+    first, last = stages[min(stages)], stages[max(stages)]
+    out["dedupe, hot duplicate key"] = {
+        "input_rows": sum(t["Task Metrics"]["Input Metrics"]["Records Read"] for t in first),
+        "shuffle_rows_written": sum(
+            t["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Records Written"] for t in first
+        ),
+        "after_shuffle": summary(last),
+    }
     print(json.dumps(out))
 
 
