@@ -43,3 +43,16 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     rows = {r["source"]: r["status"] for r in df.collect()}
     assert rows["customer"] == "ok" and rows["no_such_table"] == "failed"
+
+
+@pytest.mark.parametrize("name", ["conform_reference", "conform_exact", "migrate_exact", "folder_feed_upsert"])
+def test_timestamps_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = se.queries()[name](spark, SF001)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(se.oracle_sql()[name])
+    assert digest(df.columns, srows) == digest([d[0] for d in res.description], res.fetchall())
