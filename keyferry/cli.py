@@ -5,6 +5,8 @@
         --keyspace ks --root /shared/ks
     python -m keyferry migrate --mappings m.json --source jdbc --url jdbc:... --user u --password-file p \\
         --keyspace ks --root /shared/ks
+    python -m keyferry migrate --config target.yaml --source-config source.yaml --source jdbc \\
+        --keyspace ks --target-format <connector format> --target-option output.concurrent.writes=5
     python -m keyferry load-folder --folder /landing --database staging --location-root /shared/staging
     python -m keyferry generate --out /shared/sample --customers 1000 --products 200 --orders 5000
 
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from keyferry import config
 from keyferry.plans.migrate import migrate_all
+from keyferry.sinks.connector import ConnectorStore
 from keyferry.sinks.csv import load_folder, table_sink, write_csv
 from keyferry.sinks.keyed import KeyedStore
 from keyferry.sources import jdbc
@@ -85,7 +88,12 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
             conn = config.jdbc_connection(src_cfg)
             args.url, args.user, args.driver = conn.url, conn.user, conn.driver
             args.password_value = conn.password
-    store = KeyedStore(spark, args.keyspace, args.root)
+    if args.target_format:
+        # An external keyed store through its Spark connector (jar on the cluster).
+        tuning = {**options.extra, **dict(kv.split("=", 1) for kv in args.target_option or [])}
+        store = ConnectorStore(spark, args.target_format, args.keyspace, tuning=tuning)
+    else:
+        store = KeyedStore(spark, args.keyspace, args.root)
     reports = migrate_all(spark, _reader(spark, args, mappings), mappings, store, settings, options,
                           parallelism=args.parallelism)
     for r in reports:
@@ -145,6 +153,8 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--driver")
     m.add_argument("--keyspace", required=True)
     m.add_argument("--root", help="folder of the keyed tables (shared storage)")
+    m.add_argument("--target-format", help="write through this connector format instead of keyed parquet tables")
+    m.add_argument("--target-option", action="append", help="connector option k=v (repeatable)")
     m.add_argument("--mode", choices=["append", "overwrite", "ignore", "error"], help="default: config or append")
     m.add_argument("--profile", default="reference", choices=["reference", "exact"])
     m.add_argument("--plan", help="JSON of PlanSettings fields")

@@ -102,3 +102,12 @@ def test_migrate_cli_with_config_files(spark, workdir, capsys, tmp_path):
     assert code == 0 and [r["status"] for r in lines] == ["ok", "ok"]
     orders = spark.read.parquet(f"{SF001}/orders.parquet").count()
     assert lines[0]["rows_written"] == orders and lines[0]["plan_action"] == "repartition"
+
+
+def test_migrate_cli_through_a_connector(spark, workdir, capsys, tmp_path):
+    mfile = tmp_path / "m.json"
+    mfile.write_text(json.dumps([{"source_table": "nation", "target_table": "nation", "partition_key": "n_nationkey"}]))
+    code = main(["migrate", "--mappings", str(mfile), "--source", f"parquet:{SF001}", "--keyspace", "ks",
+                 "--target-format", "noop", "--target-option", "output.batch.size.rows=1000"], spark)
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert code == 0 and lines[0]["status"] == "ok" and lines[0]["rows_written"] == 25
