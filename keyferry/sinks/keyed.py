@@ -218,15 +218,26 @@ class KeyedStore:
             self.describe(table)["location"]
         )
 
-    def lookup(self, table: str, ranges: Mapping[str, tuple[object, object]] | None = None, **equal) -> DataFrame:
+    def lookup(
+        self,
+        table: str,
+        ranges: Mapping[str, tuple[object, object]] | None = None,
+        ordered: bool = False,
+        **equal,
+    ) -> DataFrame:
         """Point, prefix or range read.
 
         ``equal`` gives key columns by value; with the whole partition key
         given, the scan is pruned to one bucket. ``ranges`` adds closed
         ranges ``(low, high)`` on clustering columns (either end may be None).
-        All conditions are pushed to the parquet scan.
+        All conditions are pushed to the parquet scan. ``ordered`` returns the
+        rows in key order (partition key, then clustering keys), as the store
+        keeps them.
         """
         df = self.read(table)
+        if ordered:
+            layout = self.describe(table)
+            order = [F.col(f"`{c}`") for c in layout["partition_key"] + layout["clustering_keys"]]
         for c, v in equal.items():
             df = df.filter(F.col(f"`{c}`") == F.lit(v))
         for c, (lo, hi) in (ranges or {}).items():
@@ -234,7 +245,7 @@ class KeyedStore:
                 df = df.filter(F.col(f"`{c}`") >= F.lit(lo))
             if hi is not None:
                 df = df.filter(F.col(f"`{c}`") <= F.lit(hi))
-        return df
+        return df.orderBy(*order) if ordered else df
 
     # -- K2 -----------------------------------------------------------------------
     def write(

@@ -301,3 +301,12 @@ def test_null_keys_refused_by_the_store(spark, store):
         store.write(bad, "fresh", ["k"], ["c"], unique=True)
     assert _rows(store.read("t")) == [(1, 1, "a", 1.0)]  # unchanged
     assert not store.exists("fresh")
+
+
+def test_orders_of_one_customer_in_date_order(spark, store):
+    """SURVEY 7.2's first slice: the migrated orders of customer 42, in date order."""
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    store.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
+    got = [tuple(r) for r in store.lookup("o", ordered=True, o_custkey=42).collect()]
+    want = [tuple(r) for r in orders.filter("o_custkey = 42").orderBy("o_orderdate", "o_orderkey").collect()]
+    assert got == want and len(got) > 1
