@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyferry.operators.keys import _orderable, winner
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows) for every table, as one distributed query.
@@ -23,13 +25,14 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _row_hash(cols: Sequence[F.Column]) -> F.Column:
+def _row_hash(cols: Sequence[tuple[F.Column, object]]) -> F.Column:
     """Hash of values and of which of them are NULL (the hash alone skips
-    NULLs, so (NULL, 5) and (5, NULL) would collide)."""
+    NULLs, so (NULL, 5) and (5, NULL) would collide). Maps, which Spark does
+    not hash, are hashed in their canonical (sorted-entries) form."""
     if not cols:
         return F.lit(0).cast("bigint")
-    nulls = F.concat_ws("", *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
-    return F.xxhash64(nulls, *cols)
+    nulls = F.concat_ws("", *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c, _ in cols])
+    return F.xxhash64(nulls, *[_orderable(c, dt) for c, dt in cols])
 
 
 def reconcile(
@@ -53,21 +56,22 @@ def reconcile(
         # Compare values, not encodings: read the source as the table's types.
         source = source.select(*[F.col(f"`{c}`").cast(target_types[c]).alias(c) for c in source.columns])
     cols = list(source.columns)
+    types = {f.name: f.dataType for f in source.schema.fields}
     rest = [c for c in cols if c not in key]
     order_rest = list(order_by) + [c for c in rest if c not in order_by]
     src = source.groupBy(*[F.col(f"`{k}`") for k in key]).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.max(F.struct(*[F.col(f"`{c}`") for c in order_rest])).alias("_w"),
+        winner(source, order_rest).alias("_w"),
     )
     src = src.select(
         *[F.col(f"`{k}`") for k in key],
         F.col("_n"),
-        _row_hash([F.col(f"_w.`{c}`") for c in rest]).alias("_hs"),
+        _row_hash([(F.col(f"_w.`{c}`"), types[c]) for c in rest]).alias("_hs"),
     )
     tgt = target.select(
         *[F.col(f"`{k}`") for k in key],
         F.lit(1).alias("_t"),
-        _row_hash([F.col(f"`{c}`") for c in rest]).alias("_ht"),
+        _row_hash([(F.col(f"`{c}`"), types[c]) for c in rest]).alias("_ht"),
     )
     j = src.join(tgt, list(key), "full_outer")
     in_src = F.col("_n").isNotNull()

@@ -30,9 +30,42 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _winner_struct(columns: Sequence[str], key: Sequence[str], order_by: Sequence[str]) -> Column:
-    rest = [c for c in columns if c not in key and c not in order_by]
-    return F.struct(*[_q(c) for c in list(order_by) + rest])
+def _has_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return _has_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_has_map(f.dataType) for f in dt.fields)
+    return False
+
+
+def _orderable(c: Column, dt: T.DataType) -> Column:
+    """``c`` itself when Spark can order it, else a canonical text form (a
+    map's entries sorted, as JSON): maps have no order in Spark."""
+    if not _has_map(dt):
+        return c
+    if isinstance(dt, T.MapType):
+        return F.to_json(F.array_sort(F.map_entries(c)))
+    return F.to_json(c)
+
+
+def winner(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Aggregate picking, per group, the row greatest by ``columns`` in order
+    (a total order when they are all non-key columns), as a struct of those
+    columns. Uses ``max(struct)``; when a column cannot be ordered (maps),
+    ``max_by`` carries the values and orders by their canonical form."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    values = F.struct(*[_q(c) for c in columns])
+    if not any(_has_map(types[c]) for c in columns):
+        return F.max(values)
+    order = F.struct(*[_orderable(_q(c), types[c]).alias(c) for c in columns])
+    return F.max_by(values, order)
+
+
+def _winner_struct(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> Column:
+    rest = [c for c in df.columns if c not in key and c not in order_by]
+    return winner(df, list(order_by) + rest)
 
 
 # Fixed widths (bytes) used to estimate the stored size of a row.
@@ -113,10 +146,9 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def dedupe(df: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key, the greatest by ``order_by`` then the other columns."""
     cols = df.columns
-    win = _winner_struct(cols, key, order_by)
     return (
         df.groupBy(*[_q(k) for k in key])
-        .agg(F.max(win).alias(_WIN))
+        .agg(_winner_struct(df, key, order_by).alias(_WIN))
         .select(*[_q(c) if c in key else F.col(f"{_WIN}.`{c}`").alias(c) for c in cols])
     )
 
@@ -134,10 +166,9 @@ def upsert(
     incoming = incoming.select(*[_q(c) for c in cols])
     both = existing.withColumn(_BATCH, F.lit(0)).unionByName(incoming.withColumn(_BATCH, F.lit(1)))
     rest = [c for c in cols if c not in key and c not in order_by]
-    win = F.struct(_q(_BATCH), *[_q(c) for c in list(order_by) + rest])
     return (
         both.groupBy(*[_q(k) for k in key])
-        .agg(F.max(win).alias(_WIN))
+        .agg(winner(both, [_BATCH] + list(order_by) + rest).alias(_WIN))
         .select(*[_q(c) if c in key else F.col(f"{_WIN}.`{c}`").alias(c) for c in cols])
     )
 

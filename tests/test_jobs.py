@@ -284,3 +284,11 @@ def test_review_fixes(spark, workdir):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_NoContext())
+
+
+def test_reconcile_with_map_columns(spark):
+    src = spark.createDataFrame([(1, {"a": 1, "b": 2}), (2, {"x": 0})], "k int, m map<string,int>")
+    same = spark.createDataFrame([(1, {"b": 2, "a": 1}), (2, {"x": 0})], "k int, m map<string,int>")
+    other = spark.createDataFrame([(1, {"a": 1, "b": 3}), (2, {"x": 0})], "k int, m map<string,int>")
+    assert reconcile(src, same, ["k"]).first().changed_rows == 0
+    assert reconcile(src, other, ["k"]).first().changed_rows == 1

@@ -310,3 +310,27 @@ def test_orders_of_one_customer_in_date_order(spark, store):
     got = [tuple(r) for r in store.lookup("o", ordered=True, o_custkey=42).collect()]
     want = [tuple(r) for r in orders.filter("o_custkey = 42").orderBy("o_orderdate", "o_orderkey").collect()]
     assert got == want and len(got) > 1
+
+
+def test_exact_types_round_trip_through_the_store(spark, store):
+    import datetime as dt
+    import decimal
+
+    from pyspark.sql import types as T
+
+    from keyferry.operators.conform import conform
+
+    schema = T.StructType([
+        T.StructField("k", T.LongType()), T.StructField("d", T.DecimalType(12, 3)),
+        T.StructField("b", T.BinaryType()), T.StructField("day", T.DateType()),
+        T.StructField("ntz", T.TimestampNTZType()), T.StructField("arr", T.ArrayType(T.FloatType())),
+        T.StructField("m", T.MapType(T.StringType(), T.LongType())), T.StructField("sh", T.ShortType()),
+    ])
+    row = (1, decimal.Decimal("12.345"), b"\x00\x01", dt.date(2024, 2, 29), dt.datetime(2024, 1, 2, 3, 4, 5, 6),
+           [1.5, 2.0], {"x": 1}, 7)
+    df = conform(spark.createDataFrame([row], schema), "exact")
+    store.write(df, "types", ["k"], buckets=2)
+    got = store.read("types").first()
+    assert got.d == decimal.Decimal("12.345") and bytes(got.b) == b"\x00\x01" and got.day == dt.date(2024, 2, 29)
+    assert got.arr == [1.5, 2.0] and got.m == {"x": 1} and got.sh == 7
+    assert dict(store.read("types").dtypes)["ntz"] == "timestamp"
