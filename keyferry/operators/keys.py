@@ -127,6 +127,10 @@ def require_keys(df: DataFrame, key: Sequence[str], what: str = "key") -> DataFr
     """
     if not key:
         return df
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bad = [k for k in key if k in types and _has_map(types[k])]
+    if bad:
+        raise TypeError(f"{what} columns {bad} hold maps, which cannot be keys (no order, no hash)")
     any_null = F.lit(False)
     for k in key:
         any_null = any_null | _q(k).isNull()

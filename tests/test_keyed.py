@@ -334,3 +334,9 @@ def test_exact_types_round_trip_through_the_store(spark, store):
     assert got.d == decimal.Decimal("12.345") and bytes(got.b) == b"\x00\x01" and got.day == dt.date(2024, 2, 29)
     assert got.arr == [1.5, 2.0] and got.m == {"x": 1} and got.sh == 7
     assert dict(store.read("types").dtypes)["ntz"] == "timestamp"
+
+
+def test_map_key_refused(spark, store):
+    df = spark.createDataFrame([({"a": 1}, 1)], "m map<string,int>, v int")
+    with pytest.raises(TypeError, match="cannot be keys"):
+        store.write(df, "mk", ["m"])
