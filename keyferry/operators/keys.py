@@ -41,13 +41,27 @@ def _has_map(dt: T.DataType) -> bool:
 
 
 def _orderable(c: Column, dt: T.DataType) -> Column:
-    """``c`` itself when Spark can order it, else a canonical text form (a
-    map's entries sorted, as JSON): maps have no order in Spark."""
+    """``c`` itself when Spark can order it, else its canonical form: every
+    map, at any depth, becomes the sorted array of its (key, value) entries.
+    The result holds no map, so it can be ordered and hashed, and equal maps
+    give equal forms whatever their entry order."""
     if not _has_map(dt):
         return c
     if isinstance(dt, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(c)))
-    return F.to_json(c)
+        vt = dt.valueType
+        entries = F.transform(
+            F.map_entries(c),
+            lambda e: F.struct(e["key"].alias("key"), _orderable(e["value"], vt).alias("value")),
+        )
+        return F.array_sort(entries)
+    if isinstance(dt, T.ArrayType):
+        et = dt.elementType
+        return F.transform(c, lambda x: _orderable(x, et))
+    if isinstance(dt, T.StructType):
+        return F.when(c.isNull(), F.lit(None)).otherwise(
+            F.struct(*[_orderable(c[f.name], f.dataType).alias(f.name) for f in dt.fields])
+        )
+    return c
 
 
 def winner(df: DataFrame, columns: Sequence[str]) -> Column:

@@ -292,3 +292,21 @@ def test_reconcile_with_map_columns(spark):
     other = spark.createDataFrame([(1, {"a": 1, "b": 3}), (2, {"x": 0})], "k int, m map<string,int>")
     assert reconcile(src, same, ["k"]).first().changed_rows == 0
     assert reconcile(src, other, ["k"]).first().changed_rows == 1
+
+
+def test_nested_maps_are_canonical(spark):
+    from keyferry.operators.keys import dedupe
+
+    schema = "k int, m map<string,map<string,int>>, s struct<x:map<string,int>>, a array<map<string,int>>"
+    src = spark.createDataFrame(
+        [(1, {"o": {"b": 2, "a": 1}}, ({"q": 1, "p": 2},), [{"y": 1, "x": 2}]),
+         (1, {"o": {"a": 0}}, ({"p": 0},), [{"x": 0}])], schema)
+    one = dedupe(src, ["k"]).collect()
+    assert len(one) == 1
+    tgt = spark.createDataFrame([(1, {"o": {"a": 1, "b": 2}}, ({"p": 2, "q": 1},), [{"x": 2, "y": 1}])], schema)
+    r = reconcile(src, tgt, ["k"]).first()
+    assert (r.missing_keys, r.extra_keys) == (0, 0)
+    # Equal contents in another entry order: no change reported.
+    assert reconcile(tgt, tgt.select("k", "m", "s", "a"), ["k"]).first().changed_rows == 0
+    same = spark.createDataFrame([(1, {"o": {"b": 2, "a": 1}}, ({"q": 1, "p": 2},), [{"y": 1, "x": 2}])], schema)
+    assert reconcile(same, tgt, ["k"]).first().changed_rows == 0
