@@ -31,12 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyferry import config
+from keyferry.functions.typemap import keyed_table_ddl
+from keyferry.operators.conform import conform
 from keyferry.plans.migrate import migrate_all
 from keyferry.sinks.connector import ConnectorStore
 from keyferry.sinks.csv import load_folder, table_sink, write_csv
 from keyferry.sinks.keyed import KeyedStore
 from keyferry.sources import jdbc
-from keyferry.spec import PlanSettings, RunOptions
+from keyferry.spec import PlanSettings, RunOptions, TableMapping
 from keyferry.synth import generate as gen
 
 
@@ -88,6 +90,14 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
             conn = config.jdbc_connection(src_cfg)
             args.url, args.user, args.driver = conn.url, conn.user, conn.driver
             args.password_value = conn.password
+    if args.print_ddl:
+        # DDL for the external store's tables, from the conformed source schemas.
+        read = _reader(spark, args, mappings)
+        for raw in mappings:
+            m = TableMapping.from_dict(raw)
+            schema = conform(read(m.source), options.profile).schema
+            print(keyed_table_ddl(schema, args.keyspace, m.target, m.partition_key, m.clustering_keys, options.profile))
+        return 0
     if args.target_format:
         # An external keyed store through its Spark connector (jar on the cluster).
         tuning = {**options.extra, **dict(kv.split("=", 1) for kv in args.target_option or [])}
@@ -155,6 +165,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--root", help="folder of the keyed tables (shared storage)")
     m.add_argument("--target-format", help="write through this connector format instead of keyed parquet tables")
     m.add_argument("--target-option", action="append", help="connector option k=v (repeatable)")
+    m.add_argument("--print-ddl", action="store_true", help="print the keyed-store DDL of each mapping and stop")
     m.add_argument("--mode", choices=["append", "overwrite", "ignore", "error"], help="default: config or append")
     m.add_argument("--profile", default="reference", choices=["reference", "exact"])
     m.add_argument("--plan", help="JSON of PlanSettings fields")

@@ -15,6 +15,8 @@ Two profiles:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 PROFILES = ("reference", "exact")
@@ -100,3 +102,31 @@ def _exact(dt: T.DataType) -> tuple[str, T.DataType]:
 def schema_ddl(schema: T.StructType, profile: str = "reference") -> list[tuple[str, str]]:
     """Column name and store type for every column, in schema order."""
     return [(f.name, target_type(f.dataType, profile)[0]) for f in schema.fields]
+
+
+def keyed_table_ddl(
+    schema: T.StructType,
+    keyspace: str,
+    table: str,
+    partition_key: Sequence[str],
+    clustering_keys: Sequence[str] = (),
+    profile: str = "reference",
+    clustering_order: str | None = None,
+) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a wide-column keyed store.
+
+    The key clause keeps the two parts apart: ``PRIMARY KEY ((p1, p2), c1,
+    c2)``, partition key in its own brackets (also when it is one column),
+    then the clustering keys. ``clustering_order`` ("ASC"/"DESC") adds the
+    ordering clause for them. Run it with the store's own tools; nothing here
+    connects to a store.
+    """
+    if not partition_key:
+        raise ValueError("a partition key is required")
+    cols = ", ".join(f"{name} {type_name}" for name, type_name in schema_ddl(schema, profile))
+    key = f"PRIMARY KEY (({', '.join(partition_key)})" + "".join(f", {c}" for c in clustering_keys) + ")"
+    ddl = f"CREATE TABLE IF NOT EXISTS {keyspace}.{table} ({cols}, {key})"
+    if clustering_keys and clustering_order:
+        order = ", ".join(f"{c} {clustering_order.upper()}" for c in clustering_keys)
+        ddl += f" WITH CLUSTERING ORDER BY ({order})"
+    return ddl

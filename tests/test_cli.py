@@ -111,3 +111,14 @@ def test_migrate_cli_through_a_connector(spark, workdir, capsys, tmp_path):
                  "--target-format", "noop", "--target-option", "output.batch.size.rows=1000"], spark)
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert code == 0 and lines[0]["status"] == "ok" and lines[0]["rows_written"] == 25
+
+
+def test_print_ddl(spark, capsys, tmp_path):
+    mfile = tmp_path / "m.json"
+    mfile.write_text(json.dumps([{"source_table": "orders", "target_table": "orders", "partition_key": "o_custkey",
+                                  "clustering_keys": ["o_orderdate", "o_orderkey"]}]))
+    assert main(["migrate", "--mappings", str(mfile), "--source", f"parquet:{SF001}", "--keyspace", "ks",
+                 "--print-ddl"], spark) == 0
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    assert out.startswith("CREATE TABLE IF NOT EXISTS ks.orders (o_orderkey bigint, o_custkey bigint")
+    assert "o_orderdate text" in out and out.endswith("PRIMARY KEY ((o_custkey), o_orderdate, o_orderkey))")

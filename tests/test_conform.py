@@ -123,3 +123,15 @@ def test_conform_keeps_unchanged_columns_as_is(spark):
 
 def test_schema_ddl(spark):
     assert schema_ddl(spark.createDataFrame([(1, "a")], "i int, s string").schema) == [("i", "int"), ("s", "text")]
+
+
+def test_keyed_table_ddl_key_clause(spark):
+    from keyferry.functions.typemap import keyed_table_ddl
+
+    schema = spark.createDataFrame([(1, 2, "x", 1.5)], "customer_id int, order_id bigint, note string, amt float").schema
+    one = keyed_table_ddl(schema, "ks", "orders", ["customer_id"], ["order_id"])
+    assert one == ("CREATE TABLE IF NOT EXISTS ks.orders (customer_id int, order_id bigint, note text, amt double, "
+                   "PRIMARY KEY ((customer_id), order_id))")
+    two = keyed_table_ddl(schema, "ks", "orders", ["customer_id", "note"], ["order_id"], clustering_order="desc")
+    assert two.endswith("PRIMARY KEY ((customer_id, note), order_id)) WITH CLUSTERING ORDER BY (order_id DESC)")
+    assert keyed_table_ddl(schema, "ks", "t", ["order_id"]).endswith("PRIMARY KEY ((order_id)))")
