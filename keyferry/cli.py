@@ -100,6 +100,9 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
         return 0
     if args.target_format:
         # An external keyed store through its Spark connector (jar on the cluster).
+        bad = [kv for kv in args.target_option or [] if "=" not in kv]
+        if bad:
+            raise SystemExit(f"--target-option takes key=value, got {bad}")
         tuning = {**options.extra, **dict(kv.split("=", 1) for kv in args.target_option or [])}
         store = ConnectorStore(spark, args.target_format, args.keyspace, tuning=tuning)
     else:

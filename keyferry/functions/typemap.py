@@ -104,6 +104,28 @@ def schema_ddl(schema: T.StructType, profile: str = "reference") -> list[tuple[s
     return [(f.name, target_type(f.dataType, profile)[0]) for f in schema.fields]
 
 
+def _quote(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _is_collection(dt: T.DataType) -> bool:
+    return isinstance(dt, (T.ArrayType, T.MapType, T.StructType))
+
+
+def _ddl_type(dt: T.DataType, profile: str, frozen: bool = False) -> str:
+    """Store type name for DDL: collections inside collections (and, with
+    ``frozen``, the column itself) are written ``frozen<...>``."""
+    if profile == "reference" or not _is_collection(dt):
+        return target_type(dt, profile)[0]
+    if isinstance(dt, T.ArrayType):
+        name = f"list<{_ddl_type(dt.elementType, profile, frozen=True)}>"
+    elif isinstance(dt, T.MapType):
+        name = f"map<{_ddl_type(dt.keyType, profile, True)}, {_ddl_type(dt.valueType, profile, True)}>"
+    else:
+        return "frozen<tuple<" + ", ".join(_ddl_type(f.dataType, profile, True) for f in dt.fields) + ">>"
+    return f"frozen<{name}>" if frozen else name
+
+
 def keyed_table_ddl(
     schema: T.StructType,
     keyspace: str,
@@ -118,15 +140,24 @@ def keyed_table_ddl(
     The key clause keeps the two parts apart: ``PRIMARY KEY ((p1, p2), c1,
     c2)``, partition key in its own brackets (also when it is one column),
     then the clustering keys. ``clustering_order`` ("ASC"/"DESC") adds the
-    ordering clause for them. Run it with the store's own tools; nothing here
+    ordering clause for them. Names are quoted, so they keep their case and
+    may be reserved words; collections nested in collections, and collection
+    key columns, are frozen. Run it with the store's own tools; nothing here
     connects to a store.
     """
     if not partition_key:
         raise ValueError("a partition key is required")
-    cols = ", ".join(f"{name} {type_name}" for name, type_name in schema_ddl(schema, profile))
-    key = f"PRIMARY KEY (({', '.join(partition_key)})" + "".join(f", {c}" for c in clustering_keys) + ")"
-    ddl = f"CREATE TABLE IF NOT EXISTS {keyspace}.{table} ({cols}, {key})"
+    keys = set(partition_key) | set(clustering_keys)
+    cols = ", ".join(
+        f"{_quote(f.name)} {_ddl_type(f.dataType, profile, frozen=f.name in keys)}" for f in schema.fields
+    )
+    key = (
+        f"PRIMARY KEY (({', '.join(map(_quote, partition_key))})"
+        + "".join(f", {_quote(c)}" for c in clustering_keys)
+        + ")"
+    )
+    ddl = f"CREATE TABLE IF NOT EXISTS {_quote(keyspace)}.{_quote(table)} ({cols}, {key})"
     if clustering_keys and clustering_order:
-        order = ", ".join(f"{c} {clustering_order.upper()}" for c in clustering_keys)
+        order = ", ".join(f"{_quote(c)} {clustering_order.upper()}" for c in clustering_keys)
         ddl += f" WITH CLUSTERING ORDER BY ({order})"
     return ddl

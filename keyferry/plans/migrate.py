@@ -207,7 +207,8 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     rep.rows_written = result.rows_written
     rep.status = "skipped_exists" if result.skipped else "ok"
 
-    if options.reconcile and not result.skipped:
+    # In ignore mode the target may keep older contents by design: no reconcile.
+    if options.reconcile and not result.skipped and options.mode != "ignore":
         r = reconcile_frames(conformed, store.read(mapping.target), mapping.key, mapping.order_by).first()
         rep.missing_keys, rep.changed_rows = int(r["missing_keys"]), int(r["changed_rows"])
         rep.extra_keys = int(r["extra_keys"])

@@ -120,5 +120,5 @@ def test_print_ddl(spark, capsys, tmp_path):
     assert main(["migrate", "--mappings", str(mfile), "--source", f"parquet:{SF001}", "--keyspace", "ks",
                  "--print-ddl"], spark) == 0
     out = capsys.readouterr().out.strip().splitlines()[-1]
-    assert out.startswith("CREATE TABLE IF NOT EXISTS ks.orders (o_orderkey bigint, o_custkey bigint")
-    assert "o_orderdate text" in out and out.endswith("PRIMARY KEY ((o_custkey), o_orderdate, o_orderkey))")
+    assert out.startswith('CREATE TABLE IF NOT EXISTS "ks"."orders" ("o_orderkey" bigint, "o_custkey" bigint')
+    assert '"o_orderdate" text' in out and out.endswith('PRIMARY KEY (("o_custkey"), "o_orderdate", "o_orderkey"))')

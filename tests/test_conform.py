@@ -126,12 +126,24 @@ def test_schema_ddl(spark):
 
 
 def test_keyed_table_ddl_key_clause(spark):
+    from pyspark.sql import types as T
+
     from keyferry.functions.typemap import keyed_table_ddl
 
     schema = spark.createDataFrame([(1, 2, "x", 1.5)], "customer_id int, order_id bigint, note string, amt float").schema
     one = keyed_table_ddl(schema, "ks", "orders", ["customer_id"], ["order_id"])
-    assert one == ("CREATE TABLE IF NOT EXISTS ks.orders (customer_id int, order_id bigint, note text, amt double, "
-                   "PRIMARY KEY ((customer_id), order_id))")
+    assert one == ('CREATE TABLE IF NOT EXISTS "ks"."orders" ("customer_id" int, "order_id" bigint, "note" text, '
+                   '"amt" double, PRIMARY KEY (("customer_id"), "order_id"))')
     two = keyed_table_ddl(schema, "ks", "orders", ["customer_id", "note"], ["order_id"], clustering_order="desc")
-    assert two.endswith("PRIMARY KEY ((customer_id, note), order_id)) WITH CLUSTERING ORDER BY (order_id DESC)")
-    assert keyed_table_ddl(schema, "ks", "t", ["order_id"]).endswith("PRIMARY KEY ((order_id)))")
+    assert two.endswith('PRIMARY KEY (("customer_id", "note"), "order_id")) '
+                        'WITH CLUSTERING ORDER BY ("order_id" DESC)')
+    assert keyed_table_ddl(schema, "ks", "t", ["order_id"]).endswith('PRIMARY KEY (("order_id")))')
+    # Case and reserved words survive quoting; nested collections are frozen.
+    nested = T.StructType([
+        T.StructField("Order", T.LongType()),
+        T.StructField("tags", T.ArrayType(T.MapType(T.StringType(), T.IntegerType()))),
+        T.StructField("bucket", T.ArrayType(T.IntegerType())),
+    ])
+    ddl = keyed_table_ddl(nested, "ks", "t", ["Order"], ["bucket"], profile="exact")
+    assert '"Order" bigint' in ddl and '"tags" list<frozen<map<text, int>>>' in ddl
+    assert '"bucket" frozen<list<int>>' in ddl
