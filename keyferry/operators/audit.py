@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keyferry.operators.keys import _orderable, winner
+from keyferry.operators.keys import winner
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -25,14 +26,34 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _hashable(c: F.Column, dt: T.DataType) -> F.Column:
+    """``c`` with a NULL flag beside every value at every depth (the hash
+    skips NULLs, so [NULL, 1] and [1, NULL] would collide) and maps, which
+    Spark does not hash, as their sorted entries."""
+    if isinstance(dt, T.ArrayType):
+        et = dt.elementType
+        return F.transform(c, lambda x: F.struct(x.isNull().alias("n"), _hashable(x, et).alias("v")))
+    if isinstance(dt, T.StructType):
+        return F.struct(*[
+            F.struct(c[f.name].isNull().alias("n"), _hashable(c[f.name], f.dataType).alias("v")).alias(f.name)
+            for f in dt.fields
+        ])
+    if isinstance(dt, T.MapType):
+        vt = dt.valueType
+        entries = F.transform(
+            F.map_entries(c),
+            lambda e: F.struct(e["key"].alias("k"), e["value"].isNull().alias("n"), _hashable(e["value"], vt).alias("v")),
+        )
+        return F.array_sort(entries)  # values are map-free by now: orderable
+    return c
+
+
 def _row_hash(cols: Sequence[tuple[F.Column, object]]) -> F.Column:
-    """Hash of values and of which of them are NULL (the hash alone skips
-    NULLs, so (NULL, 5) and (5, NULL) would collide). Maps, which Spark does
-    not hash, are hashed in their canonical (sorted-entries) form."""
+    """Hash of the values and of where they are NULL, at any depth."""
     if not cols:
         return F.lit(0).cast("bigint")
     nulls = F.concat_ws("", *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c, _ in cols])
-    return F.xxhash64(nulls, *[_orderable(c, dt) for c, dt in cols])
+    return F.xxhash64(nulls, *[_hashable(c, dt) for c, dt in cols])
 
 
 def reconcile(
@@ -51,10 +72,11 @@ def reconcile(
     map-side), then joined with the target on the full key. The target holds
     one row per key, so the join has no hot key.
     """
-    target_types = {f.name: f.dataType for f in target.schema.fields}
-    if set(target_types) == set(source.columns):
-        # Compare values, not encodings: read the source as the table's types.
-        source = source.select(*[F.col(f"`{c}`").cast(target_types[c]).alias(c) for c in source.columns])
+    target_types = {f.name.lower(): f.dataType for f in target.schema.fields}
+    if set(target_types) == {c.lower() for c in source.columns}:
+        # Compare values, not encodings: read the source as the table's types
+        # (names matched without case, as Spark resolves them).
+        source = source.select(*[F.col(f"`{c}`").cast(target_types[c.lower()]).alias(c) for c in source.columns])
     cols = list(source.columns)
     types = {f.name: f.dataType for f in source.schema.fields}
     rest = [c for c in cols if c not in key]

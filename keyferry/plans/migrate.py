@@ -208,13 +208,13 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     rep.status = "skipped_exists" if result.skipped else "ok"
 
     # In ignore mode the target may keep older contents by design: no reconcile.
-    if options.reconcile and not result.skipped and options.mode != "ignore":
+    if options.reconcile and not result.skipped and options.mode.lower() != "ignore":
         r = reconcile_frames(conformed, store.read(mapping.target), mapping.key, mapping.order_by).first()
         rep.missing_keys, rep.changed_rows = int(r["missing_keys"]), int(r["changed_rows"])
         rep.extra_keys = int(r["extra_keys"])
         # Every source key must be there with its winning values; other keys
         # are expected only when appending into a table that had rows before.
-        extra_ok = options.mode == "append" and not result.created
+        extra_ok = options.mode.lower() == "append" and not result.created
         if rep.missing_keys or rep.changed_rows or (rep.extra_keys and not extra_ok):
             rep.status = "mismatch"
     rep.total_s = time.perf_counter() - t0

@@ -12,6 +12,8 @@ table.
 
 from __future__ import annotations
 
+import os
+import posixpath
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -31,13 +33,30 @@ def _norm(folder: str) -> str:
     return folder.rstrip("/")
 
 
-def _table_part(folder: str) -> tuple[Column, Column]:
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?(.*)$"
+
+
+def _path_part(p: str) -> str:
+    """The path of a location without scheme and authority, normalised
+    (relative local paths made absolute): what file listings end with."""
+    m = re.match(_SCHEME, p)
+    path = m.group(2) if m else os.path.abspath(p)
+    return posixpath.normpath(path or "/")
+
+
+def _table_part(folder: str, path: Column | None = None) -> tuple[Column, Column]:
     """(first path component under ``folder``, whether a file lies below it)
-    as expressions of a file path; empty for files deeper than one level."""
-    leaf = re.escape(_norm(folder).split("/")[-1])
-    pattern = f"/{leaf}/([^/]+)(/[^/]+)?$"
-    path = F.col("path")
-    return F.regexp_extract(path, pattern, 1), F.regexp_extract(path, pattern, 2) != F.lit("")
+    as expressions of a file path; empty for files deeper than one level or
+    outside the folder. The folder is matched as a whole path prefix."""
+    base = _path_part(folder).rstrip("/") + "/"
+    path = F.col("path") if path is None else path
+    rel_path = F.regexp_extract(path, _SCHEME, 2)
+    inside = rel_path.startswith(base)
+    rel = F.when(inside, F.substring(rel_path, len(base) + 1, 1 << 30))
+    parts = F.split(rel, "/")
+    ok = inside & (F.size(parts) <= 2) & (F.size(parts) >= 1)
+    part = F.when(ok, F.element_at(parts, 1)).otherwise(F.lit(""))
+    return part, F.when(ok, F.size(parts) == 2).otherwise(F.lit(False))
 
 
 def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:

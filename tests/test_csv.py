@@ -101,3 +101,15 @@ def test_folder_counts_with_spaces_and_plus_in_names(spark, workdir):
     _write(folder + "/my tab+1", "p.csv", "a\n1\n2\n")
     counts = {r["table"]: r["rows"] for r in folder_row_counts(spark, folder).collect()}
     assert counts == {"x y": 1, "my tab+1": 2}
+
+
+def test_folder_paths_are_matched_whole(spark, workdir):
+    _write(workdir + "/data", "a.csv", "x\n1\n")
+    _write(workdir + "/data/sub", "b.csv", "x\n1\n2\n")
+    _write(workdir + "/data/t/data", "deep.csv", "x\n1\n")  # three levels down: not a table
+    # A path with "..": the folder is matched as a normalised whole path.
+    assert sorted(list_tables(spark, workdir + "/data/sub/..")) == ["a", "sub"]
+    tables = list_tables(spark, workdir + "/data")
+    assert "deep" not in tables
+    counts = {r["table"]: r["rows"] for r in folder_row_counts(spark, workdir + "/data").collect()}
+    assert counts.get("a") == 1 and "deep" not in counts

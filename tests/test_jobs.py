@@ -310,3 +310,21 @@ def test_nested_maps_are_canonical(spark):
     assert reconcile(tgt, tgt.select("k", "m", "s", "a"), ["k"]).first().changed_rows == 0
     same = spark.createDataFrame([(1, {"o": {"b": 2, "a": 1}}, ({"q": 1, "p": 2},), [{"y": 1, "x": 2}])], schema)
     assert reconcile(same, tgt, ["k"]).first().changed_rows == 0
+
+
+def test_reconcile_nested_nulls_and_name_case(spark):
+    src = spark.createDataFrame([(1, [None, 1])], "k int, a array<int>")
+    tgt = spark.createDataFrame([(1, [1, None])], "k int, a array<int>")
+    assert reconcile(src, tgt, ["k"]).first().changed_rows == 1
+    s2 = spark.createDataFrame([(1, 5)], "k int, Amount int")
+    t2 = spark.createDataFrame([(1, 5)], "k int, amount bigint")
+    assert reconcile(s2, t2, ["k"]).first().changed_rows == 0
+
+
+def test_mode_case_does_not_cause_mismatch(spark, store):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    m = TableMapping.of("lineitem", "mc", "l_orderkey", "l_linenumber")
+    migrate_table(spark, lambda _: li, m, store)
+    part = li.filter("l_returnflag = 'R'")
+    rep = migrate_table(spark, lambda _: part, m, store, options=RunOptions(mode="Append", reconcile=True))
+    assert rep.status == "ok"
