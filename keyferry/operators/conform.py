@@ -9,11 +9,45 @@ from pyspark.sql import types as T
 from keyferry.functions.typemap import target_type
 
 
+# Zone-less epoch: differences to it are exact whatever the session zone is.
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_utc_instant(c: Column) -> Column:
+    """A zone-less wall clock read as UTC, as an instant. Pure epoch
+    arithmetic: no session-zone wall clock is involved, so no value is lost
+    to a daylight-saving overlap."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+
+
+def instant_to_utc_wall_clock(c: Column) -> Column:
+    """Inverse of ``ntz_to_utc_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+
+
 def _cast(col: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """Cast ``col`` to ``dst``, reading zone-less timestamps as UTC at any
+    depth (inside arrays, maps and structs too)."""
+    if src == dst:
+        return col
     if isinstance(src, T.TimestampNTZType) and isinstance(dst, T.TimestampType):
-        # Read the wall clock as UTC whatever the session zone is: shift it to
-        # the session zone first, then let the cast interpret it there.
-        return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col).cast(dst)
+        return ntz_to_utc_instant(col)
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return F.transform(col, lambda x: _cast(x, src.elementType, dst.elementType))
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
+        m = col
+        if src.keyType != dst.keyType:
+            m = F.transform_keys(m, lambda k, v: _cast(k, src.keyType, dst.keyType))
+        if src.valueType != dst.valueType:
+            m = F.transform_values(m, lambda k, v: _cast(v, src.valueType, dst.valueType))
+        return m
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        fields = [
+            _cast(col[sf.name], sf.dataType, df_.dataType).alias(df_.name)
+            for sf, df_ in zip(src.fields, dst.fields)
+        ]
+        return F.when(col.isNull(), F.lit(None).cast(dst)).otherwise(F.struct(*fields))
     return col.cast(dst)
 
 
@@ -41,8 +75,6 @@ def as_utc_wall_clock(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.TimestampType):
-            c = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz")).alias(
-                f.name
-            )
+            c = instant_to_utc_wall_clock(c).alias(f.name)
         out.append(c)
     return df.select(*out)

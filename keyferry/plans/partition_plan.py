@@ -79,7 +79,7 @@ def bucket_count(rows: int, settings: PlanSettings, requested: int | None = None
     ``target_bucket_bytes`` of data when that is set and measured, else one
     per ``rows_per_partition`` rows; kept within ``[1, max_buckets]``."""
     if requested:
-        return requested
+        return max(1, min(settings.max_buckets, requested))
     if settings.target_bucket_bytes and data_bytes is not None:
         n = -(-data_bytes // settings.target_bucket_bytes) if data_bytes > 0 else 1
     else:

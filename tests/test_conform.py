@@ -147,3 +147,17 @@ def test_keyed_table_ddl_key_clause(spark):
     ddl = keyed_table_ddl(nested, "ks", "t", ["Order"], ["bucket"], profile="exact")
     assert '"Order" bigint' in ddl and '"tags" list<frozen<map<text, int>>>' in ddl
     assert '"bucket" frozen<list<int>>' in ddl
+
+
+def test_ntz_conversion_is_exact_in_a_dst_overlap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [(dt.datetime(2024, 11, 3, 5, 30), [dt.datetime(2024, 11, 3, 6, 30)])]
+        df = spark.createDataFrame(rows, "t timestamp_ntz, a array<timestamp_ntz>")
+        out = conform(df, "exact")
+        r = out.select(F.unix_seconds("t").alias("s"), F.unix_seconds(F.col("a")[0]).alias("n")).first()
+        assert (r.s, r.n) == (1730611800, 1730615400)  # distinct, read as UTC, nested too
+        assert as_utc_wall_clock(out.select("t")).first().t == dt.datetime(2024, 11, 3, 5, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -94,3 +94,8 @@ def test_source_key_subset_skips_dedupe():
     assert TableMapping.of("x", "y", "cust", ["date", "id"], source_key="id").key_is_unique_by_source()
     assert not TableMapping.of("x", "y", "cust", ["date"], source_key="id").key_is_unique_by_source()
     assert not TableMapping.of("x", "y", "cust").key_is_unique_by_source()
+
+
+def test_requested_buckets_are_capped():
+    s = PlanSettings(max_buckets=100)
+    assert bucket_count(10**9, s, requested=40_000) == 100
