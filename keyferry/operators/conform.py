@@ -9,16 +9,18 @@ from pyspark.sql import types as T
 from keyferry.functions.typemap import target_type
 
 
-# Zone-less epoch: differences to it are exact whatever the session zone is.
+# Zone-less epoch: adding to it is exact whatever the session zone is.
 def _epoch_ntz() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def ntz_to_utc_instant(c: Column) -> Column:
-    """A zone-less wall clock read as UTC, as an instant. Pure epoch
-    arithmetic: no session-zone wall clock is involved, so no value is lost
-    to a daylight-saving overlap."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+    """A zone-less wall clock read as UTC, as an instant. Built from the
+    value's own fields with an explicit UTC zone: no session-zone wall clock
+    is involved, so nothing shifts or merges in daylight-saving gaps or
+    overlaps."""
+    seconds = F.date_part(F.lit("SECOND"), c)  # with microseconds
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), seconds, F.lit("UTC"))
 
 
 def instant_to_utc_wall_clock(c: Column) -> Column:

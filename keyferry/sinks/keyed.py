@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 from keyferry.operators.keys import dedupe, require_keys, surviving_rows
 from keyferry.operators.layout import bucket_aligned
-from keyferry.session import fresh_path, unique_name
+from keyferry.session import fresh_path, shared_dir, unique_name
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -262,6 +262,7 @@ class KeyedStore:
         observation: Observation | None = None,
         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         plan: object = None,
+        snapshot: bool | None = None,
     ) -> WriteResult:
         """Write ``df`` with the store's key semantics.
 
@@ -273,6 +274,11 @@ class KeyedStore:
         example the source primary key is part of the target key), which
         saves the dedupe shuffle.
 
+        An upsert reads the batch twice (its keys for the anti join, its rows
+        for the new version). ``snapshot`` checkpoints it first (in the shared
+        checkpoint folder) so both reads see the same rows; by default this is
+        done for sources that are not file scans, such as JDBC tables.
+
         On an upsert with a small batch (bounded count), only the incoming
         rows are shuffled: existing rows are filtered in place by a broadcast
         anti join and written back without a shuffle (every existing file holds
@@ -306,6 +312,16 @@ class KeyedStore:
         fresh = df if unique else dedupe(df, key, order_by)
         out = bucket_aligned(fresh, buckets, partition_key)
         if present and mode == "append":
+            if snapshot is None:
+                # File scans list their files once per job and stay consistent;
+                # other sources (a live database table) may change between the
+                # two reads of the batch below, so they are read once, here.
+                snapshot = not df.inputFiles()
+            if snapshot:
+                shared_dir(self.spark)  # makes sure a checkpoint folder is set
+                df = df.checkpoint(eager=True)
+                fresh = df if unique else dedupe(df, key, order_by)
+                out = bucket_aligned(fresh, buckets, partition_key)
             small = fits_broadcast(df.select(*[F.col(f"`{k}`") for k in key]), max_broadcast_rows)
             kept = surviving_rows(self.read(table), df, key, small=small)
             if not small:

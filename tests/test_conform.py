@@ -153,6 +153,8 @@ def test_ntz_conversion_is_exact_in_a_dst_overlap(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
+        gap = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30),)], "t timestamp_ntz")  # spring-forward gap
+        assert conform(gap, "exact").select(F.unix_seconds("t")).first()[0] == 1710037800
         rows = [(dt.datetime(2024, 11, 3, 5, 30), [dt.datetime(2024, 11, 3, 6, 30)])]
         df = spark.createDataFrame(rows, "t timestamp_ntz, a array<timestamp_ntz>")
         out = conform(df, "exact")

@@ -340,3 +340,12 @@ def test_map_key_refused(spark, store):
     df = spark.createDataFrame([({"a": 1}, 1)], "m map<string,int>, v int")
     with pytest.raises(TypeError, match="cannot be keys"):
         store.write(df, "mk", ["m"])
+
+
+def test_upsert_snapshot_of_non_file_sources(spark, store):
+    a = spark.createDataFrame([(1, 1, "a", 1.0), (2, 1, "b", 1.0)], SCHEMA)
+    b = spark.createDataFrame([(2, 1, "B", 1.0), (3, 1, "c", 1.0)], SCHEMA)  # in memory: no input files
+    store.write(a, "t", ["k"], ["c"], buckets=2)
+    store.write(b, "t", ["k"], ["c"])  # snapshot taken automatically
+    store.write(b, "t", ["k"], ["c"], snapshot=False)  # and without: same table (idempotent)
+    assert _rows(store.read("t")) == [(1, 1, "a", 1.0), (2, 1, "B", 1.0), (3, 1, "c", 1.0)]
