@@ -150,7 +150,11 @@ class KeyedStore:
 
     # -- versions -----------------------------------------------------------------
     def versions(self, table: str) -> list[str]:
-        """Version folders of ``table`` that still hold data, oldest first.
+        """Version folders of ``table`` that still hold data, oldest first."""
+        return [v for v, _ in self._versions(table)]
+
+    def _versions(self, table: str) -> list[tuple[str, object]]:
+        """(version folder, newest file time) of ``table``, oldest first.
 
         A version holds data while it has bucket files (names carry the
         bucket id, ``..._00003.c000...parquet``). File names and times are
@@ -170,7 +174,7 @@ class KeyedStore:
             .groupBy("v")
             .agg(F.max("modificationTime").alias("t"))
         )
-        return [r["v"] for r in files.orderBy("t", "v").collect()]
+        return [(r["v"], r["t"]) for r in files.orderBy("t", "v").collect()]
 
     def rollback(self, table: str, location: str) -> None:
         """Point ``table`` back at an earlier version folder."""
@@ -179,13 +183,19 @@ class KeyedStore:
         self.spark.sql(f"REFRESH TABLE {q}")
 
     def vacuum(self, table: str, keep: int = 1) -> list[str]:
-        """Empty all but the newest ``keep`` versions (the current one always
-        stays). Files are removed by Spark's own overwrite of each old folder
+        """Empty old versions, keeping the current one and the ``keep - 1``
+        newest before it. Only versions written before the current one are
+        touched: a newer folder may be a write in flight, about to become
+        current. Files are removed by Spark's own overwrite of each old folder
         with an empty frame. Returns the emptied folders."""
         if keep < 1:
             raise ValueError("keep must be >= 1")
         current = self.describe(table)["location"].rstrip("/")
-        old = [v for v in self.versions(table) if v.rstrip("/") != current]
+        listed = self._versions(table)
+        current_time = next((t for v, t in listed if v.rstrip("/") == current), None)
+        if current_time is None:
+            return []
+        old = [v for v, t in listed if v.rstrip("/") != current and t < current_time]
         drop = old[: max(0, len(old) - (keep - 1))]
         empty = self.spark.createDataFrame([], "x int")
         for v in drop:

@@ -36,6 +36,18 @@ def _norm(folder: str) -> str:
 _SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?(.*)$"
 
 
+_GLOB_CHARS = "\\{}[]*?"
+
+
+def _glob_escape(s: str) -> str:
+    """``s`` with the characters Spark's path globbing expands escaped."""
+    return "".join("\\" + ch if ch in _GLOB_CHARS else ch for ch in s)
+
+
+def _is_relative(p: str) -> bool:
+    return not re.match(_SCHEME, p) and not p.startswith("/")
+
+
 def _path_part(p: str) -> str:
     """The path of a location without scheme and authority, normalised
     (relative local paths made absolute): what file listings end with."""
@@ -75,17 +87,24 @@ def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
             .select("path")
         )
         part, nested = _table_part(folder)
-        kinds = files.select(part.alias("part"), nested.alias("nested")).filter(F.col("part") != "").distinct()
-        found = [(r["part"], r["nested"]) for r in kinds.collect()]
+        scheme = F.regexp_extract(F.col("path"), r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
+        kinds = files.select(part.alias("part"), nested.alias("nested"), scheme.alias("scheme")).distinct()
+        rows = kinds.collect()
+        if _is_relative(folder) and any(r["scheme"] not in ("", "file") for r in rows):
+            # Spark resolves a relative path on the default file system, the
+            # driver's working directory is local: they cannot be matched.
+            raise ValueError(f"give the folder {folder!r} as an absolute path or URI")
+        found = sorted({(r["part"], r["nested"]) for r in rows if r["part"]})
     except Exception as e:  # noqa: BLE001 - empty or missing folder
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e) or "does not exist" in str(e):
             return {}
         raise
-    base = _norm(folder)
+    base = _glob_escape(_norm(folder))
     out: dict[str, list[str]] = {}
-    for part, nested in sorted(found):
+    for part, nested in found:
         name = part[:-4] if part.endswith(".csv") else part
-        out.setdefault(name, []).append(f"{base}/{part}/*.csv" if nested else f"{base}/{part}")
+        esc = _glob_escape(part)
+        out.setdefault(name, []).append(f"{base}/{esc}/*.csv" if nested else f"{base}/{esc}")
     return out
 
 

@@ -113,3 +113,13 @@ def test_folder_paths_are_matched_whole(spark, workdir):
     assert "deep" not in tables
     counts = {r["table"]: r["rows"] for r in folder_row_counts(spark, workdir + "/data").collect()}
     assert counts.get("a") == 1 and "deep" not in counts
+
+
+def test_glob_characters_in_names(spark, workdir):
+    folder = workdir + "/g"
+    _write(folder, "sales[2024].csv", "a\n1\n2\n")
+    _write(folder + "/q{1}", "p.csv", "a\n1\n")
+    scan = scan_folder(spark, folder)
+    assert sorted(scan.tables) == ["q{1}", "sales[2024]"] and not scan.failures
+    counts = {r["table"]: r["rows"] for r in folder_row_counts(spark, folder).collect()}
+    assert counts == {"sales[2024]": 2, "q{1}": 1}

@@ -349,3 +349,12 @@ def test_upsert_snapshot_of_non_file_sources(spark, store):
     store.write(b, "t", ["k"], ["c"])  # snapshot taken automatically
     store.write(b, "t", ["k"], ["c"], snapshot=False)  # and without: same table (idempotent)
     assert _rows(store.read("t")) == [(1, 1, "a", 1.0), (2, 1, "B", 1.0), (3, 1, "c", 1.0)]
+
+
+def test_vacuum_spares_versions_newer_than_current(spark, store):
+    a = spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA)
+    first = store.write(a, "t", ["k"], ["c"], buckets=2).location
+    second = store.write(a.withColumn("v", F.lit("b")), "t", ["k"], ["c"]).location
+    store.rollback("t", first)  # now the newer version is not current
+    assert store.vacuum("t", keep=1) == []  # nothing older than the current one
+    assert any(v.endswith(second.split(":", 1)[-1]) for v in store.versions("t"))
