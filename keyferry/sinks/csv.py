@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -67,13 +70,22 @@ def load_folder(
     return done
 
 
+def catalog_name(name: str) -> str:
+    """A valid catalog table name (letters, digits, ``_``) for a file's table
+    name, which is also safe as a folder name; a short hash of the original
+    keeps distinct names apart when characters had to be replaced."""
+    safe = re.sub(r"[^A-Za-z0-9_]", "_", name)
+    return safe if safe == name else f"{safe}_{hashlib.sha1(name.encode()).hexdigest()[:8]}"
+
+
 def table_sink(database: str, location_root: str | None = None) -> Callable[[str, DataFrame, str], None]:
-    """A sink writing catalog tables (parquet) of ``database``."""
+    """A sink writing catalog tables (parquet) of ``database``, named by
+    ``catalog_name`` (file names may hold characters tables cannot)."""
 
     def write(name: str, df: DataFrame, mode: str) -> None:
         w = df.write.format("parquet").mode(mode)
         if location_root:
-            w = w.option("path", f"{location_root.rstrip('/')}/{name}")
-        w.saveAsTable(f"{database}.{name}")
+            w = w.option("path", f"{location_root.rstrip('/')}/{catalog_name(name)}")
+        w.saveAsTable(f"`{database.replace('`', '``')}`.`{catalog_name(name)}`")
 
     return write

@@ -24,6 +24,9 @@ and the later ``SET LOCATION`` wins.
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -79,6 +82,12 @@ class WriteResult:
     created: bool = False
 
 
+def _version_time(location: str) -> int | None:
+    """Write time (epoch ms) carried by a version folder's name."""
+    m = re.search(r"/v-([0-9]{13})-[0-9a-f]+/?$", location)
+    return int(m.group(1)) if m else None
+
+
 def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -154,7 +163,8 @@ class KeyedStore:
         return [v for v, _ in self._versions(table)]
 
     def _versions(self, table: str) -> list[tuple[str, object]]:
-        """(version folder, newest file time) of ``table``, oldest first.
+        """(version folder, write time) of ``table``, oldest first: the time
+        from the folder name, else the newest file's time.
 
         A version holds data while it has bucket files (names carry the
         bucket id, ``..._00003.c000...parquet``). File names and times are
@@ -167,14 +177,15 @@ class KeyedStore:
             .load(f"{self.root}/{table}")
             .filter(F.col("path").rlike(r"_[0-9]{5}\.c[0-9]+[^/]*\.parquet$"))
             .select(
-                F.regexp_extract("path", r"^(.*/v-[0-9a-f]+)/[^/]+$", 1).alias("v"),
+                F.regexp_extract("path", r"^(.*/v-[0-9a-f-]+)/[^/]+$", 1).alias("v"),
                 "modificationTime",
             )
             .filter(F.col("v") != "")
             .groupBy("v")
             .agg(F.max("modificationTime").alias("t"))
         )
-        return [(r["v"], r["t"]) for r in files.orderBy("t", "v").collect()]
+        found = [(r["v"], _version_time(r["v"]) or r["t"].timestamp() * 1000) for r in files.collect()]
+        return sorted(found, key=lambda vt: (vt[1], vt[0]))
 
     def rollback(self, table: str, location: str) -> None:
         """Point ``table`` back at an earlier version folder."""
@@ -192,7 +203,7 @@ class KeyedStore:
             raise ValueError("keep must be >= 1")
         current = self.describe(table)["location"].rstrip("/")
         listed = self._versions(table)
-        current_time = next((t for v, t in listed if v.rstrip("/") == current), None)
+        current_time = _version_time(current) or next((t for v, t in listed if v.rstrip("/") == current), None)
         if current_time is None:
             return []
         old = [v for v, t in listed if v.rstrip("/") != current and t < current_time]
@@ -354,7 +365,8 @@ class KeyedStore:
         buckets: int,
         replace: bool,
     ) -> str:
-        location = f"{self.root}/{table}/v-{unique_name('w')[2:]}"
+        # The write time leads the folder name: versions order without listing.
+        location = f"{self.root}/{table}/v-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         staging = unique_name(f"{table}__staging")
         sort_cols = list(partition_key) + list(clustering_keys)
         (

@@ -83,7 +83,7 @@ def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.csv")
             .option("recursiveFileLookup", "true")
-            .load(folder)
+            .load(_glob_escape(_norm(folder)))
             .select("path")
         )
         part, nested = _table_part(folder)

@@ -123,3 +123,19 @@ def test_glob_characters_in_names(spark, workdir):
     assert sorted(scan.tables) == ["q{1}", "sales[2024]"] and not scan.failures
     counts = {r["table"]: r["rows"] for r in folder_row_counts(spark, folder).collect()}
     assert counts == {"sales[2024]": 2, "q{1}": 1}
+
+
+def test_folder_path_with_glob_characters(spark, workdir):
+    from keyferry.sinks.csv import load_folder, table_sink
+
+    folder = workdir + "/in[1]"
+    _write(folder, "sales[2024].csv", "a\n1\n2\n")
+    assert sorted(list_tables(spark, folder)) == ["sales[2024]"]
+    assert {r["table"]: r["rows"] for r in folder_row_counts(spark, folder).collect()} == {"sales[2024]": 2}
+    spark.sql("CREATE DATABASE IF NOT EXISTS glob_db")
+    res = load_folder(spark, folder, table_sink("glob_db", workdir + "/loaded"), mode="overwrite")
+    assert [(r.table, r.rows) for r in res] == [("sales[2024]", 2)]
+    from keyferry.sinks.csv import catalog_name
+
+    assert catalog_name("sales[2024]").startswith("sales_2024__")
+    assert spark.table(f"glob_db.{catalog_name('sales[2024]')}").count() == 2

@@ -358,3 +358,12 @@ def test_vacuum_spares_versions_newer_than_current(spark, store):
     store.rollback("t", first)  # now the newer version is not current
     assert store.vacuum("t", keep=1) == []  # nothing older than the current one
     assert any(v.endswith(second.split(":", 1)[-1]) for v in store.versions("t"))
+
+
+def test_vacuum_after_truncating_overwrite(spark, store):
+    a = spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA)
+    store.write(a, "t", ["k"], ["c"], buckets=2)
+    store.write(a, "t", ["k"], ["c"])
+    store.write(a.limit(0), "t", ["k"], ["c"], mode="overwrite")  # current version holds no files
+    assert len(store.vacuum("t", keep=1)) == 2 and store.versions("t") == []
+    assert store.read("t").count() == 0
