@@ -486,7 +486,7 @@ def csv_folder_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded_root = fresh_path(spark, "loaded")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loaded_root}'")
     results = load_folder(spark, folder, table_sink(db, loaded_root), mode="overwrite")
-    loaded = row_counts({r.table: spark.table(f"{db}.{r.table}") for r in results if r.status == "ok"})
+    loaded = row_counts({r.table: spark.table(r.target) for r in results if r.status == "ok"})
     written = spark.createDataFrame([(r.table, r.rows) for r in results], "table string, rows_observed bigint")
     return loaded.join(written, "table")
 

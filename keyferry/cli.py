@@ -122,10 +122,11 @@ def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
                 password = f.read().strip()
         conn = jdbc.JdbcConnection(args.url, args.user, password, args.driver)
 
-        def sink(name: str, df: DataFrame, mode: str) -> None:
+        def sink(name: str, df: DataFrame, mode: str) -> str:
             from keyferry.sinks.jdbc import write_table
 
             write_table(df, conn, name, args.schema, mode)
+            return jdbc.qualified(name, args.schema)
     else:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
         sink = table_sink(args.database, args.location_root)

@@ -34,6 +34,7 @@ class LoadResult:
     rows: int | None
     status: str
     error: str | None = None
+    target: str | None = None  # where the sink put it, when it says
 
 
 class FolderLoadError(RuntimeError):
@@ -46,11 +47,12 @@ class FolderLoadError(RuntimeError):
 def load_folder(
     spark: SparkSession,
     folder: str,
-    sink: Callable[[str, DataFrame, str], None],
+    sink: Callable[[str, DataFrame, str], str | None],
     mode: str = "overwrite",
     schemas: Mapping[str, object] | None = None,
 ) -> list[LoadResult]:
-    """K7: every CSV table of ``folder`` into ``sink(name, df, mode)``.
+    """K7: every CSV table of ``folder`` into ``sink(name, df, mode)``; a sink
+    may return the name it wrote to (kept in ``LoadResult.target``).
 
     Unreadable files are reported and skipped; the first failing *write* stops
     the run (raised with what was done so far). Rows are counted while being
@@ -63,10 +65,10 @@ def load_folder(
     for name, df in sorted(scan.tables.items()):
         obs = Observation(unique_name("kf_load")) if count else None
         try:
-            sink(name, df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df, mode)
+            target = sink(name, df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df, mode)
         except Exception as e:  # noqa: BLE001
             raise FolderLoadError(done, LoadResult(name, None, "failed", f"{type(e).__name__}: {e}")) from e
-        done.append(LoadResult(name, int(obs.get.get("rows", 0)) if count else None, "ok"))
+        done.append(LoadResult(name, int(obs.get.get("rows", 0)) if count else None, "ok", target=target))
     return done
 
 
@@ -74,7 +76,9 @@ def catalog_name(name: str) -> str:
     """A valid catalog table name (letters, digits, ``_``) for a file's table
     name, which is also safe as a folder name; a short hash of the original
     keeps distinct names apart when characters had to be replaced."""
-    safe = re.sub(r"[^A-Za-z0-9_]", "_", name)
+    safe = re.sub(r"[^A-Za-z0-9_]", "_", name).lower()
+    # Catalog names ignore case: any name not already lower-case and valid
+    # gets the hash, so "Orders" and "orders" stay two tables.
     return safe if safe == name else f"{safe}_{hashlib.sha1(name.encode()).hexdigest()[:8]}"
 
 
@@ -82,10 +86,11 @@ def table_sink(database: str, location_root: str | None = None) -> Callable[[str
     """A sink writing catalog tables (parquet) of ``database``, named by
     ``catalog_name`` (file names may hold characters tables cannot)."""
 
-    def write(name: str, df: DataFrame, mode: str) -> None:
+    def write(name: str, df: DataFrame, mode: str) -> str:
         w = df.write.format("parquet").mode(mode)
         if location_root:
             w = w.option("path", f"{location_root.rstrip('/')}/{catalog_name(name)}")
         w.saveAsTable(f"`{database.replace('`', '``')}`.`{catalog_name(name)}`")
+        return f"{database}.{catalog_name(name)}"
 
     return write

@@ -163,8 +163,8 @@ class KeyedStore:
         return [v for v, _ in self._versions(table)]
 
     def _versions(self, table: str) -> list[tuple[str, object]]:
-        """(version folder, write time) of ``table``, oldest first: the time
-        from the folder name, else the newest file's time.
+        """(version folder, start time) of ``table``, oldest first: the start
+        time from the folder name, else the newest file's time.
 
         A version holds data while it has bucket files (names carry the
         bucket id, ``..._00003.c000...parquet``). File names and times are
@@ -184,7 +184,9 @@ class KeyedStore:
             .groupBy("v")
             .agg(F.max("modificationTime").alias("t"))
         )
-        found = [(r["v"], _version_time(r["v"]) or r["t"].timestamp() * 1000) for r in files.collect()]
+        rows = files.collect()
+        self._last_file_ms = {r["v"]: r["t"].timestamp() * 1000 for r in rows}
+        found = [(r["v"], _version_time(r["v"]) or self._last_file_ms[r["v"]]) for r in rows]
         return sorted(found, key=lambda vt: (vt[1], vt[0]))
 
     def rollback(self, table: str, location: str) -> None:
@@ -195,10 +197,12 @@ class KeyedStore:
 
     def vacuum(self, table: str, keep: int = 1) -> list[str]:
         """Empty old versions, keeping the current one and the ``keep - 1``
-        newest before it. Only versions written before the current one are
-        touched: a newer folder may be a write in flight, about to become
-        current. Files are removed by Spark's own overwrite of each old folder
-        with an empty frame. Returns the emptied folders."""
+        newest before it. A version is emptied only if it started, and its
+        last file was written, before the current version started: a folder
+        still being written is spared. Run it under the table's one-writer
+        rule (not while a write to the table is in progress). Files are
+        removed by Spark's own overwrite of each old folder with an empty
+        frame. Returns the emptied folders."""
         if keep < 1:
             raise ValueError("keep must be >= 1")
         current = self.describe(table)["location"].rstrip("/")
@@ -206,7 +210,10 @@ class KeyedStore:
         current_time = _version_time(current) or next((t for v, t in listed if v.rstrip("/") == current), None)
         if current_time is None:
             return []
-        old = [v for v, t in listed if v.rstrip("/") != current and t < current_time]
+        old = [
+            v for v, t in listed
+            if v.rstrip("/") != current and t < current_time and self._last_file_ms.get(v, 0) < current_time
+        ]
         drop = old[: max(0, len(old) - (keep - 1))]
         empty = self.spark.createDataFrame([], "x int")
         for v in drop:
