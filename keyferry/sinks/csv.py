@@ -90,7 +90,8 @@ def table_sink(database: str, location_root: str | None = None) -> Callable[[str
         w = df.write.format("parquet").mode(mode)
         if location_root:
             w = w.option("path", f"{location_root.rstrip('/')}/{catalog_name(name)}")
-        w.saveAsTable(f"`{database.replace('`', '``')}`.`{catalog_name(name)}`")
-        return f"{database}.{catalog_name(name)}"
+        target = f"`{database.replace('`', '``')}`.`{catalog_name(name)}`"
+        w.saveAsTable(target)
+        return target
 
     return write

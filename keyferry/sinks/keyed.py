@@ -82,6 +82,11 @@ class WriteResult:
     created: bool = False
 
 
+# File times come from the storage system's clock, version names from the
+# driver's: allow this much disagreement before a version counts as newer.
+_CLOCK_SKEW_MS = 10 * 60 * 1000
+
+
 def _version_time(location: str) -> int | None:
     """Write time (epoch ms) carried by a version folder's name."""
     m = re.search(r"/v-([0-9]{13})-[0-9a-f]+/?$", location)
@@ -198,8 +203,9 @@ class KeyedStore:
     def vacuum(self, table: str, keep: int = 1) -> list[str]:
         """Empty old versions, keeping the current one and the ``keep - 1``
         newest before it. A version is emptied only if it started, and its
-        last file was written, before the current version started: a folder
-        still being written is spared. Run it under the table's one-writer
+        last file was written (within a clock-skew allowance of 10 minutes),
+        before the current version started: a folder still being written is
+        spared. Run it under the table's one-writer
         rule (not while a write to the table is in progress). Files are
         removed by Spark's own overwrite of each old folder with an empty
         frame. Returns the emptied folders."""
@@ -212,7 +218,8 @@ class KeyedStore:
             return []
         old = [
             v for v, t in listed
-            if v.rstrip("/") != current and t < current_time and self._last_file_ms.get(v, 0) < current_time
+            if v.rstrip("/") != current and t < current_time
+            and self._last_file_ms.get(v, 0) < current_time + _CLOCK_SKEW_MS
         ]
         drop = old[: max(0, len(old) - (keep - 1))]
         empty = self.spark.createDataFrame([], "x int")

@@ -138,6 +138,6 @@ def test_folder_path_with_glob_characters(spark, workdir):
     from keyferry.sinks.csv import catalog_name
 
     assert catalog_name("sales[2024]").startswith("sales_2024__")
-    assert res[0].target == f"glob_db.{catalog_name('sales[2024]')}"
+    assert res[0].target == f"`glob_db`.`{catalog_name('sales[2024]')}`"
     assert spark.table(res[0].target).count() == 2
     assert catalog_name("Orders") != catalog_name("orders") == "orders"
