@@ -328,3 +328,16 @@ def test_mode_case_does_not_cause_mismatch(spark, store):
     part = li.filter("l_returnflag = 'R'")
     rep = migrate_table(spark, lambda _: part, m, store, options=RunOptions(mode="Append", reconcile=True))
     assert rep.status == "ok"
+
+
+def test_readme_example_flow(spark, workdir):
+    from keyferry import KeyedStore, PlanSettings, RunOptions, migrate_all, report_frame
+
+    read = lambda name: spark.read.parquet(f"{SF001}/{name.split('.')[-1]}.parquet")
+    store = KeyedStore(spark, keyspace="readme_sales", root=workdir + "/keyed")
+    mappings = [{"source_table": "dbo.orders", "target_table": "orders", "partition_key": "o_custkey",
+                 "clustering_keys": ["o_orderdate", "o_orderkey"], "source_key": "o_orderkey"}]
+    report = migrate_all(spark, read, mappings, store, PlanSettings(), RunOptions(reconcile=True), parallelism=4)
+    assert report_frame(spark, report).first().status == "ok"
+    got = store.lookup("orders", ordered=True, o_custkey=42).collect()
+    assert [r.o_orderdate for r in got] == sorted(r.o_orderdate for r in got)
