@@ -70,13 +70,24 @@ def jdbc_connection(cfg: Mapping) -> JdbcConnection:
 
 
 def source_keys(cfg: Mapping) -> dict[str, tuple[str, ...]]:
-    """``schema.table`` -> declared primary key columns."""
+    """``schema.table`` -> declared primary key columns, from a ``tables``
+    list at the top level or inside the source section."""
+    tables = cfg.get("tables")
+    if tables is None:
+        try:
+            tables = _source_section(cfg).get("tables")
+        except ValueError:
+            tables = None
     out = {}
-    for t in cfg.get("tables") or []:
+    for t in tables or []:
         pk = t.get("primary_key")
         if not pk:
             continue
-        out[f"{t.get('schema', DEFAULT_SCHEMA)}.{t['name']}"] = (pk,) if isinstance(pk, str) else tuple(pk)
+        if "schema" in t:
+            schema, name = t["schema"], t["name"]
+        else:
+            schema, name = split_table_name(t["name"])
+        out[f"{schema}.{name}"] = (pk,) if isinstance(pk, str) else tuple(pk)
     return out
 
 

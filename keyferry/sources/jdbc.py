@@ -10,6 +10,8 @@ pushed into the database's SQL by Spark.
 
 from __future__ import annotations
 
+import decimal
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -77,13 +79,24 @@ def discover_bounds(spark: SparkSession, conn: JdbcConnection, table: str, colum
     return row["lo"], row["hi"]
 
 
+def _bound(v: object, up: bool) -> str:
+    """A bound as Spark parses it: numeric bounds are whole numbers (the
+    range is widened to cover a fractional min/max); dates and timestamps as
+    their text."""
+    if isinstance(v, bool):
+        raise ValueError("a boolean column cannot split a read")
+    if isinstance(v, (int, float, decimal.Decimal)):
+        return str(int(math.ceil(v)) if up else int(math.floor(v)))
+    return str(v)
+
+
 def partition_options(column: str, lower: object, upper: object, num_partitions: int) -> dict[str, str]:
     if num_partitions < 1:
         raise ValueError("num_partitions must be >= 1")
     return {
         "partitionColumn": column,
-        "lowerBound": str(lower),
-        "upperBound": str(upper),
+        "lowerBound": _bound(lower, up=False),
+        "upperBound": _bound(upper, up=True),
         "numPartitions": str(num_partitions),
     }
 

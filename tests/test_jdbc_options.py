@@ -90,3 +90,19 @@ def test_predicate_partitions_go_to_spark_jdbc():
     assert jdbc.read_table(_S, conn, "orders", predicates=preds, fetchsize=1000) == "frame"
     assert seen == {"url": "jdbc:x://h", "table": "dbo.orders", "predicates": preds,
                     "properties": {"user": "u", "password": "p", "driver": "drv", "fetchsize": "1000"}}
+
+
+def test_fractional_bounds_become_whole_numbers():
+    import decimal
+
+    o = jdbc.partition_options("id", decimal.Decimal("1.5000000000"), 99.2, 4)
+    assert (o["lowerBound"], o["upperBound"]) == ("1", "100")
+    assert jdbc.partition_options("d", "2024-01-01", "2024-12-31", 2)["lowerBound"] == "2024-01-01"
+
+
+def test_source_keys_from_nested_section_and_qualified_names():
+    from keyferry import config
+
+    cfg = {"db": {"jdbc_url": "jdbc:x://h", "tables": [{"name": "sales.orders", "primary_key": "id"},
+                                                       {"name": "items", "primary_key": ["a", "b"]}]}}
+    assert config.source_keys(cfg) == {"sales.orders": ("id",), "dbo.items": ("a", "b")}
