@@ -106,3 +106,38 @@ def test_source_keys_from_nested_section_and_qualified_names():
     cfg = {"db": {"jdbc_url": "jdbc:x://h", "tables": [{"name": "sales.orders", "primary_key": "id"},
                                                        {"name": "items", "primary_key": ["a", "b"]}]}}
     assert config.source_keys(cfg) == {"sales.orders": ("id",), "dbo.items": ("a", "b")}
+
+
+def test_write_table_hands_options_to_spark():
+    import pytest as _pytest
+
+    from keyferry.sinks.jdbc import write_table
+
+    seen = {}
+
+    class _Writer:
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def mode(self, m):
+            seen["mode"] = m
+            return self
+
+        def option(self, k, v):
+            seen.setdefault("options", {})[k] = v
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    class _Frame:
+        write = _Writer()
+
+    conn = jdbc.JdbcConnection("jdbc:x://h", "u", "p")
+    write_table(_Frame(), conn, "orders", mode="append", num_partitions=8)
+    assert seen["format"] == "jdbc" and seen["mode"] == "append" and seen["saved"]
+    o = seen["options"]
+    assert o["dbtable"] == "dbo.orders" and o["numPartitions"] == "8" and o["batchsize"] == "10000"
+    with _pytest.raises(ValueError):
+        write_table(_Frame(), conn, "orders", mode="upsert")
