@@ -123,9 +123,10 @@ def _check_shuffle_width(spark: SparkSession, rows: int, mapping: TableMapping)
 
 
 def _num_partitions(df: DataFrame) -> int:
-    """Partitions of the source scan. Asked before any shuffle: planning
-    only, no job is run. Unknown (0) where the RDD view is unavailable
-    (Spark Connect); the coalesce rule then does not fire."""
+    """Partitions of the source. Free for a plain scan; for a derived source
+    (join, aggregate) adaptive execution runs its shuffle stages to answer, so
+    it is asked only when the plan is applied. Unknown (0) where the RDD view
+    is unavailable (Spark Connect); the coalesce rule then does not fire."""
     try:
         return df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001
@@ -183,7 +184,9 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
         raise NullKeyError(f"{mapping.source}: NULL key cells {bad}")
 
     _check_shuffle_width(df.sparkSession, rows, mapping)
-    plan = plan_partitions(rows, _num_partitions(df), settings, has_key=True)
+    # Only a store that applies the R1 plan needs the current partition count.
+    current = _num_partitions(df) if getattr(store, "applies_plan", False) else 0
+    plan = plan_partitions(rows, current, settings, has_key=True)
     rep.plan_action, rep.plan_partitions = plan.action, plan.partitions
     requested = mapping.buckets
     if requested is None and not settings.target_bucket_bytes and plan.action == "repartition":
@@ -205,6 +208,8 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     )
     rep.write_s = time.perf_counter() - t1
     rep.rows_written = result.rows_written
+    if result.buckets is not None:
+        rep.buckets = result.buckets  # an existing table keeps its own count
     rep.status = "skipped_exists" if result.skipped else "ok"
 
     # In ignore mode the target may keep older contents by design: no reconcile.

@@ -78,6 +78,9 @@ class ConnectorStore:
     leave from one task and the connector can group them into batches.
     """
 
+    # Rows are laid out by the R1 partition plan before the connector writes.
+    applies_plan = True
+
     def __init__(self, spark: SparkSession, fmt: str, keyspace: str, tuning: Mapping[str, object] | None = None):
         self.spark = spark
         self.fmt = fmt

@@ -80,6 +80,7 @@ class WriteResult:
     location: str | None
     skipped: bool = False
     created: bool = False
+    buckets: int | None = None
 
 
 # File times come from the storage system's clock, version names from the
@@ -100,6 +101,9 @@ def _ident(name: str) -> str:
 class KeyedStore:
     """Keyed tables of one keyspace (catalog database)."""
 
+    # Layout comes from the bucket count, not from the R1 partition plan.
+    applies_plan = False
+
     def __init__(self, spark: SparkSession, keyspace: str, root: str | None = None):
         self.spark = spark
         self.keyspace = keyspace
@@ -368,7 +372,9 @@ class KeyedStore:
         obs = observation or Observation(unique_name("kf_write"))
         out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)
-        return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), location, created=not present)
+        return WriteResult(
+            self.qualified(table), mode, obs.get.get("rows_written", 0), location, created=not present, buckets=buckets
+        )
 
     def _write_version(
         self,

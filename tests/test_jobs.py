@@ -341,3 +341,11 @@ def test_readme_example_flow(spark, workdir):
     assert report_frame(spark, report).first().status == "ok"
     got = store.lookup("orders", ordered=True, o_custkey=42).collect()
     assert [r.o_orderdate for r in got] == sorted(r.o_orderdate for r in got)
+
+
+def test_report_shows_buckets_used_and_no_extra_jobs(spark, store):
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    m = TableMapping.of("lineitem", "bk", "l_orderkey", "l_linenumber")
+    first = migrate_table(spark, lambda _: li, m, store, PlanSettings(rows_per_partition=1000))
+    again = migrate_table(spark, lambda _: li, m, store, PlanSettings(rows_per_partition=100))
+    assert first.buckets == again.buckets == store.describe("bk")["buckets"]
