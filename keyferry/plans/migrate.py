@@ -187,7 +187,9 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     # Only a store that applies the R1 plan needs the current partition count.
     current = _num_partitions(df) if getattr(store, "applies_plan", False) else 0
     plan = plan_partitions(rows, current, settings, has_key=True)
-    rep.plan_action, rep.plan_partitions = plan.action, plan.partitions
+    rep.plan_action = plan.action
+    # With the partition count not asked (0), a "none" plan has no count to show.
+    rep.plan_partitions = None if (plan.action == "none" and current == 0) else plan.partitions
     requested = mapping.buckets
     if requested is None and not settings.target_bucket_bytes and plan.action == "repartition":
         requested = plan.partitions
@@ -208,7 +210,9 @@ def _migrate(rep, t0, df, mapping, store, settings, options, known_rows) -> Tabl
     )
     rep.write_s = time.perf_counter() - t1
     rep.rows_written = result.rows_written
-    if result.buckets is not None:
+    if getattr(store, "applies_plan", False):
+        rep.buckets = None  # an external store has no buckets of ours
+    elif result.buckets is not None:
         rep.buckets = result.buckets  # an existing table keeps its own count
     rep.status = "skipped_exists" if result.skipped else "ok"
 

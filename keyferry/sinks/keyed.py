@@ -333,7 +333,9 @@ class KeyedStore:
         if present and mode in ("error", "errorifexists"):
             raise TableExistsError(self.qualified(table))
         if present and mode == "ignore":
-            return WriteResult(self.qualified(table), mode, None, None, skipped=True)
+            return WriteResult(
+                self.qualified(table), mode, None, None, skipped=True, buckets=self.describe(table)["buckets"]
+            )
         if present and mode == "overwrite" and not confirm_truncate:
             raise TruncateNotConfirmedError(
                 f"overwrite of {self.qualified(table)} truncates it; pass confirm_truncate=True"
