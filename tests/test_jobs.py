@@ -349,3 +349,16 @@ def test_report_shows_buckets_used_and_no_extra_jobs(spark, store):
     first = migrate_table(spark, lambda _: li, m, store, PlanSettings(rows_per_partition=1000))
     again = migrate_table(spark, lambda _: li, m, store, PlanSettings(rows_per_partition=100))
     assert first.buckets == again.buckets == store.describe("bk")["buckets"]
+
+
+def test_report_fields_for_connector_and_skipped(spark, store):
+    from keyferry.sinks.connector import ConnectorStore
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    m = TableMapping.of("lineitem", "rf", "l_orderkey", "l_linenumber")
+    rep = migrate_table(spark, lambda _: li, m, ConnectorStore(spark, "noop", "ks"))
+    assert rep.status == "ok" and rep.buckets is None
+    migrate_table(spark, lambda _: li, m, store, PlanSettings(rows_per_partition=1000))
+    skipped = migrate_table(spark, lambda _: li, m, store, PlanSettings(rows_per_partition=10),
+                            RunOptions(mode="ignore"))
+    assert skipped.status == "skipped_exists" and skipped.buckets == store.describe("rf")["buckets"]
