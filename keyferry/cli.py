@@ -45,7 +45,8 @@ from keyferry.synth import generate as gen
 def _reader(spark: SparkSession, args: argparse.Namespace, mappings: list[dict]) -> Callable[[str], DataFrame]:
     if args.source.startswith("parquet:"):
         root = args.source.split(":", 1)[1].rstrip("/")
-        return lambda name: spark.read.parquet(f"{root}/{name}.parquet")
+        # "dbo.orders" names the file orders.parquet: the schema part is the source's.
+        return lambda name: spark.read.parquet(f"{root}/{jdbc.split_table_name(name)[1]}.parquet")
     if args.source == "table":
         return spark.table
     if args.source == "jdbc":

@@ -85,19 +85,25 @@ def test_migrate_cli_with_config_files(spark, workdir, capsys, tmp_path):
     assert plan.enable_cache and plan.rows_per_partition == 500 and opts.mode == "append"
     assert config.attach_source_keys(maps, config.source_keys(src))[0]["source_key"] == ["o_orderkey"]
 
-    # The parquet reader is given the table part of "dbo.orders".
+    # The real parquet reader reads "dbo.orders" from orders.parquet; the
+    # mappings handed to the job carry the source keys from the source config.
     import keyferry.cli as cli
 
-    orig = cli._reader
-    cli._reader = lambda spark_, args, mappings: (
-        lambda name: spark_.read.parquet(f"{SF001}/{name.split('.')[-1]}.parquet")
-    )
+    seen = {}
+    real = cli.migrate_all
+
+    def spy(spark_, reader, mappings, *a, **kw):
+        seen["mappings"] = mappings
+        return real(spark_, reader, mappings, *a, **kw)
+
+    cli.migrate_all = spy
     try:
         code = main(["migrate", "--config", str(tmp_path / "target.yaml"), "--source-config",
-                     str(tmp_path / "source.yaml"), "--source", "parquet:unused", "--keyspace", "cfg_ks",
+                     str(tmp_path / "source.yaml"), "--source", f"parquet:{SF001}", "--keyspace", "cfg_ks",
                      "--root", workdir], spark)
     finally:
-        cli._reader = orig
+        cli.migrate_all = real
+    assert seen["mappings"][0]["source_key"] == ["o_orderkey"]
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert code == 0 and [r["status"] for r in lines] == ["ok", "ok"]
     orders = spark.read.parquet(f"{SF001}/orders.parquet").count()
@@ -107,10 +113,24 @@ def test_migrate_cli_with_config_files(spark, workdir, capsys, tmp_path):
 def test_migrate_cli_through_a_connector(spark, workdir, capsys, tmp_path):
     mfile = tmp_path / "m.json"
     mfile.write_text(json.dumps([{"source_table": "nation", "target_table": "nation", "partition_key": "n_nationkey"}]))
-    code = main(["migrate", "--mappings", str(mfile), "--source", f"parquet:{SF001}", "--keyspace", "ks",
-                 "--target-format", "noop", "--target-option", "output.batch.size.rows=1000"], spark)
+    import keyferry.cli as cli
+
+    made = {}
+    real = cli.ConnectorStore
+
+    def spy(spark_, fmt, keyspace, tuning=None):
+        made.update(fmt=fmt, keyspace=keyspace, tuning=tuning)
+        return real(spark_, fmt, keyspace, tuning=tuning)
+
+    cli.ConnectorStore = spy
+    try:
+        code = main(["migrate", "--mappings", str(mfile), "--source", f"parquet:{SF001}", "--keyspace", "ks",
+                     "--target-format", "noop", "--target-option", "output.batch.size.rows=1000"], spark)
+    finally:
+        cli.ConnectorStore = real
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert code == 0 and lines[0]["status"] == "ok" and lines[0]["rows_written"] == 25
+    assert made == {"fmt": "noop", "keyspace": "ks", "tuning": {"output.batch.size.rows": "1000"}}
 
 
 def test_print_ddl(spark, capsys, tmp_path):

@@ -155,11 +155,12 @@ def test_ntz_conversion_is_exact_in_a_dst_overlap(spark):
     try:
         gap = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30),)], "t timestamp_ntz")  # spring-forward gap
         assert conform(gap, "exact").select(F.unix_seconds("t")).first()[0] == 1710037800
-        rows = [(dt.datetime(2024, 11, 3, 5, 30), [dt.datetime(2024, 11, 3, 6, 30)])]
+        # 01:30 on 2024-11-03 happens twice in New York (fall-back overlap).
+        rows = [(dt.datetime(2024, 11, 3, 1, 30), [dt.datetime(2024, 11, 3, 1, 45)])]
         df = spark.createDataFrame(rows, "t timestamp_ntz, a array<timestamp_ntz>")
         out = conform(df, "exact")
         r = out.select(F.unix_seconds("t").alias("s"), F.unix_seconds(F.col("a")[0]).alias("n")).first()
-        assert (r.s, r.n) == (1730611800, 1730615400)  # distinct, read as UTC, nested too
-        assert as_utc_wall_clock(out.select("t")).first().t == dt.datetime(2024, 11, 3, 5, 30)
+        assert (r.s, r.n) == (1730597400, 1730598300)  # read as UTC, nested too, 15 minutes apart
+        assert as_utc_wall_clock(out.select("t")).first().t == dt.datetime(2024, 11, 3, 1, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)

@@ -33,7 +33,9 @@ def test_feed_two_rounds_equals_upsert(spark, store, workdir):
     q = feed_keyed_table(spark, folder + "/*", schema, store, m, buckets=3, profile="exact",
                          checkpoint=workdir + "/ckpt")
     q.awaitTermination(120)
-    # Round 1 files are not taken again; round 2 replaced the open orders.
+    # Round 1 files are not taken again: only round 2's rows were read.
+    assert sum(p["numInputRows"] for p in q.recentProgress) == second.count()
+    # Round 2 replaced the open orders.
     key = ["o_custkey", "o_orderdate", "o_orderkey"]
     from keyferry.operators.conform import conform
 
