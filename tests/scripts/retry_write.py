@@ -49,12 +49,31 @@ def main() -> None:
     r = st.write(flaky, "li", ["l_orderkey"], ["l_linenumber"], buckets=4)
     got = st.read("li")
     want = dedupe(li, ["l_orderkey", "l_linenumber"])
+    lost_before_write = len(os.listdir(MARKS))
+
+    # Second case: tasks of the write stage itself fail (after the rebalance,
+    # beside the observed count and the file writes) and are retried.
+    from pyspark.sql import Observation
+
+    from keyferry.operators.layout import bucket_aligned
+
+    obs = Observation("retry_write_stage")
+    staged = bucket_aligned(want, 4, ["l_orderkey"]).filter(
+        lose_first_attempt.asNondeterministic()(F.col("l_orderkey"))
+    )
+    st._write_version(staged.observe(obs, F.count(F.lit(1)).alias("n")), "li2", ["l_orderkey"],
+                      ["l_linenumber"], 4, replace=False)
+    got2 = st.read("li2")
     print(json.dumps({
         "rows_written": r.rows_written,
         "table_rows": got.count(),
         "expected_rows": want.count(),
         "diff": got.exceptAll(want).count() + want.exceptAll(got).count(),
-        "lost_tasks": len(os.listdir(MARKS)),
+        "lost_tasks": lost_before_write,
+        "write_stage_lost_tasks": len(os.listdir(MARKS)) - lost_before_write,
+        "write_stage_observed": obs.get["n"],
+        "write_stage_rows": got2.count(),
+        "write_stage_diff": got2.exceptAll(want).count() + want.exceptAll(got2).count(),
     }))
     spark.stop()
 

@@ -23,3 +23,8 @@ def test_write_survives_lost_tasks():
     assert res["lost_tasks"] >= 2  # task attempts really failed and were retried
     assert res["diff"] == 0
     assert res["rows_written"] == res["table_rows"] == res["expected_rows"]
+    # Failures inside the write stage: its retried tasks leave an exact table
+    # and the count observed there is not inflated.
+    assert res["write_stage_lost_tasks"] >= 1
+    assert res["write_stage_observed"] == res["write_stage_rows"] == res["expected_rows"]
+    assert res["write_stage_diff"] == 0

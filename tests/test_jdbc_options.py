@@ -72,6 +72,7 @@ def test_partitioned_read_with_given_bounds_runs_no_query(captured):
     conn = jdbc.JdbcConnection("jdbc:x://h")
     jdbc.read_table(_Spark, conn, "orders", partition_column="id", lower_bound=1, upper_bound=5)
     assert len(captured) == 1 and captured[0]["numPartitions"] == "8"  # default parallelism
+    assert (captured[0]["lowerBound"], captured[0]["upperBound"]) == ("1", "5")
 
 
 def test_predicate_partitions_go_to_spark_jdbc():
