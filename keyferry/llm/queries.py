@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.llm import decontaminate, mixing, quality_rules, url_filter
+from keyferry.llm import decontaminate, mixing, pii, quality_rules, url_filter
 from keyferry.llm.common import table
 
 # Fixed by the query contract: host, path, verdict.
@@ -17,6 +17,19 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# -- 1: personal data -----------------------------------------------------------
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        code = pii.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["code"] == code)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("row.doc_id").alias("doc_id"), *[count(k) for k in pii.KINDS],
+                        F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.spans_text(F.col("spans")).alias("spans"))
+
+
 # -- 6: mixing sources ----------------------------------------------------------
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -125,6 +138,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p L
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op6_mix_sources": op6_mix_sources,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
