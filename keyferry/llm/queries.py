@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.llm import decontaminate, mixing, pii, quality_rules, url_filter
+from keyferry.llm import decontaminate, mixing, near_dup, pii, quality_rules, url_filter
 from keyferry.llm.common import table
 
 # Fixed by the query contract: host, path, verdict.
@@ -30,6 +30,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.spans_text(F.col("spans")).alias("spans"))
 
 
+# -- 2: near duplicates -----------------------------------------------------------
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.groups(table(spark, sf_dir, "documents"), near_dup.Settings(words=3, percent=85))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 # -- 6: mixing sources ----------------------------------------------------------
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -139,6 +145,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p L
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_minhash": op2_minhash,
     "op6_mix_sources": op6_mix_sources,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
