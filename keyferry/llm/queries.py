@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.llm import decontaminate, mixing, near_dup, pii, quality_rules, url_filter
+from keyferry.llm import decontaminate, mixing, near_dup, pii, quality_model, quality_rules, toxicity, url_filter
 from keyferry.llm.common import table
 
 # Fixed by the query contract: host, path, verdict.
@@ -36,6 +36,12 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+# -- 4: quality classifier ----------------------------------------------------------
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality_model.score(documents, quality_model.fit(documents, table(spark, sf_dir, "labels")))
+
+
 # -- 6: mixing sources ----------------------------------------------------------
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -62,6 +68,12 @@ taken AS (SELECT doc_id, sum(size) AS taken FROM line WHERE upto <= (SELECT sum(
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN taken USING (doc_id)"""
 
 
+# -- 7: toxicity --------------------------------------------------------------------
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 # -- 8: benchmark decontamination -------------------------------------------------
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -146,7 +158,9 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p L
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_minhash": op2_minhash,
+    "op4_quality_model": op4_quality_model,
     "op6_mix_sources": op6_mix_sources,
+    "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
