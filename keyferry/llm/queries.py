@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.llm import decontaminate, mixing, near_dup, pii, quality_model, quality_rules, toxicity, url_filter
+from keyferry.llm import decontaminate, mixing, near_dup, pii, quality_model, quality_rules, suffix_dedup, toxicity, url_filter
 from keyferry.llm.common import table
 
 # Fixed by the query contract: host, path, verdict.
@@ -42,6 +42,11 @@ def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(documents, quality_model.fit(documents, table(spark, sf_dir, "labels")))
 
 
+# -- 5: repeated byte strings ---------------------------------------------------------
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 # -- 6: mixing sources ----------------------------------------------------------
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -159,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_minhash": op2_minhash,
     "op4_quality_model": op4_quality_model,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_toxicity": op7_toxicity,
     "op8_decontaminate": op8_decontaminate,
