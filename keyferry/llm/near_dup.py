@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyferry.llm.common import stored
+from keyferry.llm.common import stored, text_or_empty
 from keyferry.llm.graph import components
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -144,7 +144,7 @@ def _signer(settings: Settings):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                sets = [shingles(t, settings.words, known) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                sets = [shingles(t, settings.words, known) for t in part.column(2).cast(pa.binary()).to_pylist()]
                 slots = superminhash(sets, settings.size)
                 bands = np.full(len(sets), 0, np.uint64)
                 keys = []
@@ -157,12 +157,12 @@ def _signer(settings: Settings):
                 short = (mixed(slots) & np.uint64(0xFFFF)).astype(np.uint16)
                 full = np.array([len(s) > 0 for s in sets], bool)
                 yield pa.record_batch([
-                    part.column(0),
+                    part.column(0), part.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([k if f else None for k, f in zip(keys, full)], pa.list_(pa.int64())),
                     pa.array([x.tobytes() if f else None for x, f in zip(short, full)], pa.binary()),
-                ], names=["doc_id", "n_shingles", "set_id", "bands", "sketch"])
+                ], names=["doc_id", "text_hash", "n_shingles", "set_id", "bands", "sketch"])
     return sign
 
 
@@ -261,12 +261,12 @@ def _leftover_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame,
 
 
 def groups(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row of `documents`: doc_id, n_shingles, set_id, component_id."""
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """Per row of `documents`: doc_id, text_hash, n_shingles, component_id."""
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(), "text")
     signed = stored(source.mapInArrow(
-        _signer(settings), "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"), "dup-signed")
+        _signer(settings), "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"), "dup-signed")
     classes = signed.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    placed = signed.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left")
+    placed = signed.select("doc_id", "text_hash", "n_shingles", "set_id").join(classes, "set_id", "left")
     reps = stored(signed.join(classes, "set_id").where(F.col("doc_id") == F.col("rep")).select("rep", "bands", "sketch").distinct(), "dup-reps")
 
     band = reps.select("rep", F.explode("bands").alias("key")).distinct()
@@ -286,16 +286,27 @@ def groups(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
         labels = components(labels.unionByName(rest))
     labels = labels.withColumnsRenamed({"u": "rep", "v": "label"})
     return placed.join(labels, "rep", "left").select(
-        "doc_id", "n_shingles", "set_id", F.coalesce("label", "rep", "doc_id").alias("component_id"))
+        "doc_id", "text_hash", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
+
+
+def _text_hash():
+    return F.xxhash64(text_or_empty(F.col("text"))).alias("text_hash")
 
 
 def dedupe(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row of each group: the rows whose doc_id is the group's smallest; of equal rows among them, one.
 
-    Rows without words are in no group and all stay; so do rows without a doc_id that have no group.
+    Texts without words are in no group and stay.
     """
-    found = groups(documents, settings)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    gone = stored(gone, "dup-gone")
-    left = documents.join(gone.withColumnRenamed("doc_id", "gone_id"), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    return left.dropDuplicates()
+    found = stored(groups(documents, settings), "dup-groups")
+    key = ["gone_id", "gone_hash"]
+    named = found.withColumnsRenamed({"doc_id": "gone_id", "text_hash": "gone_hash"})
+    gone = stored(named.where(~F.col("gone_id").eqNullSafe(F.col("component_id"))).select(*key).distinct(), "dup-gone")
+    again = stored(named.where("n_shingles > 0").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "dup-again")
+    row = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), _text_hash().alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_hash") == F.col("gone_hash"))
+    left = row.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return left.select("row.*")
+    once = left.join(again, same, "left_semi").dropDuplicates(["own_id", "own_hash"])
+    return left.join(again, same, "left_anti").unionByName(once).select("row.*")

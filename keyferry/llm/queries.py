@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.llm import decontaminate, mixing, near_dup, pii, quality_model, quality_rules, suffix_dedup, toxicity, url_filter
+import corpus_pipeline
+from keyferry.llm import decontaminate, katz, mixing, near_dup, pii, quality_model, quality_rules, suffix_dedup, toxicity, url_filter
 from keyferry.llm.common import table
 
 # Fixed by the query contract: host, path, verdict.
@@ -36,6 +37,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+# -- 3: language model ------------------------------------------------------------
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 # -- 4: quality classifier ----------------------------------------------------------
 def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -161,8 +167,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p L
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op1_pii": op1_pii,
     "op2_minhash": op2_minhash,
+    "op3_katz": op3_katz,
     "op4_quality_model": op4_quality_model,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
