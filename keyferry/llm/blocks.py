@@ -13,7 +13,6 @@ joining the answers to their blocks does not move the texts again.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -124,9 +123,13 @@ def messages(rows: Iterator[tuple[int, int, bytes]], size: int = 256) -> Iterato
         yield batch()
 
 
-@functools.lru_cache(maxsize=4)
+_EDGES: dict[int, np.ndarray] = {}
+
+
 def _edges(buckets: int) -> np.ndarray:
-    return np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+    if buckets not in _EDGES:
+        _EDGES[buckets] = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+    return _EDGES[buckets]
 
 
 def dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:

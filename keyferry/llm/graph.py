@@ -34,10 +34,6 @@ def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["u", "v"])
 
 
-def _union(edges: DataFrame, partitions: int) -> DataFrame:
-    return edges.repartition(partitions, "u").mapInArrow(_local_forest, "u bigint, v bigint")
-
-
 def components(edges: DataFrame, rows_per_task: int = 500_000) -> DataFrame:
     """`edges` has long columns u, v (no nulls). Returns u, v: each node that is not the
     smallest of its component, and that smallest node.
@@ -50,7 +46,8 @@ def components(edges: DataFrame, rows_per_task: int = 500_000) -> DataFrame:
     if n == 0:
         return edges
     parts = -(-n // rows_per_task)
-    edges = stored(_union(edges, parts), "cc-forest")
+    dealt = edges.coalesce(1) if parts == 1 else edges.repartition(parts)  # any split gives a forest
+    edges = stored(dealt.mapInArrow(_local_forest, "u bigint, v bigint"), "cc-forest")
     if parts == 1:  # one union-find has seen every edge
         return edges
     while True:

@@ -135,7 +135,8 @@ class Settings:
 
     @property
     def size(self) -> int:
-        return self.rows * self.bands
+        """Slots of a signature: those of the bands, and more for a closer estimate."""
+        return max(256, self.rows * self.bands)
 
 
 def _signer(settings: Settings):
@@ -198,42 +199,44 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
 
 def _blocks(settings: Settings):
     """Likely links between the outliers and the members of one block of a bucket."""
-    # Six standard deviations of a plain MinHash estimate below the threshold.
+    # Four and a half standard deviations of a plain MinHash estimate below the
+    # threshold (a chance of 3e-6; SuperMinHash estimates vary less).
     s = settings.percent / 100
-    least = (s - 6 * math.sqrt(s * (1 - s) / settings.size)) * settings.size
-
-    def compare(block):
-        out, rest = block[block.outlier], block[~block.outlier]
-        if not len(out):
-            return
-        x = np.stack([np.frombuffer(k, np.uint16) for k in out.sketch])
-        for other in (rest, out):
-            if not len(other):
-                continue
-            y = np.stack([np.frombuffer(k, np.uint16) for k in other.sketch])
-            ids, comps = other.rep.to_numpy(), other.comp.to_numpy()
-            for sig, rep, comp in zip(x, out.rep, out.comp):
-                hit = (comps != comp) & ((y == sig).sum(axis=1) >= least)
-                for other_rep in ids[hit]:
-                    yield (min(rep, other_rep), max(rep, other_rep))
+    least = (s - 4.5 * math.sqrt(s * (1 - s) / settings.size)) * settings.size
+
+    def compare(block) -> list[np.ndarray]:
+        found, mark = [], block.outlier.to_numpy()
+        sketch = np.frombuffer(b"".join(block.sketch), np.uint16).reshape(len(block), -1)
+        rep, comp, n = (block[c].to_numpy() for c in ("rep", "comp", "n_shingles"))
+        for i in np.flatnonzero(mark):
+            # Sets whose sizes alone keep them below the threshold need no look.
+            near = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= settings.percent * np.maximum(n, n[i]))
+            near = np.flatnonzero(near)
+            hit = near[(sketch[near] == sketch[i]).sum(axis=1) >= least]
+            found.append(np.stack([np.minimum(rep[i], rep[hit]), np.maximum(rep[i], rep[hit])], axis=1))
+        return found
 
     def likely(frames):
         import pandas as pd
 
-        held = []
-        for frame in frames:
-            held.append(frame)
-            whole = pd.concat(held, ignore_index=True)
-            tail = (whole[["key", "ob", "mb"]] == whole[["key", "ob", "mb"]].iloc[-1]).all(axis=1)
-            held = [whole[tail]]
-            yield pd.DataFrame([p for _, g in whole[~tail].groupby(["key", "ob", "mb"]) for p in compare(g)], columns=["u", "v"]).astype("int64")
-        if held:
-            yield pd.DataFrame([p for _, g in held[0].groupby(["key", "ob", "mb"]) for p in compare(g)], columns=["u", "v"]).astype("int64")
+        key, held = ["key", "ob", "mb"], None
+
+        def links(frame):
+            found = [p for _, g in frame.groupby(key, sort=False) for p in compare(g)]
+            return pd.DataFrame(np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64), columns=["u", "v"])
+
+        for frame in frames:  # the last block of a frame may go on in the next
+            whole = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            tail = (whole[key] == whole[key].iloc[-1]).all(axis=1)
+            held = whole[tail]
+            yield links(whole[~tail])
+        if held is not None:
+            yield links(held)
     return likely
 
 
 def _leftover_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, tested: DataFrame,
-                    settings: Settings, block: int = 2_000) -> DataFrame:
+                    settings: Settings, block: int = 4_000) -> DataFrame:
     """Likely links across components inside buckets, except pairs already tested."""
     own = buckets.join(labels.withColumnsRenamed({"u": "rep", "v": "comp"}), "rep", "left").select(
         "key", "rep", F.coalesce("comp", "rep").alias("comp"))
@@ -250,10 +253,11 @@ def _leftover_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame,
     member = member.join(sketches, "rep")
     # Blocks of members by hash; the outliers of a bucket go to every member block, one outlier block at a time.
     slot = F.xxhash64("rep")
-    fixed_mb = member.select("key", "rep", "comp", "sketch", F.lit(False).alias("outlier"),
+    own = ["key", "rep", "comp", "sketch", "n_shingles"]
+    fixed_mb = member.select(*own, F.lit(False).alias("outlier"),
                              F.explode(F.sequence(F.lit(0), F.col("obs") - 1)).alias("ob"), F.pmod(slot, "mbs").cast("int").alias("mb"))
     fixed_ob = member.where("outlier").select(
-        "key", "rep", "comp", "sketch", "outlier", F.pmod(slot, "obs").cast("int").alias("ob"),
+        *own, "outlier", F.pmod(slot, "obs").cast("int").alias("ob"),
         F.explode(F.sequence(F.lit(0), F.col("mbs") - 1)).alias("mb"))
     blocks = fixed_mb.unionByName(fixed_ob).repartition("key", "ob", "mb").sortWithinPartitions("key", "ob", "mb")
     found = blocks.mapInPandas(_blocks(settings), "u bigint, v bigint").distinct()
@@ -267,7 +271,7 @@ def groups(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
         _signer(settings), "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"), "dup-signed")
     classes = signed.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     placed = signed.select("doc_id", "text_hash", "n_shingles", "set_id").join(classes, "set_id", "left")
-    reps = stored(signed.join(classes, "set_id").where(F.col("doc_id") == F.col("rep")).select("rep", "bands", "sketch").distinct(), "dup-reps")
+    reps = stored(signed.join(classes, "set_id").where(F.col("doc_id") == F.col("rep")).select("rep", "bands", "sketch", "n_shingles").distinct(), "dup-reps")
 
     band = reps.select("rep", F.explode("bands").alias("key")).distinct()
     shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -281,7 +285,7 @@ def groups(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     links = _confirmed(spokes, texts, settings)
     labels = components(links)
     tested = spokes.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    rest = _confirmed(_leftover_pairs(buckets, labels, reps.select("rep", "sketch"), tested, settings), texts, settings)
+    rest = _confirmed(_leftover_pairs(buckets, labels, reps.select("rep", "sketch", "n_shingles"), tested, settings), texts, settings)
     if not rest.isEmpty():
         labels = components(labels.unionByName(rest))
     labels = labels.withColumnsRenamed({"u": "rep", "v": "label"})
