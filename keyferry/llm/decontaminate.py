@@ -52,11 +52,13 @@ def _with_window_hashes(df: DataFrame, lengths: list[int]) -> DataFrame:
 
 def _exploded(df: DataFrame, lengths: list[int], keys: list[str]) -> DataFrame:
     """keys, pos, len, hash: one row per window."""
+    # The outer form, since Spark gives the inner one a filter on the array's
+    # size, which it would compute from the text a second time.
     if len(lengths) == 1:
-        return df.select(*keys, F.lit(lengths[0]).alias("len"), F.posexplode(f"h{lengths[0]}").alias("pos", "hash"))
+        return df.select(*keys, F.lit(lengths[0]).alias("len"), F.posexplode_outer(f"h{lengths[0]}").alias("pos", "hash"))
     each = F.array(*[F.struct(F.lit(n).alias("len"), F.col(f"h{n}").alias("hs")) for n in lengths])
     return df.select(*keys, F.explode(each).alias("w")).select(
-        *keys, F.col("w.len").alias("len"), F.posexplode("w.hs").alias("pos", "hash"))
+        *keys, F.col("w.len").alias("len"), F.posexplode_outer("w.hs").alias("pos", "hash"))
 
 
 def _key() -> list[Column]:
@@ -77,13 +79,13 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10,
         return row.select("row", F.size(normal_words(F.col("text"))).cast("long").alias("n_words"),
                           F.array().cast(HIT).alias("hits"))
     own = _with_window_hashes(items.withColumn("own_length", length), lengths)
-    windows = _exploded(own, lengths, ["item", "words", "own_length"]).where(F.col("len") == F.col("own_length"))
+    windows = _exploded(own, lengths, ["item", "words", "own_length"]).where((F.col("len") == F.col("own_length")) & F.col("hash").isNotNull())
     windows = windows.select("len", "hash", "item", F.array_join(F.slice("words", F.col("pos") + 1, F.col("len")), " ").alias("words"))
     windows = stored(windows.groupBy("len", "hash", "words").agg(F.collect_set("item").alias("items")), "leak-windows")
     tests = windows.select("len", "hash").distinct()
 
     scanned = _with_window_hashes(documents.select(*_key(), normal_words(F.col("text")).alias("words")), lengths)
-    probe = _exploded(scanned, lengths, ["key_id", "key_text"])
+    probe = _exploded(scanned, lengths, ["key_id", "key_text"])  # the join drops the null row of a text without windows
     if tests.count() * 16 <= broadcast_bytes:
         tests = F.broadcast(tests)
     met = stored(probe.join(tests, ["len", "hash"]).distinct(), "leak-met")  # repeated documents meet once

@@ -132,9 +132,10 @@ def _key() -> list[Column]:
 def revealing_terms(documents: DataFrame, reach: int = 48, min_support: int = 3, generalise_at: float = 0.7,
                     remove_at: float = 0.9) -> DataFrame:
     """key_id, key_text, terms: spans (start, code, end) of disclosing terms, per document that has any."""
+    # Outer explodes: the inner form would get a filter that computes its array twice.
     found = _with_matches(documents.select(*_key(), text_or_empty(F.col("text")).alias("t")), "t", reach)
     every = F.concat(*[F.transform(k, _tagger(k)) for k in PATTERNS])
-    carriers = found.select("key_id", "key_text", F.explode(every).alias("e")).select(
+    carriers = found.select("key_id", "key_text", F.explode_outer(every).alias("e")).where(F.col("e").isNotNull()).select(
         "key_id", "key_text", "e.kind", "e.value",
         F.concat(_terms(F.col("e.left"), F.col("e.start") - F.length("e.left") + 2), _terms(F.col("e.right"), F.col("e.end"))).alias("terms"))
     carriers = stored(carriers, "pii-carriers")
@@ -147,7 +148,7 @@ def revealing_terms(documents: DataFrame, reach: int = 48, min_support: int = 3,
     # Document frequency of every term of the corpus, pre-aggregated before the shuffle.
     spaced = F.concat(F.lit(" "), text_or_empty(F.col("text")), F.lit(" "))
     words = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(spaced, F.lit(TERM), F.lit(0))), F.lower))
-    df_term = documents.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    df_term = documents.select(F.explode_outer(words).alias("term")).where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     n = documents.count()
     information = F.log(F.lit(float(n)) / F.col("df_c"))
     revealed = F.log(F.lit(float(n)) * F.col("df_ct") / (F.col("df_c") * F.col("df_t")))
