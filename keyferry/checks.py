@@ -9,6 +9,7 @@ folder, into fresh locations, so repeated or concurrent runs never collide.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from keyferry.plans.partition_plan import plan_columns
 from keyferry.session import fresh_path, unique_name
 from keyferry.sinks.csv import export_tables, load_folder, table_sink, write_csv
 from keyferry.sinks.keyed import KeyedStore
-from keyferry.sources.csv_folder import folder_row_counts, read_csv
+from keyferry.sources.csv_folder import TEXT_OPTIONS, folder_row_counts, read_csv
 from keyferry.spec import PlanSettings, RunOptions, TableMapping
 from keyferry.streaming.folder_feed import feed_keyed_table
 from keyferry.synth import generate as gen
@@ -535,6 +536,67 @@ def gen_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gen.order_lines(orders, products, n_products)
 
 
+def gen_draw_independence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For pairs of drawn columns: do more than half of the pairs that could occur do so?"""
+    n_c, n_p = table(spark, sf_dir, "customer").count(), table(spark, sf_dir, "part").count()
+    customers, products = gen.customers(_customer_ids(spark, sf_dir)), gen.products(_product_ids(spark, sf_dir))
+    orders = gen.orders(_order_ids(spark, sf_dir), n_c)
+    lines = gen.order_lines(orders, products, n_p).groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("items"), F.min("product_id").alias("product"))
+    domain = F.substring_index("email", "@", -1).alias("domain")
+    word = F.substring_index("description", " ", 1).alias("word")
+    pairs = [
+        ("first and last name", customers.select("first_name", "last_name"), len(gen.FIRST_NAMES) * len(gen.LAST_NAMES)),
+        ("city and mail domain", customers.select("city", domain), len(gen.PLACES) * len(gen.DOMAINS)),
+        ("category and descriptor", products.select("category", word), len(gen.CATEGORIES) * len(gen.DESCRIPTORS)),
+        ("status and payment", orders.select("status", "payment_method"), len(gen.STATUSES) * len(gen.PAYMENTS)),
+        ("items and a product modulo 5", lines.select("items", F.col("product") % 5), gen.MAX_ITEMS * 5),
+    ]
+    rows = [
+        df.toDF("a", "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).agg(
+            F.lit(name).alias("pair"), (2 * F.count(F.lit(1)) > F.least(F.lit(possible), F.sum("n"))).alias("spread"))
+        for name, df, possible in pairs
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+# No formula of the generator: the answer has to be yes.
+SQL_GEN_DRAW_INDEPENDENCE = """SELECT * FROM (VALUES ('first and last name', true), ('city and mail domain', true),
+  ('category and descriptor', true), ('status and payment', true), ('items and a product modulo 5', true)) v(pair, spread)"""
+
+
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with spaces, quotes and line breaks through a CSV export and back."""
+    folder = fresh_path(spark, "csv-text")
+    sent = {n: table(spark, sf_dir, n) for n in ("documents", "conversations")}
+    export_tables(sent, folder)
+    back = {n: read_csv(spark, f"{folder}/{n}", schema=df.schema, options=TEXT_OPTIONS) for n, df in sent.items()}
+    docs = back["documents"].select(F.lit("documents").alias("tab"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
+    turns = back["conversations"].select(F.lit("conversations").alias("tab"), F.col("conv_id").alias("id"), F.col("turn").cast("bigint"), "text")
+    return docs.unionByName(turns).select("tab", "id", "turn", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("chars"))
+
+
+# An empty string has no CSV form of its own and comes back as NULL.
+SQL_CSV_TEXT_ROUNDTRIP = """SELECT tab, id, turn, md5(nullif(text, '')) AS text_md5, length(nullif(text, '')) AS chars FROM (
+  SELECT 'documents' AS tab, doc_id AS id, 0::BIGINT AS turn, text FROM documents
+  UNION ALL SELECT 'conversations', conv_id, turn::BIGINT, text FROM conversations)"""
+
+
+def migrate_one_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two mappings of disjoint sources into one target, submitted at once."""
+    store = KeyedStore(spark, unique_name("kf_shared"), fresh_path(spark, "shared-target"))
+    orders = table(spark, sf_dir, "orders")
+    sources = {"open": orders.filter("o_orderstatus = 'O'"), "rest": orders.filter("o_orderstatus <> 'O'")}
+    maps = [TableMapping.of(n, "orders", "o_custkey", ["o_orderdate", "o_orderkey"], buckets=CHECK_BUCKETS) for n in sources]
+    reports = migrate_all(spark, sources.__getitem__, maps, store, options=RunOptions(profile="exact"), parallelism=4)
+    failed = [r.error for r in reports if r.status != "ok"]
+    if failed:
+        raise RuntimeError("; ".join(failed))
+    return store.read("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+SQL_MIGRATE_ONE_TARGET = "SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders"
+
 SQL_GEN_CUSTOMERS = gen.customers_sql(SQL_CUSTOMER_IDS)
 SQL_GEN_PRODUCTS = gen.products_sql(SQL_PRODUCT_IDS)
 SQL_GEN_ORDERS = gen.orders_sql(SQL_ORDER_IDS, "SELECT count(*) FROM customer")
@@ -573,6 +635,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_folder_counts": csv_folder_counts,
     "csv_folder_load": csv_folder_load,
     "gen_customers": gen_customers,
+    "gen_draw_independence": gen_draw_independence,
+    "csv_text_roundtrip": csv_text_roundtrip,
+    "migrate_one_target": migrate_one_target,
     "gen_products": gen_products,
     "gen_orders": gen_orders,
     "gen_order_details": gen_order_details,
@@ -607,6 +672,9 @@ ORACLE_SQL: dict[str, str] = {
     "csv_folder_counts": SQL_CSV_FOLDER_COUNTS,
     "csv_folder_load": SQL_CSV_FOLDER_LOAD,
     "gen_customers": SQL_GEN_CUSTOMERS,
+    "gen_draw_independence": SQL_GEN_DRAW_INDEPENDENCE,
+    "csv_text_roundtrip": SQL_CSV_TEXT_ROUNDTRIP,
+    "migrate_one_target": SQL_MIGRATE_ONE_TARGET,
     "gen_products": SQL_GEN_PRODUCTS,
     "gen_orders": SQL_GEN_ORDERS,
     "gen_order_details": SQL_GEN_ORDER_DETAILS,

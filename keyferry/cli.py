@@ -107,6 +107,8 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
         tuning = {**options.extra, **dict(kv.split("=", 1) for kv in args.target_option or [])}
         store = ConnectorStore(spark, args.target_format, args.keyspace, tuning=tuning)
     else:
+        if not args.root:
+            raise SystemExit("give --root: the shared folder that keeps the keyed tables")
         store = KeyedStore(spark, args.keyspace, args.root)
     reports = migrate_all(spark, _reader(spark, args, mappings), mappings, store, settings, options,
                           parallelism=args.parallelism)
@@ -129,6 +131,8 @@ def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
             write_table(df, conn, name, args.schema, mode)
             return jdbc.qualified(name, args.schema)
     else:
+        if not args.location_root:
+            raise SystemExit("give --location-root: the shared folder that keeps the loaded tables")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
         sink = table_sink(args.database, args.location_root)
     results = load_folder(spark, args.folder, sink, mode=args.mode)

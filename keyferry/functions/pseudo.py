@@ -1,8 +1,9 @@
-"""Deterministic pseudo-random values from integer ids.
+"""Deterministic pseudo-random values from row ids.
 
-Everything is integer arithmetic on non-negative 64-bit values, so Spark and
-any SQL engine produce identical results, and every value depends only on the
-row's id (no seed state, any partitioning, re-runs give the same rows).
+A draw is the first 60 bits of ``md5("<id>:<salt>")``, so draws with different
+salts are independent of each other, have no short period, and come out the
+same in Spark and in any SQL engine that has md5. Every value depends only on
+the row's id (no seed state, any partitioning, re-runs give the same rows).
 
 Each helper exists twice: as a Spark ``Column`` and as SQL text (used by the
 checks that compare Spark output with an independent engine).
@@ -15,20 +16,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A Lehmer generator (multiplier 48271, modulus 2^31 - 1).
-MULT = 48271
-MOD = 2147483647
+HEX_DIGITS = 15  # of the digest; 60 bits stay inside a signed 64-bit integer
+# A prime (2^61 - 1) above any row count: steps modulo n with it visit n different values.
+PRIME = 2305843009213693951
 
 
 def mix(x: Column, salt: int) -> Column:
-    """Two Lehmer steps of ``x`` with a salt; result in [0, MOD)."""
-    a = (x * F.lit(MULT) + F.lit(salt)) % F.lit(MOD)
-    return (a * F.lit(MULT) + F.lit(salt * 7 + 3)) % F.lit(MOD)
+    """A draw for id ``x``: an integer in [0, 2^60)."""
+    digest = F.md5(F.concat(x.cast("string"), F.lit(f":{salt}")))
+    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint")
 
 
 def mix_sql(x: str, salt: int) -> str:
-    a = f"(({x}) * {MULT} + {salt}) % {MOD}"
-    return f"(({a}) * {MULT} + {salt * 7 + 3}) % {MOD}"
+    return f"CAST('0x' || substr(md5(CAST(({x}) AS VARCHAR) || ':{salt}'), 1, {HEX_DIGITS}) AS BIGINT)"
 
 
 def between(h: Column, lo: int, hi: int) -> Column:

@@ -66,7 +66,9 @@ def reconcile(
 
     ``source`` is the (conformed) source, ``target`` the keyed table read back.
     The expected target row of a key is the U1 winner among its source rows; a
-    target row whose non-key values differ from it counts as ``changed_rows``.
+    target row whose non-key values differ from it counts as ``changed_rows``,
+    and so does every target row beyond the first of its key (a source key that
+    was declared unique and is not).
 
     One pass per side: the source is pre-combined by key (hot keys collapse
     map-side), then joined with the target on the full key. The target holds
@@ -92,17 +94,17 @@ def reconcile(
     )
     tgt = target.select(
         *[F.col(f"`{k}`") for k in key],
-        F.lit(1).alias("_t"),
         _row_hash([(F.col(f"`{c}`"), types[c]) for c in rest]).alias("_ht"),
-    )
+    ).groupBy(*[F.col(f"`{k}`") for k in key]).agg(F.count(F.lit(1)).alias("_t"), F.max("_ht").alias("_ht"))
     j = src.join(tgt, list(key), "full_outer")
     in_src = F.col("_n").isNotNull()
     in_tgt = F.col("_t").isNotNull()
     return j.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("source_rows"),
         F.count_if(in_src).alias("source_keys"),
-        F.count_if(in_tgt).alias("target_rows"),
+        F.coalesce(F.sum("_t"), F.lit(0)).cast("bigint").alias("target_rows"),
         F.count_if(in_src & ~in_tgt).alias("missing_keys"),
         F.count_if(in_tgt & ~in_src).alias("extra_keys"),
-        F.count_if(in_src & in_tgt & (F.col("_hs") != F.col("_ht"))).alias("changed_rows"),
+        (F.count_if(in_src & in_tgt & (F.col("_hs") != F.col("_ht")))
+         + F.coalesce(F.sum(F.col("_t") - 1), F.lit(0))).cast("bigint").alias("changed_rows"),
     )

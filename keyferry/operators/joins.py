@@ -1,4 +1,4 @@
-"""J1 size-checked look-up join and J2 referential integrity."""
+"""J1 look-up join and J2 referential integrity."""
 
 from __future__ import annotations
 
@@ -8,73 +8,37 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest look-up side broadcast to every task. The look-up side is projected
-# to its key and value columns first, so a row costs a few tens of bytes.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Bounded cost: at most ``max_rows + 1`` rows are counted, however large
-    ``df`` is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join a large table with a look-up table.
 
-    The look-up side is broadcast only after its row count is proven under
-    ``max_broadcast_rows``; above it the join is left to the planner (a
-    sort-merge join, where adaptive execution splits a skewed key).
+    No hint and no extra job: Spark broadcasts a side whose size in bytes is
+    under its own threshold, at planning or from the shuffled size at run time,
+    and otherwise joins by shuffle, where adaptive execution splits a skewed key.
     """
-    if fits_broadcast(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 
 
-def line_amount(lines: DataFrame, prices: DataFrame, key: str, qty: str, price: str, **kw) -> DataFrame:
+def line_amount(lines: DataFrame, prices: DataFrame, key: str, qty: str, price: str) -> DataFrame:
     """``amount = round(price * quantity, 2)`` after a price look-up."""
-    j = lookup_join(lines, prices.select(key, price), key, **kw)
+    j = lookup_join(lines, prices.select(key, price), key)
     return j.withColumn("amount", F.round(F.col(price) * F.col(qty), 2))
 
 
-def orphans(
-    child: DataFrame,
-    fk: Sequence[str],
-    parent: DataFrame,
-    pk: Sequence[str],
-    relation: str,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def orphans(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence[str], relation: str) -> DataFrame:
     """Child rows whose foreign key has no parent row.
 
-    Parent keys proven small (bounded count): broadcast anti join, applied
-    where the child lies, before anything is shuffled; only orphans move.
-    Otherwise the child is first reduced to (key, rows) by a map-side-combined
-    aggregate, so a key held by a third of the child costs one row per map
-    task, and those distinct keys meet the parent in a shuffled join on a
-    key that is unique on both sides. (A left outer join with a NULL test is
-    used there because Catalyst would move an anti join below the aggregate.)
+    The child is first reduced to (key, rows) by a map-side-combined aggregate,
+    so a key held by a third of the child costs one row per map task, and those
+    distinct keys meet the parent on a key that is unique on both sides. (A left
+    outer join with a NULL test, because Catalyst would move an anti join below
+    the aggregate.)
     """
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk])
     keys_of_child = child.filter(not_null).select(*[F.col(c).alias(p) for c, p in zip(fk, pk)])
-    parent_keys = parent.select(*pk)
-    if fits_broadcast(parent_keys, max_broadcast_rows):
-        missing = keys_of_child.join(F.broadcast(parent_keys), list(pk), "left_anti").groupBy(*pk).agg(
-            F.count(F.lit(1)).alias("_rows")
-        )
-    else:
-        grouped = keys_of_child.groupBy(*pk).agg(F.count(F.lit(1)).alias("_rows"))
-        marked = parent_keys.distinct().withColumn("_parent", F.lit(True))
-        missing = grouped.join(marked, list(pk), "left").filter(F.col("_parent").isNull())
+    grouped = keys_of_child.groupBy(*pk).agg(F.count(F.lit(1)).alias("_rows"))
+    marked = parent.select(*pk).distinct().withColumn("_parent", F.lit(True))
+    missing = grouped.join(marked, list(pk), "left").filter(F.col("_parent").isNull())
     return missing.agg(
         F.lit(relation).alias("relation"),
         F.count(F.lit(1)).alias("orphan_keys"),

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 
 _WIN = "__kf_win"
 _BATCH = "__kf_batch"
@@ -191,28 +190,13 @@ def upsert(
     )
 
 
-def surviving_rows(
-    existing: DataFrame,
-    incoming: DataFrame,
-    key: Sequence[str],
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    small: bool | None = None,
-) -> DataFrame:
+def surviving_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
     """Existing rows whose key is not re-sent by ``incoming``.
 
-    ``small`` is the caller's proof that the incoming rows fit a broadcast (a
-    bounded count of the raw batch); when None it is checked here.
-
-    Small: the incoming keys, duplicates and all (an anti join only asks
-    whether a key exists), are broadcast and the existing table is filtered
-    where it lies: no shuffle, its file splits (and so its hot buckets)
-    spread over all tasks. Otherwise the distinct incoming keys (combined
-    map-side, so a much-repeated key is one row per task) and the existing
-    rows are shuffled on the whole key, unique on both sides: no hot task.
+    The distinct incoming keys (combined map-side, so a much-repeated key is one
+    row per task) are unique on the whole key, as the existing rows are. Spark
+    broadcasts them when their size in bytes is under its threshold; then the
+    existing table is filtered where it lies. Otherwise both sides are shuffled
+    on the whole key: no hot task.
     """
-    keys = incoming.select(*[_q(k) for k in key])
-    if small is None:
-        small = fits_broadcast(keys, max_broadcast_rows)
-    if small:
-        return existing.join(F.broadcast(keys), list(key), "left_anti")
-    return existing.join(keys.distinct(), list(key), "left_anti")
+    return existing.join(incoming.select(*[_q(k) for k in key]).distinct(), list(key), "left_anti")

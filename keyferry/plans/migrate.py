@@ -27,6 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -126,10 +127,11 @@ def _num_partitions(df: DataFrame) -> int:
     """Partitions of the source. Free for a plain scan; for a derived source
     (join, aggregate) adaptive execution runs its shuffle stages to answer, so
     it is asked only when the plan is applied. Unknown (0) where the RDD view
-    is unavailable (Spark Connect); the coalesce rule then does not fire."""
+    is not implemented (Spark Connect); the coalesce rule then does not fire.
+    Any other failure is the source's own and is raised."""
     try:
         return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
+    except PySparkNotImplementedError:
         return 0
 
 
@@ -249,7 +251,8 @@ def migrate_all(
 
     ``parallelism`` > 1 submits that many tables at once as concurrent Spark
     jobs (a thread each), so many small tables keep the cluster busy instead
-    of running one after another. Reports keep the mapping order.
+    of running one after another. Mappings that share a target never overlap.
+    Reports keep the mapping order.
     """
     if not mappings:
         raise MappingError("no table mappings given")
@@ -275,14 +278,28 @@ def migrate_all(
                 store.qualified(mapping.target),
                 "failed",
                 error_class=type(e).__name__,
-                error=str(e).splitlines()[0][:500] if str(e) else "",
+                error=str(e),
                 total_s=time.perf_counter() - t0,
             )
 
+    # Mappings of one target run one after another, in their order, at any
+    # parallelism: a table has one writer at a time.
+    groups: dict[str, list[int]] = {}
+    for i, m in enumerate(mappings):
+        target = m.target if isinstance(m, TableMapping) else str(m.get("target_table") or m.get("target") or f"?{i}")
+        groups.setdefault(target.lower(), []).append(i)
+    reports: list[TableReport | None] = [None] * len(mappings)
+
+    def in_order(indexes: list[int]) -> None:
+        for i in indexes:
+            reports[i] = one(mappings[i])
+
     if parallelism == 1:
-        return [one(m) for m in mappings]
-    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="keyferry-migrate") as pool:
-        return list(pool.map(one, mappings))
+        in_order(list(range(len(mappings))))
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="keyferry-migrate") as pool:
+            list(pool.map(in_order, groups.values()))
+    return reports
 
 
 def report_frame(spark: SparkSession, reports: Sequence[TableReport]) -> DataFrame:

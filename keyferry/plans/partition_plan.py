@@ -77,11 +77,17 @@ def plan_columns(rows: Column, current: Column, settings: PlanSettings) -> tuple
 def bucket_count(rows: int, settings: PlanSettings, requested: int | None = None, data_bytes: int | None = None) -> int:
     """Bucket count for a new keyed table: requested, else one per
     ``target_bucket_bytes`` of data when that is set and measured, else one
-    per ``rows_per_partition`` rows; kept within ``[1, max_buckets]``."""
+    per ``rows_per_partition`` rows. A count above ``max_buckets`` (what Spark
+    accepts for a table) is refused, never lowered silently."""
     if requested:
-        return max(1, min(settings.max_buckets, requested))
-    if settings.target_bucket_bytes and data_bytes is not None:
+        n = max(1, requested)
+    elif settings.target_bucket_bytes and data_bytes is not None:
         n = -(-data_bytes // settings.target_bucket_bytes) if data_bytes > 0 else 1
     else:
         n = -(-rows // settings.rows_per_partition) if rows > 0 else 1
-    return max(1, min(settings.max_buckets, n))
+    if n > settings.max_buckets:
+        raise ValueError(
+            f"{n} buckets, but at most {settings.max_buckets} are allowed: raise rows_per_partition or set "
+            "target_bucket_bytes, or raise max_buckets with spark.sql.sources.bucketing.maxBuckets"
+        )
+    return n

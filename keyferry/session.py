@@ -44,5 +44,11 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/keyferry/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared work folder through Hadoop's file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"

@@ -50,7 +50,13 @@ def write_table(
     confirm_truncate: bool = True,
     plan: PartitionPlan | None = None,
     tuning: Mapping[str, object] | None = None,
+    clustering_keys: Sequence[str] = (),
+    spread_hot_keys: bool = False,
+    observation: Observation | None = None,
 ) -> None:
+    """``spread_hot_keys`` lays rows out by partition and clustering keys, so a
+    partition key with many rows leaves from many tasks. ``observation`` counts
+    the rows after the layout, in the stage that writes them."""
     mode = mode.lower()
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
@@ -59,11 +65,14 @@ def write_table(
         if not confirm_truncate:
             raise TruncateNotConfirmedError(f"overwrite of {keyspace}.{table} truncates it")
         opts["confirm.truncate"] = "true"
-    out = apply_plan(df, plan, partition_key) if plan else df
+    layout = list(partition_key) + (list(clustering_keys) if spread_hot_keys else [])
+    out = apply_plan(df, plan, layout) if plan else df
     if plan is not None and plan.action == "repartition" and plan.by_key and partition_key:
         # Rows of one partition key leave a task together, in key order,
         # so the connector can group them into per-partition batches.
-        out = cluster_order(out, partition_key, ())
+        out = cluster_order(out, partition_key, clustering_keys)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows_written"))
     out.write.format(fmt).mode(mode).options(**opts).save()
 
 
@@ -81,7 +90,9 @@ class ConnectorStore:
     # Rows are laid out by the R1 partition plan before the connector writes.
     applies_plan = True
 
-    def __init__(self, spark: SparkSession, fmt: str, keyspace: str, tuning: Mapping[str, object] | None = None):
+    def __init__(self, spark: SparkSession, fmt: str, keyspace: str, tuning: Mapping[str, object] | None = None,
+                 spread_hot_keys: bool = False):
+        self.spread_hot_keys = spread_hot_keys
         self.spark = spark
         self.fmt = fmt
         self.keyspace = keyspace
@@ -94,11 +105,15 @@ class ConnectorStore:
         return f"{self.keyspace}.{table}"
 
     def exists(self, table: str) -> bool:
+        """Resolving the relation is the test. Only an answer that says the
+        table is not there counts as absent; a network or login failure is raised."""
         try:
-            self.read(table).schema  # noqa: B018 - resolving the relation is the test
+            self.read(table).schema  # noqa: B018
             return True
-        except Exception:  # noqa: BLE001
-            return False
+        except Exception as e:
+            if any(x in str(e).lower() for x in ("not found", "not_found", "does not exist", "couldn't find", "unconfigured table")):
+                return False
+            raise
 
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, self.fmt, self.keyspace, table)
@@ -122,10 +137,11 @@ class ConnectorStore:
         out = df if unique else dedupe(df, key, order_by)
         if mode.lower() == "ignore":
             # The connector may skip the write (table exists): nothing to observe.
-            write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning)
+            write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning,
+                        clustering_keys, self.spread_hot_keys)
             return WriteResult(self.qualified(table), mode, None, None)
         obs = observation or Observation(unique_name("kf_connector"))
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning)
+        write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning,
+                    clustering_keys, self.spread_hot_keys, obs)
         # Whether the external table already held rows is not known here.
         return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), None, created=False)

@@ -16,9 +16,16 @@ from keyferry.sources.csv_folder import scan_folder
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
-    """K8: header line, fixed column order, one folder of part files."""
+    """K8: header line, fixed column order, one folder of part files.
+
+    Values are kept: leading and trailing spaces stay, quotes are doubled and
+    line breaks stand inside quotes. Read back with
+    ``csv_folder.TEXT_OPTIONS``. CSV has one form for NULL and the empty
+    string: an empty string comes back as NULL.
+    """
     out = df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
-    out.write.option("header", "true").mode(mode).csv(path)
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+    out.write.option("header", "true").options(**keep).mode(mode).csv(path)
 
 
 def export_tables(tables: Mapping[str, DataFrame], folder: str, mode: str = "errorifexists") -> list[str]:

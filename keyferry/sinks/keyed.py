@@ -20,23 +20,31 @@ it.
 
 One writer per table at a time: two concurrent writes each produce a version,
 and the later ``SET LOCATION`` wins.
+
+A session's catalog may be in memory, so each write also records the current
+version and the layout beside the data (``<root>/<table>/state``). A session
+whose catalog does not know the table, or knows an older version, attaches the
+recorded one before it reads or writes. A folder that holds versions but no
+record is refused, never written over.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keyferry.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, fits_broadcast
 from keyferry.operators.keys import dedupe, require_keys, surviving_rows
 from keyferry.operators.layout import bucket_aligned
-from keyferry.session import fresh_path, shared_dir, unique_name
+from keyferry.session import fresh_path, remove_path, unique_name
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -56,6 +64,10 @@ class SchemaMismatchError(ValueError):
     pass
 
 
+class UnrecordedDataError(RuntimeError):
+    """The table's folder holds versions, but neither catalog nor record knows them."""
+
+
 def align_to(df: DataFrame, schema) -> DataFrame:
     """``df`` with exactly the columns (names, order, types) of ``schema``.
 
@@ -94,6 +106,39 @@ def _version_time(location: str) -> int | None:
     return int(m.group(1)) if m else None
 
 
+def _path_missing(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e)
+
+
+def _plan(df: DataFrame):
+    """The query execution behind ``df``; None where there is no JVM plan (Spark Connect)."""
+    return getattr(df, "_jdf", None) and df._jdf.queryExecution()
+
+
+def reads_files_only(df: DataFrame) -> bool:
+    """True when every leaf of the plan is a file scan, which stays the same
+    when it is read twice. Looks at the plan; lists no files."""
+    plan = _plan(df)
+    if plan is None:
+        return False
+    leaves = plan.analyzed().collectLeaves()
+    names = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        names.append(leaf.relation().getClass().getSimpleName() if kind == "LogicalRelation" else kind)
+    return bool(names) and all(n == "HadoopFsRelation" for n in names)
+
+
+def spark_broadcasts(df: DataFrame) -> bool:
+    """True when Spark's size estimate of ``df`` in bytes is under its broadcast threshold."""
+    plan = _plan(df)
+    if plan is None:
+        return False
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -125,7 +170,69 @@ class KeyedStore:
         return f"{self.keyspace}.{table}"
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.qualified(table))
+        """K6. A table that only its record knows is attached first."""
+        return self.spark.catalog.tableExists(self.qualified(table)) or self.attach(table)
+
+    # -- the record beside the data ---------------------------------------------
+    def _record(self, table: str, location: str) -> None:
+        """Note ``location`` and the layout as current: one small text folder, never changed."""
+        layout = self.describe(table)
+        now = f"{int(time.time() * 1000):013d}"
+        state = {"time": now, "location": location, "partition_key": layout["partition_key"],
+                 "clustering_keys": layout["clustering_keys"], "buckets": layout["buckets"],
+                 "schema": self.spark.table(self.qualified(table)).schema.jsonValue()}
+        line = self.spark.createDataFrame([(json.dumps(state),)], "value string")
+        line.coalesce(1).write.text(f"{self.root}/{table}/state/{now}-{uuid.uuid4().hex[:8]}")
+
+    def recorded(self, table: str) -> dict | None:
+        """The newest record (its text begins with its time), or None."""
+        try:
+            states = self.spark.read.option("recursiveFileLookup", "true").text(f"{self.root}/{table}/state")
+        except AnalysisException as e:
+            if _path_missing(e):
+                return None
+            raise
+        newest = states.agg(F.max("value")).first()[0]
+        return json.loads(newest) if newest else None
+
+    def attach(self, table: str) -> bool:
+        """Make the session's catalog show the recorded version. False when
+        nothing is recorded; refuses versions without a record."""
+        state = self.recorded(table)
+        present = self.spark.catalog.tableExists(self.qualified(table))
+        if state is None:
+            if not present and self._holds_versions(table):
+                raise UnrecordedDataError(
+                    f"{self.root}/{table} holds data that neither the catalog nor a record knows: "
+                    "move it away, or register it in the catalog"
+                )
+            return present
+        q = _ident(self.qualified(table))
+        if present:
+            own = re.sub(r"^file:/*", "/", self.describe(table)["location"].rstrip("/"))
+            if own != re.sub(r"^file:/*", "/", state["location"].rstrip("/")):
+                self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{state['location']}'")
+                self.spark.sql(f"REFRESH TABLE {q}")
+            return True
+        ticked = lambda cols: ", ".join(f"`{c}`" for c in cols)
+        columns = T.StructType.fromJson(state["schema"]).toDDL()
+        self.create_keyspace()
+        self.spark.sql(
+            f"CREATE TABLE {q} ({columns}) USING parquet "
+            f"CLUSTERED BY ({ticked(state['partition_key'])}) "
+            f"SORTED BY ({ticked(state['partition_key'] + state['clustering_keys'])}) INTO {state['buckets']} BUCKETS "
+            f"LOCATION '{state['location']}' TBLPROPERTIES "
+            f"('{_PK}' = '{','.join(state['partition_key'])}', '{_CK}' = '{','.join(state['clustering_keys'])}')"
+        )
+        return True
+
+    def _holds_versions(self, table: str) -> bool:
+        try:
+            return bool(self._versions(table))
+        except AnalysisException as e:
+            if _path_missing(e):
+                return False
+            raise
 
     # -- K4 -----------------------------------------------------------------------
     def describe(self, table: str) -> dict:
@@ -199,10 +306,14 @@ class KeyedStore:
         return sorted(found, key=lambda vt: (vt[1], vt[0]))
 
     def rollback(self, table: str, location: str) -> None:
-        """Point ``table`` back at an earlier version folder."""
+        """Point ``table`` back at an earlier version folder, one that ``versions`` lists."""
+        bare = lambda p: re.sub(r"^file:/*", "/", p.rstrip("/"))
+        if bare(location) not in {bare(v) for v in self.versions(table)}:
+            raise ValueError(f"{location} is not a version of {table} that holds data")
         q = _ident(self.qualified(table))
         self.spark.sql(f"ALTER TABLE {q} SET LOCATION '{location}'")
         self.spark.sql(f"REFRESH TABLE {q}")
+        self._record(table, location)
 
     def vacuum(self, table: str, keep: int = 1) -> list[str]:
         """Empty old versions, keeping the current one and the ``keep - 1``
@@ -251,6 +362,8 @@ class KeyedStore:
         file size and a hot bucket is spread over many tasks (partial
         aggregation then combines it map-side) instead of one task per bucket.
         """
+        if not self.spark.catalog.tableExists(self.qualified(table)):
+            self.attach(table)
         if bucketed:
             return self.spark.table(self.qualified(table))
         return self.spark.read.schema(self.spark.table(self.qualified(table)).schema).parquet(
@@ -299,7 +412,6 @@ class KeyedStore:
         confirm_truncate: bool = True,
         unique: bool = False,
         observation: Observation | None = None,
-        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
         plan: object = None,
         snapshot: bool | None = None,
     ) -> WriteResult:
@@ -314,22 +426,23 @@ class KeyedStore:
         saves the dedupe shuffle.
 
         An upsert reads the batch twice (its keys for the anti join, its rows
-        for the new version). ``snapshot`` checkpoints it first (in the shared
-        checkpoint folder) so both reads see the same rows; by default this is
-        done for sources that are not file scans, such as JDBC tables.
-
-        On an upsert with a small batch (bounded count), only the incoming
-        rows are shuffled: existing rows are filtered in place by a broadcast
-        anti join and written back without a shuffle (every existing file holds
-        one bucket, so each task writes to that same bucket). A large batch
-        takes a shuffled anti join on the whole key and a rebalance back into
-        the buckets.
+        for the new version). ``snapshot`` writes it to the shared work folder
+        first, so that both reads see the same rows, and deletes it after the
+        write; by default this is done unless every leaf of the batch's plan is
+        a file scan.
+
+        On an upsert whose keys are under Spark's own broadcast threshold (in
+        bytes), only the incoming rows are shuffled: existing rows are filtered
+        in place by a broadcast anti join and written back without a shuffle
+        (every existing file holds one bucket, so each task writes to that same
+        bucket). A larger batch takes a shuffled anti join on the whole key and
+        a rebalance back into the buckets.
         """
         mode = mode.lower()
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
         key = tuple(partition_key) + tuple(clustering_keys)
-        present = self.exists(table)
+        present = self.attach(table)  # the recorded version, not an older one of this session
         if present and mode in ("error", "errorifexists"):
             raise TableExistsError(self.qualified(table))
         if present and mode == "ignore":
@@ -350,30 +463,31 @@ class KeyedStore:
             key = tuple(partition_key) + tuple(clustering_keys)
             df = align_to(df, self.read(table).schema)
         df = require_keys(df, key)
-        fresh = df if unique else dedupe(df, key, order_by)
-        out = bucket_aligned(fresh, buckets, partition_key)
-        if present and mode == "append":
-            if snapshot is None:
-                # File scans list their files once per job and stay consistent;
-                # other sources (a live database table) may change between the
-                # two reads of the batch below, so they are read once, here.
-                snapshot = not df.inputFiles()
-            if snapshot:
-                shared_dir(self.spark)  # makes sure a checkpoint folder is set
-                df = df.checkpoint(eager=True)
-                fresh = df if unique else dedupe(df, key, order_by)
-                out = bucket_aligned(fresh, buckets, partition_key)
-            small = fits_broadcast(df.select(*[F.col(f"`{k}`") for k in key]), max_broadcast_rows)
-            kept = surviving_rows(self.read(table), df, key, small=small)
-            if not small:
-                # The shuffled anti join leaves rows spread by the whole key:
-                # put them back into their buckets, or every task would write
-                # a file into every bucket.
-                kept = bucket_aligned(kept, buckets, partition_key)
-            out = kept.unionByName(out)
-        obs = observation or Observation(unique_name("kf_write"))
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)
+        # Other sources than files (a live database table) may change between
+        # the two reads of an upsert's batch, so they are read once, here.
+        twice = present and mode == "append"
+        taken = None
+        if twice and (not reads_files_only(df) if snapshot is None else snapshot):
+            taken = fresh_path(self.spark, f"batch-{table}")
+            df.write.parquet(taken)
+            df = self.spark.read.schema(df.schema).parquet(taken)
+        try:
+            fresh = df if unique else dedupe(df, key, order_by)
+            out = bucket_aligned(fresh, buckets, partition_key)
+            if twice:
+                kept = surviving_rows(self.read(table), df, key)
+                if not spark_broadcasts(df.select(*[F.col(f"`{k}`") for k in key])):
+                    # The shuffled anti join leaves rows spread by the whole key:
+                    # put them back into their buckets, or every task would write
+                    # a file into every bucket.
+                    kept = bucket_aligned(kept, buckets, partition_key)
+                out = kept.unionByName(out)
+            obs = observation or Observation(unique_name("kf_write"))
+            out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+            location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)
+        finally:
+            if taken:
+                remove_path(self.spark, taken)
         return WriteResult(
             self.qualified(table), mode, obs.get.get("rows_written", 0), location, created=not present, buckets=buckets
         )
@@ -411,4 +525,5 @@ class KeyedStore:
                 f"('{_PK}' = '{','.join(partition_key)}', '{_CK}' = '{','.join(clustering_keys)}')"
             )
             self.spark.sql(f"ALTER TABLE {q_staging} RENAME TO {q_table}")
+        self._record(table, location)
         return location

@@ -108,6 +108,10 @@ def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     return out
 
 
+# Reads back what ``write_csv`` writes: quotes doubled, line breaks inside quotes.
+TEXT_OPTIONS = {"multiLine": "true", "escape": '"'}
+
+
 def read_csv(
     spark: SparkSession,
     paths: list[str] | str,
@@ -141,7 +145,7 @@ def scan_folder(
                 raise ValueError("no columns: empty file")
             scan.tables[name] = df
         except Exception as e:  # noqa: BLE001 - reported, others go on
-            scan.failures[name] = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+            scan.failures[name] = f"{type(e).__name__}: {e}"
     return scan
 
 

@@ -127,7 +127,7 @@ class PlanSettings:
     rows_per_partition: int = 50_000
     small_max_partitions: int = 10
     small_rows_per_partition: int = 10_000
-    max_buckets: int = 16_384
+    max_buckets: int = 100_000  # Spark's own default limit
     target_bucket_bytes: int | None = None
     enable_cache: bool = False
 

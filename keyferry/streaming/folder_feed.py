@@ -59,10 +59,10 @@ def feed_keyed_table(
     """
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        # Not persisted: besides the write, the batch is read only by the
-        # bounded size check (at most n + 1 key rows per task), and a first
-        # batch may be a whole initial load. ``max_files_per_trigger`` caps
-        # batch size when that matters.
+        # The store reads an upsert's batch twice (keys, then rows) and takes a
+        # copy first, since a stream's batch is not a plain file scan; the copy
+        # goes when the write ends. ``max_files_per_trigger`` caps batch size
+        # when that matters.
         latest = dedupe(batch, mapping.key, (FILE_TIME,) + tuple(mapping.order_by)).drop(FILE_TIME)
         store.write(
             conform(latest, profile),

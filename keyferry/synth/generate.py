@@ -2,8 +2,8 @@
 
 The rows are derived from the keys of existing tables, so the generator's work
 grows with them and it runs fully distributed: one generated customer per
-row of the ``ids`` frame, and so on. Every value is integer arithmetic on the
-row id (functions/pseudo.py), so output is repeatable under any partitioning.
+row of the ``ids`` frame, and so on. Every value is a hash of the row id
+(functions/pseudo.py), so output is repeatable under any partitioning.
 
 Rules:
 
@@ -12,17 +12,18 @@ Rules:
   created on 2024-01-15 + (id - 1) days;
 * products: ids from 101; the first ones from a fixed catalogue, then
   "Product n" with a picked category and a price from 9.99 to 999.99; stock
-  10 to 500; SKU = first three letters of the category, upper-cased, and two
+  10 to 500; SKU = first three letters of the name, upper-cased, and two
   numbers; created on 2024-01-01 + i days;
 * orders: ids from 1001; an existing customer; status, payment method,
   shipping address, notes (one choice is empty); placed on 2024-02-01 + i days;
 * order lines: 1 to min(max_items, products) *distinct* products per order,
   quantity 1 to 5, amount = round(price * quantity, 2) by a price look-up.
   The k-th product of an order is (start + k * step) mod n with
-  step = 2^31 - 1 mod n; 2^31 - 1 is prime, so step and n are coprime and the
+  step = 2^61 - 1 mod n; 2^61 - 1 is prime, so step and n are coprime and the
   first n values are distinct: no cross join, no retry.
 
-Day offsets wrap every ``DATE_SPAN_DAYS`` so dates stay valid at any scale.
+Dates do not wrap; a date past the year 9999 is an error unless ``span_days``
+asks for wrapped offsets.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyferry.functions.pseudo import (
-    MOD,
+    PRIME,
     between,
     between_sql,
     mix,
@@ -43,66 +44,67 @@ from keyferry.functions.pseudo import (
 from keyferry.operators.joins import lookup_join
 
 # ---------------------------------------------------------------------------
-# Our own word lists and start dates.
+# Our own word lists.
 FIRST_NAMES = [
-    "Ada", "Bram", "Cleo", "Dara", "Emil", "Faye", "Gus", "Hana", "Ivo", "Juno",
-    "Kai", "Lena", "Milo", "Nora", "Otto", "Pia", "Quin", "Rosa", "Sami", "Tess",
+    "Anouk", "Bertil", "Chiara", "Dorian", "Eszter", "Farid", "Greta", "Hugo", "Ingrid", "Jarek",
+    "Keiko", "Leif", "Maren", "Nils", "Odette", "Paavo", "Ronja", "Severin", "Tove", "Yusuf",
 ]
 LAST_NAMES = [
-    "Abbott", "Barker", "Castillo", "Dunn", "Ellery", "Fischer", "Garza", "Holm",
-    "Ibarra", "Jensen", "Kowal", "Lindqvist", "Moreau", "Novak", "Okafor",
-    "Pereira", "Quist", "Romero", "Sato", "Thorne",
+    "Amsel", "Birkholt", "Corvino", "Dahlgren", "Eisvogel", "Falkner", "Grahl", "Hazelwood",
+    "Inkster", "Jaskolka", "Kestrel", "Lerche", "Merula", "Nachtigal", "Ortolan",
+    "Plover", "Rallo", "Swift", "Tanager", "Wren",
 ]
 DOMAINS = ["example.com", "example.net", "example.org", "mail.test"]
 STREETS = [
-    "Birch Lane", "Cedar Road", "Harbor Way", "Juniper Court", "Maple Avenue",
-    "Orchard Street", "Quarry Hill", "Willow Drive",
+    "Astrolabe Row", "Bellfounder Street", "Canal Terrace", "Drumlin Path", "Ferry Steps",
+    "Granite Close", "Lighthouse Walk", "Tollgate Square",
 ]
 # (city, state, zip): zip codes are text, several start with 0.
 PLACES = [
-    ("Albany", "NY", "12207"), ("Boise", "ID", "83702"), ("Burlington", "VT", "05401"),
-    ("Dover", "DE", "19901"), ("Hartford", "CT", "06103"), ("Helena", "MT", "59601"),
-    ("Juneau", "AK", "99801"), ("Madison", "WI", "53703"), ("Providence", "RI", "02903"),
-    ("Salem", "OR", "97301"), ("Santa Fe", "NM", "87501"), ("Trenton", "NJ", "08608"),
+    ("Augusta", "ME", "04330"), ("Concord", "NH", "03301"), ("Montpelier", "VT", "05602"),
+    ("Annapolis", "MD", "21401"), ("Newport", "RI", "02840"), ("Cheyenne", "WY", "82001"),
+    ("Sitka", "AK", "99835"), ("Topeka", "KS", "66603"), ("Worcester", "MA", "01608"),
+    ("Olympia", "WA", "98501"), ("Roswell", "NM", "88201"), ("Princeton", "NJ", "08540"),
 ]
 COUNTRY = "USA"
-# (category, product name, price)
+# (category, product name, price): an observatory's and a pottery's shop.
 CATALOGUE = [
-    ("Electronics", "Desk Lamp LED", 34.5),
-    ("Electronics", "Wireless Mouse", 19.99),
-    ("Electronics", "USB-C Hub", 42.0),
-    ("Electronics", "Noise Cancelling Headset", 129.95),
-    ("Kitchen", "Cast Iron Pan", 38.75),
-    ("Kitchen", "Chef Knife", 64.0),
-    ("Kitchen", "Pour-Over Kettle", 45.25),
-    ("Garden", "Pruning Shears", 22.4),
-    ("Garden", "Hose Reel", 58.0),
-    ("Garden", "Seed Starter Kit", 15.6),
-    ("Office", "Standing Desk Mat", 49.99),
-    ("Office", "Notebook Set", 11.3),
-    ("Office", "Monitor Arm", 89.0),
-    ("Outdoors", "Trail Backpack", 74.5),
-    ("Outdoors", "Camp Stove", 99.95),
-    ("Outdoors", "Water Filter Bottle", 29.0),
+    ("Optics", "Meridian Finder Scope", 84.5),
+    ("Optics", "Red Torch", 17.25),
+    ("Optics", "Barlow Lens", 61.0),
+    ("Optics", "Solar Film Sheet", 27.4),
+    ("Charts", "Pocket Planisphere", 13.8),
+    ("Charts", "Lunar Atlas", 46.0),
+    ("Charts", "Tide Almanac", 21.35),
+    ("Clay", "Stoneware Block", 18.6),
+    ("Clay", "Porcelain Slip", 24.75),
+    ("Clay", "Raku Mix", 31.2),
+    ("Glazes", "Celadon Glaze", 36.9),
+    ("Glazes", "Tenmoku Glaze", 39.45),
+    ("Glazes", "Ash Glaze", 33.1),
+    ("Tools", "Loop Trimmer", 12.65),
+    ("Tools", "Banding Wheel", 92.0),
+    ("Tools", "Cone Pack", 15.95),
 ]
-CATEGORIES = ["Electronics", "Kitchen", "Garden", "Office", "Outdoors"]
-SUPPLIERS = ["Northwind Supply", "Bluebird Trading", "Cobalt Goods", "Meadow & Co"]
-DESCRIPTORS = ["durable", "compact", "lightweight", "classic", "premium"]
+CATEGORIES = ["Optics", "Charts", "Clay", "Glazes", "Tools"]
+SUPPLIERS = ["Perihelion Works", "Saltmarsh Kilns", "Umbra Instruments", "Third Tide Stores"]
+DESCRIPTORS = ["handmade", "calibrated", "travel-size", "refurbished", "seasonal"]
 STATUSES = ["pending", "processing", "shipped", "delivered"]
 PAYMENTS = ["card", "bank_transfer", "wallet"]
 NOTES = [
-    "", "Leave at the front door", "Gift wrap please", "Call before delivery",
-    "Deliver after 5 pm", "Fragile items", "Use side entrance", "Ring the bell twice",
-    "No rush",
+    "", "Courier must not stack the crate", "Keep dry", "Hold at the depot until Friday",
+    "Neighbour at 12 signs", "Invoice by post", "Packed with two cold packs", "Second parcel follows",
+    "Return the pallet",
 ]
+# Start dates and first ids.
 CUSTOMER_START = "2024-01-15"
 PRODUCT_START = "2024-01-01"
 ORDER_START = "2024-02-01"
 FIRST_CUSTOMER_ID = 1
 FIRST_PRODUCT_ID = 101
 FIRST_ORDER_ID = 1001
-MAX_ITEMS = 5
-DATE_SPAN_DAYS = 3653
+MAX_ITEMS = 10
+LAST_DATE = "9999-12-31"
 # ---------------------------------------------------------------------------
 
 
@@ -110,12 +112,18 @@ def _str(c: Column) -> Column:
     return c.cast("string")
 
 
-def _days(start: str, offset: Column) -> Column:
-    return F.date_add(F.lit(start).cast("date"), (offset % F.lit(DATE_SPAN_DAYS)).cast("int"))
+def _days(start: str, offset: Column, span: int | None = None) -> Column:
+    """``start`` + ``offset`` days. Past the year 9999 the row is an error,
+    unless ``span`` is given: then offsets wrap after that many days."""
+    if span is not None:
+        offset = offset % F.lit(span)
+    room = F.date_diff(F.lit(LAST_DATE).cast("date"), F.lit(start).cast("date"))
+    too_late = F.raise_error(F.concat(F.lit(f"{start} plus "), offset.cast("string"), F.lit(" days is past 9999: give span_days")))
+    return F.date_add(F.lit(start).cast("date"), F.when(offset <= room, offset.cast("int")).otherwise(too_late.cast("int")))
 
 
 def _days_sql(start: str, offset: str) -> str:
-    return f"(DATE '{start}' + CAST(({offset}) % {DATE_SPAN_DAYS} AS INTEGER))"
+    return f"(DATE '{start}' + CAST({offset} AS INTEGER))"
 
 
 def _check_count(n: int, what: str) -> None:
@@ -124,7 +132,7 @@ def _check_count(n: int, what: str) -> None:
 
 
 # -- G1 ----------------------------------------------------------------------
-def customers(ids: DataFrame) -> DataFrame:
+def customers(ids: DataFrame, span_days: int | None = None) -> DataFrame:
     """One customer per row of ``ids`` (column ``customer_id``)."""
     i = F.col("customer_id")
     first = pick(FIRST_NAMES, mix(i, 1))
@@ -141,7 +149,7 @@ def customers(ids: DataFrame) -> DataFrame:
         pick([p[1] for p in PLACES], place).alias("state"),
         pick([p[2] for p in PLACES], place).alias("zip_code"),
         F.lit(COUNTRY).alias("country"),
-        _days(CUSTOMER_START, i - F.lit(FIRST_CUSTOMER_ID)).alias("created_date"),
+        _days(CUSTOMER_START, i - F.lit(FIRST_CUSTOMER_ID), span_days).alias("created_date"),
     )
 
 
@@ -165,7 +173,7 @@ FROM ({ids_sql}) AS ids"""
 
 
 # -- G2 ----------------------------------------------------------------------
-def products(ids: DataFrame) -> DataFrame:
+def products(ids: DataFrame, span_days: int | None = None) -> DataFrame:
     """One product per row of ``ids`` (column ``product_id``)."""
     pid = F.col("product_id")
     i = pid - F.lit(FIRST_PRODUCT_ID)
@@ -189,10 +197,10 @@ def products(ids: DataFrame) -> DataFrame:
         between(mix(pid, 14), 10, 500).alias("stock_quantity"),
         pick(SUPPLIERS, mix(pid, 15)).alias("supplier"),
         F.concat(
-            F.upper(F.substring(category, 1, 3)), F.lit("-"), _str(between(mix(pid, 16), 100, 999)),
+            F.upper(F.substring(name, 1, 3)), F.lit("-"), _str(between(mix(pid, 16), 100, 999)),
             F.lit("-"), _str(between(mix(pid, 17), 10, 99)),
         ).alias("sku"),
-        _days(PRODUCT_START, i).alias("created_date"),
+        _days(PRODUCT_START, i, span_days).alias("created_date"),
     )
 
 
@@ -204,9 +212,10 @@ def products_sql(ids_sql: str) -> str:
     names = "[" + ", ".join(sql_str(c[1]) for c in CATALOGUE) + "]"
     cats = "[" + ", ".join(sql_str(c[0]) for c in CATALOGUE) + "]"
     prices = "CAST([" + ", ".join(repr(float(c[2])) for c in CATALOGUE) + "] AS DOUBLE[])"
+    name = f"(CASE WHEN {i} < {k} THEN ({names})[{idx}] ELSE 'Product ' || CAST({i} + 1 AS VARCHAR) END)"
     category = f"(CASE WHEN {i} < {k} THEN ({cats})[{idx}] ELSE {pick_sql(CATEGORIES, mix_sql(pid, 11))} END)"
     return f"""SELECT {pid} AS product_id,
-  CASE WHEN {i} < {k} THEN ({names})[{idx}] ELSE 'Product ' || CAST({i} + 1 AS VARCHAR) END AS product_name,
+  {name} AS product_name,
   {category} AS category,
   upper(substr({pick_sql(DESCRIPTORS, mix_sql(pid, 13))}, 1, 1)) || substr({pick_sql(DESCRIPTORS, mix_sql(pid, 13))}, 2)
     || ' ' || lower({category}) || ' item' AS description,
@@ -214,26 +223,27 @@ def products_sql(ids_sql: str) -> str:
        ELSE CAST({between_sql(mix_sql(pid, 12), 999, 99999)} AS DOUBLE) / 100 END AS price,
   {between_sql(mix_sql(pid, 14), 10, 500)} AS stock_quantity,
   {pick_sql(SUPPLIERS, mix_sql(pid, 15))} AS supplier,
-  upper(substr({category}, 1, 3)) || '-' || CAST({between_sql(mix_sql(pid, 16), 100, 999)} AS VARCHAR)
+  upper(substr({name}, 1, 3)) || '-' || CAST({between_sql(mix_sql(pid, 16), 100, 999)} AS VARCHAR)
     || '-' || CAST({between_sql(mix_sql(pid, 17), 10, 99)} AS VARCHAR) AS sku,
   {_days_sql(PRODUCT_START, i)} AS created_date
 FROM ({ids_sql}) AS ids"""
 
 
 # -- G3 ----------------------------------------------------------------------
-def orders(ids: DataFrame, n_customers: int) -> DataFrame:
+def orders(ids: DataFrame, n_customers: int, span_days: int | None = None) -> DataFrame:
     """One order per row of ``ids`` (column ``order_id``); customers are
     ``FIRST_CUSTOMER_ID .. FIRST_CUSTOMER_ID + n_customers - 1``."""
     _check_count(n_customers, "customer count")
     oid = F.col("order_id")
-    city = pick([p[0] for p in PLACES], mix(oid, 25))
+    # City, state and zip code of one place.
+    place = pick([f"{c}, {s} {z}" for c, s, z in PLACES], mix(oid, 25))
     return ids.select(
         oid.alias("order_id"),
         (F.lit(FIRST_CUSTOMER_ID) + mix(oid, 21) % F.lit(n_customers)).alias("customer_id"),
-        _days(ORDER_START, oid - F.lit(FIRST_ORDER_ID)).alias("order_date"),
+        _days(ORDER_START, oid - F.lit(FIRST_ORDER_ID), span_days).alias("order_date"),
         pick(STATUSES, mix(oid, 22)).alias("status"),
         pick(PAYMENTS, mix(oid, 23)).alias("payment_method"),
-        F.concat(_str(between(mix(oid, 24), 10, 9999)), F.lit(" "), pick(STREETS, mix(oid, 26)), F.lit(", "), city).alias(
+        F.concat(_str(between(mix(oid, 24), 10, 9999)), F.lit(" "), pick(STREETS, mix(oid, 26)), F.lit(", "), place).alias(
             "shipping_address"
         ),
         pick(NOTES, mix(oid, 27)).alias("notes"),
@@ -242,14 +252,14 @@ def orders(ids: DataFrame, n_customers: int) -> DataFrame:
 
 def orders_sql(ids_sql: str, n_customers_sql: str) -> str:
     oid = "order_id"
-    city = pick_sql([p[0] for p in PLACES], mix_sql(oid, 25))
+    place = pick_sql([f"{c}, {s} {z}" for c, s, z in PLACES], mix_sql(oid, 25))
     return f"""SELECT {oid} AS order_id,
   {FIRST_CUSTOMER_ID} + ({mix_sql(oid, 21)}) % ({n_customers_sql}) AS customer_id,
   {_days_sql(ORDER_START, f"{oid} - {FIRST_ORDER_ID}")} AS order_date,
   {pick_sql(STATUSES, mix_sql(oid, 22))} AS status,
   {pick_sql(PAYMENTS, mix_sql(oid, 23))} AS payment_method,
   CAST({between_sql(mix_sql(oid, 24), 10, 9999)} AS VARCHAR) || ' ' || {pick_sql(STREETS, mix_sql(oid, 26))}
-    || ', ' || {city} AS shipping_address,
+    || ', ' || {place} AS shipping_address,
   {pick_sql(NOTES, mix_sql(oid, 27))} AS notes
 FROM ({ids_sql}) AS ids"""
 
@@ -262,11 +272,11 @@ def order_lines(orders_df: DataFrame, products_df: DataFrame, n_products: int, m
     oid = F.col("order_id")
     m = F.lit(1) + mix(oid, 31) % F.lit(min(max_items, n_products))
     start = mix(oid, 32) % F.lit(n_products)
-    step = MOD % n_products
+    step = PRIME % n_products
     lines = orders_df.select(oid, F.explode(F.sequence(F.lit(0).cast("bigint"), m - F.lit(1))).alias("k")).select(
         oid,
         (F.lit(FIRST_PRODUCT_ID) + (start + F.col("k") * F.lit(step)) % F.lit(n_products)).alias("product_id"),
-        between(mix(oid * F.lit(8) + F.col("k"), 33), 1, 5).alias("quantity"),
+        between(mix(F.concat(oid.cast("string"), F.lit("-"), F.col("k").cast("string")), 33), 1, 5).alias("quantity"),
     )
     priced = lookup_join(lines, products_df.select("product_id", "price"), "product_id")
     return priced.select(
@@ -279,13 +289,13 @@ def order_lines_sql(orders_sql_text: str, products_sql_text: str, n_products_sql
     n = f"({n_products_sql})"
     m = f"(1 + ({mix_sql(oid, 31)}) % least({max_items}, {n}))"
     start = f"(({mix_sql(oid, 32)}) % {n})"
-    step = f"({MOD} % {n})"
+    step = f"({PRIME} % {n})"
     return f"""WITH o AS ({orders_sql_text}),
 p AS ({products_sql_text}),
 l AS (
   SELECT {oid} AS order_id,
          {FIRST_PRODUCT_ID} + ({start} + k * {step}) % {n} AS product_id,
-         {between_sql(mix_sql(f"{oid} * 8 + k", 33), 1, 5)} AS quantity
+         {between_sql(mix_sql(f"{oid} || '-' || k", 33), 1, 5)} AS quantity
   FROM o, LATERAL (SELECT unnest(range(0, {m})) AS k) AS ks
 )
 SELECT l.order_id, l.product_id, l.quantity, round(p.price * l.quantity, 2) AS amount

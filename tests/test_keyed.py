@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from keyferry.operators.keys import dedupe, duplicate_keys, null_key_counts, upsert
 from keyferry.sinks.keyed import TableExistsError, TruncateNotConfirmedError
+from keyferry.session import remove_path, unique_name
 from tests.conftest import SF01
 from tests.plans import plan_text
 
@@ -140,29 +142,37 @@ def test_store_upsert_matches_aggregate_form(spark, store):
         orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))
     )
     key = ["o_custkey", "o_orderdate", "o_orderkey"]
-    for bound in (10**6, 10):  # broadcast and shuffled anti join
-        name = f"u{bound}"
+    for i, limit in enumerate(("100m", "-1")):  # broadcast and shuffled anti join
+        name = f"u{i}"
         store.write(orders, name, ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
-        store.write(b2, name, ["o_custkey"], ["o_orderdate", "o_orderkey"], max_broadcast_rows=bound)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            store.write(b2, name, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert _rows(store.read(name)) == _rows(upsert(orders, b2, key))
 
 
 def test_upsert_does_not_shuffle_existing_rows(spark, store):
     from keyferry.operators.keys import surviving_rows
+    from keyferry.sinks.keyed import spark_broadcasts
 
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     store.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
     incoming = orders.filter("o_orderstatus = 'P'")
     key = ["o_custkey", "o_orderdate", "o_orderkey"]
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our own broadcast decisions
+    small = plan_text(surviving_rows(store.read("o"), incoming, key), "simple")
+    assert spark_broadcasts(incoming.select(*key))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = plan_text(surviving_rows(store.read("o"), incoming, key, small=True), "simple")
-        large = plan_text(surviving_rows(store.read("o"), incoming, key, small=False), "simple")
+        large = plan_text(surviving_rows(store.read("o"), incoming, key), "simple")
+        assert not spark_broadcasts(incoming.select(*key))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # Small batch: the only exchange is the broadcast of the incoming keys.
-    assert "BroadcastHashJoin" in small and "LeftAnti" in small and "hashpartitioning" not in small
+    # Small batch: only the incoming keys are exchanged (made distinct, then broadcast).
+    assert "BroadcastHashJoin" in small and "LeftAnti" in small
+    assert "Exchange" not in small[: small.index("BroadcastExchange")]
     # Large batch: a shuffled join, so the check above can tell the two apart.
     assert "hashpartitioning" in large and "BroadcastHashJoin" not in large
 
@@ -271,16 +281,16 @@ def test_upsert_keeps_files_per_bucket_bounded(spark, store):
     from keyferry import checks
 
     conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16",
-            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+            "spark.sql.autoBroadcastJoinThreshold": "100m", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        for bound in (10**6, 10):  # broadcast and shuffled anti join
-            name = f"f{bound}"
+        for bound in ("100m", "-1"):  # broadcast and shuffled anti join
+            name = "f" + bound.strip("-")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
             store.write(orders, name, ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=4, unique=True)
-            store.write(checks._second_batch(orders), name, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                        max_broadcast_rows=bound)
+            store.write(checks._second_batch(orders), name, ["o_custkey"], ["o_orderdate", "o_orderkey"])
             files = store.read(name).select(F.input_file_name().alias("f")).distinct().count()
             assert files <= 4 * 3, (bound, files)  # 16 tasks x 4 buckets if scattered
     finally:
@@ -352,16 +362,12 @@ def test_map_key_refused(spark, store):
 
 
 def test_upsert_snapshot_of_non_file_sources(spark, store, monkeypatch):
-    a = spark.createDataFrame([(1, 1, "a", 1.0), (2, 1, "b", 1.0)], SCHEMA)
-    frame_class = type(a)  # the session's concrete DataFrame class
-    taken = []
-    original = frame_class.checkpoint
-
-    def spy(self, eager=True):
-        taken.append(1)
-        return original(self, eager)
+    from keyferry.sinks import keyed
 
-    monkeypatch.setattr(frame_class, "checkpoint", spy)
+    a = spark.createDataFrame([(1, 1, "a", 1.0), (2, 1, "b", 1.0)], SCHEMA)
+    taken, removed = [], []
+    monkeypatch.setattr(keyed, "fresh_path", lambda s, tag, f=keyed.fresh_path: taken.append(1) or f(s, tag))
+    monkeypatch.setattr(keyed, "remove_path", lambda s, p, f=keyed.remove_path: removed.append(p) or f(s, p))
     b = spark.createDataFrame([(2, 1, "B", 1.0), (3, 1, "c", 1.0)], SCHEMA)  # in memory: no input files
     store.write(a, "t", ["k"], ["c"], buckets=2)
     assert taken == []  # first write: the batch is read once, no snapshot
@@ -374,6 +380,13 @@ def test_upsert_snapshot_of_non_file_sources(spark, store, monkeypatch):
     store.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=2, unique=True)
     store.write(orders.filter("o_orderstatus = 'P'"), "o", ["o_custkey"], ["o_orderdate", "o_orderkey"])
     assert taken == [1]  # a file scan is consistent within a job: no snapshot
+    mixed = orders.limit(3).unionByName(spark.createDataFrame(orders.limit(1).collect(), orders.schema))
+    store.write(mixed, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    assert taken == [1, 1]  # one leaf that is no file scan is enough
+    for path in removed:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(path)
+    assert len(removed) == 2
 
 
 def test_vacuum_spares_versions_newer_than_current(spark, store):
@@ -385,6 +398,37 @@ def test_vacuum_spares_versions_newer_than_current(spark, store):
     assert any(v.endswith(second.split(":", 1)[-1]) for v in store.versions("t"))
 
 
+def test_rollback_refuses_an_emptied_version(spark, store):
+    a = spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA)
+    first = store.write(a, "t", ["k"], ["c"], buckets=2).location
+    time.sleep(0.01)
+    store.write(a.withColumn("v", F.lit("b")), "t", ["k"], ["c"])
+    store.vacuum("t", keep=1)
+    with pytest.raises(ValueError, match="not a version"):
+        store.rollback("t", first)
+    assert store.read("t").count() == 1
+
+
+def test_another_session_attaches_the_recorded_version(spark, store):
+    """What a new process sees: a catalog without the table, and data beside its record."""
+    from keyferry.sinks.keyed import KeyedStore, UnrecordedDataError
+
+    rows = [(i, 1, "a", 1.0) for i in range(100)]
+    store.write(spark.createDataFrame(rows, SCHEMA), "t", ["k"], ["c"], buckets=2)
+    fresh = KeyedStore(spark, unique_name("t_new"), store.root)  # same folder, another catalog entry
+    fresh.create_keyspace()
+    fresh.write(spark.createDataFrame([(i, 1, "b", 2.0) for i in range(98, 103)], SCHEMA), "t", ["k"], ["c"])
+    assert fresh.read("t").count() == 103 and fresh.describe("t")["buckets"] == 2
+    # The first session's catalog still names the old version; its next write starts from the recorded one.
+    store.write(spark.createDataFrame([(200, 1, "c", 3.0)], SCHEMA), "t", ["k"], ["c"])
+    assert store.read("t").count() == 104
+    remove_path(spark, f"{store.root}/t/state")
+    blind = KeyedStore(spark, unique_name("t_blind"), store.root)
+    blind.create_keyspace()
+    with pytest.raises(UnrecordedDataError):
+        blind.write(spark.createDataFrame([(1, 1, "x", 0.0)], SCHEMA), "t", ["k"], ["c"])
+
+
 def test_vacuum_after_truncating_overwrite(spark, store):
     a = spark.createDataFrame([(1, 1, "a", 1.0)], SCHEMA)
     store.write(a, "t", ["k"], ["c"], buckets=2)

@@ -54,7 +54,11 @@ def test_store_upsert_equals_definition(spark, store, a, b):
     da, db = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
     name = unique_name("p")
     store.write(da, name, ["k"], ["c"], buckets=2)
-    store.write(db, name, ["k"], ["c"], max_broadcast_rows=len(b) % 2 * 100)  # both anti-join forms
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if len(b) % 2 else "10m")  # both anti-join forms
+    try:
+        store.write(db, name, ["k"], ["c"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     got = sorted(map(tuple, store.read(name).collect()), key=repr)
     want = sorted(map(tuple, upsert(da, db, ["k", "c"]).collect()), key=repr)
     assert got == want

@@ -53,7 +53,8 @@ def test_bucket_count_bounds():
     assert bucket_count(0, s) == 1
     assert bucket_count(1, s) == 1
     assert bucket_count(1001, s) == 2
-    assert bucket_count(10**9, s) == 16
+    with pytest.raises(ValueError, match="at most 16"):
+        bucket_count(10**9, s)
     assert bucket_count(10**9, s, requested=3) == 3
 
 
@@ -96,6 +97,7 @@ def test_source_key_subset_skips_dedupe():
     assert not TableMapping.of("x", "y", "cust").key_is_unique_by_source()
 
 
-def test_requested_buckets_are_capped():
-    s = PlanSettings(max_buckets=100)
-    assert bucket_count(10**9, s, requested=40_000) == 100
+def test_requested_buckets_are_honoured_or_refused():
+    assert bucket_count(10**9, PlanSettings(), requested=50_000) == 50_000
+    with pytest.raises(ValueError, match="100001 buckets"):
+        bucket_count(10**9, PlanSettings(), requested=100_001)

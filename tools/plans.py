@@ -61,24 +61,24 @@ def main() -> None:
     incoming = checks._second_batch(orders)
     okey = ["o_custkey", "o_orderdate", "o_orderkey"]
     shapes["upsert into an existing table, small batch (U2): broadcast anti join, existing rows not shuffled"] = (
-        surviving_rows(st.read("o"), incoming, okey, small=True).unionByName(
+        surviving_rows(st.read("o"), incoming, okey).unionByName(
             bucket_aligned(dedupe(incoming, okey), 8, ["o_custkey"])
         )
     )
     no_bc = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     shapes["upsert into an existing table, large batch (U2): shuffled anti join on the unique key, "
            "then back into the buckets"] = (
-        lambda: bucket_aligned(surviving_rows(st.read("o"), incoming, okey, small=False), 8, ["o_custkey"]),
+        lambda: bucket_aligned(surviving_rows(st.read("o"), incoming, okey), 8, ["o_custkey"]),
         no_bc,
     )
     prices = part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    shapes["price look-up (J1), size-checked broadcast"] = line_amount(
+    shapes["price look-up (J1)"] = line_amount(
         li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), prices, "l_partkey", "l_quantity",
         "p_retailprice",
     )
-    shapes["orphans (J2), parent proven small"] = orphans(li, ["l_orderkey"], orders, ["o_orderkey"], "l->o")
-    shapes["orphans (J2), parent too large to broadcast: pre-aggregate, then join"] = (
-        lambda: orphans(li, ["l_orderkey"], orders, ["o_orderkey"], "l->o", max_broadcast_rows=1000), no_bc
+    shapes["orphans (J2), Spark defaults"] = orphans(li, ["l_orderkey"], orders, ["o_orderkey"], "l->o")
+    shapes["orphans (J2), no broadcast: pre-aggregate, then join"] = (
+        lambda: orphans(li, ["l_orderkey"], orders, ["o_orderkey"], "l->o"), no_bc
     )
     st.write(li, "l", ["l_orderkey"], ["l_linenumber"], buckets=8)
     shapes["reconcile (A3)"] = reconcile(li, st.read("l"), key)
