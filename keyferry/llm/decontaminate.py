@@ -61,23 +61,23 @@ def _exploded(df: DataFrame, lengths: list[int], keys: list[str]) -> DataFrame:
         *keys, F.col("w.len").alias("len"), F.posexplode_outer("w.hs").alias("pos", "hash"))
 
 
-def _key() -> list[Column]:
+def _key(prefix: str = "") -> list[Column]:
     # Rows with equal keys have equal texts, or hits that fail verification.
-    return [F.col("doc_id").alias("key_id"), F.xxhash64(text_or_empty(F.col("text"))).alias("key_text")]
+    return [F.col(f"{prefix}doc_id").alias("key_id"), F.xxhash64(text_or_empty(F.col(f"{prefix}text"))).alias("key_text")]
 
 
 def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10,
               broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """Rows of `documents` (struct `row`) with n_words and the verified `hits`."""
+    """`row` (the input row as a struct) with n_words, its words and the verified `hits`."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), normal_words(F.col("text")).alias("words"))
     items = items.where(F.size("words") > 0)
     # At most `window` different lengths.
     length = F.least(F.size("words"), F.lit(window))
     lengths = sorted(r[0] for r in items.select(length).distinct().collect())
-    row = documents.select(F.struct("*").alias("row"), "doc_id", "text")
+    row = documents.select(F.struct("*").alias("row"))
     if not lengths:
-        return row.select("row", F.size(normal_words(F.col("text"))).cast("long").alias("n_words"),
-                          F.array().cast(HIT).alias("hits"))
+        return row.withColumn("words", normal_words(F.col("row.text"))).select(
+            "row", F.size("words").cast("long").alias("n_words"), "words", F.array().cast(HIT).alias("hits"))
     own = _with_window_hashes(items.withColumn("own_length", length), lengths)
     windows = _exploded(own, lengths, ["item", "words", "own_length"]).where((F.col("len") == F.col("own_length")) & F.col("hash").isNotNull())
     windows = windows.select("len", "hash", "item", F.array_join(F.slice("words", F.col("pos") + 1, F.col("len")), " ").alias("words"))
@@ -93,11 +93,14 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10,
         F.collect_list(F.struct("pos", "len", "words", "items")).alias("met"))
     hits = stored(hits, "leak-hits")
 
-    both = row.select("row", *_key(), normal_words(F.col("text")).alias("words")).alias("d").join(
-        hits.withColumnsRenamed({"key_id": "hit_id", "key_text": "hit_text"}),
+    # By shuffle at any size, since hits grow with the documents; the words are split after it.
+    key_id, key_text = (c for c in _key("row."))
+    both = row.select("row", key_id, key_text).join(
+        hits.withColumnsRenamed({"key_id": "hit_id", "key_text": "hit_text"}).hint("merge"),
         F.col("key_id").eqNullSafe(F.col("hit_id")) & (F.col("key_text") == F.col("hit_text")), "left")
+    both = both.select("row", "met", normal_words(F.col("row.text")).alias("words"))
     sure = F.filter("met", lambda h: F.array_join(F.slice(F.col("words"), h["pos"] + 1, h["len"]), " ") == h["words"])
-    return both.select("row", F.size("words").cast("long").alias("n_words"),
+    return both.select("row", F.size("words").cast("long").alias("n_words"), "words",
                        F.coalesce(sure, F.array().cast(HIT)).alias("hits"))
 
 
@@ -121,7 +124,7 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = 10) -
     """All rows of `documents`; texts with hits become their normalised words that are not hit."""
     covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["pos"], h["pos"] + h["len"] - 1))))
     found = find_hits(documents, benchmark, window).select(
-        "row", covered.alias("covered"), normal_words(F.col("row.text")).alias("words"))
+        "row", covered.alias("covered"), "words")
     # Runs of hit words: positions whose neighbour is not hit, by hash sets in the row.
     first = F.array_sort(F.array_except("covered", F.transform("covered", lambda p: p + 1)))
     last = F.array_sort(F.array_except("covered", F.transform("covered", lambda p: p - 1)))

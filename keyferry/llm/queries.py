@@ -87,7 +87,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- 8: benchmark decontamination -------------------------------------------------
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(documents, table(spark, sf_dir, "benchmark"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
