@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyferry.llm.common import SPACE, SPACE_CHARS, sliding, split_words, text_or_empty
+from keyferry.llm.common import SPACE, SPACE_CHARS, sliding, split_words, stored, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -153,4 +153,5 @@ def judge(documents: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: in
 
 def keep_good(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of `documents` that are kept, unchanged."""
-    return judge(documents, rules).where("kept").select("row.*")
+    # Stored before the filter: pushed into the projections, it would repeat their expressions many times over.
+    return stored(judge(documents, rules).select("row", "kept"), "rules-kept").where("kept").select("row.*")

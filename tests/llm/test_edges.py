@@ -1,0 +1,238 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from keyferry.llm import (
+    decontaminate, graph, katz, mixing, near_dup, pii, quality_model, quality_rules, suffix_dedup, toxicity, url_filter,
+)
+
+LONG = " ".join(f"w{i * 7919 % 5003}" for i in range(60_000))
+GOOD = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, kept boolean, size int, row string, "
+          "words string, hits string, score double, spans string, taken int, text_hash int, block int, key string, t string")
+TEXTS = [
+    (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, GOOD), (6, GOOD), (6, GOOD), (7, GOOD + " extra"), (None, GOOD), (None, None),
+    (8, LONG), (9, "Mail a.b@example.org or +1 (555) 010-9999, card 4111 1111 1111 1111, host 10.0.0.255 and 300.1.1.1"),
+    (10, "\u0130stanbul \U0001f600 caf\u00e9 a@b.cd"), (11, "x@" * 2_000), (12, "1" * 50_000),
+]
+
+
+def frame(spark, texts=TEXTS):
+    clash = (True, 1, "r", "w", "h", 0.5, "s", 2, 3, 4, "k", "t")
+    return spark.createDataFrame([(i, t, None if i == 4 else "en", None if i in (5, 9) else f"s{(i or 0) % 2}", None, *clash) for i, t in texts], SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def labels(spark, rows=()):
+    return spark.createDataFrame(list(rows), "doc_id bigint, quality int, toxic int")
+
+
+def test_quality_rules(spark):
+    got = {(r["row"]["doc_id"], r["row"]["text"]): r for r in quality_rules.judge(frame(spark)).collect()}
+    assert len(got) == len(set(TEXTS))
+    assert got[1, None]["n_words"] == 0 and got[1, None]["base_failed"] and not got[2, ""]["kept"]
+    assert got[5, GOOD]["kept"] and got[5, GOOD]["n_words"] == 120
+    kept = quality_rules.keep_good(frame(spark))
+    assert kept.columns == frame(spark).columns and kept.where("doc_id = 6").count() == 2
+    assert quality_rules.judge(empty(spark)).count() == 0
+    again = spark.createDataFrame([(1, "a b c a b c d\nx\nx\n \nx")], "doc_id bigint, text string")
+    r = quality_rules.judge(again).first()
+    assert (r["n_repeat_words"], r["n_dup_lines"], r["n_words"]) == (6, 2, 10)
+
+
+def test_rule_order_does_not_change_the_verdict(spark):
+    df = frame(spark).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    forward = df.select(quality_rules.cascade(F.col("text"), list(quality_rules.RULES)).alias("r")).collect()
+    backward = df.select(quality_rules.cascade(F.col("text"), list(reversed(quality_rules.RULES))).alias("r")).collect()
+    assert forward == backward
+
+
+def test_near_duplicates(spark):
+    settings = near_dup.Settings(words=3, percent=85)
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in near_dup.groups(frame(spark), settings).collect()}
+    assert got[1, 0] == 1 and got[2, 0] == 2 and got[4, 1] == 4  # no words: linked with nothing
+    assert got[5, 118] == got[6, 118] == got[7, 119] == got[None, 118] == 5
+    assert near_dup.groups(empty(spark), settings).count() == 0
+    left = near_dup.dedupe(frame(spark), settings)
+    ids = sorted((r["doc_id"] or 0) for r in left.collect())
+    assert ids == [0, 1, 2, 3, 4, 5, 8, 9, 10, 11, 12] and left.columns == frame(spark).columns
+
+
+def test_near_duplicate_star_and_outliers(spark):
+    """Copies that each link with one base text only, and a group in which none links."""
+    rng = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(300)]
+    texts = {0: " ".join(base)}
+    for n in range(1, 120):
+        words = list(base)
+        for i in rng.choice(300, 7 if n < 80 else 25, replace=False):
+            words[i] = f"c{n}x{i}"
+        texts[n] = " ".join(words)
+    from tests.llm.brute import dup_components
+
+    want = dup_components(texts, 3, 85)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.groups(df, near_dup.Settings(words=3, percent=85)).collect()}
+    assert got == want and len(set(want.values())) > 1
+
+
+def test_superminhash_estimates_and_early_stop():
+    rng = np.random.default_rng(1)
+    common, own = rng.integers(0, 2**63, 700, dtype=np.uint64), rng.integers(0, 2**63, (2, 100), dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, o])) for o in own]
+    a, b = near_dup.superminhash(sets, 256)
+    assert abs((a == b).mean() - 700 / 900) < 0.12
+    together = near_dup.superminhash([*sets, sets[0][:3], sets[0][:0]], 256)
+    assert (together[0] == a).all() and (together[1] == b).all()  # batches do not matter
+    ranks = np.sort(together[2] >> np.uint64(48))  # three elements fill the slots by rank
+    assert ranks[0] == 0 and (together[3] == np.iinfo(np.uint64).max).all()
+    slow = near_dup.superminhash([np.concatenate([sets[0]] * 1)], 256)
+    assert (slow[0] == a).all()
+
+
+def test_components_by_rounds(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 120), (120, 110), (7, 7)]
+    df = spark.createDataFrame(edges, "u bigint, v bigint")
+    for rows_per_task in (1_000_000, 5):  # one union-find, and star rounds
+        got = {r["u"]: r["v"] for r in graph.components(df, rows_per_task).collect()}
+        assert got == {**{i: 0 for i in range(1, 41)}, 120: 100, 110: 100}
+    assert graph.components(df.limit(0)).count() == 0
+
+
+def test_decontamination(spark):
+    passage = " ".join(f"q{i}" for i in range(14))
+    items = spark.createDataFrame([(1, passage), (1, passage), (2, "Tiny ITEM"), (3, None), (4, "!!"), (None, "q0 q1 q2 q3 q4 q5 q6 q7 q8 q9")],
+                                  "item_id bigint, text string")
+    texts = [*TEXTS, (20, "Before, " + passage.upper().replace(" ", "--") + " after"), (21, "a tiny item, tiny  item"), (22, passage[:30])]
+    got = {(r["row"]["doc_id"], r["row"]["text"]): r for r in decontaminate.contamination(frame(spark, texts), items).collect()}
+    assert got[1, None]["n_words"] == 0 and not got[5, GOOD]["contaminated"]
+    hit = got[texts[-3]]
+    assert (hit["n_hit"], hit["n_items"], hit["contaminated"]) == (14, 1, True)
+    assert got[texts[-2]]["n_hit"] == 4 and not got[texts[-1]]["contaminated"]
+    cleaned = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(frame(spark, texts), items).collect()}
+    assert cleaned[20] == "before after" and cleaned[21] == "a" and cleaned[5] == GOOD
+    left = decontaminate.remove_contaminated(frame(spark, texts), items)
+    assert left.count() == len(texts) - 2 and left.columns == frame(spark).columns
+    assert decontaminate.contamination(frame(spark), items.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.contamination(empty(spark), items).count() == 0
+
+
+def test_pii(spark):
+    got = {(r["row"]["doc_id"], r["row"]["text"]): r for r in pii.find_spans(frame(spark)).collect()}
+    from tests.llm.brute import pii_spans
+
+    for i, t in TEXTS:
+        own = got[i, t]
+        assert ",".join(f"{pii.KINDS[s['code']]}:{s['start']}:{s['end']}" for s in own["base"]) == pii_spans(t)
+    cleaned = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark)).collect()}
+    assert cleaned[9] == "Mail [EMAIL] or [PHONE], card [CARD], host [IP] and 300.1.1.1"
+    assert cleaned[1] is None and cleaned[5] == GOOD and cleaned[10].endswith("[EMAIL]")
+    assert pii.find_spans(empty(spark)).count() == 0 and pii.sanitise(frame(spark)).columns == frame(spark).columns
+
+
+def test_terms_that_reveal_an_identifier(spark):
+    texts = [(i, f"some text the zebrafinch writes to z@y.org about the thing number {i}") for i in range(4)]
+    texts += [(i, "some text the other writes about the thing") for i in range(10, 60)]
+    found = {r["row"]["doc_id"]: pii.spans_text for r in pii.find_spans(frame(spark, texts)).collect()}
+    assert len(found) == 54
+    cleaned = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert "zebrafinch" not in cleaned[0] and "[EMAIL]" in cleaned[0] and "some text the" in cleaned[0]
+    assert cleaned[10] == texts[-1][1]
+
+
+def test_running_sum_over_many_chunks(spark):
+    df = spark.range(1).select(F.sequence(F.lit(1).cast("long"), F.lit(1_000).cast("long")).alias("v"))
+    assert df.select(pii.running_sum(F.col("v")).alias("s")).first()["s"] == list(np.cumsum(range(1, 1_001)))
+
+
+def test_mixing(spark):
+    got = mixing.mix(frame(spark))
+    rows = got.collect()
+    assert len(rows) == len(TEXTS) and got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert all(r["taken"] <= 3 * r["size"] for r in rows) and all(r["taken"] == 0 for r in rows if r["doc_id"] in (1, 2, 3))
+    assert mixing.mix(empty(spark)).count() == 0
+    assert mixing.mix(frame(spark, [(1, None), (2, "")])).agg(F.sum("taken")).first()[0] == 0
+    targets = {r["source_size"]: r["target"] for r in rows}
+    assert sum(targets.values()) == pytest.approx(sum(r["size"] for r in rows))
+    assert sorted(map(tuple, mixing.mix(frame(spark).repartition(3)).collect()), key=repr) == sorted(map(tuple, rows), key=repr)
+
+
+def test_suffix_dedup(spark):
+    from tests.llm.brute import repeats
+
+    shared = "".join(chr(97 + i * i % 23) for i in range(700))
+    texts = [*TEXTS[:11], (30, "ab" * 400), (31, "p" + shared + "q"), (32, shared[:399]), (33, "\u00e9" + shared[100:620]), (34, "z" * 401)]
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(frame(spark, texts)).drop("kept").collect()), key=repr)
+    want = sorted(((i, *r) for (i, _), r in zip(texts, repeats([(t or "").encode() for _, t in texts], 400))), key=repr)
+    assert got == want
+    kept = suffix_dedup.remove_repeats(frame(spark, texts), keep_bytes=True).where("doc_id = 31").first()["kept"]
+    assert bytes(kept) == ("p" + shared[:100] + shared[620:] + "q").encode()
+    assert suffix_dedup.remove_repeats(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("r", [1, 2, 3])
+def test_difference_cover(r):
+    cover, v = suffix_dedup.difference_cover(r)
+    assert len(cover) == 6 * r + 4 and {(a - b) % v for a in cover for b in cover} == set(range(v))
+
+
+def test_language_model(spark):
+    rows = {(r["doc_id"], r["n_tokens"]): r for r in katz.score(frame(spark)).collect()}
+    assert rows[1, 1]["score"] < 0 and rows[2, 1]["score"] == rows[1, 1]["score"]
+    assert len(katz.score(frame(spark)).collect()) == len(TEXTS)
+    assert katz.score(empty(spark)).count() == 0
+    held = next(i for i in range(100) if __import__("zlib").crc32(str(i).encode()) % 5 == katz.TEST_FOLD)
+    alone = katz.score(frame(spark, [(held, "nothing to learn from")])).first()
+    assert (alone["train_tokens"], alone["score"], alone["base_score"], alone["n_known"]) == (0, 0.0, 0.0, 0)
+
+
+def test_classifiers(spark):
+    some = labels(spark, [(i, i % 2, 1 - i % 2) for i in range(1, 13)] + [(5, None, None), (None, 1, 1), (5, 1, 0)])
+    for module, column in ((quality_model, "quality"), (toxicity, "toxic")):
+        got = module.score(frame(spark), module.fit(frame(spark), some)).collect()
+        assert len(got) == len(TEXTS) and all(0 <= r["score"] <= 1 for r in got)
+        one = labels(spark, [(i, 1, 1) for i in range(1, 13)])
+        flat = module.score(frame(spark), module.fit(frame(spark), one)).collect()
+        assert all(r["predicted"] == 1 for r in flat)  # one class only: its share
+        assert module.score(empty(spark), module.fit(empty(spark), labels(spark))).count() == 0
+
+
+def test_toxic_words_in_disguise(spark):
+    texts = [(i, f"alpha beta blarg{'' if i % 2 else 'ed'} gamma {i}") for i in range(0, 120)]
+    texts += [(i, f"alpha beta blargh party gamma {i}" if i % 4 else f"alpha beta gamma delta {i}") for i in range(200, 400)]
+    own = labels(spark, [(i, 1, int(i < 120)) for i, _ in texts])
+    lexicon = toxicity.fit(frame(spark, texts), own)
+    probe = [(1000, "alpha bl4rg beta gamma"), (1001, "alpha bl\u0430rg beta gamma"), (1002, "alpha bla\u200brg beta gamma"), (1003, "alpha beta gamma delta")]
+    got = {r["doc_id"]: r for r in toxicity.score(frame(spark, probe), lexicon).collect()}
+    assert [got[i]["predicted"] for i in (1000, 1001, 1002, 1003)] == [1, 1, 1, 0]
+
+
+def test_exception_phrases():
+    lexicon = toxicity.Lexicon({" trash ": 3.0, " tras": 2.0}, (" trash can ",))
+    machine = lexicon.automaton()
+    assert toxicity._hits(" trash can ", machine) == []
+    assert [w for *_, w in toxicity._hits(" the trash is trashy ", machine)] == [3.0, 2.0]
+
+
+def test_urls(spark):
+    rules = spark.createDataFrame([("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/es/", "allow"), (None, "/", "block")],
+                                  "host string, path string, verdict string")
+    urls = [None, "", "nothing", "http://EXAMPLE.org/es/x?y", "https://sub.example.org/es/", "http://example.org", "ftp://a.org/p#f",
+            "http://org/", "x://notorg/", "http://example.org/" + "e" * 50_000, "http://" + "a." * 500 + "org/"]
+    pages = spark.createDataFrame([(i, u, "h", "p", "v") for i, u in enumerate(urls)] + [(3, urls[3], "h", "p", "v")],
+                                  "page_id bigint, url string, host string, path string, verdict string")
+    got = url_filter.judge_urls(pages, rules, "page_id").collect()
+    by = {r["page_id"]: r for r in got}
+    assert len(got) == len(urls) + 1 and by[0]["host"] == "" and by[2]["rule"] is None
+    assert (by[3]["rule"], by[3]["verdict"], by[3]["host"]) == ("example.org/es/", "block", "example.org")
+    assert by[4]["verdict"] == "block" and by[5]["rule"] is None and by[6]["rule"] == "org/" and by[8]["rule"] is None
+    assert by[9]["rule"] == "org/" and by[10]["rule"] == "org/"
+    assert url_filter.judge_urls(pages, rules.limit(0), "page_id").where("verdict <> 'allow'").count() == 0
+    assert url_filter.judge_urls(pages.limit(0), rules, "page_id").count() == 0
