@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyferry.llm.common import stored
-from keyferry.session import fresh_path, unique_name
+from keyferry.session import fresh_path, remove_path, unique_name
 
 MESSAGE = "bucket int, block bigint, payload binary"
 
@@ -98,8 +98,7 @@ class BlockTable:
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        remove_path(self.spark, self.path)
 
 
 def ask(messages: DataFrame, answer: Callable[[pd.DataFrame], pd.DataFrame], tag: str) -> DataFrame:

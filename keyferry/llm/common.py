@@ -31,15 +31,6 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(df: DataFrame) -> None:
-    """Delete a table made by `stored` that nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if "/keyferry/" in path:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; no other character changes (null stays null)."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
