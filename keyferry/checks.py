@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyferry.operators.audit import reconcile, row_counts
@@ -20,7 +20,7 @@ from keyferry.operators.joins import line_amount as line_amount_join
 from keyferry.operators.joins import orphans
 from keyferry.operators.keys import duplicate_keys as duplicate_keys_op
 from keyferry.operators.keys import null_key_counts
-from keyferry.operators.layout import by_key, round_robin
+from keyferry.operators.layout import by_key, round_robin, shrink
 from keyferry.plans.migrate import migrate_all, migrate_table as migrate_table_job, report_frame
 from keyferry.plans.partition_plan import plan_columns
 from keyferry.session import fresh_path, unique_name
@@ -230,6 +230,39 @@ SQL_KEYED_TABLE_LAYOUT = """SELECT o_custkey, count(*) AS orders, min(o_orderdat
   max(o_orderdate) AS last_date FROM orders GROUP BY o_custkey"""
 
 
+def keyed_layout_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows outside the bucket of their key, and rows before their predecessor in a file."""
+    st = _store(spark)
+    name = unique_name("orders")
+    st.write(table(spark, sf_dir, "orders"), name, ORDERS_PK, ORDERS_CK, buckets=CHECK_BUCKETS, unique=True)
+    rows = st.read(name, bucketed=False).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
+        F.struct(*ORDERS_PK, *ORDERS_CK).alias("key"),
+        F.pmod(F.hash(*ORDERS_PK), F.lit(CHECK_BUCKETS)).cast("int").alias("bucket"))
+    own = F.regexp_extract("file", r"_([0-9]{5})\.c[0-9]+", 1).cast("int")
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return rows.select((F.col("bucket") != own).alias("misplaced"), (before > F.col("key")).alias("late")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("misplaced").alias("misplaced"), F.count_if("late").alias("out_of_order"))
+
+
+SQL_KEYED_LAYOUT_ORDER = "SELECT count(*) AS rows, 0::BIGINT AS misplaced, 0::BIGINT AS out_of_order FROM orders"
+
+
+def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One customer's orders from a date on, in key order (reading a part is the feature)."""
+    st = _store(spark)
+    name = unique_name("orders")
+    orders = table(spark, sf_dir, "orders")
+    st.write(orders, name, ORDERS_PK, ORDERS_CK, buckets=CHECK_BUCKETS, unique=True)
+    who = orders.agg(F.min("o_custkey")).first()[0]
+    since = orders.agg(F.min("o_orderdate")).first()[0]
+    return st.lookup(name, ranges={"o_orderdate": (since, None)}, ordered=True, o_custkey=who)
+
+
+SQL_KEYED_LOOKUP = """SELECT * FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders)
+  AND o_orderdate >= (SELECT min(o_orderdate) FROM orders)"""
+
+
 # -- P1 ------------------------------------------------------------------------
 def conform_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(table(spark, sf_dir, "events"), "reference")
@@ -304,12 +337,26 @@ SQL_KEY_LOCALITY = "SELECT count(DISTINCT o_custkey) AS keys, CAST(0 AS BIGINT)
 
 
 def balanced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parted = round_robin(table(spark, sf_dir, "lineitem"), 6)
+    lines = table(spark, sf_dir, "lineitem")
+    parted = round_robin(lines, 6)
     sizes = parted.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
+    # Every input partition deals its rows out in turn, so it adds at most one to the difference.
+    return sizes.agg(F.count(F.lit(1)).alias("partitions_used"), F.sum("n").cast("bigint").alias("rows"),
+                     (F.max("n") - F.min("n") <= F.lit(lines.rdd.getNumPartitions())).alias("even"))
+
+
+SQL_BALANCED_PARTITIONS = """SELECT CAST(least(6, count(*)) AS BIGINT) AS partitions_used, count(*) AS rows, true AS even
+FROM lineitem"""
+
+
+def coalesced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions merged without a shuffle; every row stays."""
+    merged = shrink(round_robin(table(spark, sf_dir, "lineitem"), 12), 4)
+    sizes = merged.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.count(F.lit(1)).alias("partitions_used"), F.sum("n").cast("bigint").alias("rows"))
 
 
-SQL_BALANCED_PARTITIONS = "SELECT CAST(least(6, count(*)) AS BIGINT) AS partitions_used, count(*) AS rows FROM lineitem"
+SQL_COALESCED_PARTITIONS = "SELECT CAST(least(4, count(*)) AS BIGINT) AS partitions_used, count(*) AS rows FROM lineitem"
 
 
 # -- A1 ------------------------------------------------------------------------
@@ -468,7 +515,7 @@ def csv_declared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_CSV_DECLARED_SCAN = "SELECT * FROM customer"
 
-FOLDER_TABLES = ["region", "nation", "supplier"]
+FOLDER_TABLES = ["region", "nation", "supplier", "orders"]
 
 
 def csv_folder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -636,6 +683,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_folder_load": csv_folder_load,
     "gen_customers": gen_customers,
     "gen_draw_independence": gen_draw_independence,
+    "keyed_layout_order": keyed_layout_order,
+    "keyed_lookup": keyed_lookup,
+    "coalesced_partitions": coalesced_partitions,
     "csv_text_roundtrip": csv_text_roundtrip,
     "migrate_one_target": migrate_one_target,
     "gen_products": gen_products,
@@ -673,6 +723,9 @@ ORACLE_SQL: dict[str, str] = {
     "csv_folder_load": SQL_CSV_FOLDER_LOAD,
     "gen_customers": SQL_GEN_CUSTOMERS,
     "gen_draw_independence": SQL_GEN_DRAW_INDEPENDENCE,
+    "keyed_layout_order": SQL_KEYED_LAYOUT_ORDER,
+    "keyed_lookup": SQL_KEYED_LOOKUP,
+    "coalesced_partitions": SQL_COALESCED_PARTITIONS,
     "csv_text_roundtrip": SQL_CSV_TEXT_ROUNDTRIP,
     "migrate_one_target": SQL_MIGRATE_ONE_TARGET,
     "gen_products": SQL_GEN_PRODUCTS,
