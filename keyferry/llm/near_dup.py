@@ -39,7 +39,7 @@ from keyferry.llm.common import stored, text_or_empty
 from keyferry.llm.graph import components
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
-_BATCH = 1 << 17  # elements hashed at once
+_BATCH = 1 << 16  # elements hashed at once
 _RANK = np.uint64(48)  # a slot holds rank << 48 | 48 random bits
 
 
@@ -136,7 +136,7 @@ class Settings:
     @property
     def size(self) -> int:
         """Slots of a signature: those of the bands, and more for a closer estimate."""
-        return max(256, self.rows * self.bands)
+        return max(512, self.rows * self.bands)
 
 
 def _signer(settings: Settings):
