@@ -1,18 +1,22 @@
 """Personal data: direct identifiers, and terms that reveal them.
 
 Direct identifiers (email, IPv4, payment card, phone) are found by pattern.
-Then the corpus says which words near an identifier give it away: with df the
-number of documents, IC(c) = log(N / df(c)) is the information an identifier
-carries and PMI(c; t) = log(N df(c,t) / (df(c) df(t))) how much of it a term t
-within `reach` characters of c reveals. A term with PMI / IC of at least
-`generalise_at` is generalised and from `remove_at` on removed, wherever it
-stands near that identifier, if at least `min_support` documents show the pair.
+Then the corpus says which words of the documents that carry an identifier give
+it away: with df the number of documents, IC(c) = log(N / df(c)) is the
+information an identifier carries and PMI(c; t) = log(p(c|t) N / df(c)) how much
+of it a term t reveals. For p(c|t) the lower end of Wilson's interval around
+df(c,t) / df(t) is taken, so that few documents prove less than many, but every
+identifier is decided, also one of a single document. A term with PMI / IC of at
+least `generalise_at` is generalised and from `remove_at` on removed, wherever
+it stands in the documents that carry the identifier.
 
 All of it is SQL functions: a match's place comes from the lengths of the gaps
-that `split` leaves around it. Pairs are formed only inside the reach of an
-identifier, so their number grows with the matches and not with text length;
-counts are pre-aggregated, and identifier and term tables meet in joins that
-Spark may split at hot keys.
+that `split` leaves around it. Identifiers with the same carriers reveal the
+same and are handled as one set, so a list of addresses costs no more than one.
+Since p(c|t) is at most df(c) / df(t), terms of more than
+df(c) ** generalise_at * N ** (1 - generalise_at) documents can reveal nothing
+of c; they leave before pairs are formed. Tables meet in joins that Spark may
+split at hot keys.
 
 Defined results: null text is empty and has no spans; overlapping spans of
 different kinds are all reported, and the sanitised text replaces their union
@@ -43,7 +47,10 @@ PATTERNS = {
 _PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _PUNCT = r"!-/:-@\[-`{-~"
 TERM = rf"(?<=[{SPACE}][{_PUNCT}]{{0,4}})\p{{L}}{{3,}}+(?=[{_PUNCT}]{{0,4}}+[{SPACE}])"
+# Of the identifiers only emails hold letters; taking them first keeps terms out of them.
+TOKEN = rf"{PATTERNS['email']}|{TERM}(?!@-\.-)"
 _CHUNK = 256
+_KEY = ["key_a", "key_b"]
 
 
 def running_sum(values: Column) -> Column:
@@ -90,90 +97,111 @@ def _same_value(kind: str, value: Column) -> Column:
     return F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value)
 
 
-def _with_matches(df: DataFrame, text: str, reach: int) -> DataFrame:
-    """Adds one array column per kind: structs start, end, value, left, right (valid matches only)."""
+def _with_matches(df: DataFrame, text: str) -> DataFrame:
+    """Adds one array column per kind: structs start, end, value, raw (valid matches only)."""
     for kind, pattern in PATTERNS.items():
         df = df.withColumn("_m", F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
         df = df.withColumn("_g", F.when(F.size("_m") > 0, F.split(F.col(text), pattern, -1)))
         lengths = F.zip_with("_m", F.slice("_g", F.lit(1), F.size("_m")), lambda m, g: (F.length(m) + F.length(g)).cast("long"))
         df = df.withColumn("_l", F.when(F.size("_m") > 0, lengths))
         df = df.withColumn("_e", F.when(F.size("_m") > 0, running_sum(F.col("_l"))))
-        # Context strings end in a space only where the text does; x keeps cut words out.
-        left = F.transform("_g", lambda g, i: F.concat(
-            F.when((i == 0) & (F.length(g) <= reach), F.lit(" ")).otherwise(F.lit("x")), F.right(g, F.lit(reach)), F.lit("x")))
-        right = F.transform("_g", lambda g, i: F.concat(
-            F.lit("x"), F.left(g, F.lit(reach)),
-            F.when((i == F.size("_m")) & (F.length(g) <= reach), F.lit(" ")).otherwise(F.lit("x"))))
-        made = F.zip_with(F.arrays_zip(F.col("_m").alias("m"), F.col("_e").alias("e")),
-                          F.arrays_zip(F.slice(left, F.lit(1), F.size("_m")).alias("l"), F.slice(right, F.lit(2), F.size("_m")).alias("r")),
-                          lambda a, b: F.struct((a["e"] - F.length(a["m"])).alias("start"), a["e"].alias("end"),
-                                                _same_value(kind, a["m"]).alias("value"), a["m"].alias("raw"),
-                                                b["l"].alias("left"), b["r"].alias("right")))
+        made = F.zip_with("_m", "_e", lambda m, e: F.struct(
+            (e - F.length(m)).alias("start"), e.alias("end"), _same_value(kind, m).alias("value"), m.alias("raw")))
         kept = F.filter(made, lambda s: _valid(kind, s["raw"]))
-        empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string,raw:string,left:string,right:string>>")
+        empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string,raw:string>>")
         df = df.withColumn(kind, F.when(F.size("_m") > 0, kept).otherwise(empty)).drop("_m", "_g", "_l", "_e")
     return df
 
 
-def _terms(context: Column, start: Column) -> Column:
-    """Structs term, start, end of the terms in a context string that begins at `start` - 1 of the text."""
-    found = F.regexp_extract_all(context, F.lit(TERM), F.lit(0))
-    gaps = F.split(context, TERM, -1)
-    ends = running_sum(F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: (F.length(m) + F.length(g)).cast("long")))
-    return F.when(F.size(found) > 0, F.zip_with(found, ends, lambda m, e: F.struct(
-        F.lower(m).alias("term"), (start - 1 + e - F.length(m)).alias("start"), (start - 1 + e).alias("end")))).otherwise(
-            F.array().cast("array<struct<term:string,start:bigint,end:bigint>>"))
+def _spaced(text: Column) -> Column:
+    return F.concat(F.lit(" "), text, F.lit(" "))
+
+
+def _with_terms(df: DataFrame, text: str) -> DataFrame:
+    """Adds `terms`: structs term, start, end of all terms of the text."""
+    df = df.withColumn("_m", F.regexp_extract_all(_spaced(F.col(text)), F.lit(TOKEN), F.lit(0)))
+    df = df.withColumn("_g", F.when(F.size("_m") > 0, F.split(_spaced(F.col(text)), TOKEN, -1)))
+    lengths = F.zip_with("_m", F.slice("_g", F.lit(1), F.size("_m")), lambda m, g: (F.length(m) + F.length(g)).cast("long"))
+    df = df.withColumn("_l", F.when(F.size("_m") > 0, lengths))
+    df = df.withColumn("_e", F.when(F.size("_m") > 0, running_sum(F.col("_l"))))
+    # The space put in front moves every place by one.
+    placed = F.zip_with("_m", "_e", lambda m, e: F.struct(
+        F.lower(m).alias("term"), (e - F.length(m) - 1).alias("start"), (e - 1).alias("end")))
+    return df.withColumn("terms", F.filter(placed, lambda s: ~F.contains(s["term"], F.lit("@")))).drop("_m", "_g", "_l", "_e")
 
 
 def _key() -> list[Column]:
-    return [F.col("doc_id").alias("key_id"), F.xxhash64(text_or_empty(F.col("text"))).alias("key_text")]
+    """128 bits that tell rows apart by id and text."""
+    row = [F.col("doc_id").isNull(), F.col("doc_id"), text_or_empty(F.col("text"))]
+    return [F.xxhash64(F.lit(i), *row).alias(k) for i, k in enumerate(_KEY)]
+
+
+def surely(k: Column, n: Column, z: float) -> Column:
+    """Lower end of Wilson's interval for a share, after k of n."""
+    return (k + z * z / 2 - z * F.sqrt(k * (n - k) / n + z * z / 4)) / (n + z * z)
+
 
+def revealing_terms(documents: DataFrame, z: float = 1.645, generalise_at: float = 0.7, remove_at: float = 0.9) -> DataFrame:
+    """key_a, key_b, terms: spans (start, code, end) of disclosing terms, per document that has any.
 
-def revealing_terms(documents: DataFrame, reach: int = 48, min_support: int = 3, generalise_at: float = 0.7,
-                    remove_at: float = 0.9) -> DataFrame:
-    """key_id, key_text, terms: spans (start, code, end) of disclosing terms, per document that has any."""
+    `z` is the normal quantile of the interval around p(c|t); 1.645 leaves 5 % below its lower end.
+    """
+    text = text_or_empty(F.col("text"))
+    found = _with_matches(documents.select(*_key(), text.alias("t")), "t")
+    every = F.array_distinct(F.concat(*[F.transform(k, _named(k)) for k in PATTERNS]))
+    found = found.select(*_KEY, "t", every.alias("e"))
     # Outer explodes: the inner form would get a filter that computes its array twice.
-    found = _with_matches(documents.select(*_key(), text_or_empty(F.col("text")).alias("t")), "t", reach)
-    every = F.concat(*[F.transform(k, _tagger(k)) for k in PATTERNS])
-    carriers = found.select("key_id", "key_text", F.explode_outer(every).alias("e")).where(F.col("e").isNotNull()).select(
-        "key_id", "key_text", "e.kind", "e.value",
-        F.concat(_terms(F.col("e.left"), F.col("e.start") - F.length("e.left") + 2), _terms(F.col("e.right"), F.col("e.end"))).alias("terms"))
-    carriers = stored(carriers, "pii-carriers")
-
-    entity, key = ["kind", "value"], ["key_id", "key_text"]
-    df_entity = carriers.select(*entity, *key).distinct().groupBy(*entity).agg(F.count(F.lit(1)).alias("df_c"))
-    near = carriers.select(*entity, *key, F.explode("terms").alias("t")).select(*entity, *key, "t.term", "t.start", "t.end")
-    df_pair = near.select(*entity, *key, "term").distinct().groupBy(*entity, "term").agg(
-        F.count(F.lit(1)).alias("df_ct")).where(F.col("df_ct") >= min_support)
-    # Document frequency of every term of the corpus, pre-aggregated before the shuffle.
-    spaced = F.concat(F.lit(" "), text_or_empty(F.col("text")), F.lit(" "))
-    words = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(spaced, F.lit(TERM), F.lit(0))), F.lower))
-    df_term = documents.select(F.explode_outer(words).alias("term")).where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    holders = stored(
+        found.select(*_KEY, F.explode_outer(F.when(F.size("e") > 0, F.array(F.struct("t", "e")))).alias("h"))
+        .where(F.col("h").isNotNull()).select(*_KEY, "h.t", "h.e"), "pii-holders")
+
     n = documents.count()
-    information = F.log(F.lit(float(n)) / F.col("df_c"))
-    revealed = F.log(F.lit(float(n)) * F.col("df_ct") / (F.col("df_c") * F.col("df_t")))
+    entity, group = ["kind", "value"], ["set_a", "set_b", "df_c"]
+    carriers = stored(holders.select(*_KEY, F.explode("e").alias("e")).select(*_KEY, "e.kind", "e.value").distinct(), "pii-carriers")
+    alike = carriers.groupBy(*entity).agg(
+        F.count(F.lit(1)).alias("df_c"), F.bit_xor("key_a").alias("set_a"), F.bit_xor("key_b").alias("set_b")).where(F.col("df_c") < n)
+    sets = stored(carriers.join(alike, entity).select(*_KEY, *group).distinct(), "pii-sets")
+
+    # Document frequency of every term of the corpus, pre-aggregated before the shuffle.
+    words = F.regexp_extract_all(_spaced(text), F.lit(TOKEN), F.lit(0))
+    words = F.array_distinct(F.transform(F.array_distinct(F.filter(words, lambda w: ~F.contains(w, F.lit("@")))), F.lower))
+    df_term = stored(
+        documents.select(F.explode_outer(words).alias("term")).where(F.col("term").isNotNull())
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df_t")), "pii-frequencies")
+
+    def most_of(df_c: Column) -> Column:
+        # A little more than the bound, for rounding.
+        return F.pow(df_c, F.lit(generalise_at)) * (1.000001 * n ** (1 - generalise_at))
+
+    largest = sets.agg(F.max("df_c")).first()[0] or 0
+    common = stored(df_term.where(F.col("df_t") > most_of(F.lit(largest))).select("term"), "pii-common")
+    places = _with_terms(holders.select(*_KEY, "t"), "t").select(*_KEY, F.explode_outer("terms").alias("w")).where(F.col("w").isNotNull())
+    places = stored(places.select(*_KEY, "w.term", "w.start", "w.end").join(common, "term", "left_anti"), "pii-places")
+    near = places.select(*_KEY, "term").distinct().join(df_term, "term")
+    pairs = stored(sets.join(near, _KEY).where(F.col("df_t") <= most_of(F.col("df_c"))), "pii-pairs")
+
+    df_pair = pairs.groupBy(*group, "term", "df_t").agg(F.count(F.lit(1)).alias("df_ct"))
+    total = F.lit(float(n))
+    information = F.log(total / F.col("df_c"))
+    revealed = F.log(surely(F.col("df_ct"), F.col("df_t"), z) * total / F.col("df_c"))
     code = F.when(revealed >= remove_at * information, F.lit(KINDS.index("removed"))).when(
         revealed >= generalise_at * information, F.lit(KINDS.index("generalised")))
-    decided = stored(
-        df_pair.join(df_entity, entity).join(df_term, "term").withColumn("code", code)
-        .where(F.col("code").isNotNull() & (information > 0)).select(*entity, "term", "code"),
-        "pii-terms")
-    spans = near.join(decided, [*entity, "term"]).groupBy(*key, "start", "end").agg(F.max("code").alias("code"))
-    return stored(spans.groupBy(*key).agg(F.collect_list(F.struct("start", "code", "end")).alias("terms")), "pii-spans")
+    decided = stored(df_pair.select(*group, "term", code.alias("code")).where(F.col("code").isNotNull()), "pii-terms")
+    told = pairs.join(decided, [*group, "term"]).groupBy(*_KEY, "term").agg(F.max("code").alias("code"))
+    spans = places.distinct().join(told, [*_KEY, "term"])
+    return stored(spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "code", "end")).alias("terms")), "pii-spans")
 
 
-def _tagger(kind: str):
-    return lambda s: s.withField("kind", F.lit(kind))
+def _named(kind: str):
+    return lambda s: F.struct(F.lit(kind).alias("kind"), s["value"].alias("value"))
 
 
 def find_spans(documents: DataFrame, **disclosure) -> DataFrame:
     """Per document: `row`, `base` and `spans`, arrays of (start, code, end) in order; code indexes KINDS."""
     terms = revealing_terms(documents, **disclosure)
-    found = _with_matches(documents.select(F.struct("*").alias("row"), *_key(), text_or_empty(F.col("text")).alias("t")), "t", 0)
+    found = _with_matches(documents.select(F.struct("*").alias("row"), *_key(), text_or_empty(F.col("text")).alias("t")), "t")
     base = F.array_sort(F.concat(*[F.transform(k, _coded(i)) for i, k in enumerate(PATTERNS)]))
-    found = found.select("row", "key_id", "key_text", base.alias("base"))
-    terms = terms.withColumnsRenamed({"key_id": "t_id", "key_text": "t_text"})
-    both = found.join(terms, F.col("key_id").eqNullSafe(F.col("t_id")) & (F.col("key_text") == F.col("t_text")), "left")
+    both = found.select("row", *_KEY, base.alias("base")).join(terms, _KEY, "left")
     spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms")))
     return both.select("row", "base", spans.alias("spans"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -128,3 +129,48 @@ class Katz:
         t = self.tokens[i]
         base = sum(math.log10((self.one[w] + 0.5) / (self.n + 0.5 * (self.v + 1))) for w in t)
         return base, sum(math.log10(self.pair(a, w)) for a, w in zip([END, *t], t))
+
+
+_SPACES = " \t\n\x0b\x0c\r"
+
+
+def pii_terms(text: str | None) -> list[tuple[str, int, int]]:
+    """Terms with their places: words of three letters or more, at most four marks from white space on both sides."""
+    t = f" {text or ''} "
+    emails = [m.span() for m in re.finditer(PATTERNS[0][1], text or "")]
+    out = []
+    for m in re.finditer(r"[^\W\d_]+", t):
+        a, b = m.span()
+        left, right = a, b
+        while t[left - 1] in string.punctuation:
+            left -= 1
+        while t[right] in string.punctuation:
+            right += 1
+        if b - a >= 3 and t[left - 1] in _SPACES and t[right] in _SPACES and a - left <= 4 and right - b <= 4:
+            if not any(x < b - 1 and a - 1 < y for x, y in emails):
+                out.append((m.group().lower(), a - 1, b - 1))
+    return out
+
+
+def pii_disclosed(docs: list[tuple], z: float = 1.645, generalise_at: float = 0.7, remove_at: float = 0.9) -> dict[tuple, list[tuple]]:
+    """(doc_id, text) to (kind, start, end) of its generalised and removed terms, from counts over whole documents."""
+    df_t = Counter(w for _, t in docs for w in {w for w, _, _ in pii_terms(t)})
+    held = defaultdict(set)
+    for d in set(docs):
+        for s in filter(None, pii_spans(d[1]).split(",")):
+            kind, a, b = s.split(":")
+            raw = d[1][int(a):int(b)]
+            held[kind, raw.lower() if kind == "email" else raw if kind == "ip" else re.sub("[^0-9]", "", raw)].add(d)
+    rank, out = {}, {}
+    for carriers in held.values():
+        df_ct = Counter(w for d in carriers for w in {w for w, _, _ in pii_terms(d[1])})
+        information = math.log(len(docs) / len(carriers))
+        for w, k in df_ct.items():
+            n = df_t[w]
+            low = (k + z * z / 2 - z * math.sqrt(k * (n - k) / n + z * z / 4)) / (n + z * z)
+            share = math.log(low * len(docs) / len(carriers)) / information if information > 0 else 0
+            for d in carriers if share >= generalise_at else ():
+                rank[d, w] = max(rank.get((d, w), ""), "removed" if share >= remove_at else "generalised")
+    for d in set(docs):
+        out[d] = [(rank[d, w], a, b) for w, a, b in pii_terms(d[1]) if (d, w) in rank]
+    return out

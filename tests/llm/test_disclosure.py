@@ -1,0 +1,50 @@
+"""Terms that reveal identifiers, against counts over whole documents."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from keyferry.llm import pii
+from tests.conftest import SF001
+from tests.llm import brute
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def made() -> list[tuple]:
+    rng = random.Random(5)
+    common = ["this", "that", "with", "from", "about"]
+    docs = [(i, " ".join([*rng.choices(common, k=12), f"seldom{'abcdefgh'[i % 8]}", f"once{''.join(rng.choices('abcdefgh', k=6))}"]))
+            for i in range(400)]
+    far = " ".join(rng.choices(common, k=40))
+    docs += [
+        (1000, f"Zebrafinch. {far} with one@only.org from, zebrafinch! {far} (quokka) seldoma"),
+        (1001, f"twice@two.org {far} numbat okapi {far} numbat"), (1002, f"numbat {far} TWICE@two.org from 10.1.2.3"),
+        *[(1100 + i, f"axolotl {far} many@more.org x@y.zz u@v.ww") for i in range(8)], (1200, "axolotl with nothing else"),
+        (1300, " _@-.inside stays \u00e9abc@-.- stays _@abc.- @handle outside."),
+        (None, f"nameless {far} null@id.org"), (1400, f"copied {far} c@opy.org"), (1400, f"copied {far} c@opy.org"),
+        (1400, f"another {far} d@opy.org"), (1500, None), (1501, ""),
+    ]
+    return docs
+
+
+def disclosed(spark, docs) -> dict[tuple, list[tuple]]:
+    found = pii.find_spans(spark.createDataFrame(docs, SCHEMA)).collect()
+    return {(r["row"]["doc_id"], r["row"]["text"]): [
+        (pii.KINDS[s["code"]], s["start"], s["end"]) for s in r["spans"] if s["code"] >= 4] for r in found}
+
+
+@pytest.mark.parametrize("real", [False, True])
+def test_disclosed_spans(spark, real):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").collect()] if real else made()
+    assert disclosed(spark, docs) == brute.pii_disclosed(docs)
+
+
+def test_identifiers_of_one_and_two_documents_are_decided(spark):
+    docs = made()
+    got = {d[0]: [d[1][a:b] for _, a, b in spans] for d, spans in disclosed(spark, docs).items()}
+    assert got[1000] == ["Zebrafinch", "zebrafinch", "quokka"]
+    assert got[1001] == ["numbat", "okapi", "numbat"] and got[1002] == ["numbat"]
+    assert got[1100] == ["axolotl"] and got[1200] == []
