@@ -10,13 +10,16 @@ length - v + 1 bytes that starts inside their first v bytes. Hence:
    repeated. A suffix none of whose sample strings is repeated is tied with no
    other to the full depth and is done.
 2. The other suffixes are dealt into buckets by the fingerprint of their first
-   `length` bytes; one bucket is sorted at a time, and neighbours that tie are
-   repeats.
+   `length` bytes; one bucket is sorted at a time, and neighbours may tie.
+3. The suffixes that may tie are dealt and sorted once more, by a second
+   fingerprint over prime fields, and those that tie again are repeats.
 
 A bucket holds a bounded number of keys, whatever the input. Suffixes are
 sorted by fingerprint and not by letter, which keeps the ties and is all that
-removal needs; two different strings tie with a chance of 2**-64. Equal whole
-texts are found first, and only one of them takes part in step 2.
+removal needs. The first fingerprint alone would give n**2 / 2**64 false ties
+among n suffixes, some at 30 GB; a false tie now has to pass both, of 64 and
+62 bits. Equal whole texts are found first, by 64 bits over n texts, and only
+one of them takes part in steps 2 and 3.
 
 Defined results: null text is empty; texts shorter than `length` keep all
 bytes; equal rows repeat each other; an empty table gives an empty result.
@@ -81,6 +84,42 @@ class Hasher:
         return out
 
 
+class SecondHasher:
+    """Other fingerprints of the same strings, by polynomials over two prime fields, so independent of the first."""
+
+    primes = (2**31 - 1, 2**31 - 19)
+    bases = (1_183_186_591, 1_622_650_073)
+
+    def __init__(self) -> None:
+        self.fields = []
+        for k, (p, base) in enumerate(zip(self.primes, self.bases)):
+            table = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE) + np.uint64(k + 1)) % np.uint64(p)
+            self.fields.append((np.uint64(p), table, self._powers(base, p), self._powers(pow(base, -1, p), p)))
+
+    @staticmethod
+    def _powers(base: int, p: int) -> np.ndarray:
+        out = np.empty(CHUNK, np.uint64)
+        out[0] = 1
+        n = 1
+        while n < CHUNK:
+            out[n:2 * n] = out[:min(n, CHUNK - n)] * np.uint64(pow(base, n, p)) % np.uint64(p)
+            n *= 2
+        return out
+
+    def at(self, data: np.ndarray, where: np.ndarray, length: int) -> np.ndarray:
+        out, step = np.empty(len(where), np.uint64), CHUNK - length - 1
+        for lo in range(0, len(data), step):
+            a, b = np.searchsorted(where, (lo, lo + step))
+            if a < b:
+                part, own, both = data[lo:lo + step + length], where[a:b] - lo, np.zeros(b - a, np.uint64)
+                for p, table, up, down in self.fields:
+                    sums = np.zeros(len(part) + 1, np.uint64)  # below 2**20 terms of 31 bits
+                    np.cumsum(table[part] * up[:len(part)] % p, out=sums[1:])
+                    both = both << np.uint64(32) | (sums[own + length] - sums[own]) % p * down[own] % p
+                out[a:b] = mixed(both)
+        return out
+
+
 class Plan:
     """Positions to ask about, for strings of `length` bytes."""
 
@@ -163,6 +202,17 @@ class _Block:
             out.append(self.hasher.at(t, at, self.plan.length))
         return starts, np.concatenate(out)
 
+    def ask_again(self, samples: np.ndarray, texts: np.ndarray, ties: np.ndarray,
+                  second: SecondHasher) -> tuple[list[np.ndarray], np.ndarray]:
+        """The suffixes that tie by the first fingerprint, and their second ones."""
+        starts, keys = self.ask_suffixes(samples, texts)
+        tied, lo, out = _repeated(keys, ties), 0, []
+        for k, (t, w) in enumerate(zip(self.texts, starts)):
+            starts[k] = w[tied[lo:lo + len(w)]]
+            lo += len(w)
+            out.append(second.at(t, starts[k], self.plan.length))
+        return starts, np.concatenate(out)
+
     def copies(self, answer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per text: whether an equal one exists, and whether an earlier one does."""
         keys = self.text_keys()
@@ -205,6 +255,26 @@ def _second_questions(plan: Plan, first_buckets: int, buckets: int):
     return go
 
 
+def _third_questions(plan: Plan, buckets: int):
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, second = Hasher(), SecondHasher()
+
+        def rows():
+            for batch in batches:
+                for row in batch.to_pylist():
+                    block = _Block(row, plan, hasher)
+                    keys = block.ask_again(*_answers(row["a0"]), _answers(row["a1"])[0], second)[1]
+                    yield from _dealt(np.unique(keys), buckets, block.number)
+        yield from messages(rows())
+    return go
+
+
+def _repeated(keys: np.ndarray, answer: np.ndarray) -> np.ndarray:
+    """Whether a key occurs again, in its block or by the answer in another one."""
+    distinct, at, times = np.unique(keys, return_inverse=True, return_counts=True)
+    return ((answer > 0) | (times > 1))[at] if len(keys) else np.empty(0, bool)
+
+
 def _answers(parts: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
     """Answers on keys and on whole texts, each in key order."""
     parts = parts or []
@@ -232,14 +302,13 @@ def _ties(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _removal(plan: Plan, keep_bytes: bool):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, second = Hasher(), SecondHasher()
         for batch in batches:
             for row in batch.to_pylist():
                 block = _Block(row, plan, hasher)
                 samples, texts = _answers(row["a0"])
-                starts, keys = block.ask_suffixes(samples, texts)
-                distinct, at, times = np.unique(keys, return_inverse=True, return_counts=True)
-                repeated = ((_answers(row["a1"])[0] > 0) | (times > 1))[at] if len(keys) else np.empty(0, bool)
+                starts, keys = block.ask_again(samples, texts, _answers(row["a1"])[0], second)
+                repeated = _repeated(keys, _answers(row["a2"])[0])
                 equal, lo, out = block.copies(texts)[0], 0, []
                 for t, w, gone in zip(block.texts, starts, equal):
                     hit = w[repeated[lo:lo + len(w)]]
@@ -273,7 +342,9 @@ def remove_repeats(documents: DataFrame, length: int = 400, keep_bytes: bool = F
         ranks = ask(asked, _ties, "repeat-ranks")
         asked = blocks.answered(ranks).mapInArrow(_second_questions(plan, first, second), MESSAGE)
         ties = ask(asked, _ties, "repeat-ties")
-        result = blocks.answered(ranks, ties).mapInArrow(
+        asked = blocks.answered(ranks, ties).mapInArrow(_third_questions(plan, second), MESSAGE)
+        sure = ask(asked, _ties, "repeat-sure")
+        result = blocks.answered(ranks, ties, sure).mapInArrow(
             _removal(plan, keep_bytes), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
         return stored(result if keep_bytes else result.drop("kept"), "repeat-result")
     finally:

@@ -1,0 +1,34 @@
+"""Repeats are told from strings that only share a fingerprint."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from keyferry.llm import suffix_dedup
+from tests.llm.brute import repeats
+
+
+def texts() -> list[str]:
+    rng = np.random.default_rng(7)
+    own = ["".join(map(chr, rng.integers(97, 123, 900))) for _ in range(6)]
+    return [*own, "a" + own[0][:600], own[1][200:700] + own[2][100:600], "z" * 450]
+
+
+def test_a_false_tie_is_not_removed(spark, monkeypatch):
+    right = suffix_dedup.Hasher.at
+    # Fingerprints of 6 bits: nearly every suffix has the key of another one.
+    monkeypatch.setattr(suffix_dedup.Hasher, "at", lambda self, *a: right(self, *a) & np.uint64(63 << 58))
+    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id bigint, text string")
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(docs).collect()))
+    assert got == [(i, *r) for i, r in enumerate(repeats([t.encode() for t in texts()], 400))]
+
+
+@pytest.mark.parametrize("length", [5, 400])
+def test_second_fingerprint(length):
+    data = np.random.default_rng(3).integers(0, 3, 3_000).astype(np.uint8)
+    data[2_000:2_700] = data[100:800]
+    where = np.arange(len(data) - length + 1)
+    keys = suffix_dedup.SecondHasher().at(data, where, length)
+    strings = [data[i:i + length].tobytes() for i in where]
+    assert len(set(keys.tolist())) == len(set(strings)) == len(set(zip(keys.tolist(), strings)))
