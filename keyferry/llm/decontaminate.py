@@ -8,6 +8,8 @@ words), exploded as bare longs and met with the set of test hashes. That set is
 broadcast while its proven size (16 bytes a row, counted) is at most
 `broadcast_bytes`, and else joined by a shuffle. Hits are then verified in the
 document's row on the words themselves, so a hash collision cannot survive.
+Hits carry the number of their test window; its items, which may be many, meet
+the distinct windows of a document only after that.
 
 Defined results: null or empty text has no words and no hits; an item without
 words is no window; item ids that repeat count once, a null item id is left
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from keyferry.llm.common import ascii_lower, sliding, split_words, stored, text_or_empty
 
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
-HIT = "array<struct<pos:int,len:int,words:string,items:array<string>>>"
+HIT = "array<struct<pos:int,len:int,words:string,window:bigint>>"
 
 
 def normal_words(text: Column) -> Column:
@@ -67,21 +69,25 @@ def _key(prefix: str = "") -> list[Column]:
 
 
 def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10,
-              broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """`row` (the input row as a struct) with n_words, its words and the verified `hits`."""
+              broadcast_bytes: int = 64 << 20) -> tuple[DataFrame, DataFrame]:
+    """`row` (the input row as a struct) with its key, n_words, its words and the verified `hits`; and (window, item)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), normal_words(F.col("text")).alias("words"))
     items = items.where(F.size("words") > 0)
     # At most `window` different lengths.
     length = F.least(F.size("words"), F.lit(window))
     lengths = sorted(r[0] for r in items.select(length).distinct().collect())
     row = documents.select(F.struct("*").alias("row"))
+    key_id, key_text = _key("row.")
     if not lengths:
         return row.withColumn("words", normal_words(F.col("row.text"))).select(
-            "row", F.size("words").cast("long").alias("n_words"), "words", F.array().cast(HIT).alias("hits"))
+            "row", key_id, key_text, F.size("words").cast("long").alias("n_words"), "words", F.array().cast(HIT).alias("hits")
+        ), items.select(F.lit(0).cast("long").alias("window"), "item").limit(0)
     own = _with_window_hashes(items.withColumn("own_length", length), lengths)
     windows = _exploded(own, lengths, ["item", "words", "own_length"]).where((F.col("len") == F.col("own_length")) & F.col("hash").isNotNull())
     windows = windows.select("len", "hash", "item", F.array_join(F.slice("words", F.col("pos") + 1, F.col("len")), " ").alias("words"))
-    windows = stored(windows.groupBy("len", "hash", "words").agg(F.collect_set("item").alias("items")), "leak-windows")
+    listed = stored(windows.distinct(), "leak-listed")
+    windows = stored(listed.select("len", "hash", "words").distinct().withColumn("window", F.monotonically_increasing_id()), "leak-windows")
+    owners = listed.where(F.col("item").isNotNull()).join(windows, ["len", "hash", "words"]).select("window", "item")
     tests = windows.select("len", "hash").distinct()
 
     scanned = _with_window_hashes(documents.select(*_key(), normal_words(F.col("text")).alias("words")), lengths)
@@ -90,26 +96,31 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10,
         tests = F.broadcast(tests)
     met = stored(probe.join(tests, ["len", "hash"]).distinct(), "leak-met")  # repeated documents meet once
     hits = met.join(windows, ["len", "hash"]).groupBy("key_id", "key_text").agg(
-        F.collect_list(F.struct("pos", "len", "words", "items")).alias("met"))
+        F.collect_list(F.struct("pos", "len", "words", "window")).alias("met"))
     hits = stored(hits, "leak-hits")
 
     # By shuffle at any size, since hits grow with the documents; the words are split after it.
-    key_id, key_text = (c for c in _key("row."))
     both = row.select("row", key_id, key_text).join(
         hits.withColumnsRenamed({"key_id": "hit_id", "key_text": "hit_text"}).hint("merge"),
         F.col("key_id").eqNullSafe(F.col("hit_id")) & (F.col("key_text") == F.col("hit_text")), "left")
-    both = both.select("row", "met", normal_words(F.col("row.text")).alias("words"))
+    both = both.select("row", "key_id", "key_text", "met", normal_words(F.col("row.text")).alias("words"))
     sure = F.filter("met", lambda h: F.array_join(F.slice(F.col("words"), h["pos"] + 1, h["len"]), " ") == h["words"])
-    return both.select("row", F.size("words").cast("long").alias("n_words"), "words",
-                       F.coalesce(sure, F.array().cast(HIT)).alias("hits"))
+    return both.select("row", "key_id", "key_text", F.size("words").cast("long").alias("n_words"), "words",
+                       F.coalesce(sure, F.array().cast(HIT)).alias("hits")), owners
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Per document: `row`, n_words, n_hit, n_items, items_sha256, contaminated."""
     covered = F.array_distinct(F.flatten(F.transform(
         "hits", lambda h: F.sequence(h["pos"], h["pos"] + h["len"] - 1))))
-    items = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
-    found = find_hits(documents, benchmark, window).select("row", "n_words", covered.alias("covered"), items.alias("items"))
+    found, owners = find_hits(documents, benchmark, window)
+    met = F.array_distinct(F.transform("hits", lambda h: h["window"]))
+    found = stored(found.select("row", "key_id", "key_text", "n_words", covered.alias("covered"), met.alias("met")), "leak-found")
+    pairs = found.select("key_id", "key_text", F.explode("met").alias("window")).distinct()
+    items = pairs.join(owners, "window").groupBy(F.col("key_id").alias("item_id"), F.col("key_text").alias("item_text")).agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+    found = found.join(items, F.col("key_id").eqNullSafe(F.col("item_id")) & (F.col("key_text") == F.col("item_text")), "left")
+    found = found.withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return found.select(
         "row", "n_words", F.size("covered").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("covered") > 0).alias("contaminated"))
@@ -123,7 +134,7 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int
 def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """All rows of `documents`; texts with hits become their normalised words that are not hit."""
     covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["pos"], h["pos"] + h["len"] - 1))))
-    found = find_hits(documents, benchmark, window).select(
+    found = find_hits(documents, benchmark, window)[0].select(
         "row", covered.alias("covered"), "words")
     # Runs of hit words: positions whose neighbour is not hit, by hash sets in the row.
     first = F.array_sort(F.array_except("covered", F.transform("covered", lambda p: p + 1)))
