@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyferry.session import fresh_path
+from keyferry.session import fresh_path, remove_path
 
 # ASCII white space; a word is a run of other characters.
 SPACE = r"\x20\x09-\x0D"
@@ -28,7 +28,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by `stored` that nothing reads any more."""
+    for df in tables:
+        remove_path(df.sparkSession, df.stored_at)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from keyferry.llm import decontaminate, katz, mixing, near_dup, pii, quality_model, quality_rules, suffix_dedup, toxicity, url_filter
+from keyferry.llm import (
+    decontaminate, katz, language, merkle, mixing, near_dup, pii, quality_model, quality_rules, spelling, suffix_dedup, toxicity, url_filter,
+)
 from keyferry.llm.common import table
 
 # Fixed by the query contract: host, path, verdict.
@@ -167,6 +169,97 @@ fit AS (SELECT rid, arg_max(rule_host || rule_path, length(rule_host || rule_pat
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fit USING (rid)"""
 
 
+# -- 11: spelling variants -----------------------------------------------------------
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = spelling.Settings(min_length=7, min_count=2, ratio=10, drop_one_in=31)
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), settings), settings)
+
+
+def _sql_crc32(text: str) -> str:
+    """The CRC of the UTF-8 bytes, bit by bit: a byte enters, then eight shifts (-1)."""
+    byte = f"('0x' || substr(hex({text}), 2 * b + 1, 2))::BIGINT"
+    return (f"xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(0, strlen({text})), lambda b: [{byte}, -1, -1, -1, -1, -1, -1, -1, -1])), "
+            "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)")
+
+
+SQL_OP11 = f"""WITH RECURSIVE runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents) WHERE length(run) >= 7 GROUP BY id, run),
+hashed AS (SELECT run, n, {_sql_crc32("(id || ':' || run)")} AS h FROM runs),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+gaps AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, n, unnest(generate_series(1, length(word)))::INT AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, a.n AS a_n, b.word AS b, b.n AS b_n FROM gaps a JOIN gaps b USING (i, head, tail) WHERE a.word < b.word
+  UNION SELECT g.word, g.n, w.word, w.n FROM gaps g JOIN words w ON w.word = g.head || g.tail),
+near AS (SELECT a AS word, b AS other, b_n AS other_n FROM pairs UNION ALL SELECT b, a, a_n FROM pairs),
+best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+formed AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (word)),
+climb AS (SELECT word, coalesce(form, word) AS root, form IS NOT NULL AS on_way FROM formed
+  UNION ALL SELECT c.word, f.form, true FROM climb c JOIN formed f ON c.root = f.word WHERE c.on_way AND f.form IS NOT NULL),
+ends AS (SELECT c.word, c.root FROM climb c JOIN formed f ON c.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
+
+
+# -- 12: Merkle manifest ---------------------------------------------------------------
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0  # null: not changed
+    n_chars = F.col("n_chars").cast("decimal(38,0)") + 1
+    tampered = F.when(changed, merkle.digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")))
+    found = merkle.manifest(documents, carry=[tampered.alias("tampered")])
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _sql_leaf(n_chars: str) -> str:
+    cells = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}) || ':' || {c} END"
+             for c in ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")]
+    return f"sha256({' || '.join(cells)})"
+
+
+def _sql_levels(name: str, first: str) -> str:
+    """Every level of the trees (tree, list of nodes) of `first`."""
+    return f"""{name} AS (SELECT tree, 0 AS level, nodes FROM {first}
+  UNION ALL SELECT tree, level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM {name} WHERE len(nodes) > 1)"""
+
+
+def _sql_path(name: str, pos: str) -> str:
+    """Steps of the path of place `pos`, in order: side and sibling."""
+    other = f"nodes[xor({pos} >> level, 1) + 1]"
+    return (f"list(CASE WHEN {other} IS NULL THEN '' WHEN ({pos} >> level) % 2 = 1 THEN '<' || {other} ELSE '>' || {other} END ORDER BY level) "
+            f"FILTER (WHERE len(nodes) > 1)")
+
+
+SQL_OP12 = f"""WITH RECURSIVE rows AS (SELECT row_number() OVER () AS rid, doc_id, lang, {_sql_leaf('n_chars')} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_sql_crc32('doc_id::VARCHAR')} % 7 = 0 THEN {_sql_leaf('n_chars::HUGEINT + 1')} END AS tampered FROM documents),
+placed AS (SELECT *, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos FROM rows),
+trees AS (SELECT tree, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY tree),
+{_sql_levels('levels', 'trees')},
+subroots AS (SELECT tree AS member, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM levels WHERE len(nodes) = 1),
+forest AS (SELECT '' AS tree, list(subroot ORDER BY pos) AS nodes FROM subroots),
+{_sql_levels('tops', 'forest')},
+above AS (SELECT member, subroot, coalesce({_sql_path('tops', 's.pos')}, []) AS up, max(nodes[1]) FILTER (WHERE len(nodes) = 1) AS root
+  FROM subroots s, tops GROUP BY member, subroot),
+below AS (SELECT rid, coalesce({_sql_path('levels', 'p.pos')}, []) AS path FROM placed p JOIN levels USING (tree) GROUP BY rid),
+proofs AS (SELECT doc_id, leaf, tampered, subroot, root, path || up AS path FROM placed p JOIN below USING (rid) JOIN above a ON a.member = p.tree),
+folded AS (SELECT *, list_reduce([coalesce(tampered, leaf)] || path, lambda x, s: CASE WHEN s[1] = '<' THEN sha256(s[2:] || x) ELSE sha256(x || s[2:]) END) AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
+# -- 13: language identification ---------------------------------------------------------
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.predict(documents, language.fit(documents))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_pii": op1_pii,
@@ -179,6 +272,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -186,4 +282,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_decontaminate": SQL_OP8,
     "op9_quality_rules": SQL_OP9,
     "op10_url_filter": SQL_OP10,
+    "op11_spelling_variants": SQL_OP11,
+    "op12_merkle_manifest": SQL_OP12,
 }
