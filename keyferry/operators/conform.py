@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +69,63 @@ def conform(df: DataFrame, profile: str = "reference") -> DataFrame:
     return df.select(*out)
 
 
+# Per row, in ``try_types``: the columns whose value the wanted type refuses.
+REFUSED = "__kf_refused"
+
+
+def try_types(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFrame:
+    """``df`` with ``types`` cast to, and ``REFUSED``: an array of (column, type,
+    value as text) for every value that its type does not take, empty for a row
+    that fits.
+
+    A cast fails a job by default, so one bad row would end the table. Here a
+    refused value is NULL and reported. Casts of NULL are no refusal.
+    """
+    missing = sorted(set(types) - set(df.columns))
+    if missing:
+        raise ValueError(f"columns not in the table: {missing}")
+    own = {f.name: f.dataType for f in df.schema.fields}
+    values, refused = [], []
+    for name in df.columns:
+        c, want = F.col(f"`{name}`"), types.get(name)
+        if want is None:
+            values.append(c)
+            continue
+        want = T.DataType.fromDDL(want) if isinstance(want, str) else want
+        if want == own[name]:
+            values.append(c)
+            continue
+        ntz = isinstance(own[name], T.TimestampNTZType) and isinstance(want, T.TimestampType)
+        cast = ntz_to_utc_instant(c) if ntz else c.try_cast(want)
+        values.append(cast.alias(name))
+        text = F.to_json(F.struct(c)) if isinstance(own[name], (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
+        refused.append(F.when(c.isNotNull() & cast.isNull(), F.struct(
+            F.lit(name).alias("column"), F.lit(want.simpleString()).alias("type"), text.alias("value"))))
+    none = F.array().cast("array<struct<column:string,type:string,value:string>>")
+    found = F.filter(F.array(*refused), lambda x: x.isNotNull()) if refused else none
+    return df.select(*values, found.alias(REFUSED))
+
+
+def fitting(tried: DataFrame) -> DataFrame:
+    """The rows of ``try_types`` without a refused value."""
+    return tried.where(F.size(REFUSED) == 0).drop(REFUSED)
+
+
+def refused_values(tried: DataFrame) -> DataFrame:
+    """row (as JSON, refused values NULL), column, type, value: one row per refused value."""
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in tried.columns if c != REFUSED])).alias("row")
+    return tried.where(F.size(REFUSED) > 0).select(whole, F.inline(REFUSED))
+
+
+def refusal_counts(tried: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column, refused for every one of ``columns``, then ``*`` with the rows that hold a refused value; one scan."""
+    names = F.transform(REFUSED, lambda r: r["column"])
+    aggs = [F.count_if(F.array_contains(names, c)).alias(f"n{i}") for i, c in enumerate(columns)]
+    wide = tried.agg(*aggs, F.count_if(F.size(REFUSED) > 0).alias("any"))
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("refused")) for i, c in enumerate(columns)]
+    return wide.select(F.inline(F.array(*pairs, F.struct(F.lit("*").alias("column"), F.col("any").alias("refused")))))
+
+
 def as_utc_wall_clock(df: DataFrame) -> DataFrame:
     """Turn every zoned timestamp back into a UTC wall-clock (NTZ) value.
 

@@ -14,9 +14,9 @@ shuffle itself is spread by the *whole* key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,13 +29,13 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _has_map(dt: T.DataType) -> bool:
+def has_map(dt: T.DataType) -> bool:
     if isinstance(dt, T.MapType):
         return True
     if isinstance(dt, T.ArrayType):
-        return _has_map(dt.elementType)
+        return has_map(dt.elementType)
     if isinstance(dt, T.StructType):
-        return any(_has_map(f.dataType) for f in dt.fields)
+        return any(has_map(f.dataType) for f in dt.fields)
     return False
 
 
@@ -44,7 +44,7 @@ def _orderable(c: Column, dt: T.DataType) -> Column:
     map, at any depth, becomes the sorted array of its (key, value) entries.
     The result holds no map, so it can be ordered and hashed, and equal maps
     give equal forms whatever their entry order."""
-    if not _has_map(dt):
+    if not has_map(dt):
         return c
     if isinstance(dt, T.MapType):
         vt = dt.valueType
@@ -70,7 +70,7 @@ def winner(df: DataFrame, columns: Sequence[str]) -> Column:
     ``max_by`` carries the values and orders by their canonical form."""
     types = {f.name: f.dataType for f in df.schema.fields}
     values = F.struct(*[_q(c) for c in columns])
-    if not any(_has_map(types[c]) for c in columns):
+    if not any(has_map(types[c]) for c in columns):
         return F.max(values)
     order = F.struct(*[_orderable(_q(c), types[c]).alias(c) for c in columns])
     return F.max_by(values, order)
@@ -99,6 +99,8 @@ def row_bytes(df: DataFrame) -> Column:
             parts.append(F.lit(width))
         elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, T.ArrayType) and type(f.dataType.elementType) in _WIDTH:
+            parts.append(F.coalesce(F.size(c), F.lit(0)) * _WIDTH[type(f.dataType.elementType)])
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
         else:
@@ -131,6 +133,13 @@ def null_key_counts(df: DataFrame, key: Sequence[str], table: str) -> DataFrame:
     )
 
 
+def refuse_map_keys(df: DataFrame, key: Sequence[str], what: str = "key") -> None:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bad = [k for k in key if k in types and has_map(types[k])]
+    if bad:
+        raise TypeError(f"{what} columns {bad} hold maps, which cannot be keys (no order, no hash)")
+
+
 def require_keys(df: DataFrame, key: Sequence[str], what: str = "key") -> DataFrame:
     """``df`` unchanged, but a row with a NULL key cell fails the job.
 
@@ -140,10 +149,7 @@ def require_keys(df: DataFrame, key: Sequence[str], what: str = "key") -> DataFr
     """
     if not key:
         return df
-    types = {f.name: f.dataType for f in df.schema.fields}
-    bad = [k for k in key if k in types and _has_map(types[k])]
-    if bad:
-        raise TypeError(f"{what} columns {bad} hold maps, which cannot be keys (no order, no hash)")
+    refuse_map_keys(df, key, what)
     any_null = F.lit(False)
     for k in key:
         any_null = any_null | _q(k).isNull()
@@ -160,13 +166,23 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def dedupe(df: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key, the greatest by ``order_by`` then the other columns."""
-    cols = df.columns
+def repeated_rows(df: DataFrame, key: Sequence[str]) -> int:
+    """Rows beyond the first of their key. Reads the key columns; a table bucketed
+    by the leading ones is counted without a shuffle."""
+    copies = df.groupBy(*[_q(k) for k in key]).agg(F.count(F.lit(1)).alias("copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
+
+
+def dedupe(df: DataFrame, key: Sequence[str], order_by: Sequence[str] = (), sums: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per key, the greatest by ``order_by`` then the other columns.
+
+    ``sums`` adds columns that sum an expression over all rows of the key.
+    """
+    cols, sums = df.columns, sums or {}
     return (
         df.groupBy(*[_q(k) for k in key])
-        .agg(_winner_struct(df, key, order_by).alias(_WIN))
-        .select(*[_q(c) if c in key else F.col(f"{_WIN}.`{c}`").alias(c) for c in cols])
+        .agg(_winner_struct(df, key, order_by).alias(_WIN), *[F.sum(c).alias(name) for name, c in sums.items()])
+        .select(*[_q(c) if c in key else F.col(f"{_WIN}.`{c}`").alias(c) for c in cols], *sums)
     )
 
 
@@ -200,3 +216,23 @@ def surviving_rows(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
     on the whole key: no hot task.
     """
     return existing.join(incoming.select(*[_q(k) for k in key]).distinct(), list(key), "left_anti")
+
+
+# HyperLogLog registers as a power of two: a relative error of 0.8 %.
+SKETCH_BITS = 14
+
+
+def key_sketch(key: Sequence[str], where: Column | None = None) -> Column:
+    """Aggregate: a mergeable sketch of the distinct keys, some 10 KB however many there are.
+
+    NULL cells count as values. ``where`` leaves rows out.
+    """
+    nulls = F.concat_ws("", *[_q(k).isNull().cast("int").cast("string") for k in key])
+    hashed = F.xxhash64(nulls, *[_q(k) for k in key])
+    return F.hll_sketch_agg(hashed if where is None else F.when(where, hashed), F.lit(SKETCH_BITS))
+
+
+def distinct_estimate(spark: SparkSession, *sketches: bytes) -> int:
+    """About how many distinct keys the sketched batches hold together."""
+    rows = spark.createDataFrame([(bytes(s),) for s in sketches], "s binary")
+    return rows.agg(F.hll_sketch_estimate(F.hll_union_agg("s"))).first()[0] or 0

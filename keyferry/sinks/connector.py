@@ -11,6 +11,7 @@ argument: none is bundled here.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -53,10 +54,14 @@ def write_table(
     clustering_keys: Sequence[str] = (),
     spread_hot_keys: bool = False,
     observation: Observation | None = None,
+    balance_heavy_keys: bool = False,
 ) -> None:
     """``spread_hot_keys`` lays rows out by partition and clustering keys, so a
-    partition key with many rows leaves from many tasks. ``observation`` counts
-    the rows after the layout, in the stage that writes them."""
+    partition key with many rows leaves from many tasks. ``balance_heavy_keys``
+    spreads only the partition keys that are too large for one task, so rows of
+    every other key still leave together (the connector's grouping by partition
+    key stays as good as it was). ``observation`` counts the rows after the
+    layout, in the stage that writes them."""
     mode = mode.lower()
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
@@ -66,7 +71,7 @@ def write_table(
             raise TruncateNotConfirmedError(f"overwrite of {keyspace}.{table} truncates it")
         opts["confirm.truncate"] = "true"
     layout = list(partition_key) + (list(clustering_keys) if spread_hot_keys else [])
-    out = apply_plan(df, plan, layout) if plan else df
+    out = apply_plan(df, plan, layout, balance_heavy_keys) if plan else df
     if plan is not None and plan.action == "repartition" and plan.by_key and partition_key:
         # Rows of one partition key leave a task together, in key order,
         # so the connector can group them into per-partition batches.
@@ -91,8 +96,9 @@ class ConnectorStore:
     applies_plan = True
 
     def __init__(self, spark: SparkSession, fmt: str, keyspace: str, tuning: Mapping[str, object] | None = None,
-                 spread_hot_keys: bool = False):
+                 spread_hot_keys: bool = False, balance_heavy_keys: bool = False):
         self.spread_hot_keys = spread_hot_keys
+        self.balance_heavy_keys = balance_heavy_keys
         self.spark = spark
         self.fmt = fmt
         self.keyspace = keyspace
@@ -138,10 +144,65 @@ class ConnectorStore:
         if mode.lower() == "ignore":
             # The connector may skip the write (table exists): nothing to observe.
             write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning,
-                        clustering_keys, self.spread_hot_keys)
+                        clustering_keys, self.spread_hot_keys, None, self.balance_heavy_keys)
             return WriteResult(self.qualified(table), mode, None, None)
         obs = observation or Observation(unique_name("kf_connector"))
         write_table(out, self.fmt, self.keyspace, table, partition_key, mode, confirm_truncate, plan, self.tuning,
-                    clustering_keys, self.spread_hot_keys, obs)
+                    clustering_keys, self.spread_hot_keys, obs, self.balance_heavy_keys)
         # Whether the external table already held rows is not known here.
         return WriteResult(self.qualified(table), mode, obs.get.get("rows_written", 0), None, created=False)
+
+
+def merge_into(batch: DataFrame, table: str, key: Sequence[str], order_by: Sequence[str] = ()) -> None:
+    """U2 on a table whose format has row-level operations: rows of ``batch`` replace
+    those with the same key, others are added, and only files with such rows are
+    rewritten.
+
+    ``table`` is a catalog table of a data source that supports MERGE; Spark's own
+    file tables do not. No such format is at hand here, so the call is tested, the
+    write itself is not.
+    """
+    batch = require_keys(batch, key)
+    own, target = "__kf_batch", table.rsplit(".", 1)[-1]
+    same = reduce(lambda a, b: a & b, [F.col(f"`{target}`.`{k}`") == F.col(f"{own}.`{k}`") for k in key])
+    merge = dedupe(batch, key, order_by).alias(own).mergeInto(table, same)
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
+class MergeStore(ConnectorStore):
+    """Keyed tables of a catalog whose format supports MERGE (row-level operations).
+
+    ``append`` becomes a merge, so a small batch does not rewrite the table; a
+    table that is not there, and the other modes, go through ``saveAsTable``.
+    """
+
+    applies_plan = False
+
+    def __init__(self, spark: SparkSession, fmt: str, keyspace: str):
+        super().__init__(spark, fmt, keyspace)
+
+    def create_keyspace(self, properties: Mapping[str, str] | None = None) -> None:
+        self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.keyspace}")
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.qualified(table))
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.table(self.qualified(table))
+
+    def write(self, df: DataFrame, table: str, partition_key: Sequence[str], clustering_keys: Sequence[str] = (),
+              mode: str = "append", order_by: Sequence[str] = (), confirm_truncate: bool = True, unique: bool = False,
+              **_: object) -> WriteResult:
+        mode = mode.lower()
+        if mode not in MODES:
+            raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
+        name, key = self.qualified(table), tuple(partition_key) + tuple(clustering_keys)
+        present = self.exists(table)
+        if present and mode == "overwrite" and not confirm_truncate:
+            raise TruncateNotConfirmedError(f"overwrite of {name} truncates it")
+        if present and mode == "append":
+            merge_into(df, name, key, order_by)
+            return WriteResult(name, mode, None, None)
+        out = require_keys(df, key) if unique else dedupe(require_keys(df, key), key, order_by)
+        out.write.format(self.fmt).mode(mode).saveAsTable(name)
+        return WriteResult(name, mode, None, None, skipped=present and mode == "ignore", created=not present)

@@ -34,23 +34,28 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyferry.operators.keys import dedupe, require_keys, surviving_rows
+from keyferry.operators.audit import DIGEST, digest_columns, row_hash
+from keyferry.operators.keys import dedupe, distinct_estimate, key_sketch, refuse_map_keys, require_keys, row_bytes, surviving_rows
 from keyferry.operators.layout import bucket_aligned
 from keyferry.session import fresh_path, remove_path, unique_name
+from keyferry.sources.files import reads_files_only
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
 _PK = "keyferry.partition_key"
 _CK = "keyferry.clustering_keys"
 
+# Of a batch under way: source rows of a key, and their bytes.
+_ROWS, _BYTES = "__kf_rows", "__kf_bytes"
+
 
 class TableExistsError(RuntimeError):
     pass
@@ -84,6 +89,19 @@ def align_to(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f"`{have[f.name.lower()]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+@dataclass(frozen=True)
+class StagedBatch:
+    """What was counted while a version was written, before it is published."""
+
+    rows_read: int  # rows of the batch, all copies of a key
+    batch_keys: int  # rows of the batch that were written, one per key
+    null_cells: Mapping[str, int]  # per key column, over rows_read
+    bytes_read: int  # estimated size of the batch
+    distinct_keys: int | None  # estimate for a batch declared unique
+    key_sketch: bytes | None  # of all keys of the version
+    digest: tuple[int, ...]  # of all rows of the version (operators.audit)
+
+
 @dataclass(frozen=True)
 class WriteResult:
     table: str
@@ -93,6 +111,7 @@ class WriteResult:
     skipped: bool = False
     created: bool = False
     buckets: int | None = None
+    batch: StagedBatch | None = None
 
 
 # File times come from the storage system's clock, version names from the
@@ -110,35 +129,6 @@ def _path_missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e)
 
 
-def _plan(df: DataFrame):
-    """The query execution behind ``df``; None where there is no JVM plan (Spark Connect)."""
-    return getattr(df, "_jdf", None) and df._jdf.queryExecution()
-
-
-def reads_files_only(df: DataFrame) -> bool:
-    """True when every leaf of the plan is a file scan, which stays the same
-    when it is read twice. Looks at the plan; lists no files."""
-    plan = _plan(df)
-    if plan is None:
-        return False
-    leaves = plan.analyzed().collectLeaves()
-    names = []
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        kind = leaf.getClass().getSimpleName()
-        names.append(leaf.relation().getClass().getSimpleName() if kind == "LogicalRelation" else kind)
-    return bool(names) and all(n == "HadoopFsRelation" for n in names)
-
-
-def spark_broadcasts(df: DataFrame) -> bool:
-    """True when Spark's size estimate of ``df`` in bytes is under its broadcast threshold."""
-    plan = _plan(df)
-    if plan is None:
-        return False
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(plan.optimizedPlan().stats().sizeInBytes())) <= limit
-
-
 def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -174,13 +164,16 @@ class KeyedStore:
         return self.spark.catalog.tableExists(self.qualified(table)) or self.attach(table)
 
     # -- the record beside the data ---------------------------------------------
-    def _record(self, table: str, location: str) -> None:
-        """Note ``location`` and the layout as current: one small text folder, never changed."""
+    def _record(self, table: str, location: str, batch: StagedBatch | None = None) -> None:
+        """Note ``location``, the layout and what is known of the keys as current: one
+        small text folder, never changed."""
         layout = self.describe(table)
         now = f"{int(time.time() * 1000):013d}"
         state = {"time": now, "location": location, "partition_key": layout["partition_key"],
                  "clustering_keys": layout["clustering_keys"], "buckets": layout["buckets"],
                  "schema": self.spark.table(self.qualified(table)).schema.jsonValue()}
+        if batch is not None:
+            state |= {"rows": batch.digest[0], "key_sketch": batch.key_sketch.hex() if batch.key_sketch else None}
         line = self.spark.createDataFrame([(json.dumps(state),)], "value string")
         line.coalesce(1).write.text(f"{self.root}/{table}/state/{now}-{uuid.uuid4().hex[:8]}")
 
@@ -400,6 +393,10 @@ class KeyedStore:
         return df.orderBy(*order) if ordered else df
 
     # -- K2 -----------------------------------------------------------------------
+    def buckets_of(self, table: str) -> int | None:
+        """Bucket count of an existing table (writes keep it), None without one."""
+        return self.describe(table)["buckets"] if self.exists(table) else None
+
     def write(
         self,
         df: DataFrame,
@@ -414,6 +411,7 @@ class KeyedStore:
         observation: Observation | None = None,
         plan: object = None,
         snapshot: bool | None = None,
+        accept: Callable[[StagedBatch], bool] | None = None,
     ) -> WriteResult:
         """Write ``df`` with the store's key semantics.
 
@@ -431,12 +429,11 @@ class KeyedStore:
         write; by default this is done unless every leaf of the batch's plan is
         a file scan.
 
-        On an upsert whose keys are under Spark's own broadcast threshold (in
-        bytes), only the incoming rows are shuffled: existing rows are filtered
-        in place by a broadcast anti join and written back without a shuffle
-        (every existing file holds one bucket, so each task writes to that same
-        bucket). A larger batch takes a shuffled anti join on the whole key and
-        a rebalance back into the buckets.
+        ``accept`` is asked when the new version is complete and before it is
+        published. What it is shown was counted by the tasks that wrote the
+        version, so the batch is not scanned for it. If it raises or returns
+        False, the version is deleted and the table stays as it was, or absent.
+        Without it, a NULL key cell fails the write.
         """
         mode = mode.lower()
         if mode not in MODES:
@@ -462,7 +459,10 @@ class KeyedStore:
             buckets = layout["buckets"] or buckets
             key = tuple(partition_key) + tuple(clustering_keys)
             df = align_to(df, self.read(table).schema)
-        df = require_keys(df, key)
+        if accept is None:
+            df = require_keys(df, key)
+        else:
+            refuse_map_keys(df, key)
         # Other sources than files (a live database table) may change between
         # the two reads of an upsert's batch, so they are read once, here.
         twice = present and mode == "append"
@@ -471,27 +471,64 @@ class KeyedStore:
             taken = fresh_path(self.spark, f"batch-{table}")
             df.write.parquet(taken)
             df = self.spark.read.schema(df.schema).parquet(taken)
+        counts = {} if accept is None else {_ROWS: F.lit(1).cast("bigint"), _BYTES: row_bytes(df)}
+        obs = observation or Observation(unique_name("kf_write"))
+        seen = None if accept is None else Observation(unique_name("kf_batch"))
         try:
-            fresh = df if unique else dedupe(df, key, order_by)
-            out = bucket_aligned(fresh, buckets, partition_key)
+            out = df.withColumns(counts) if unique else dedupe(df, key, order_by, counts)
             if twice:
                 kept = surviving_rows(self.read(table), df, key)
-                if not spark_broadcasts(df.select(*[F.col(f"`{k}`") for k in key])):
-                    # The shuffled anti join leaves rows spread by the whole key:
-                    # put them back into their buckets, or every task would write
-                    # a file into every bucket.
-                    kept = bucket_aligned(kept, buckets, partition_key)
-                out = kept.unionByName(out)
-            obs = observation or Observation(unique_name("kf_write"))
+                out = kept.withColumns({c: F.lit(0).cast("bigint") for c in counts}).unionByName(out)
+            # One shuffle into the buckets for rows that stay and rows that come.
+            out = bucket_aligned(out, buckets, partition_key)
+            # Counted behind the last shuffle: there, a task that runs again counts once.
             out = out.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-            location = self._write_version(out, table, partition_key, clustering_keys, buckets, replace=present)
+            if seen is not None:
+                out = out.observe(seen, *self._batch_counts(out, key, unique)).drop(*counts)
+            location, staging = self._stage_version(out, table, partition_key, clustering_keys, buckets)
         finally:
             if taken:
                 remove_path(self.spark, taken)
+        batch, accepted = None, True
+        if accept is not None:
+            try:
+                batch = self._batch(seen, key)
+                accepted = accept(batch) is not False
+            except Exception:
+                self._discard(staging, location)
+                raise
+        if not accepted:
+            self._discard(staging, location)
+            return WriteResult(self.qualified(table), mode, 0, None, skipped=True, buckets=buckets, batch=batch)
+        self._publish(table, staging, location, partition_key, clustering_keys, replace=present, batch=batch)
         return WriteResult(
-            self.qualified(table), mode, obs.get.get("rows_written", 0), location, created=not present, buckets=buckets
+            self.qualified(table), mode, obs.get.get("rows_written", 0), location, created=not present, buckets=buckets,
+            batch=batch,
         )
 
+    @staticmethod
+    def _batch_counts(out: DataFrame, key: Sequence[str], unique: bool) -> list[Column]:
+        """Aggregates over the rows of a version; rows that were there before have no weight."""
+        zero = F.lit(0).cast("bigint")
+        own = F.col(_ROWS) > 0
+        whole = row_hash(out.drop(_ROWS, _BYTES))
+        aggs = [
+            F.coalesce(F.sum(_ROWS), zero).alias("rows_read"), F.count_if(own).alias("batch_keys"),
+            F.coalesce(F.sum(_BYTES), zero).alias("bytes_read"), *digest_columns(whole),
+        ]
+        aggs += [F.coalesce(F.sum(F.when(F.col(f"`{k}`").isNull(), F.col(_ROWS))), zero).alias(f"null_{i}") for i, k in enumerate(key)]
+        aggs.append(key_sketch(key).alias("key_sketch"))
+        if unique:
+            aggs.append(F.hll_sketch_estimate(key_sketch(key, own)).alias("distinct_keys"))
+        return aggs
+
+    @staticmethod
+    def _batch(seen: Observation, key: Sequence[str]) -> StagedBatch:
+        got = seen.get  # empty where Spark left out a plan that has no rows
+        return StagedBatch(
+            got.get("rows_read", 0), got.get("batch_keys", 0), {k: got.get(f"null_{i}", 0) for i, k in enumerate(key)},
+            got.get("bytes_read", 0), got.get("distinct_keys"), bytes(got["key_sketch"]) if "key_sketch" in got else None, tuple(got.get(c, 0) for c in DIGEST))
+
     def _write_version(
         self,
         df: DataFrame,
@@ -501,6 +538,14 @@ class KeyedStore:
         buckets: int,
         replace: bool,
     ) -> str:
+        location, staging = self._stage_version(df, table, partition_key, clustering_keys, buckets)
+        self._publish(table, staging, location, partition_key, clustering_keys, replace)
+        return location
+
+    def _stage_version(
+        self, df: DataFrame, table: str, partition_key: Sequence[str], clustering_keys: Sequence[str], buckets: int
+    ) -> tuple[str, str]:
+        """Write a version that no table shows yet: (location, staging table)."""
         # The write time leads the folder name: versions order without listing.
         location = f"{self.root}/{table}/v-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         staging = unique_name(f"{table}__staging")
@@ -513,6 +558,16 @@ class KeyedStore:
             .mode("errorifexists")
             .saveAsTable(self.qualified(staging))
         )
+        return location, staging
+
+    def _discard(self, staging: str, location: str) -> None:
+        self.spark.sql(f"DROP TABLE {_ident(self.qualified(staging))}")  # external: files stay
+        remove_path(self.spark, location)
+
+    def _publish(
+        self, table: str, staging: str, location: str, partition_key: Sequence[str], clustering_keys: Sequence[str], replace: bool,
+        batch: StagedBatch | None = None,
+    ) -> None:
         q_table = _ident(self.qualified(table))
         q_staging = _ident(self.qualified(staging))
         if replace:
@@ -525,5 +580,13 @@ class KeyedStore:
                 f"('{_PK}' = '{','.join(partition_key)}', '{_CK}' = '{','.join(clustering_keys)}')"
             )
             self.spark.sql(f"ALTER TABLE {q_staging} RENAME TO {q_table}")
-        self._record(table, location)
-        return location
+        self._record(table, location, batch)
+
+    def key_summary(self, table: str) -> dict | None:
+        """rows, keys (an estimate) and key_sketch of the current version, from its record alone;
+        None if its write was not counted (no ``accept``)."""
+        state = self.recorded(table)
+        if not state or not state.get("key_sketch"):
+            return None
+        sketch = bytes.fromhex(state["key_sketch"])
+        return {"rows": state["rows"], "keys": distinct_estimate(self.spark, sketch), "key_sketch": sketch}

@@ -152,10 +152,15 @@ class PlanSettings:
 
 @dataclass
 class RunOptions:
-    """Per-run switches of a migration."""
+    """Per-run switches of a migration.
+
+    ``rejects`` names a shared folder: rows with a value that an existing
+    table's types refuse are then written there, not failed on.
+    """
 
     mode: str = "append"
     confirm_truncate: bool = True
     profile: str = "reference"
     reconcile: bool = False
+    rejects: str | None = None
     extra: dict = field(default_factory=dict)
