@@ -101,10 +101,7 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
         return 0
     if args.target_format:
         # An external keyed store through its Spark connector (jar on the cluster).
-        bad = [kv for kv in args.target_option or [] if "=" not in kv]
-        if bad:
-            raise SystemExit(f"--target-option takes key=value, got {bad}")
-        tuning = {**options.extra, **dict(kv.split("=", 1) for kv in args.target_option or [])}
+        tuning = {**options.extra, **_pairs("--target-option", args.target_option)}
         store = ConnectorStore(spark, args.target_format, args.keyspace, tuning=tuning)
     else:
         if not args.root:
@@ -117,6 +114,13 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
     return 1 if any(r.status in ("failed", "mismatch") for r in reports) else 0
 
 
+def _pairs(flag: str, given: Sequence[str] | None) -> dict[str, str]:
+    bad = [kv for kv in given or [] if "=" not in kv]
+    if bad:
+        raise SystemExit(f"{flag} takes key=value, got {bad}")
+    return dict(kv.split("=", 1) for kv in given or [])
+
+
 def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.url:
         password = None
@@ -135,7 +139,7 @@ def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
             raise SystemExit("give --location-root: the shared folder that keeps the loaded tables")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{args.database}`")
         sink = table_sink(args.database, args.location_root)
-    results = load_folder(spark, args.folder, sink, mode=args.mode)
+    results = load_folder(spark, args.folder, sink, mode=args.mode, options=_pairs("--csv-option", args.csv_option), rejects_root=args.rejects)
     for r in results:
         print(json.dumps(r.__dict__))
     return 1 if any(r.status != "ok" for r in results) else 0
@@ -192,6 +196,8 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--driver")
     f.add_argument("--schema", default=jdbc.DEFAULT_SCHEMA)
     f.add_argument("--mode", default="overwrite")
+    f.add_argument("--csv-option", action="append", help="option of the CSV reader k=v (repeatable), e.g. multiLine=false")
+    f.add_argument("--rejects", help="shared folder for records that do not fit their table")
 
     g = sub.add_parser("generate", help="related sample tables as CSV")
     g.add_argument("--out", required=True)

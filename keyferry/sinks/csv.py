@@ -12,15 +12,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from keyferry.session import unique_name
-from keyferry.sources.csv_folder import scan_folder
+from keyferry.sources.csv_folder import RECORD, good_records, list_tables, read_checked, rejects, scan_folder
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
     """K8: header line, fixed column order, one folder of part files.
 
     Values are kept: leading and trailing spaces stay, quotes are doubled and
-    line breaks stand inside quotes. Read back with
-    ``csv_folder.TEXT_OPTIONS``. CSV has one form for NULL and the empty
+    line breaks stand inside quotes, as ``csv_folder`` reads them. CSV has one form for NULL and the empty
     string: an empty string comes back as NULL.
     """
     out = df.select(*[F.col(f"`{c}`") for c in columns]) if columns else df
@@ -42,6 +41,8 @@ class LoadResult:
     status: str
     error: str | None = None
     target: str | None = None  # where the sink put it, when it says
+    rejected: int | None = None  # records set aside, when asked for
+    rejects: str | None = None  # the folder that holds them
 
 
 class FolderLoadError(RuntimeError):
@@ -57,6 +58,8 @@ def load_folder(
     sink: Callable[[str, DataFrame, str], str | None],
     mode: str = "overwrite",
     schemas: Mapping[str, object] | None = None,
+    options: Mapping[str, str] | None = None,
+    rejects_root: str | None = None,
 ) -> list[LoadResult]:
     """K7: every CSV table of ``folder`` into ``sink(name, df, mode)``; a sink
     may return the name it wrote to (kept in ``LoadResult.target``).
@@ -65,20 +68,50 @@ def load_folder(
     the run (raised with what was done so far). Rows are counted while being
     written, not by a separate scan. In ``ignore`` mode a sink may skip the
     write altogether, so rows are not counted there (reported as None).
+
+    With ``rejects_root``, records that do not fit their table's schema are not
+    loaded as rows of NULLs but written to ``rejects_root/<table>`` (file,
+    record, parsed), and counted beside the rows; a table without any leaves no
+    folder.
     """
-    scan = scan_folder(spark, folder, schemas)
+    scan = scan_folder(spark, folder, schemas, options=options)
     done = [LoadResult(n, None, "unreadable", err) for n, err in sorted(scan.failures.items())]
     count = mode.lower() != "ignore"
+    if rejects_root and not count:
+        raise ValueError("records cannot be set aside in ignore mode: the sink may not read them")
+    paths = list_tables(spark, folder) if rejects_root else {}
     for name, df in sorted(scan.tables.items()):
-        obs = Observation(unique_name("kf_load")) if count else None
         try:
+            if rejects_root:
+                done.append(load_checked(name, read_checked(spark, paths[name], df.schema, options), sink, mode, rejects_root))
+                continue
+            obs = Observation(unique_name("kf_load")) if count else None
             target = sink(name, df.observe(obs, F.count(F.lit(1)).alias("rows")) if count else df, mode)
+            done.append(LoadResult(name, int(obs.get.get("rows", 0)) if count else None, "ok", target=target))
         except Exception as e:  # noqa: BLE001
             raise FolderLoadError(done, LoadResult(name, None, "failed", f"{type(e).__name__}: {e}")) from e
-        done.append(LoadResult(name, int(obs.get.get("rows", 0)) if count else None, "ok", target=target))
     return done
 
 
+def load_checked(
+    name: str, checked: DataFrame, sink: Callable[[str, DataFrame, str], str | None], mode: str, rejects_root: str
+) -> LoadResult:
+    """The good records of ``read_checked`` into ``sink``, the others beside it.
+
+    Both are counted while the sink reads; only if there are rejects is the
+    source read again to write them.
+    """
+    obs = Observation(unique_name("kf_load"))
+    seen = checked.observe(obs, F.count_if(F.col(RECORD).isNull()).alias("rows"), F.count(RECORD).alias("rejected"))
+    target = sink(name, good_records(seen), mode)
+    rows, rejected = int(obs.get.get("rows", 0)), int(obs.get.get("rejected", 0))
+    at = None
+    if rejected:
+        at = f"{rejects_root.rstrip('/')}/{catalog_name(name)}"
+        rejects(checked).write.mode("overwrite").parquet(at)
+    return LoadResult(name, rows, "ok", None, target, rejected, at)
+
+
 def catalog_name(name: str) -> str:
     """A valid catalog table name (letters, digits, ``_``) for a file's table
     name, which is also safe as a folder name; a short hash of the original

@@ -8,6 +8,15 @@ unless a schema is declared, inferred types. A table that cannot be read is
 reported and skipped; an empty folder gives no tables. A zero-byte file has
 no header and no columns; Spark's file scan does not list it, so it is not a
 table.
+
+Texts are read in the dialect that ``sinks.csv`` writes (``TEXT_OPTIONS``): quotes
+doubled, line breaks inside quotes. A file is then one task, since a line break
+may stand inside a record; ``options={"multiLine": "false"}`` lets Spark split
+large files that hold one record per line.
+
+Records that do not fit a declared schema can be set aside: ``read_checked`` adds
+a column with the raw record, NULL for good ones, and ``rejects`` lists the others
+with their file.
 """
 
 from __future__ import annotations
@@ -111,6 +120,9 @@ def list_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 # Reads back what ``write_csv`` writes: quotes doubled, line breaks inside quotes.
 TEXT_OPTIONS = {"multiLine": "true", "escape": '"'}
 
+# The raw text of a record that does not fit, in ``read_checked``.
+RECORD = "__kf_record"
+
 
 def read_csv(
     spark: SparkSession,
@@ -119,9 +131,17 @@ def read_csv(
     infer: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    r = spark.read.option("header", "true")
-    for k, v in (options or {}).items():
-        r = r.option(k, v)
+    """``options`` are Spark's, on top of ``TEXT_OPTIONS``.
+
+    Spark cannot look into files with glob characters in their names while it
+    reads across lines. Their columns are then inferred line by line, so that
+    one of a table with line breaks may stay text; the values are the same.
+    """
+    given = {"header": "true", **TEXT_OPTIONS, **(options or {})}
+    r = spark.read.options(**given)
+    if schema is None and given["multiLine"] == "true" and any("\\" in p for p in ([paths] if isinstance(paths, str) else paths)):
+        by_line = spark.read.options(**{**given, "multiLine": "false"}).option("inferSchema", "true" if infer else "false")
+        schema = by_line.csv(paths).schema
     if schema is not None:
         r = r.schema(schema)
     else:
@@ -129,6 +149,36 @@ def read_csv(
     return r.csv(paths)
 
 
+def read_checked(
+    spark: SparkSession,
+    paths: list[str] | str,
+    schema: T.StructType | str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """``read_csv`` with the column ``RECORD``: the raw text of a record with too
+    few or too many fields, or a value that its column's type refuses; NULL for a
+    good record. Without a schema types are inferred first, from all values, so
+    only the number of fields can be wrong.
+    """
+    if schema is None:
+        schema = read_csv(spark, paths, options=options).schema
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    flagged = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    return read_csv(spark, paths, flagged, options={**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD})
+
+
+def good_records(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(RECORD).isNull()).drop(RECORD)
+
+
+def rejects(checked: DataFrame) -> DataFrame:
+    """file, record, parsed (the values that could be read, as JSON) of the records that do not fit."""
+    own = [F.col(f"`{c}`") for c in checked.columns if c != RECORD]
+    return checked.where(F.col(RECORD).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.col(RECORD).alias("record"), F.to_json(F.struct(*own)).alias("parsed"))
+
+
 def scan_folder(
     spark: SparkSession,
     folder: str,
@@ -175,9 +225,9 @@ def folder_row_counts(spark: SparkSession, folder: str, options: Mapping[str, st
         .groupBy("table")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    # One row per table name (not per file): a small, bounded side.
+    # One row per table name (not per file).
     names = spark.createDataFrame([(n,) for n in sorted(tables)], "table string")
     return (
-        counted.join(F.broadcast(names), "table", "right")
+        counted.join(names, "table", "right")
         .select("table", F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("rows"))
     )

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 import decimal
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keyferry.sources.ranges import quantile_cuts, range_predicates, sql_literal
+
 # Fixed value: the default schema of a table name without one.
 DEFAULT_SCHEMA = "dbo"
 
@@ -118,8 +120,9 @@ def read_table(
 
     ``predicates`` is the other form of S2: one WHERE clause per partition,
     run by the database. It suits a split column whose values are uneven
-    (min/max strides would give one heavy range): pass ranges cut at the
-    column's quantiles, or a hash of the key modulo n, in the database's SQL.
+    (min/max strides would give one heavy range): ``quantile_split`` cuts the
+    column at its quantiles, ``ranges.hash_predicates`` writes a hash of a text
+    key modulo n.
     """
     name = qualified(table, schema)
     opts: dict[str, str] = {"dbtable": name, **(extra or {})}
@@ -137,3 +140,16 @@ def read_table(
             upper_bound = hi if upper_bound is None else upper_bound
         opts.update(partition_options(partition_column, lower_bound, upper_bound, num_partitions or spark.sparkContext.defaultParallelism))
     return _reader(spark, conn, opts).load()
+
+
+def quantile_split(
+    spark: SparkSession, conn: JdbcConnection, table: str, column: str, num_partitions: int, schema: str = DEFAULT_SCHEMA,
+    literal: Callable[[object], str] = sql_literal, extra: Mapping[str, str] | None = None,
+) -> list[str]:
+    """``predicates`` for ``read_table``: ranges of ``column`` with about equally many rows.
+
+    The cuts come from a quantile sketch over that one column, which is all the
+    database sends for them.
+    """
+    values = read_table(spark, conn, table, schema, extra=extra).select(column)
+    return range_predicates(column, quantile_cuts(values, column, num_partitions), literal)

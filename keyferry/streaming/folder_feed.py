@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from keyferry.operators.conform import conform
 from keyferry.operators.keys import dedupe
 from keyferry.sinks.keyed import KeyedStore
+from keyferry.sources.csv_folder import TEXT_OPTIONS
 from keyferry.spec import TableMapping
 
 
@@ -29,8 +30,8 @@ def folder_stream(
 ) -> DataFrame:
     """A streaming frame over the CSV files of ``folder`` (declared schema:
     streaming sources cannot infer one), with each row's file modification
-    time in ``FILE_TIME``."""
-    r = spark.readStream.schema(schema).option("header", "true")
+    time in ``FILE_TIME``. Texts are read in the dialect of ``csv_folder``."""
+    r = spark.readStream.schema(schema).options(header="true", **TEXT_OPTIONS)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.csv(folder).select("*", F.col("_metadata.file_modification_time").alias(FILE_TIME))
