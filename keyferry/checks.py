@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyferry.operators.audit import reconcile, row_counts
-from keyferry.operators.conform import as_utc_wall_clock, conform
+from keyferry.operators.conform import REFUSED, as_utc_wall_clock, conform, refusal_counts, refused_values, try_types
 from keyferry.operators.joins import line_amount as line_amount_join
 from keyferry.operators.joins import orphans
 from keyferry.operators.keys import duplicate_keys as duplicate_keys_op
-from keyferry.operators.keys import null_key_counts
-from keyferry.operators.layout import by_key, round_robin, shrink
+from keyferry.operators.keys import key_sketch, null_key_counts
+from keyferry.operators.layout import by_key, by_key_balanced, round_robin, shrink
 from keyferry.plans.migrate import migrate_all, migrate_table as migrate_table_job, report_frame
-from keyferry.plans.partition_plan import plan_columns
+from keyferry.plans.partition_plan import PartitionPlan, plan_columns
 from keyferry.session import fresh_path, unique_name
-from keyferry.sinks.csv import export_tables, load_folder, table_sink, write_csv
+from keyferry.sinks.connector import ConnectorStore
+from keyferry.sinks.csv import export_tables, load_checked, load_folder, table_sink, write_csv
 from keyferry.sinks.keyed import KeyedStore
-from keyferry.sources.csv_folder import TEXT_OPTIONS, folder_row_counts, read_csv
+from keyferry.sources.csv_folder import folder_row_counts, read_checked, read_csv
+from keyferry.sources.files import size_plans
+from keyferry.sources.ranges import hash_predicates, quantile_cuts, range_predicates
 from keyferry.spec import PlanSettings, RunOptions, TableMapping
 from keyferry.streaming.folder_feed import feed_keyed_table
 from keyferry.synth import generate as gen
@@ -515,7 +518,7 @@ def csv_declared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_CSV_DECLARED_SCAN = "SELECT * FROM customer"
 
-FOLDER_TABLES = ["region", "nation", "supplier", "orders"]
+FOLDER_TABLES = ["region", "nation", "supplier", "orders", "documents"]
 
 
 def csv_folder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -617,7 +620,7 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "csv-text")
     sent = {n: table(spark, sf_dir, n) for n in ("documents", "conversations")}
     export_tables(sent, folder)
-    back = {n: read_csv(spark, f"{folder}/{n}", schema=df.schema, options=TEXT_OPTIONS) for n, df in sent.items()}
+    back = {n: read_csv(spark, f"{folder}/{n}", schema=df.schema) for n, df in sent.items()}
     docs = back["documents"].select(F.lit("documents").alias("tab"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("turn"), "text")
     turns = back["conversations"].select(F.lit("conversations").alias("tab"), F.col("conv_id").alias("id"), F.col("turn").cast("bigint"), "text")
     return docs.unionByName(turns).select("tab", "id", "turn", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("chars"))
@@ -653,6 +656,292 @@ SQL_GEN_ORDER_DETAILS = gen.order_lines_sql(
 )
 
 
+# -- S4 with records set aside --------------------------------------------------------
+def _broken(field: str, key: str) -> str:
+    """Which records are broken by hand: some end early, some hold text for a number, some have a field too many."""
+    return (f"CASE WHEN {key} % 11 = 0 THEN 'short' WHEN {key} % 13 = 0 THEN 'text' WHEN {key} % 17 = 0 THEN 'long' ELSE 'good' END"
+            + (f" AS {field}" if field else ""))
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines, some broken by hand, loaded with what does not fit set aside."""
+    orders = table(spark, sf_dir, "orders")
+    folder, loaded = fresh_path(spark, "broken-csv"), fresh_path(spark, "loaded-csv")
+    fields = [F.col(c).cast("string") for c in orders.columns]
+    line = F.expr(_broken("", "o_orderkey"))
+    text = (F.when(line == "short", F.concat_ws(",", *fields[:-2]))
+            .when(line == "text", F.concat_ws(",", *fields[:3], F.lit("n/a"), *fields[4:]))
+            .when(line == "long", F.concat_ws(",", *fields, F.lit("more")))
+            .otherwise(F.concat_ws(",", *fields)))
+    orders.select(text).write.text(f"{folder}/orders.csv")
+    for_csv = {"header": "false"}
+    db = unique_name("kf_rejects")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{loaded}'")
+    # Part files of Spark's text writer end in .txt: the table is read by its own folder.
+    checked = read_checked(spark, f"{folder}/orders.csv", orders.schema, for_csv)
+    sink = table_sink(db, loaded)
+    done = load_checked("orders", checked, sink, "overwrite", f"{loaded}/rejects")
+    kept = spark.table(done.target).agg(F.sum("o_orderkey").alias("kept_keys"), F.count(F.lit(1)).alias("loaded"))
+    aside = spark.read.parquet(done.rejects).agg(
+        F.count(F.lit(1)).alias("set_aside"), F.count_if(F.col("record").isNull()).alias("without_text"),
+        F.count_if(F.col("record").endswith(",more")).alias("too_long"))
+    report = spark.createDataFrame([(done.rows, done.rejected)], "rows bigint, rejected bigint")
+    one = F.lit(1).alias("one")
+    return (report.select("*", one).join(kept.select("*", one), "one").join(aside.select("*", one), "one").drop("one"))
+
+
+SQL_CSV_REJECTS = f"""WITH t AS (SELECT o_orderkey, {_broken('kind', 'o_orderkey')} FROM orders)
+SELECT count_if(kind = 'good')::BIGINT AS rows, count_if(kind <> 'good')::BIGINT AS rejected,
+  (sum(o_orderkey) FILTER (WHERE kind = 'good'))::BIGINT AS kept_keys, count_if(kind = 'good')::BIGINT AS loaded,
+  count_if(kind <> 'good')::BIGINT AS set_aside, 0::BIGINT AS without_text, count_if(kind = 'long')::BIGINT AS too_long FROM t"""
+
+
+# -- P1 with refused values reported ----------------------------------------------------
+REFUSING_TYPES = {
+    "events": {"event_type": "int", "user_id": "tinyint", "value": "tinyint", "ts": "date", "event_id": "smallint"},
+    "documents": {"lang": "boolean", "source": "double", "n_chars": "smallint", "doc_id": "string"},
+}
+
+
+def conform_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = []
+    for name, types in REFUSING_TYPES.items():
+        tried = try_types(table(spark, sf_dir, name), types)
+        parts.append(refusal_counts(tried, list(types)).select(F.lit(name).alias("tab"), "column", "refused"))
+        whole = tried.agg(F.count_if(F.size(REFUSED) == 0).alias("refused")).select(
+            F.lit(name).alias("tab"), F.lit("kept rows").alias("column"), "refused")
+        listed = refused_values(tried).agg(F.count(F.lit(1)).alias("refused")).select(
+            F.lit(name).alias("tab"), F.lit("refused values").alias("column"), "refused")
+        parts += [whole, listed]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# What the types refuse, in words: numbers beyond a type's range (fractions are cut off), texts that are no number.
+_REFUSES = {
+    ("events", "event_type"): "event_type IS NOT NULL AND NOT regexp_full_match(event_type, '[+-]?[0-9]+')",
+    ("events", "user_id"): "user_id NOT BETWEEN -128 AND 127",
+    ("events", "value"): "trunc(value) NOT BETWEEN -128 AND 127",
+    ("events", "ts"): "false",
+    ("events", "event_id"): "event_id NOT BETWEEN -32768 AND 32767",
+    ("documents", "lang"): "lang IS NOT NULL AND lower(trim(lang)) NOT IN ('t', 'true', 'y', 'yes', '1', 'f', 'false', 'n', 'no', '0')",
+    ("documents", "source"): "source IS NOT NULL AND TRY_CAST(source AS DOUBLE) IS NULL",
+    ("documents", "n_chars"): "n_chars NOT BETWEEN -32768 AND 32767",
+    ("documents", "doc_id"): "false",
+}
+
+
+def _refusals_sql(name: str) -> str:
+    own = {c: f"coalesce({w}, false)" for (t, c), w in _REFUSES.items() if t == name}
+    any_of = " OR ".join(own.values())
+    rows = [f"SELECT '{name}' AS tab, '{c}' AS \"column\", count_if({w})::BIGINT AS refused FROM {name}" for c, w in own.items()]
+    rows.append(f"SELECT '{name}', '*', count_if({any_of})::BIGINT FROM {name}")
+    rows.append(f"SELECT '{name}', 'kept rows', count_if(NOT ({any_of}))::BIGINT FROM {name}")
+    rows.append(f"SELECT '{name}', 'refused values', sum({' + '.join(f'({w})::INT' for w in own.values())})::BIGINT FROM {name}")
+    return "\nUNION ALL ".join(rows)
+
+
+SQL_CONFORM_REJECTS = "\nUNION ALL ".join(_refusals_sql(t) for t in REFUSING_TYPES)
+
+
+# -- R2, K3 with heavy keys ----------------------------------------------------------------
+SKEWED_KEY = "CASE WHEN l_linenumber <= 2 THEN -1 ELSE l_orderkey END"
+BALANCED_PARTS = 8
+
+
+def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which a quarter and more share one key."""
+    return table(spark, sf_dir, "lineitem").withColumn("k", F.expr(SKEWED_KEY).cast("bigint"))
+
+
+def key_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heavy keys cut into pieces, light keys whole, and no partition over twice the mean."""
+    placed = by_key_balanced(_skewed(spark, sf_dir), BALANCED_PARTS, ["k"]).withColumn("p", F.spark_partition_id())
+    heavy = F.col("k") == -1
+    per_key = placed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p").alias("parts"))
+    sizes = placed.groupBy("p").agg(F.count(F.lit(1)).alias("n")).agg((F.max("n") * BALANCED_PARTS <= 2 * F.sum("n")).alias("even"))
+    return per_key.agg(
+        F.sum("n").cast("bigint").alias("rows"), F.count(F.lit(1)).alias("keys"),
+        F.count_if(~heavy & (F.col("parts") > 1)).alias("light_keys_cut"),
+        F.max(heavy & (F.col("parts") > 1)).alias("heavy_key_cut")).join(sizes, F.col("even").isNotNull())
+
+
+SQL_KEY_BALANCE = f"""SELECT count(*) AS rows, count(DISTINCT {SKEWED_KEY}) AS keys, 0::BIGINT AS light_keys_cut,
+  true AS heavy_key_cut, true AS even FROM lineitem"""
+
+
+def connector_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: what an external store is sent: rows of a partition key from one task, in key
+    order, except those of a key too large for one. Spark's Parquet writer stands in for the connector."""
+    path = fresh_path(spark, "connector")
+    st = ConnectorStore(spark, "parquet", "ks", tuning={"path": path, "output.batch.grouping.key": "partition"}, balance_heavy_keys=True)
+    plan = PartitionPlan("repartition", BALANCED_PARTS, by_key=True)
+    lines = _skewed(spark, sf_dir).withColumn("line", F.monotonically_increasing_id())
+    st.write(lines, "lines", ["k"], ["l_orderkey", "line"], unique=True, plan=plan)
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
+                                           "k", F.struct("k", "l_orderkey", "line").alias("key"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    late = rows.select((before > F.col("key")).alias("late")).agg(F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("out_of_order"))
+    per_key = rows.groupBy("k").agg(F.count_distinct("file").alias("files")).agg(
+        F.count_if((F.col("k") != -1) & (F.col("files") > 1)).alias("light_keys_cut"))
+    return late.join(per_key, F.col("light_keys_cut").isNotNull())
+
+
+SQL_CONNECTOR_GROUPING = "SELECT count(*) AS rows, 0::BIGINT AS out_of_order, 0::BIGINT AS light_keys_cut FROM lineitem"
+
+
+# -- S2: ranges ------------------------------------------------------------------------------
+SPLIT_PARTS = 8
+# A few keys are NULL; they belong to one range like any other row.
+SPLIT_KEYS = {"order key": "CASE WHEN l_orderkey % 50 <> 0 THEN l_orderkey END", "price": "l_extendedprice", "ship date": "l_shipdate"}
+
+
+def split_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row in exactly one range, NULL keys too, and ranges of like size."""
+    lines, docs = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "documents")
+    splits = []
+    for name, key in SPLIT_KEYS.items():
+        df = lines.select(F.expr(key).alias("k"))
+        splits.append((name, df, range_predicates("k", quantile_cuts(df, "k", SPLIT_PARTS))))
+    by_text = docs.select(F.expr("CASE WHEN doc_id % 50 <> 0 THEN concat(text, doc_id) END").alias("k"))
+    splits.append(("text", by_text, hash_predicates("k", 2)))
+    parts = []
+    for name, df, predicates in splits:
+        counts = [F.count_if(F.expr(p)).alias(f"n{i}") for i, p in enumerate(predicates)]
+        held = sum(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates)  # as a WHERE clause
+        whole = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(held == 1).alias("in_one"),
+                       F.count_if(F.col("k").isNull() & (held == 1)).alias("nulls_in_one"), *counts)
+        sizes = [F.col(f"n{i}") for i in range(len(counts))]
+        even = (F.greatest(*sizes) * len(sizes) <= 1.2 * F.col("rows")) & (F.least(*sizes) * len(sizes) >= 0.8 * F.col("rows"))
+        parts.append(whole.select(F.lit(name).alias("split"), F.lit(len(counts)).cast("bigint").alias("ranges"), "rows", "in_one", "nulls_in_one", even.alias("even")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+SQL_SPLIT_RANGES = "\nUNION ALL ".join(
+    [f"""SELECT '{n}' AS split, {SPLIT_PARTS}::BIGINT AS ranges, count(*) AS rows, count(*) AS in_one,
+  count_if(({k}) IS NULL)::BIGINT AS nulls_in_one, true AS even FROM lineitem""" for n, k in SPLIT_KEYS.items()]
+    + ["SELECT 'text', 2::BIGINT, count(*), count(*), count_if(doc_id % 50 = 0 OR text IS NULL)::BIGINT, true FROM documents"])
+
+
+# -- R1 from file sizes -------------------------------------------------------------------------
+FILE_BYTES = 64 << 10
+
+
+def partition_plan_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions from file metadata: enough, and none to spare."""
+    plans = size_plans({t: table(spark, sf_dir, t) for t in TABLES}, FILE_BYTES)
+    n, size = F.col("partitions"), F.col("bytes")
+    return plans.select(F.col("table").alias("tab"), "rows", (size > 0).alias("sized"),
+                        ((n * FILE_BYTES >= size) & ((n - 1) * FILE_BYTES < size)).alias("fits"))
+
+
+SQL_PARTITION_PLAN_BY_SIZE = "\nUNION ALL ".join(f"SELECT '{t}' AS tab, count(*) AS rows, true AS sized, true AS fits FROM {t}" for t in TABLES)
+
+
+# -- M2 in dependency order -----------------------------------------------------------------------
+DEPENDENT = [
+    {"source": "lineitem", "target": "lineitem", "partition_key": "l_orderkey", "clustering_keys": "l_linenumber"},
+    {"source": "orders", "target": "orders", "partition_key": "o_custkey", "clustering_keys": ["o_orderdate", "o_orderkey"]},
+    {"source": "customer", "target": "customer", "partition_key": "c_custkey", "source_key": "c_custkey"},
+    {"source": "part", "target": "part", "partition_key": "no_such_column"},
+    {"source": "supplier", "target": "supplier", "partition_key": "s_suppkey"},
+    {"source": "nation", "target": "nation", "partition_key": "n_nationkey"},
+    {"source": "region", "target": "region", "partition_key": "r_regionkey"},
+]
+
+
+def migrate_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Children after their parents, and not at all when one failed: part has no such key, so lineitem stays out."""
+    relations = [(child, parent) for _, child, _, parent, _ in FK_RELATIONS]
+    parts = []
+    for parallelism in (1, 4):
+        st = KeyedStore(spark, unique_name("kf_order"), fresh_path(spark, "order"))
+        began: list[str] = []
+
+        def read(name: str) -> DataFrame:
+            began.append(name)
+            return table(spark, sf_dir, name)
+
+        reports = migrate_all(spark, read, DEPENDENT, st, options=RunOptions(profile="exact"), parallelism=parallelism, relations=relations)
+        place = {n: i for i, n in enumerate(began)}
+        early = [r.source for r in reports if any(c == r.source and p in place and place.get(c, len(began)) < place[p] for c, p in relations)]
+        parts.append(report_frame(spark, reports).select(
+            F.lit(parallelism).cast("bigint").alias("parallelism"), "source", "status", "rows_written",
+            F.col("source").isin(early).alias("began_early")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+SQL_MIGRATE_DEPENDENCIES = "\nUNION ALL ".join(
+    f"""SELECT {p}::BIGINT AS parallelism, '{t}' AS source, 'ok' AS status, count(*) AS rows_written, false AS began_early FROM {t}"""
+    for p in (1, 4) for t in ("region", "nation", "customer", "supplier", "orders")
+) + "".join(f"\nUNION ALL SELECT {p}, 'part', 'failed', NULL, false UNION ALL SELECT {p}, 'lineitem', 'skipped_parent', NULL, false" for p in (1, 4))
+
+
+# -- V1 across batches --------------------------------------------------------------------------
+def key_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys sketched per batch and merged without another scan: within 3 % of the exact
+    numbers; and a source key declared unique that is not is refused while the table is written."""
+    lines = table(spark, sf_dir, "lineitem")
+    key = LINEITEM_PK + LINEITEM_CK
+    path = fresh_path(spark, "sketches")
+    lines.groupBy("l_returnflag").agg(key_sketch(key).alias("s"), F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    batches = spark.read.parquet(path)
+    each = batches.select("l_returnflag", F.hll_sketch_estimate("s").alias("about"))
+    merged = batches.agg(F.hll_sketch_estimate(F.hll_union_agg("s")).alias("about")).select(F.lit("all").alias("l_returnflag"), "about")
+    exact = lines.groupBy("l_returnflag").agg(F.count_distinct(*key).alias("keys")).unionByName(
+        lines.agg(F.count_distinct(*key).alias("keys")).select(F.lit("all").alias("l_returnflag"), "keys"))
+    close = F.abs(F.col("about") - F.col("keys")) <= F.greatest(F.lit(1.0), 0.03 * F.col("keys"))
+    sketched = each.unionByName(merged).join(exact, "l_returnflag").select(F.col("l_returnflag").alias("batch"), "keys", close.alias("as_told"))
+
+    st = KeyedStore(spark, unique_name("kf_sketch"), fresh_path(spark, "sketch"))
+    declared = [TableMapping.of("lineitem", "wrong", *map(list, (LINEITEM_PK, LINEITEM_CK)), source_key=list(key)),
+                TableMapping.of("orders", "right", list(ORDERS_PK), list(ORDERS_CK), source_key=["o_orderkey"])]
+    reports = migrate_all(spark, _reader(spark, sf_dir), declared, st, options=RunOptions(profile="exact"))
+    told = [("wrong key refused", None, reports[0].error_class == "RepeatedKeyError" and not st.exists("wrong"))]
+    summary = st.key_summary("right")
+    told.append(("keys of the table", summary["rows"], abs(summary["keys"] - summary["rows"]) <= max(1, 0.03 * summary["rows"])))
+    return sketched.unionByName(spark.createDataFrame(told, "batch string, keys bigint, as_told boolean"))
+
+
+SQL_KEY_SKETCHES = """SELECT l_returnflag AS batch, count(DISTINCT (l_orderkey, l_linenumber)) AS keys, true AS as_told FROM lineitem GROUP BY ALL
+UNION ALL SELECT 'all', count(DISTINCT (l_orderkey, l_linenumber)), true FROM lineitem
+UNION ALL SELECT 'wrong key refused', NULL, true
+UNION ALL SELECT 'keys of the table', count(*), true FROM orders"""
+
+
+# -- A3: differences ------------------------------------------------------------------------------
+def reconcile_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a keyed copy in which some were changed, some left out and some are new."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    wrong = orders.where(key % 97 != 1).withColumn("o_totalprice", F.when(key % 101 == 2, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    new = orders.where(key % 103 == 3).withColumn("o_orderkey", -key - 1)
+    st = _store(spark)
+    name = unique_name("orders")
+    st.write(wrong.unionByName(new), name, ORDERS_PK, ORDERS_CK, buckets=CHECK_BUCKETS, unique=True)
+    return reconcile(orders, st.read(name), ORDERS_PK + ORDERS_CK, unique=True)
+
+
+SQL_RECONCILE_DIFFERENCES = """SELECT count(*) AS source_rows, count(*) AS source_keys,
+  (count_if(o_orderkey % 97 <> 1) + count_if(o_orderkey % 103 = 3))::BIGINT AS target_rows, count_if(o_orderkey % 97 = 1)::BIGINT AS missing_keys,
+  count_if(o_orderkey % 103 = 3)::BIGINT AS extra_keys, count_if(o_orderkey % 97 <> 1 AND o_orderkey % 101 = 2)::BIGINT AS changed_rows FROM orders"""
+
+
+# -- R5 -------------------------------------------------------------------------------------------
+def migrate_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A joined source, kept while it is profiled and written."""
+    st = _store(spark)
+    name = unique_name("priced")
+    priced = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    m = TableMapping.of("priced", name, ORDERS_PK, ORDERS_CK)
+    rep = migrate_table_job(spark, lambda _: priced, m, st, PlanSettings(enable_cache=True), RunOptions(profile="exact", reconcile=True))
+    assert rep.status == "ok" and rep.rows_read == rep.rows_written, rep
+    return st.read(name).select("o_orderkey", "o_custkey", "o_totalprice", "c_mktsegment")
+
+
+SQL_MIGRATE_CACHED = "SELECT o_orderkey, o_custkey, o_totalprice, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_upsert": keyed_upsert,
     "keyed_upsert_two_batches": keyed_upsert_two_batches,
@@ -691,6 +980,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_products": gen_products,
     "gen_orders": gen_orders,
     "gen_order_details": gen_order_details,
+    "csv_rejects": csv_rejects,
+    "conform_rejects": conform_rejects,
+    "key_balance": key_balance,
+    "connector_grouping": connector_grouping,
+    "split_ranges": split_ranges,
+    "partition_plan_by_size": partition_plan_by_size,
+    "migrate_dependencies": migrate_dependencies,
+    "key_sketches": key_sketches,
+    "reconcile_differences": reconcile_differences,
+    "migrate_cached": migrate_cached,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -731,4 +1030,14 @@ ORACLE_SQL: dict[str, str] = {
     "gen_products": SQL_GEN_PRODUCTS,
     "gen_orders": SQL_GEN_ORDERS,
     "gen_order_details": SQL_GEN_ORDER_DETAILS,
+    "csv_rejects": SQL_CSV_REJECTS,
+    "conform_rejects": SQL_CONFORM_REJECTS,
+    "key_balance": SQL_KEY_BALANCE,
+    "connector_grouping": SQL_CONNECTOR_GROUPING,
+    "split_ranges": SQL_SPLIT_RANGES,
+    "partition_plan_by_size": SQL_PARTITION_PLAN_BY_SIZE,
+    "migrate_dependencies": SQL_MIGRATE_DEPENDENCIES,
+    "key_sketches": SQL_KEY_SKETCHES,
+    "reconcile_differences": SQL_RECONCILE_DIFFERENCES,
+    "migrate_cached": SQL_MIGRATE_CACHED,
 }
