@@ -37,6 +37,8 @@ from keyferry.functions.pseudo import (
     between_sql,
     mix,
     mix_sql,
+    mix_wide,
+    mix_wide_sql,
     pick,
     pick_sql,
     sql_str,
@@ -239,7 +241,7 @@ def orders(ids: DataFrame, n_customers: int, span_days: int | None = None) -> Da
     place = pick([f"{c}, {s} {z}" for c, s, z in PLACES], mix(oid, 25))
     return ids.select(
         oid.alias("order_id"),
-        (F.lit(FIRST_CUSTOMER_ID) + mix(oid, 21) % F.lit(n_customers)).alias("customer_id"),
+        (F.lit(FIRST_CUSTOMER_ID) + mix_wide(oid, 21) % F.lit(n_customers)).alias("customer_id"),
         _days(ORDER_START, oid - F.lit(FIRST_ORDER_ID), span_days).alias("order_date"),
         pick(STATUSES, mix(oid, 22)).alias("status"),
         pick(PAYMENTS, mix(oid, 23)).alias("payment_method"),
@@ -254,7 +256,7 @@ def orders_sql(ids_sql: str, n_customers_sql: str) -> str:
     oid = "order_id"
     place = pick_sql([f"{c}, {s} {z}" for c, s, z in PLACES], mix_sql(oid, 25))
     return f"""SELECT {oid} AS order_id,
-  {FIRST_CUSTOMER_ID} + ({mix_sql(oid, 21)}) % ({n_customers_sql}) AS customer_id,
+  {FIRST_CUSTOMER_ID} + ({mix_wide_sql(oid, 21)}) % ({n_customers_sql}) AS customer_id,
   {_days_sql(ORDER_START, f"{oid} - {FIRST_ORDER_ID}")} AS order_date,
   {pick_sql(STATUSES, mix_sql(oid, 22))} AS status,
   {pick_sql(PAYMENTS, mix_sql(oid, 23))} AS payment_method,
@@ -271,11 +273,13 @@ def order_lines(orders_df: DataFrame, products_df: DataFrame, n_products: int, m
     _check_count(max_items, "max items per order")
     oid = F.col("order_id")
     m = F.lit(1) + mix(oid, 31) % F.lit(min(max_items, n_products))
-    start = mix(oid, 32) % F.lit(n_products)
+    start = mix_wide(oid, 32) % F.lit(n_products)
     step = PRIME % n_products
-    lines = orders_df.select(oid, F.explode(F.sequence(F.lit(0).cast("bigint"), m - F.lit(1))).alias("k")).select(
+    # Drawn once per order, before there is a row per line.
+    drawn = orders_df.select(oid, start.alias("start"), m.alias("m"))
+    lines = drawn.select(oid, "start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - F.lit(1))).alias("k")).select(
         oid,
-        (F.lit(FIRST_PRODUCT_ID) + (start + F.col("k") * F.lit(step)) % F.lit(n_products)).alias("product_id"),
+        (F.lit(FIRST_PRODUCT_ID) + (F.col("start") + F.col("k") * F.lit(step)) % F.lit(n_products)).alias("product_id"),
         between(mix(F.concat(oid.cast("string"), F.lit("-"), F.col("k").cast("string")), 33), 1, 5).alias("quantity"),
     )
     priced = lookup_join(lines, products_df.select("product_id", "price"), "product_id")
@@ -288,7 +292,7 @@ def order_lines_sql(orders_sql_text: str, products_sql_text: str, n_products_sql
     oid = "o.order_id"
     n = f"({n_products_sql})"
     m = f"(1 + ({mix_sql(oid, 31)}) % least({max_items}, {n}))"
-    start = f"(({mix_sql(oid, 32)}) % {n})"
+    start = f"(({mix_wide_sql(oid, 32)}) % {n})"
     step = f"({PRIME} % {n})"
     return f"""WITH o AS ({orders_sql_text}),
 p AS ({products_sql_text}),
