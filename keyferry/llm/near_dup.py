@@ -1,7 +1,7 @@
 """Near-duplicate groups by SuperMinHash, banding, verification and union-find.
 
-Texts become sets of word shingles. Equal sets collapse into one class first, so
-exact copies cost one row each. Every class gets a SuperMinHash signature: the
+Texts become sets of word shingles. Equal sets collapse into one node first, so
+exact copies cost one row each. Every node gets a SuperMinHash signature: the
 slots are visited in a random permutation per element, and a set stops as soon
 as no later rank can lower a slot. Signatures are cut into bands; the number of
 bands is chosen so that a pair at the threshold shares none with a chance of at
@@ -9,17 +9,21 @@ most `miss`.
 
 A band's bucket is not expanded into pairs. Its members meet one hub, the member
 that shares the most buckets with others; those links are confirmed on the full
-sets and joined by union-find. Only members that are not in the bucket's main
-component afterwards are compared with the rest of the bucket, in blocks of
-bounded size on signatures, and what may reach the threshold is confirmed on
-the full sets, too. Pairs inside one component need no link.
+sets and joined by union-find. Only buckets whose members are in more than one
+component afterwards are looked at again: members outside the bucket's main
+component meet all its members. Both times the texts come together in blocks of
+bounded size, and a block compares the full sets inside, passes over pairs that
+its own union-find already joins, and emits a forest of confirmed links: fewer
+rows than it has members, however many pairs it looked at.
 
 Defined results: words are runs of characters other than ASCII white space,
 with A-Z lower-cased; a text with fewer words than a shingle is one shingle;
 without words, or null, it has an empty set and is linked with nothing. Rows
-that share a doc_id are one document as to links; rows without a doc_id join
-the class of an equal set, but are compared with no others. Empty tables give
-empty results.
+that share a doc_id are one document, also with different texts: what is linked
+with one of them is linked with all. Rows without a doc_id are documents of
+their own; a group is named by its smallest doc_id, or null if no member has
+one. doc_id may be of any type that can be ordered. Empty tables give empty
+results.
 """
 
 from __future__ import annotations
@@ -135,8 +139,8 @@ class Settings:
 
     @property
     def size(self) -> int:
-        """Slots of a signature: those of the bands, and more for a closer estimate."""
-        return max(512, self.rows * self.bands)
+        """Slots of a signature."""
+        return self.rows * self.bands
 
 
 def _signer(settings: Settings):
@@ -155,142 +159,184 @@ def _signer(settings: Settings):
                         key = mixed(key * _MULTIPLY + slots[:, i * r + k])
                     keys.append(key)
                 keys = np.stack(keys, axis=1).astype(np.int64)
-                short = (mixed(slots) & np.uint64(0xFFFF)).astype(np.uint16)
                 full = np.array([len(s) > 0 for s in sets], bool)
                 yield pa.record_batch([
                     part.column(0), part.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([k if f else None for k, f in zip(keys, full)], pa.list_(pa.int64())),
-                    pa.array([x.tobytes() if f else None for x, f in zip(short, full)], pa.binary()),
-                ], names=["doc_id", "text_hash", "n_shingles", "set_id", "bands", "sketch"])
+                ], names=["doc_id", "text_hash", "n_shingles", "set_id", "bands"])
     return sign
 
 
-def _verifier(settings: Settings):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last = WordHashes(), (None, None)
-        for batch in batches:
-            u, v = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            a, b = (batch.column(i).cast(pa.binary()) for i in (2, 3))
-            keep = []
-            for i in range(len(u)):
-                if last[0] != u[i]:  # rows of one hub come together
-                    last = (u[i], shingles(a[i].as_py(), settings.words, known))
-                x, y = last[1], shingles(b[i].as_py(), settings.words, known)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= settings.percent * (len(x) + len(y) - both))
-            yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
-    return verify
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the threshold."""
-    pairs = stored(pairs, "dup-pairs")
-    nodes = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    needed = stored(texts.join(stored(nodes, "dup-nodes"), "id", "left_semi"), "dup-texts")
-    both = (
-        pairs.join(needed.select(F.col("id").alias("v"), F.col("text").alias("text_v")), "v")
-        .join(needed.select(F.col("id").alias("u"), F.col("text").alias("text_u")), "u")
-        .select("u", "v", "text_u", "text_v")
-    )
-    return stored(both.sortWithinPartitions("u").mapInArrow(_verifier(settings), "u bigint, v bigint"), "dup-links")
-
-
-def _blocks(settings: Settings):
-    """Likely links between the outliers and the members of one block of a bucket."""
-    # Four and a half standard deviations of a plain MinHash estimate below the
-    # threshold (a chance of 3e-6; SuperMinHash estimates vary less).
-    s = settings.percent / 100
-    least = (s - 4.5 * math.sqrt(s * (1 - s) / settings.size)) * settings.size
-
-    def compare(block) -> list[np.ndarray]:
-        found, mark = [], block.outlier.to_numpy()
-        sketch = np.frombuffer(b"".join(block.sketch), np.uint16).reshape(len(block), -1)
-        rep, comp, n = (block[c].to_numpy() for c in ("rep", "comp", "n_shingles"))
-        for i in np.flatnonzero(mark):
-            # Sets whose sizes alone keep them below the threshold need no look.
-            near = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= settings.percent * np.maximum(n, n[i]))
+class _Block:
+    """Members of a block: their nodes, components, sets, and which are to meet all others."""
+
+    def __init__(self, settings: Settings) -> None:
+        self.settings, self.nodes, self.parent, self.own, self.sets, self.mark = settings, [], {}, [], [], []
+
+    def add(self, node: int, comp: int, outlier: bool, shingled: np.ndarray) -> None:
+        self.nodes.append(node)
+        self.own.append(comp)
+        self.parent[comp] = comp
+        self.sets.append(shingled)
+        self.mark.append(outlier)
+
+    def _root(self, comp: int) -> int:
+        while self.parent[comp] != comp:
+            self.parent[comp] = self.parent[self.parent[comp]]
+            comp = self.parent[comp]
+        return comp
+
+    def links(self) -> list[tuple[int, int]]:
+        """Confirmed links that join the components of the outliers with those of other members: a forest."""
+        outliers = [i for i, m in enumerate(self.mark) if m]
+        if not outliers or len(self.nodes) < 2:
+            return []
+        percent, n = self.settings.percent, np.array([len(s) for s in self.sets])
+        starts = np.concatenate([[0], np.cumsum(n)])
+        joined = np.concatenate(self.sets)
+        # Numbers of the shingles, so that one look-up per shingle compares a set with all others.
+        if len(outliers) > 2:
+            values, joined = np.unique(joined, return_inverse=True)
+            held = np.zeros(len(values), bool)
+        found = []
+        for i in outliers:
+            root = self._root(self.own[i])
+            roots = {c: self._root(c) for c in set(self.own)}
+            near = np.array([roots[c] != root for c in self.own]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
             near = np.flatnonzero(near)
-            hit = near[(sketch[near] == sketch[i]).sum(axis=1) >= least]
-            found.append(np.stack([np.minimum(rep[i], rep[hit]), np.maximum(rep[i], rep[hit])], axis=1))
+            if not len(near):
+                continue
+            other = np.concatenate([joined[starts[j]:starts[j + 1]] for j in near])
+            mine = joined[starts[i]:starts[i + 1]]
+            if len(outliers) > 2:
+                held[mine] = True
+                same = held[other]
+                held[mine] = False
+            else:
+                same = mine[np.minimum(np.searchsorted(mine, other), len(mine) - 1)] == other
+            both = np.add.reduceat(same.astype(np.int64), np.concatenate([[0], np.cumsum(n[near])[:-1]]))
+            for j in near[100 * both >= percent * (n[near] + n[i] - both)].tolist():
+                a, b = self._root(self.own[i]), self._root(self.own[j])
+                if a != b:
+                    self.parent[max(a, b)] = min(a, b)
+                    found.append((self.nodes[i], self.nodes[j]))
         return found
 
-    def likely(frames):
-        import pandas as pd
-
-        key, held = ["key", "ob", "mb"], None
-
-        def links(frame):
-            found = [p for _, g in frame.groupby(key, sort=False) for p in compare(g)]
-            return pd.DataFrame(np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64), columns=["u", "v"])
-
-        for frame in frames:  # the last block of a frame may go on in the next
-            whole = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            tail = (whole[key] == whole[key].iloc[-1]).all(axis=1)
-            held = whole[tail]
-            yield links(whole[~tail])
-        if held is not None:
-            yield links(held)
-    return likely
-
-
-def _leftover_pairs(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, tested: DataFrame,
-                    settings: Settings, block: int = 4_000) -> DataFrame:
-    """Likely links across components inside buckets, except pairs already tested."""
-    own = buckets.join(labels.withColumnsRenamed({"u": "rep", "v": "comp"}), "rep", "left").select(
-        "key", "rep", F.coalesce("comp", "rep").alias("comp"))
-    own = stored(own, "dup-members")
-    # The main component of a bucket that has more than one, and the numbers of blocks.
-    sizes = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    open_keys = stored(
-        sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
-        .where((F.col("n") > F.col("main.n")) & (F.col("n") > 2))  # of two members, the hub has met the other
-        .select("key", F.col("main.comp").alias("main"),
-                F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("obs"), F.ceil(F.col("n") / block).cast("int").alias("mbs")),
-        "dup-open")
-    member = own.join(open_keys, "key").withColumn("outlier", F.col("comp") != F.col("main"))
-    member = member.join(sketches, "rep")
-    # Blocks of members by hash; the outliers of a bucket go to every member block, one outlier block at a time.
-    slot = F.xxhash64("rep")
-    own = ["key", "rep", "comp", "sketch", "n_shingles"]
-    fixed_mb = member.select(*own, F.lit(False).alias("outlier"),
-                             F.explode(F.sequence(F.lit(0), F.col("obs") - 1)).alias("ob"), F.pmod(slot, "mbs").cast("int").alias("mb"))
-    fixed_ob = member.where("outlier").select(
-        *own, "outlier", F.pmod(slot, "obs").cast("int").alias("ob"),
-        F.explode(F.sequence(F.lit(0), F.col("mbs") - 1)).alias("mb"))
-    blocks = fixed_mb.unionByName(fixed_ob).repartition("key", "ob", "mb").sortWithinPartitions("key", "ob", "mb")
-    found = blocks.mapInPandas(_blocks(settings), "u bigint, v bigint").distinct()
-    return found.join(tested, ["u", "v"], "left_anti")
+
+def _comparer(settings: Settings):
+    """Links of blocks that come one after another: rows key, ob, mb, node, comp, outlier, text."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, place, block = WordHashes(), None, _Block(settings)
+
+        def out() -> pa.RecordBatch:
+            found = block.links()
+            return pa.record_batch([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            cells = [batch.column(i).to_pylist() for i in range(6)]
+            texts = batch.column(6).cast(pa.binary())
+            for r, (key, ob, mb, node, comp, outlier) in enumerate(zip(*cells)):
+                if (key, ob, mb) != place:
+                    yield out()
+                    place, block = (key, ob, mb), _Block(settings)
+                block.add(node, comp, outlier, shingles(texts[r].as_py(), settings.words, known))
+        yield out()
+    return compare
+
+
+def _linked(members: DataFrame, texts: DataFrame, settings: Settings, held: int = 1 << 21) -> DataFrame:
+    """Confirmed links (u, v) between the outliers and the other members of every key.
+
+    `members`: key, node, comp, outlier, n_shingles. The outliers and the members
+    of a key are cut into blocks of about `held` shingles each, by hash, and every
+    block of outliers meets every block of members.
+    """
+    members = stored(members, "dup-members")
+    weight = F.col("n_shingles") + 64
+    sizes = members.groupBy("key").agg(F.sum(F.when(F.col("outlier"), weight)).alias("some"), F.sum(weight).alias("all"))
+    sizes = sizes.select("key", *[F.ceil(F.col(c) / held).cast("int").alias(n) for c, n in (("some", "obs"), ("all", "mbs"))])
+    sized = members.join(sizes, "key").join(texts, "node")
+    slot, own = F.xxhash64("node"), ["key", "node", "comp", "text"]
+    many = F.col("mbs") * F.col("obs") > 1
+    fixed_mb = sized.select(*own, (F.col("outlier") & ~many).alias("outlier"),
+                            F.explode(F.sequence(F.lit(0), F.col("obs") - 1)).alias("ob"), F.pmod(slot, "mbs").cast("int").alias("mb"))
+    fixed_ob = sized.where(F.col("outlier") & many).select(
+        *own, "outlier", F.pmod(slot, "obs").cast("int").alias("ob"), F.explode(F.sequence(F.lit(0), F.col("mbs") - 1)).alias("mb"))
+    place = ["key", "ob", "mb"]
+    blocks = fixed_mb.unionByName(fixed_ob).repartition(*place).sortWithinPartitions(*place)
+    return stored(blocks.select(*place, "node", "comp", "outlier", "text").mapInArrow(_comparer(settings), "u bigint, v bigint"), "dup-links")
+
+
+def _texts(documents: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the `wanted` nodes: that of the node's first row."""
+    need = nodes.join(wanted.distinct(), "node", "left_semi").select("node", "first_id", "first_hash")
+    same = F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    rows = documents.select(F.col("doc_id").alias("own_id"), _text_hash(), "text").join(stored(need, "dup-needed"), same)
+    return stored(rows.select("node", "text").dropDuplicates(["node"]), "dup-texts")
+
+
+def _nodes(signed: DataFrame) -> DataFrame:
+    """One row per distinct set: node, set_id, n_shingles, bands and the id and hash of its first row (null ids last)."""
+    full = signed.where(F.col("set_id").isNotNull())
+    first = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    nodes = full.groupBy("set_id").agg(F.min(first).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    return stored(nodes.select(F.monotonically_increasing_id().alias("node"), "set_id", "n_shingles", "bands",
+                               F.col("first.id").alias("first_id"), F.col("first.hash").alias("first_hash")), "dup-nodes")
+
+
+def _hub_members(buckets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Every bucket's hub, marked, and the members that are to meet it, each once per hub."""
+    weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
+    hubs = buckets.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub"))
+    met = buckets.join(hubs, "key").select(F.col("hub").alias("key"), "node").distinct()
+    return met.join(sizes, "node").select("key", "node", F.col("node").alias("comp"), (F.col("node") == F.col("key")).alias("outlier"), "n_shingles")
+
+
+def _open_members(buckets: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component; those outside the main one are marked."""
+    own = buckets.join(labels.withColumnsRenamed({"u": "node", "v": "comp"}), "node", "left").select(
+        "key", "node", F.coalesce("comp", "node").alias("comp"))
+    own = stored(own, "dup-own")
+    counts = own.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
+    # Of two members, the hub has met the other.
+    main = stored(main.where((F.col("n") > F.col("main.n")) & (F.col("n") > 2)).select("key", F.col("main.comp").alias("main")), "dup-open")
+    return own.join(main, "key").join(sizes, "node").select("key", "node", "comp", (F.col("comp") != F.col("main")).alias("outlier"), "n_shingles")
 
 
 def groups(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Per row of `documents`: doc_id, text_hash, n_shingles, component_id."""
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash(), "text")
+    """Per row of `documents`: doc_id, text_hash, n_shingles, component_id, and
+    group_id, which also tells groups apart that have no doc_id (null without words)."""
+    source = documents.select("doc_id", _text_hash(), F.col("text").cast("string"))
+    kind = source.schema["doc_id"].dataType.simpleString()
     signed = stored(source.mapInArrow(
-        _signer(settings), "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"), "dup-signed")
-    classes = signed.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    placed = signed.select("doc_id", "text_hash", "n_shingles", "set_id").join(classes, "set_id", "left")
-    reps = stored(signed.join(classes, "set_id").where(F.col("doc_id") == F.col("rep")).select("rep", "bands", "sketch", "n_shingles").distinct(), "dup-reps")
+        _signer(settings), f"doc_id {kind}, text_hash bigint, n_shingles bigint, set_id binary, bands array<bigint>"), "dup-signed")
+    nodes = _nodes(signed)
+    sizes = nodes.select("node", "n_shingles")
 
-    band = reps.select("rep", F.explode("bands").alias("key")).distinct()
+    band = nodes.select("node", F.explode("bands").alias("key")).distinct()
     shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stored(band.join(shared, "key"), "dup-buckets")
-    weight = buckets.groupBy("rep").agg(F.sum("n").alias("weight"))
-    hubs = buckets.join(weight, "rep").groupBy("key").agg(
-        F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
-    spokes = buckets.join(hubs, "key").where("rep <> hub").select(F.col("hub").alias("u"), F.col("rep").alias("v")).distinct()
-    spokes = stored(spokes, "dup-spokes")
-    texts = source.select(F.col("doc_id").alias("id"), "text").where(F.col("id").isNotNull())
-    links = _confirmed(spokes, texts, settings)
+    texts = _texts(documents, nodes, buckets.select("node"))
+    # Texts under one doc_id are one document: their nodes belong together.
+    placed = stored(signed.select("doc_id", "text_hash", "n_shingles", "set_id").join(nodes.select("set_id", "node"), "set_id", "left").drop("set_id"), "dup-placed")
+    ids = placed.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull()).groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("last"))
+    ids = stored(ids.where("u <> last").select("doc_id", "u"), "dup-repeated-ids")
+    same = placed.where("node is not null").join(ids, "doc_id").select("u", F.col("node").alias("v")).distinct()
+
+    links = _linked(_hub_members(buckets, sizes), texts, settings).unionByName(same)
     labels = components(links)
-    tested = spokes.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    rest = _confirmed(_leftover_pairs(buckets, labels, reps.select("rep", "sketch", "n_shingles"), tested, settings), texts, settings)
+    rest = _linked(_open_members(buckets, labels, sizes), texts, settings)
     if not rest.isEmpty():
         labels = components(labels.unionByName(rest))
-    labels = labels.withColumnsRenamed({"u": "rep", "v": "label"})
-    return placed.join(labels, "rep", "left").select(
-        "doc_id", "text_hash", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
+    labels = labels.withColumnsRenamed({"u": "node", "v": "label"})
+    found = stored(placed.join(labels, "node", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("group_id")), "dup-found")
+    names = found.where("group_id is not null").groupBy("group_id").agg(F.min("doc_id").alias("named"))
+    return found.join(names, "group_id", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(F.col("group_id").isNull(), F.col("doc_id")).otherwise(F.col("named")).alias("component_id"), "group_id")
 
 
 def _text_hash():
@@ -298,19 +344,22 @@ def _text_hash():
 
 
 def dedupe(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row of each group: the rows whose doc_id is the group's smallest; of equal rows among them, one.
+    """One row of each group: of its smallest doc_id (a group without any: any row), and
+    of that document's texts the one of the smallest hash; of equal rows, one.
 
     Texts without words are in no group and stay.
     """
     found = stored(groups(documents, settings), "dup-groups")
-    key = ["gone_id", "gone_hash"]
-    named = found.withColumnsRenamed({"doc_id": "gone_id", "text_hash": "gone_hash"})
-    gone = stored(named.where(~F.col("gone_id").eqNullSafe(F.col("component_id"))).select(*key).distinct(), "dup-gone")
-    again = stored(named.where("n_shingles > 0").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key), "dup-again")
-    row = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"), _text_hash().alias("own_hash"))
-    same = F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_hash") == F.col("gone_hash"))
-    left = row.join(gone, same, "left_anti")
-    if again.isEmpty():
-        return left.select("row.*")
-    once = left.join(again, same, "left_semi").dropDuplicates(["own_id", "own_hash"])
-    return left.join(again, same, "left_anti").unionByName(once).select("row.*")
+    row = ["doc_id", "text_hash"]
+    order = F.struct(F.col("doc_id").isNull().alias("late"), *row)
+    stay = found.where("group_id is not null").groupBy("group_id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    stay = stay.where("n > 1").select("group_id", F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    kept = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
+    marked = found.join(stay, "group_id").groupBy(*row).agg(F.bool_or(kept).alias("kept"))
+    marked = stored(marked.withColumnsRenamed({"doc_id": "seen_id", "text_hash": "seen_hash"}), "dup-marked")
+    own = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), _text_hash().alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("seen_id")) & (F.col("own_hash") == F.col("seen_hash"))
+    # Rows of a group of one row are not in `marked`; equal rows that stay are one.
+    alone = own.join(marked, same, "left_anti").select("row.*")
+    once = own.join(marked.where("kept"), same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("row.*")
+    return alone.unionByName(once)
