@@ -152,25 +152,34 @@ def pii_terms(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
-def pii_disclosed(docs: list[tuple], z: float = 1.645, generalise_at: float = 0.7, remove_at: float = 0.9) -> dict[tuple, list[tuple]]:
-    """(doc_id, text) to (kind, start, end) of its generalised and removed terms, from counts over whole documents."""
+def pii_disclosed(rows: list[tuple], z: float = 1.645, generalise_at: float = 0.25, remove_at: float = 0.4,
+                  least_bits: float = 3.0) -> dict[tuple, list[tuple]]:
+    """(doc_id, text) to (kind, start, end, label) of its generalised and removed terms; equal rows count once."""
+    docs = set(rows)
     df_t = Counter(w for _, t in docs for w in {w for w, _, _ in pii_terms(t)})
     held = defaultdict(set)
-    for d in set(docs):
+    for d in docs:
         for s in filter(None, pii_spans(d[1]).split(",")):
             kind, a, b = s.split(":")
             raw = d[1][int(a):int(b)]
             held[kind, raw.lower() if kind == "email" else raw if kind == "ip" else re.sub("[^0-9]", "", raw)].add(d)
+    most = defaultdict(int)
+    for w, n in df_t.items():
+        for k in range(1, min(len(w), 6) + 1):
+            most[w[:k]] = max(most[w[:k]], n)
     rank, out = {}, {}
     for carriers in held.values():
         df_ct = Counter(w for d in carriers for w in {w for w, _, _ in pii_terms(d[1])})
-        information = math.log(len(docs) / len(carriers))
         for w, k in df_ct.items():
             n = df_t[w]
             low = (k + z * z / 2 - z * math.sqrt(k * (n - k) / n + z * z / 4)) / (n + z * z)
-            share = math.log(low * len(docs) / len(carriers)) / information if information > 0 else 0
-            for d in carriers if share >= generalise_at else ():
-                rank[d, w] = max(rank.get((d, w), ""), "removed" if share >= remove_at else "generalised")
-    for d in set(docs):
-        out[d] = [(rank[d, w], a, b) for w, a, b in pii_terms(d[1]) if (d, w) in rank]
+            if low < generalise_at or math.log2(low * len(docs) / len(carriers)) < least_bits:
+                continue
+            broad = next((w[:p] + "*" for p in range(min(6, len(w) - 1), 0, -1) if most[w[:p]] * generalise_at > len(carriers)), None)
+            for d in carriers:
+                # Removed before generalised, a broad class before a narrow one.
+                strict = (0, "", None) if low >= remove_at else (1, len(broad or ""), broad)
+                rank[d, w] = min(rank.get((d, w), (2,)), strict, key=lambda r: r[:2] if r[0] == 1 else (r[0], 0))
+    for d in docs:
+        out[d] = [("generalised" if rank[d, w][0] else "removed", a, b, rank[d, w][2]) for w, a, b in pii_terms(d[1]) if (d, w) in rank]
     return out

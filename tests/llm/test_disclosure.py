@@ -7,7 +7,7 @@ import random
 import pytest
 
 from keyferry.llm import pii
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 from tests.llm import brute
 
 SCHEMA = "doc_id bigint, text string"
@@ -33,7 +33,7 @@ def made() -> list[tuple]:
 def disclosed(spark, docs) -> dict[tuple, list[tuple]]:
     found = pii.find_spans(spark.createDataFrame(docs, SCHEMA)).collect()
     return {(r["row"]["doc_id"], r["row"]["text"]): [
-        (pii.KINDS[s["code"]], s["start"], s["end"]) for s in r["spans"] if s["code"] >= 4] for r in found}
+        (pii.KINDS[s["code"]], s["start"], s["end"], s["label"]) for s in r["spans"] if s["code"] >= 4] for r in found}
 
 
 @pytest.mark.parametrize("real", [False, True])
@@ -42,9 +42,46 @@ def test_disclosed_spans(spark, real):
     assert disclosed(spark, docs) == brute.pii_disclosed(docs)
 
 
+def words(docs, spans_of) -> dict:
+    return {d[0]: [(kind, d[1][a:b]) for kind, a, b, _ in spans] for d, spans in spans_of.items()}
+
+
 def test_identifiers_of_one_and_two_documents_are_decided(spark):
     docs = made()
-    got = {d[0]: [d[1][a:b] for _, a, b in spans] for d, spans in disclosed(spark, docs).items()}
-    assert got[1000] == ["Zebrafinch", "zebrafinch", "quokka"]
-    assert got[1001] == ["numbat", "okapi", "numbat"] and got[1002] == ["numbat"]
-    assert got[1100] == ["axolotl"] and got[1200] == []
+    got = words(docs, disclosed(spark, docs))
+    one, two = "generalised", "removed"
+    assert got[1000] == [(one, "Zebrafinch"), (one, "zebrafinch"), (one, "quokka")]
+    assert got[1001] == [(two, "numbat"), (one, "okapi"), (two, "numbat")] and got[1002] == [(two, "numbat")]
+    assert got[1100] == [("removed", "axolotl")] and got[1200] == []  # eight of nine documents with the word
+
+
+def test_a_repeated_row_counts_once(spark):
+    docs = made() + [(2000, "mail me@only.org about lemurs")]
+    once = disclosed(spark, docs)
+    again = disclosed(spark, docs + docs[-1:] * 3)
+    assert once == again == brute.pii_disclosed(docs) and [s[0] for s in once[docs[-1]]] == ["generalised", "generalised"]
+
+
+def test_verdicts_do_not_drift_with_the_size_of_the_table(spark):
+    docs = made()
+    few = disclosed(spark, docs)
+    more = disclosed(spark, docs + [(10_000 + i, f"unrelated{i % 70} filler{i}") for i in range(9 * len(docs))])
+    assert {d: [s[:3] for s in v] for d, v in few.items()} == {d: [s[:3] for s in more[d]] for d in few}
+
+
+def test_terms_are_removed_on_given_data(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
+    got = disclosed(spark, docs)
+    kinds = [s[0] for v in got.values() for s in v]
+    assert got == brute.pii_disclosed(docs) and "removed" in kinds and "generalised" in kinds
+
+
+def test_generalised_terms_become_classes(spark):
+    common = [(i, f"zebra crossing number {i}") for i in range(40)]
+    docs = [*common, (100, "zebrafinch mail a@only.org qqqq")]
+    df = spark.createDataFrame(docs, SCHEMA)
+    text = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert text[100] == "zebra* [TERM] [EMAIL] [TERM]"
+    assert text[5] == "zebra crossing number 5"
+    rare = [*common, *[(200 + i, f"zebrafinch mail a@only.org n{i}") for i in range(30)]]
+    assert all(s[3] is None for d, v in disclosed(spark, rare).items() for s in v)  # 40 documents do not hide 30
