@@ -273,7 +273,8 @@ def _texts(documents: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFra
     """node, text of the `wanted` nodes: that of the node's first row."""
     need = nodes.join(wanted.distinct(), "node", "left_semi").select("node", "first_id", "first_hash")
     same = F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
-    rows = documents.select(F.col("doc_id").alias("own_id"), _text_hash(), "text").join(stored(need, "dup-needed"), same)
+    # Merged at any size: a broadcast of few nodes would turn into a shuffle of all texts as they grow.
+    rows = documents.select(F.col("doc_id").alias("own_id"), _text_hash(), "text").join(stored(need, "dup-needed").hint("merge"), same)
     return stored(rows.select("node", "text").dropDuplicates(["node"]), "dup-texts")
 
 
