@@ -107,7 +107,8 @@ def sample(documents: DataFrame, lang: str, teaches: Column, settings: Settings)
     """
     rows = documents.where(teaches & F.col(lang).isNotNull() & F.col("text").rlike(r"\p{L}"))
     rows = rows.select(F.col(lang).cast("string").alias("lang"), F.col("text"), F.xxhash64("doc_id", "text").alias("h"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # A row per language, as the model has: broadcast, or all texts of a language would go to one task.
+    sizes = F.broadcast(stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes"))
     few = F.expr(f"abs(h div 2) < 4611686018427387904D * least(1D, 4D * {settings.per_language} / n)")
     near = rows.join(sizes, "lang").where(few)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
