@@ -19,8 +19,9 @@ max_repeats x SLOTS x 2 rows.
 
 Defined results: null text has size 0; documents of size 0 take 0 words; the
 null source is a source and comes last; repeated rows are documents of their
-own; an empty table gives an empty result. Ties in the shuffle order are broken
-by doc_id and the text's hash; full ties are equal rows, of which each counts once.
+own; an empty table gives an empty result. The shuffle's hash is that of id and
+text, so documents without an id, or that share one, spread as well; ties are
+equal rows, of which each counts once.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], max_repeats: in
 def mix(documents: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3,
         with_row: bool = False) -> DataFrame:
     """doc_id, size, source_size, target, taken; `with_row` adds the input row as struct `kept_row`."""
-    place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    place = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text_or_empty(F.col("text")))))
     row = [F.struct("*").alias("kept_row")] if with_row else []
     slot = F.conv(F.substring("place", 1, SLOT_DIGITS), 16, 10).cast("int")
     sized = stored(

@@ -61,7 +61,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_OP6 = f"""WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS place
   FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS queue
   FROM sized GROUP BY source),
@@ -72,7 +73,7 @@ levels AS (SELECT *, (sum(source_size) OVER () - (sum(cap) OVER upto - cap))::DO
 target AS (SELECT source, queue, source_size,
     least(cap::DOUBLE, (SELECT level FROM levels WHERE level * w <= cap ORDER BY cap / w, queue LIMIT 1) * w) AS target FROM levels),
 placed AS (SELECT s.*, t.queue, t.source_size, t.target,
-    sum(size) OVER (PARTITION BY queue ORDER BY md5(s.doc_id::VARCHAR), s.doc_id ROWS UNBOUNDED PRECEDING) AS served
+    sum(size) OVER (PARTITION BY queue ORDER BY place, s.doc_id ROWS UNBOUNDED PRECEDING) AS served
   FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source),
 copies AS (SELECT *, (turn * source_size + served) / target AS finish
   FROM placed, (VALUES (0), (1), (2)) v(turn) WHERE size > 0 AND target > 0),
