@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -236,3 +238,59 @@ def test_urls(spark):
     assert by[9]["rule"] == "org/" and by[10]["rule"] == "org/"
     assert url_filter.judge_urls(pages, rules.limit(0), "page_id").where("verdict <> 'allow'").count() == 0
     assert url_filter.judge_urls(pages.limit(0), rules, "page_id").count() == 0
+
+
+def test_only_the_verdict_equals_the_whole_judgement(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {r["row"]["doc_id"] for r in quality_rules.judge(df).collect() if r["kept"]}
+    got = [r[0] for r in quality_rules.keep_good(df).select("doc_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < df.count()
+    odd = quality_rules.keep_good(frame(spark))
+    assert odd.columns == frame(spark).columns and quality_rules.keep_good(empty(spark)).count() == 0
+
+
+def test_rules_are_ordered_by_what_they_reject_among_the_rest(spark, monkeypatch):
+    texts = [(i, "AAAA!!!!" if i % 2 else "fine words here") for i in range(100)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    ticks = iter(range(10_000))
+    monkeypatch.setattr(quality_rules, "time", SimpleNamespace(perf_counter=lambda: float(next(ticks))))  # every rule costs the same
+    by_name = {r.name: r for r in quality_rules.RULES}
+    marks, capitals, letters = by_name["exclamation marks per character"], by_name["capitals per character"], by_name["letters per character"]
+    spaces = quality_rules.Rule("has a space", lambda t: t.contains(" h"))
+    order = quality_rules.rule_order(df, (marks, capitals, letters, spaces))
+    # The other half is left after the first; the rules that reject the same half again come last.
+    assert [r.name for r in order[:2]] == [marks.name, spaces.name]
+    assert quality_rules._sample(df, 10).count() <= 20 and quality_rules._sample(df, 1_000).count() == 100
+
+
+def test_documents_without_an_id_spread_over_the_shuffle(spark):
+    rows = [(None, f"text number {i} of the source", "en", "s") for i in range(300)] + [(1, "a b c", "en", "t")] * 3
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = mixing.mix(df)
+    assert got.count() == 303 and got.where("taken > 3 * size").isEmpty()
+    assert abs(got.agg(F.sum("taken")).first()[0] - got.agg(F.sum("size")).first()[0]) <= 18
+    again = mixing.mix(df.repartition(5))
+    key = lambda d: sorted(map(tuple, d.collect()), key=repr)
+    assert key(got) == key(again)
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    good = [(100 + i, " ".join(f"w{chr(97 + (i * 7 + k) % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(90))) for i in range(6)]
+    for docs in (frame(spark, TEXTS + good).withColumn("target", F.lit("mine")), empty(spark)):
+        df, left = docs, docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, "/root/testdata/sf0.001")
+            n = out.count()
+            assert n <= left
+            if name != "mix_sources":
+                assert out.columns == docs.columns
+                df, left = out, n
+        assert out.columns[-4:] == ["size", "source_size", "target", "taken"] and len(set(out.columns)) == len(out.columns)
+        if docs.count():
+            # GOOD stands five times (once without an id) and nearly again: one stays, the smallest id.
+            ids = sorted((r["doc_id"] for r in df.collect()), key=str)
+            assert 5 in ids and 6 not in ids and 7 not in ids and None not in ids and set(range(100, 106)) <= set(ids)
+        else:
+            assert left == 0
