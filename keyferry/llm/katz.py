@@ -12,7 +12,10 @@ hash, pairs by their context. Blocks of documents send their distinct words and
 pairs with their training counts; a bucket sums them, keeps its part of the
 table and answers with what scoring needs (see blocks.py). Contexts that hold
 more than 1 / HOT of all tokens are spread over all buckets by the whole pair,
-and their sums are combined afterwards, so no bucket is hot.
+and their sums are combined afterwards, so no bucket is hot. From 4 * 10**10
+tokens on, a context is hot from HOT_MOST tokens, so that what one task gathers
+stays bounded; the sums of hot contexts, a few numbers each, are then at most
+tokens / HOT_MOST rows.
 
 Words get dense numbers from their place in the bucket, so a pair is one packed
 number and pair counts are exact (two words share a 64-bit hash with a chance
@@ -44,6 +47,7 @@ from keyferry.llm.near_dup import WordHashes, mixed
 
 MOST = 5  # counts above this are not discounted
 HOT = 2_000
+HOT_MOST = 20_000_000  # tokens under one context that one task may gather, whatever the corpus
 BLOCK_TOKENS = 1_000_000
 BUCKET_KEYS = 2_000_000
 TEST_FOLD = 1
@@ -320,7 +324,7 @@ def score(documents: DataFrame) -> DataFrame:
             vocabulary, tokens, times = vocabulary + int(totals[b][0]), tokens + int(totals[b][1]), times + totals[b][2:]
         if vocabulary >= _UNKNOWN:
             raise ValueError("more distinct words than 32 bits number")
-        words, hot_count = Words(tokens, times), tokens // HOT + 1
+        words, hot_count = Words(tokens, times), min(tokens // HOT + 1, HOT_MOST)
         word_answers = table.where("block >= 0")
 
         asked = blocks.answered(word_answers).mapInArrow(_ask_pairs(starts, pair_buckets, hot_count), MESSAGE)
