@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyferry import config
-from keyferry.functions.typemap import keyed_table_ddl
+from keyferry.functions.typemap import keyed_table_ddl, keyspace_ddl
 from keyferry.operators.conform import conform
 from keyferry.plans.migrate import migrate_all
 from keyferry.sinks.connector import ConnectorStore
@@ -83,6 +83,7 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
     options.mode = args.mode or options.mode
     options.profile = args.profile
     options.reconcile = args.reconcile
+    options.rejects = args.rejects
     options.confirm_truncate = options.confirm_truncate and not args.no_truncate
     if args.source_config:
         src_cfg = config.load_file(args.source_config)
@@ -92,7 +93,8 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
             args.url, args.user, args.driver = conn.url, conn.user, conn.driver
             args.password_value = conn.password
     if args.print_ddl:
-        # DDL for the external store's tables, from the conformed source schemas.
+        # DDL for the external store's keyspace and tables, from the conformed source schemas.
+        print(keyspace_ddl(args.keyspace, **config.keyspace_settings(config.load_file(args.config) if args.config else {})))
         read = _reader(spark, args, mappings)
         for raw in mappings:
             m = TableMapping.from_dict(raw)
@@ -108,17 +110,21 @@ def cmd_migrate(spark: SparkSession, args: argparse.Namespace) -> int:
             raise SystemExit("give --root: the shared folder that keeps the keyed tables")
         store = KeyedStore(spark, args.keyspace, args.root)
     reports = migrate_all(spark, _reader(spark, args, mappings), mappings, store, settings, options,
-                          parallelism=args.parallelism)
+                          parallelism=args.parallelism, relations=_pair_list("--relation", args.relation))
     for r in reports:
         print(json.dumps(r.__dict__, default=str))
-    return 1 if any(r.status in ("failed", "mismatch") for r in reports) else 0
+    return 1 if any(r.status in ("failed", "mismatch", "skipped_parent", "cancelled") for r in reports) else 0
 
 
-def _pairs(flag: str, given: Sequence[str] | None) -> dict[str, str]:
+def _pair_list(flag: str, given: Sequence[str] | None) -> list[tuple[str, str]]:
     bad = [kv for kv in given or [] if "=" not in kv]
     if bad:
         raise SystemExit(f"{flag} takes key=value, got {bad}")
-    return dict(kv.split("=", 1) for kv in given or [])
+    return [tuple(kv.split("=", 1)) for kv in given or []]
+
+
+def _pairs(flag: str, given: Sequence[str] | None) -> dict[str, str]:
+    return dict(_pair_list(flag, given))
 
 
 def cmd_load_folder(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -184,6 +190,8 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--plan", help="JSON of PlanSettings fields")
     m.add_argument("--parallelism", type=int, default=1)
     m.add_argument("--reconcile", action="store_true")
+    m.add_argument("--relation", action="append", help="child=parent source tables: the child waits for its parent (repeatable)")
+    m.add_argument("--rejects", help="shared folder for values that an existing table's types refuse")
     m.add_argument("--no-truncate", action="store_true", help="refuse overwrite of existing tables")
 
     f = sub.add_parser("load-folder", help="CSV folder -> catalog tables or a JDBC database")

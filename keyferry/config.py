@@ -102,3 +102,9 @@ def attach_source_keys(mappings: list[dict], keys: Mapping[str, tuple[str, ...]]
             m["source_key"] = list(keys[f"{schema}.{table}"])
         out.append(m)
     return out
+
+
+def keyspace_settings(cfg: Mapping) -> dict:
+    """Replication and durability of the ``keyspace`` section, where given."""
+    known = ("replication_strategy", "replication_factor", "durable_writes")
+    return {k: _flag(v) if k == "durable_writes" else v for k, v in (cfg.get("keyspace") or {}).items() if k in known}

@@ -126,6 +126,15 @@ def _ddl_type(dt: T.DataType, profile: str, frozen: bool = False) -> str:
     return f"frozen<{name}>" if frozen else name
 
 
+def keyspace_ddl(keyspace: str, replication_strategy: str = "SimpleStrategy", replication_factor: int = 1, durable_writes: bool = True) -> str:
+    """``CREATE KEYSPACE IF NOT EXISTS`` text for a wide-column keyed store, for its own tools."""
+    if int(replication_factor) < 1:
+        raise ValueError("replication_factor must be >= 1")
+    strategy = str(replication_strategy).replace("'", "''")
+    return (f"CREATE KEYSPACE IF NOT EXISTS {_quote(keyspace)} WITH replication = {{'class': '{strategy}', "
+            f"'replication_factor': {int(replication_factor)}}} AND durable_writes = {'true' if durable_writes else 'false'}")
+
+
 def keyed_table_ddl(
     schema: T.StructType,
     keyspace: str,

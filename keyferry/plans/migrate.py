@@ -62,8 +62,9 @@ class RepeatedKeyError(ValueError):
     """A source key that was declared unique is not."""
 
 
-# A sketch of 2**14 registers has a relative error of 0.8 %: 3 % is over three times that.
-KEY_SKETCH_ERROR = 0.03
+# A sketch of 2**14 registers has a relative error of 0.8 %: six times that, and a key that is
+# unique is not refused by chance. Fewer repeats than that show in the reconciliation.
+KEY_SKETCH_ERROR = 0.05
 
 
 REPORT_SCHEMA = T.StructType(

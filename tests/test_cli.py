@@ -142,3 +142,32 @@ def test_print_ddl(spark, capsys, tmp_path):
     out = capsys.readouterr().out.strip().splitlines()[-1]
     assert out.startswith('CREATE TABLE IF NOT EXISTS "ks"."orders" ("o_orderkey" bigint, "o_custkey" bigint')
     assert '"o_orderdate" text' in out and out.endswith('PRIMARY KEY (("o_custkey"), "o_orderdate", "o_orderkey"))')
+
+
+def test_print_ddl_begins_with_the_keyspace(spark, capsys, tmp_path):
+    cfg = tmp_path / "c.json"
+    cfg.write_text(json.dumps({"keyspace": {"replication_factor": 3, "durable_writes": "false"}, "table_mappings": [
+        {"source_table": "region", "target_table": "region", "partition_key": "r_regionkey"}]}))
+    assert main(["migrate", "--config", str(cfg), "--source", f"parquet:{SF001}", "--keyspace", "ks", "--print-ddl"], spark) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert out[-2] == ("CREATE KEYSPACE IF NOT EXISTS \"ks\" WITH replication = {'class': 'SimpleStrategy', 'replication_factor': 3} "
+                       "AND durable_writes = false")
+
+
+def test_relations_and_rejects(spark, capsys, tmp_path):
+    mfile = tmp_path / "m.json"
+    mfile.write_text(json.dumps([{"source_table": "nation", "target_table": "nation", "partition_key": "n_nationkey"},
+                                 {"source_table": "region", "target_table": "region", "partition_key": "no_such"}]))
+    code = main(["migrate", "--mappings", str(mfile), "--source", f"parquet:{SF001}", "--keyspace", "rel_ks", "--root", str(tmp_path / "k"),
+                 "--relation", "nation=region", "--rejects", str(tmp_path / "r")], spark)
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert code == 1 and [r["status"] for r in lines] == ["skipped_parent", "failed"]
+
+
+def test_load_folder_options(spark, capsys, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.csv").write_text("id;name\n1;a\n2;b;c\n")
+    code = main(["load-folder", "--folder", str(tmp_path / "in"), "--database", "opt_db", "--location-root", str(tmp_path / "out"),
+                 "--csv-option", "sep=;", "--rejects", str(tmp_path / "r")], spark)
+    line = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")][0]
+    assert code == 0 and (line["rows"], line["rejected"]) == (1, 1)

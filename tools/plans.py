@@ -17,14 +17,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from keyferry import checks  # noqa: E402
-from keyferry.operators.audit import reconcile  # noqa: E402
+from keyferry.operators.audit import _Sides, _RANGE  # noqa: E402
 from keyferry.operators.joins import line_amount, orphans  # noqa: E402
 from keyferry.operators.keys import dedupe, surviving_rows  # noqa: E402
-from keyferry.operators.layout import bucket_aligned  # noqa: E402
+from keyferry.operators.layout import bucket_aligned, by_key_balanced  # noqa: E402
 from keyferry.session import fresh_path  # noqa: E402
 from keyferry.sinks.csv import export_tables  # noqa: E402
 from keyferry.sinks.keyed import KeyedStore  # noqa: E402
 from keyferry.sources.csv_folder import folder_row_counts  # noqa: E402
+from keyferry.sources.files import file_totals  # noqa: E402
 from tools.session import local_session  # noqa: E402
 
 
@@ -60,17 +61,15 @@ def main() -> None:
     st.write(orders, "o", ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=8, unique=True)
     incoming = checks._second_batch(orders)
     okey = ["o_custkey", "o_orderdate", "o_orderkey"]
-    shapes["upsert into an existing table, small batch (U2): broadcast anti join, existing rows not shuffled"] = (
-        surviving_rows(st.read("o"), incoming, okey).unionByName(
-            bucket_aligned(dedupe(incoming, okey), 8, ["o_custkey"])
-        )
-    )
+    def upsert():
+        return bucket_aligned(surviving_rows(st.read("o"), incoming, okey).unionByName(dedupe(incoming, okey)), 8, ["o_custkey"])
+
     no_bc = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    shapes["upsert into an existing table, large batch (U2): shuffled anti join on the unique key, "
-           "then back into the buckets"] = (
-        lambda: bucket_aligned(surviving_rows(st.read("o"), incoming, okey), 8, ["o_custkey"]),
-        no_bc,
-    )
+    shapes["upsert into an existing table, Spark broadcasts the batch's keys (U2)"] = upsert()
+    shapes["upsert into an existing table, large batch (U2): shuffled anti join on the unique key, one rebalance"] = (upsert, no_bc)
+    shapes["heavy keys split, light keys whole (R2)"] = by_key_balanced(
+        li.withColumn("k", F.expr(checks.SKEWED_KEY).cast("bigint")), 8, ["k"])
+    shapes["sizes of a file table (R1): no column read"] = file_totals(li)
     prices = part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
     shapes["price look-up (J1)"] = line_amount(
         li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), prices, "l_partkey", "l_quantity",
@@ -81,7 +80,9 @@ def main() -> None:
         lambda: orphans(li, ["l_orderkey"], orders, ["o_orderkey"], "l->o"), no_bc
     )
     st.write(li, "l", ["l_orderkey"], ["l_linenumber"], buckets=8)
-    shapes["reconcile (A3)"] = reconcile(li, st.read("l"), key)
+    sides = _Sides(li, st.read("l"), key, (), unique=False)
+    shapes["reconcile (A3): digests per key range, which is all that equal tables need"] = sides.digests(
+        [F.pmod(sides.key_hash, F.lit(4096)).cast("int").alias(_RANGE)], [_RANGE])
     shapes["point read on the partition key (U3), Spark defaults: sorted row groups skipped by min/max"] = (
         st.lookup("o", o_custkey=42)
     )
