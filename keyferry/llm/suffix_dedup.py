@@ -21,6 +21,12 @@ among n suffixes, some at 30 GB; a false tie now has to pass both, of 64 and
 62 bits. Equal whole texts are found first, by 64 bits over n texts, and only
 one of them takes part in steps 2 and 3.
 
+Shorter passages stay, but are reported: `n_shared` counts the bytes in strings of
+`SHARED` bytes that another row of the table has as well, looked up at anchors. An
+anchor is the place of the smallest hash in a window of `WINDOW` places, so equal
+passages have equal anchors wherever they stand, and a passage of SHARED +
+WINDOW + 7 bytes that two rows share holds at least one whole string.
+
 Defined results: null text is empty; texts shorter than `length` keep all
 bytes; equal rows repeat each other; an empty table gives an empty result.
 """
@@ -47,6 +53,9 @@ CHUNK = 1 << 20  # bytes hashed at once
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _TABLE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _EVERY_TEXT = -1  # bucket numbers below 0 are of whole texts
+_ANCHORS = 1 << 28  # and from here on of strings at anchors
+SHARED = 150  # bytes of such a string
+WINDOW = 96
 
 
 def difference_cover(r: int) -> tuple[np.ndarray, int]:
@@ -120,6 +129,30 @@ class SecondHasher:
         return out
 
 
+def anchors(data: np.ndarray) -> np.ndarray:
+    """Places of the smallest hash of eight bytes, the first of equal ones, in every window of WINDOW places."""
+    found, step = [], CHUNK
+    for lo in range(0, max(len(data) - SHARED + 1, 0), step):
+        part = data[lo:lo + step + WINDOW + 7]
+        n = len(part) - 7
+        grams = np.empty((n // 8 + 1) * 8, np.uint64).reshape(-1, 8)
+        padded = np.zeros(len(grams) * 8 + 8, np.uint8)
+        padded[:len(part)] = part
+        for k in range(8):
+            grams[:, k] = padded[k:k + 8 * len(grams)].view("<u8")
+        rank = grams.reshape(-1)[:n] * np.uint64(_BASE) >> np.uint64(32) << np.uint64(32) | np.arange(n, dtype=np.uint64)
+        # Running minima from both ends of blocks of WINDOW places give that of any window.
+        last = np.uint64(0xFFFFFFFFFFFFFFFF)
+        blocks = np.concatenate([rank, np.full(-n % WINDOW, last)]).reshape(-1, WINDOW)
+        ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
+        behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+        least = np.minimum(behind[:n - WINDOW + 1], ahead[WINDOW - 1:n]) if n >= WINDOW else np.array([rank.min()])
+        place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        found.append(lo + place[np.concatenate([[True], np.diff(place) > 0])])
+    at = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+    return at[at <= len(data) - SHARED]
+
+
 class Plan:
     """Positions to ask about, for strings of `length` bytes."""
 
@@ -187,6 +220,28 @@ class _Block:
         return np.array([int.from_bytes(hashlib.blake2b(t.tobytes(), digest_size=8).digest(), "big") if len(t) >= self.plan.length else 0
                          for t in self.texts], np.uint64)
 
+    def ask_anchors(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """Anchors per text, and the fingerprints of their strings."""
+        where = [anchors(t) for t in self.texts]
+        return where, np.concatenate([self.hasher.at(t, w, SHARED) for t, w in zip(self.texts, where)])
+
+    def shared(self, answer: np.ndarray) -> np.ndarray:
+        """Per text: bytes in strings at anchors that another row has."""
+        where, keys = self.ask_anchors()
+        owner = np.repeat(np.arange(len(where)), [len(w) for w in where])
+        distinct, at = np.unique(keys, return_inverse=True)
+        first, last = np.full(len(distinct), len(where)), np.full(len(distinct), -1)
+        np.minimum.at(first, at, owner)
+        np.maximum.at(last, at, owner)
+        elsewhere = ((answer > 0) | (first < last))[at] if len(keys) else np.empty(0, bool)
+        out, lo = np.zeros(len(where), np.int64), 0
+        for k, w in enumerate(where):
+            hit = w[elsewhere[lo:lo + len(w)]]
+            lo += len(w)
+            if len(hit):
+                out[k] = SHARED + np.minimum(np.diff(hit), SHARED).sum()
+        return out
+
     def ask_suffixes(self, samples: np.ndarray, texts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """The same for suffixes, given the answers on samples and whole texts."""
         where, keys = self.ask_samples()
@@ -231,7 +286,7 @@ def _first_questions(plan: Plan, buckets: int):
             for batch in batches:
                 for row in batch.to_pylist():
                     block = _Block(row, plan, hasher)
-                    for kind, keys in ((0, block.ask_samples()[1]), (1, block.text_keys())):
+                    for kind, keys in ((0, block.ask_samples()[1]), (1, block.text_keys()), (2, block.ask_anchors()[1])):
                         yield from _dealt(np.unique(keys), buckets, block.number, kind)
         yield from messages(rows())
     return go
@@ -239,7 +294,7 @@ def _first_questions(plan: Plan, buckets: int):
 
 def _dealt(keys: np.ndarray, buckets: int, block: int, kind: int = 0):
     for b, part in dealt(keys, buckets):
-        yield (_EVERY_TEXT - b if kind else b), block, squeeze_keys(part)
+        yield (b, _EVERY_TEXT - b, _ANCHORS + b)[kind], block, squeeze_keys(part)
 
 
 def _second_questions(plan: Plan, first_buckets: int, buckets: int):
@@ -275,10 +330,15 @@ def _repeated(keys: np.ndarray, answer: np.ndarray) -> np.ndarray:
     return ((answer > 0) | (times > 1))[at] if len(keys) else np.empty(0, bool)
 
 
+def _anchor_answers(parts: list[dict] | None) -> np.ndarray:
+    """Answers on strings at anchors, in key order."""
+    return np.concatenate([np.empty(0, np.uint8), *[expand(p["payload"]) for p in parts or [] if p["bucket"] >= _ANCHORS]])
+
+
 def _answers(parts: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
     """Answers on keys and on whole texts, each in key order."""
     parts = parts or []
-    own = [expand(p["payload"]) for p in parts if p["bucket"] >= 0]
+    own = [expand(p["payload"]) for p in parts if 0 <= p["bucket"] < _ANCHORS]
     whole = [expand(p["payload"]) for p in sorted(parts, key=lambda p: -p["bucket"]) if p["bucket"] < 0]
     none = np.empty(0, np.uint8)
     return np.concatenate([none, *own]), np.concatenate([none, *whole])
@@ -310,7 +370,7 @@ def _removal(plan: Plan, keep_bytes: bool):
                 starts, keys = block.ask_again(samples, texts, _answers(row["a1"])[0], second)
                 repeated = _repeated(keys, _answers(row["a2"])[0])
                 equal, lo, out = block.copies(texts)[0], 0, []
-                for t, w, gone in zip(block.texts, starts, equal):
+                for t, w, gone, common in zip(block.texts, starts, equal, block.shared(_anchor_answers(row["a0"])).tolist()):
                     hit = w[repeated[lo:lo + len(w)]]
                     lo += len(w)
                     marks = np.zeros(len(t) + 1, np.int32)
@@ -321,16 +381,16 @@ def _removal(plan: Plan, keep_bytes: bool):
                     covered = np.cumsum(marks[:-1]) > 0
                     kept = t[~covered].tobytes()
                     spans = int((covered & ~np.concatenate([[False], covered[:-1]])).sum()) if len(t) else 0
-                    out.append((len(t), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
+                    out.append((len(t), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest(), common, kept if keep_bytes else None))
                 cols = list(zip(*out))
                 yield pa.record_batch([pa.array(block.ids, pa.int64()), *(pa.array(cols[i], pa.int64()) for i in range(3)),
-                                       pa.array(cols[3], pa.string()), pa.array(cols[4], pa.binary())],
-                                      names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                                       pa.array(cols[3], pa.string()), pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.binary())],
+                                      names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept"])
     return go
 
 
 def remove_repeats(documents: DataFrame, length: int = 400, keep_bytes: bool = False) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared and, if asked for, the kept bytes."""
     plan = Plan(length)
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = BlockTable(source.mapInArrow(_gather, "block bigint, ids array<bigint>, sizes array<bigint>, data binary"), "repeat-blocks")
@@ -345,7 +405,7 @@ def remove_repeats(documents: DataFrame, length: int = 400, keep_bytes: bool = F
         asked = blocks.answered(ranks, ties).mapInArrow(_third_questions(plan, second), MESSAGE)
         sure = ask(asked, _ties, "repeat-sure")
         result = blocks.answered(ranks, ties, sure).mapInArrow(
-            _removal(plan, keep_bytes), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+            _removal(plan, keep_bytes), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_shared bigint, kept binary")
         return stored(result if keep_bytes else result.drop("kept"), "repeat-result")
     finally:
         blocks.drop()

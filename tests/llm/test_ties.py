@@ -20,7 +20,7 @@ def test_a_false_tie_is_not_removed(spark, monkeypatch):
     # Fingerprints of 6 bits: nearly every suffix has the key of another one.
     monkeypatch.setattr(suffix_dedup.Hasher, "at", lambda self, *a: right(self, *a) & np.uint64(63 << 58))
     docs = spark.createDataFrame(list(enumerate(texts())), "doc_id bigint, text string")
-    got = sorted(map(tuple, suffix_dedup.remove_repeats(docs).collect()))
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(docs).drop("n_shared").collect()))
     assert got == [(i, *r) for i, r in enumerate(repeats([t.encode() for t in texts()], 400))]
 
 
@@ -32,3 +32,40 @@ def test_second_fingerprint(length):
     keys = suffix_dedup.SecondHasher().at(data, where, length)
     strings = [data[i:i + length].tobytes() for i in where]
     assert len(set(keys.tolist())) == len(set(strings)) == len(set(zip(keys.tolist(), strings)))
+
+
+def shared_strings(docs: list[bytes], size: int) -> list[set[int]]:
+    """Per text, the starts of strings of `size` bytes that another text has."""
+    owners: dict = {}
+    for k, t in enumerate(docs):
+        for i in range(len(t) - size + 1):
+            owners.setdefault(t[i:i + size], set()).add(k)
+    return [{i for i in range(len(t) - size + 1) if len(owners[t[i:i + size]]) > 1} for t in docs]
+
+
+@pytest.mark.parametrize("block", [1, 1 << 22])
+def test_shared_passages_are_reported(spark, monkeypatch, block):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)  # a block per text, or one for all
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    sure = suffix_dedup.SHARED + suffix_dedup.WINDOW + 7
+    passages = [word(n) for n in (100, 149, 150, 200, sure, sure + 60, 390)]
+    docs = [word(rng.integers(5, 400)) + p + word(rng.integers(5, 400)) for p in passages for _ in range(2)]
+    docs += [word(300), "ab" * 500, "q" * 2_000, "line of one text\n" * 80, "", word(800), None, "\u00e9\u20ac" * 200]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(df).collect()}
+    some, long = (shared_strings([(t or "").encode() for t in docs], n) for n in (suffix_dedup.SHARED, sure))
+    for k in range(len(docs)):
+        assert not got[k]["n_shared"] or some[k]  # nothing that no other row has
+        assert got[k]["n_shared"] or not long[k]  # and no passage of that length is missed
+        assert got[k]["n_shared"] <= len({i + d for i in some[k] for d in range(suffix_dedup.SHARED)})
+    assert got[len(passages) * 2 + 2]["n_shared"] == 0 and got[len(passages) * 2 + 2]["n_removed"] > 0  # repeats itself only
+
+
+def test_anchors_do_not_depend_on_what_stands_around():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 256, 3 * suffix_dedup.WINDOW).astype(np.uint8)
+    a, b = (np.concatenate([rng.integers(0, 256, n).astype(np.uint8), passage, rng.integers(0, 256, 400).astype(np.uint8)]) for n in (317, 5))
+    inside = [set(p - n for p in suffix_dedup.anchors(t) if n + suffix_dedup.WINDOW <= p < n + 2 * suffix_dedup.WINDOW) for t, n in ((a, 317), (b, 5))]
+    assert inside[0] == inside[1] != set()
+    assert len(suffix_dedup.anchors(a[:149])) == 0 and len(suffix_dedup.anchors(a[:150])) <= 1
