@@ -171,7 +171,7 @@ def test_suffix_dedup(spark):
 
     shared = "".join(chr(c) for c in np.random.default_rng(5).integers(97, 123, 700))
     texts = [*TEXTS[:11], (30, "ab" * 400), (31, "p" + shared + "q"), (32, shared[:399]), (33, "\u00e9" + shared[100:620]), (34, "z" * 401)]
-    got = sorted(map(tuple, suffix_dedup.remove_repeats(frame(spark, texts)).drop("kept").collect()), key=repr)
+    got = sorted(map(tuple, suffix_dedup.remove_repeats(frame(spark, texts)).drop("n_shared").collect()), key=repr)
     want = sorted(((i, *r) for (i, _), r in zip(texts, repeats([(t or "").encode() for _, t in texts], 400))), key=repr)
     assert got == want
     kept = suffix_dedup.remove_repeats(frame(spark, texts), keep_bytes=True).where("doc_id = 31").first()["kept"]
