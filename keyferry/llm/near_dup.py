@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyferry.llm.common import stored, text_or_empty
+from keyferry.llm.common import discard, stored, text_or_empty
 from keyferry.llm.graph import components
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -266,7 +266,9 @@ def _linked(members: DataFrame, texts: DataFrame, settings: Settings, held: int
         *own, "outlier", F.pmod(slot, "obs").cast("int").alias("ob"), F.explode(F.sequence(F.lit(0), F.col("mbs") - 1)).alias("mb"))
     place = ["key", "ob", "mb"]
     blocks = fixed_mb.unionByName(fixed_ob).repartition(*place).sortWithinPartitions(*place)
-    return stored(blocks.select(*place, "node", "comp", "outlier", "text").mapInArrow(_comparer(settings), "u bigint, v bigint"), "dup-links")
+    links = stored(blocks.select(*place, "node", "comp", "outlier", "text").mapInArrow(_comparer(settings), "u bigint, v bigint"), "dup-links")
+    discard(members)
+    return links
 
 
 def _texts(documents: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -335,6 +337,7 @@ def groups(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     labels = labels.withColumnsRenamed({"u": "node", "v": "label"})
     found = stored(placed.join(labels, "node", "left").select(
         "doc_id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("group_id")), "dup-found")
+    discard(signed, nodes, buckets, texts, placed, ids)  # `found` is all that is read from here on
     names = found.where("group_id is not null").groupBy("group_id").agg(F.min("doc_id").alias("named"))
     return found.join(names, "group_id", "left").select(
         "doc_id", "text_hash", "n_shingles", F.when(F.col("group_id").isNull(), F.col("doc_id")).otherwise(F.col("named")).alias("component_id"), "group_id")
@@ -360,6 +363,8 @@ def dedupe(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     marked = stored(marked.withColumnsRenamed({"doc_id": "seen_id", "text_hash": "seen_hash"}), "dup-marked")
     own = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), _text_hash().alias("own_hash"))
     same = F.col("own_id").eqNullSafe(F.col("seen_id")) & (F.col("own_hash") == F.col("seen_hash"))
+    # One row for all rows of a group of more than one; merged at any size, as texts go along.
+    marked = marked.hint("merge")
     # Rows of a group of one row are not in `marked`; equal rows that stay are one.
     alone = own.join(marked, same, "left_anti").select("row.*")
     once = own.join(marked.where("kept"), same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("row.*")
