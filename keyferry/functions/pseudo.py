@@ -61,8 +61,8 @@ def between_sql(h: str, lo: int, hi: int) -> str:
 
 
 def pick(words: Sequence[str], h: Column) -> Column:
-    """One element of ``words`` chosen by ``h``."""
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (h % F.lit(len(words)) + F.lit(1)).cast("int"))
+    """One element of ``words`` chosen by ``h``, NULL by no draw (``element_at`` takes the last then)."""
+    return F.get(F.array(*[F.lit(w) for w in words]), (h % F.lit(len(words))).cast("int"))
 
 
 def _sql_str(w: str) -> str:

@@ -22,8 +22,10 @@ Rules:
   step = 2^61 - 1 mod n; 2^61 - 1 is prime, so step and n are coprime and the
   first n values are distinct: no cross join, no retry.
 
-Dates do not wrap; a date past the year 9999 is an error unless ``span_days``
-asks for wrapped offsets.
+Dates do not wrap unless ``span_days`` asks for wrapped offsets: they go on past
+the year 9999 as far as Spark, Parquet and DuckDB count days (32 bits, the year
+5881580). Python's own dates end with 9999, so a program that collects later
+ones takes them as text or as days.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ FIRST_CUSTOMER_ID = 1
 FIRST_PRODUCT_ID = 101
 FIRST_ORDER_ID = 1001
 MAX_ITEMS = 10
-LAST_DATE = "9999-12-31"
+LAST_DAY = 2**31 - 2  # since 1970, 5881580-07-10: the last finite date of DuckDB, one before Spark's
 # ---------------------------------------------------------------------------
 
 
@@ -115,13 +117,13 @@ def _str(c: Column) -> Column:
 
 
 def _days(start: str, offset: Column, span: int | None = None) -> Column:
-    """``start`` + ``offset`` days. Past the year 9999 the row is an error,
-    unless ``span`` is given: then offsets wrap after that many days."""
+    """``start`` + ``offset`` days; NULL stays NULL. Past ``LAST_DAY`` the row is an
+    error, unless ``span`` is given: then offsets wrap after that many days."""
     if span is not None:
         offset = offset % F.lit(span)
-    room = F.date_diff(F.lit(LAST_DATE).cast("date"), F.lit(start).cast("date"))
-    too_late = F.raise_error(F.concat(F.lit(f"{start} plus "), offset.cast("string"), F.lit(" days is past 9999: give span_days")))
-    return F.date_add(F.lit(start).cast("date"), F.when(offset <= room, offset.cast("int")).otherwise(too_late.cast("int")))
+    first = F.lit(start).cast("date")
+    too_late = F.raise_error(F.concat(F.lit(f"{start} plus "), offset.cast("string"), F.lit(" days is no date: give span_days")))
+    return F.when(offset > F.lit(LAST_DAY) - F.unix_date(first), too_late.cast("date")).otherwise(F.date_add(first, offset.cast("int")))
 
 
 def _days_sql(start: str, offset: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from keyferry import checks
 from keyferry.operators.audit import reconcile, row_counts
 from keyferry.operators.joins import lookup_join, orphans
 from keyferry.plans.migrate import NullKeyError, migrate_all, migrate_table, report_frame
@@ -123,6 +124,30 @@ def test_generator_consistency(spark):
         gen.orders(spark.range(1), 0)
 
 
+@pytest.mark.parametrize("last", [2_913_000, 8_999_999, gen.LAST_DAY - 19_754])
+def test_generated_dates_go_on_past_9999(spark, workdir, last):
+    """As many days as the SQL adds, read back from Parquet as well."""
+    import duckdb
+
+    spark.createDataFrame([(0,), (2_912_999,), (last,), (None,)], "o_orderkey bigint").write.parquet(workdir + "/orders.parquet")
+    spark.range(3).select(F.col("id").alias("c_custkey")).write.parquet(workdir + "/customer.parquet")
+    checks.gen_orders(spark, workdir).write.parquet(workdir + "/made")
+    names = ["order_id", "customer_id", "status", "payment_method", "shipping_address", "notes"]
+    made = spark.read.parquet(workdir + "/made").select(F.unix_date("order_date"), *names).collect()
+    db, folder = duckdb.connect(), workdir.removeprefix("file:")
+    for t in ("orders", "customer"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+    wanted = db.execute(f"SELECT order_date - DATE '1970-01-01', {', '.join(names)} FROM ({checks.SQL_GEN_ORDERS})").fetchall()
+    assert sorted(map(tuple, made), key=str) == sorted(wanted, key=str) and made != []
+
+
+def test_a_day_beyond_any_date_is_an_error_unless_wrapped(spark):
+    ids = spark.createDataFrame([(gen.LAST_DAY - 19_753 + gen.FIRST_ORDER_ID,)], "order_id bigint")
+    with pytest.raises(Exception, match="give span_days"):
+        gen.orders(ids, 3).select(F.unix_date("order_date")).collect()
+    assert gen.orders(ids, 3, span_days=1).first().order_date.isoformat() == gen.ORDER_START
+
+
 def test_jdbc_and_connector_options():
     url = url_from_template("jdbc:x://{host}:{port};databaseName={database};encrypt={encrypt}", host="h", port=1433,
                             database="d", encrypt=True)
