@@ -745,7 +745,13 @@ SQL_CONFORM_REJECTS = "\nUNION ALL ".join(_refusals_sql(t) for t in REFUSING_TYP
 
 # -- R2, K3 with heavy keys ----------------------------------------------------------------
 SKEWED_KEY = "CASE WHEN l_linenumber <= 2 THEN -1 ELSE l_orderkey END"
-BALANCED_PARTS = 8
+BALANCED_PARTS = 8  # of a table of up to 4,000,000 rows
+BALANCED_ROWS = 500_000  # of a partition of a larger one: what one task holds does not grow with the table
+ORDER_CHUNK = 10_000  # rows of a file that are compared by one window
+
+
+def _balanced_parts(df: DataFrame) -> int:
+    return max(BALANCED_PARTS, -(-df.count() // BALANCED_ROWS))
 
 
 def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -755,10 +761,12 @@ def _skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heavy keys cut into pieces, light keys whole, and no partition over twice the mean."""
-    placed = by_key_balanced(_skewed(spark, sf_dir), BALANCED_PARTS, ["k"]).withColumn("p", F.spark_partition_id())
+    lines = _skewed(spark, sf_dir)
+    parts = _balanced_parts(lines)
+    placed = by_key_balanced(lines, parts, ["k"]).withColumn("p", F.spark_partition_id())
     heavy = F.col("k") == -1
     per_key = placed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p").alias("parts"))
-    sizes = placed.groupBy("p").agg(F.count(F.lit(1)).alias("n")).agg((F.max("n") * BALANCED_PARTS <= 2 * F.sum("n")).alias("even"))
+    sizes = placed.groupBy("p").agg(F.count(F.lit(1)).alias("n")).agg((F.max("n") * parts <= 2 * F.sum("n")).alias("even"))
     return per_key.agg(
         F.sum("n").cast("bigint").alias("rows"), F.count(F.lit(1)).alias("keys"),
         F.count_if(~heavy & (F.col("parts") > 1)).alias("light_keys_cut"),
@@ -774,16 +782,24 @@ def connector_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, except those of a key too large for one. Spark's Parquet writer stands in for the connector."""
     path = fresh_path(spark, "connector")
     st = ConnectorStore(spark, "parquet", "ks", tuning={"path": path, "output.batch.grouping.key": "partition"}, balance_heavy_keys=True)
-    plan = PartitionPlan("repartition", BALANCED_PARTS, by_key=True)
     lines = _skewed(spark, sf_dir).withColumn("line", F.monotonically_increasing_id())
-    st.write(lines, "lines", ["k"], ["l_orderkey", "line"], unique=True, plan=plan)
-    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
+    parts = _balanced_parts(lines)
+    st.write(lines, "lines", ["k"], ["l_orderkey", "line"], unique=True, plan=PartitionPlan("repartition", parts, by_key=True))
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"),
                                            "k", F.struct("k", "l_orderkey", "line").alias("key"))
-    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
-    late = rows.select((before > F.col("key")).alias("late")).agg(F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("out_of_order"))
-    per_key = rows.groupBy("k").agg(F.count_distinct("file").alias("files")).agg(
-        F.count_if((F.col("k") != -1) & (F.col("files") > 1)).alias("light_keys_cut"))
-    return late.join(per_key, F.col("light_keys_cut").isNotNull())
+    # A file is compared in chunks, however long it is; the last row of each goes before the first of the next as well.
+    own = F.expr(f"at div {ORDER_CHUNK}")
+    chunks = F.when(F.col("at") % ORDER_CHUNK == ORDER_CHUNK - 1, F.array(own, own + 1)).otherwise(F.array(own))
+    chunked = by_key(rows.withColumn("chunk", F.explode(chunks)), parts, ["chunk", "file"])
+    before = F.lag("key").over(Window.partitionBy("chunk", "file").orderBy("at"))
+    compared = chunked.select("chunk", "file", "k", (own == F.col("chunk")).alias("own"), (before > F.col("key")).alias("late"))
+    # The keys of a chunk are counted where it lies, so a key held by many rows is a row per chunk.
+    per_chunk = compared.groupBy("chunk", "file", "k").agg(F.count_if("own").alias("rows"), F.count_if("late").alias("late"))
+    per_key = by_key(per_chunk, parts, ["k"]).groupBy("k").agg(
+        F.sum("rows").alias("rows"), F.sum("late").alias("late"), F.count_distinct("file").alias("files"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias
+    return per_key.agg(total("rows")("rows"), total("late")("out_of_order"),
+                       F.count_if((F.col("k") != -1) & (F.col("files") > 1)).alias("light_keys_cut"))
 
 
 SQL_CONNECTOR_GROUPING = "SELECT count(*) AS rows, 0::BIGINT AS out_of_order, 0::BIGINT AS light_keys_cut FROM lineitem"

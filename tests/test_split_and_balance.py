@@ -10,6 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from keyferry import checks
 from keyferry.operators.conform import fitting, refused_values, try_types
 from keyferry.operators.layout import HEAVY_SHARE, by_key_balanced, heavy_keys
 from keyferry.sinks.connector import ConnectorStore, MergeStore, merge_into
@@ -206,6 +207,56 @@ def test_connector_options_reach_a_balanced_write(spark, workdir):
     assert files.where("k = 'hot'").first().n == 4 and files.where("k like 'k%' and n > 1").count() == 0
 
 
+def lines_table(spark, path, orders=1_000):
+    """Six lines an order; the first two of each get the heavy key."""
+    cols = {c: F.lit(1.0) for c in checks.LINEITEM_COLS}
+    cols |= {"l_orderkey": F.expr("id div 6"), "l_linenumber": F.expr("cast(id % 6 + 1 as int)"), "l_returnflag": F.lit("N")}
+    spark.range(0, 6 * orders, 1, 4).select(*[c.alias(n) for n, c in cols.items()]).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_partitions_grow_with_the_table(spark, workdir, monkeypatch):
+    """No task of the write or of the comparison holds an eighth of a table of any size."""
+    monkeypatch.setattr(checks, "BALANCED_ROWS", 200, raising=False)
+    monkeypatch.setattr(checks, "fresh_path", lambda *_: workdir + "/sent")
+    lines_table(spark, workdir)
+    out = checks.connector_grouping(spark, workdir)
+    assert [tuple(r) for r in out.collect()] == [(6_000, 0, 0)]
+    sizes = spark.read.parquet(workdir + "/sent").groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(sizes) == 30 and max(r["count"] for r in sizes) <= 400
+    asked = []
+    monkeypatch.setattr(checks, "by_key_balanced", lambda df, n, key: asked.append(n) or by_key_balanced(df, n, key))
+    assert checks.key_balance(spark, workdir).first().asDict() == {
+        "rows": 6_000, "keys": 1_001, "light_keys_cut": 0, "heavy_key_cut": True, "even": True}
+    assert asked == [30]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 10_000])
+def test_order_is_compared_across_chunks(spark, workdir, monkeypatch, chunk):
+    """Rows sent in no order and keys sent to many files are all counted, at the bounds of chunks as well."""
+    monkeypatch.setattr(checks, "ORDER_CHUNK", chunk)
+    monkeypatch.setattr(checks, "fresh_path", lambda *_: workdir + "/sent")
+
+    def send(self, df, *_, **__):
+        df.repartition(3).write.parquet(workdir + "/sent")
+
+    monkeypatch.setattr(ConnectorStore, "write", send)
+    lines_table(spark, workdir, 200)
+    got = checks.connector_grouping(spark, workdir).first()
+    files, late = {}, 0
+    for f in spark.read.parquet(workdir + "/sent").select(F.col("_metadata.file_path")).distinct().collect():
+        sent = [tuple(r) for r in spark.read.parquet(f.file_path).coalesce(1).select("k", "l_orderkey", "line").collect()]
+        late += sum(a > b for a, b in zip(sent, sent[1:]))
+        for k, *_ in sent:
+            files.setdefault(k, set()).add(f.file_path)
+    cut = sum(len(x) > 1 for k, x in files.items() if k != -1)
+    assert tuple(got) == (1_200, late, cut) and late > 100 and cut > 100
+
+
+def test_nothing_is_sent_of_an_empty_table(spark, workdir):
+    lines_table(spark, workdir, 0)
+    assert tuple(checks.connector_grouping(spark, workdir).first()) == (0, 0, 0)
+
+
 def test_merge_is_called_for_row_level_tables(spark, monkeypatch):
     """No format with row-level operations is at hand: the call is checked, the write is not."""
     calls = []
